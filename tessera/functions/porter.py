@@ -3,9 +3,12 @@
 The published algorithm (Porter, 1980, "An algorithm for suffix stripping"),
 with its author's later revisions ``bli -> ble`` and ``logi -> log``, and
 words of one or two letters left unchanged.  Each step is a plain SQL
-expression over column ``w`` (the word being stemmed); Spark runs one
-``select`` per step, so every step stays a codegen'd projection and the
-expression tree never nests the previous step (no exponential blow-up).
+expression over ``w`` (the word being stemmed).  Spark evaluates the chain
+as nested one-element ``transform`` lambdas over a ``(w, cut, orig)``
+struct (see :func:`tessera.functions.text.stem`): the expression grows
+linearly with the number of steps, carries no aliases (so the optimizer's
+constraint propagation has nothing to compose), and runs once per distinct
+word of the corpus.
 
 The same step list renders to DuckDB SQL for the test oracle: the only
 dialect differences are the regex-match and regex-replace function names
@@ -108,44 +111,45 @@ def _suffix_case(w: str, table, cond) -> str:
     return "CASE " + " ".join(whens) + f" ELSE {w} END"
 
 
-def steps(dialect: str = "spark") -> list[tuple[str, str]]:
+def steps(dialect: str = "spark", w: str = "w", cut: str = "cut") -> list[tuple[str, str]]:
     """Ordered (column, SQL expression) assignments.
 
     Input columns: ``w`` (the lower-case word).  Output: ``w`` stemmed.  A
     helper column ``cut`` carries "step 1b removed ed/ing" between the two
     halves of step 1b.  The caller keeps the original word for the
-    length <= 2 rule (see :func:`final`).
+    length <= 2 rule (see :func:`final`).  ``w`` and ``cut`` name the SQL
+    references to use; the first element of each pair is the logical
+    target (``"w"`` or ``"cut"``).
     """
     d = _Dialect(dialect)
-    w = "w"
     out: list[tuple[str, str]] = []
     # step 0: mark consonant y
-    out.append((w, d.replace_all(
+    out.append(("w", d.replace_all(
         f"regexp_replace({w}, '^y', 'Y')", "([aeiouy])y", "Y")))
     # step 1a
-    out.append((w, f"CASE WHEN {w} LIKE '%sses' OR {w} LIKE '%ies' THEN {_stem(w, 2)} "
+    out.append(("w", f"CASE WHEN {w} LIKE '%sses' OR {w} LIKE '%ies' THEN {_stem(w, 2)} "
                    f"WHEN {w} LIKE '%ss' THEN {w} "
                    f"WHEN {w} LIKE '%s' THEN {_stem(w, 1)} ELSE {w} END"))
     # step 1b, first half: eed / ed / ing
     ed_ok = f"({w} LIKE '%ed' AND NOT {w} LIKE '%eed' AND {d.match(_stem(w, 2), V)})"
     ing_ok = f"({w} LIKE '%ing' AND NOT {w} LIKE '%eed' AND {d.match(_stem(w, 3), V)})"
     out.append(("cut", f"({ed_ok} OR {ing_ok})"))
-    out.append((w, f"CASE WHEN {w} LIKE '%eed' THEN "
+    out.append(("w", f"CASE WHEN {w} LIKE '%eed' THEN "
                    f"(CASE WHEN {_m_gt0(d, _stem(w, 3))} THEN {_stem(w, 1)} ELSE {w} END) "
                    f"WHEN {ed_ok} THEN {_stem(w, 2)} "
                    f"WHEN {ing_ok} THEN {_stem(w, 3)} ELSE {w} END"))
     # step 1b, second half: repair the cut stem
-    out.append((w, f"CASE WHEN NOT cut THEN {w} "
+    out.append(("w", f"CASE WHEN NOT {cut} THEN {w} "
                    f"WHEN {w} LIKE '%at' OR {w} LIKE '%bl' OR {w} LIKE '%iz' THEN {w} || 'e' "
                    f"WHEN {_double(d, w)} AND NOT {d.match(w, '[lsz]$')} THEN {_stem(w, 1)} "
                    f"WHEN {_m_eq1(d, w)} AND {_cvc(d, w)} THEN {w} || 'e' "
                    f"ELSE {w} END"))
     # step 1c: y -> i when the stem has a vowel
-    out.append((w, f"CASE WHEN {d.match(w, '[yY]$')} AND {d.match(_stem(w, 1), V)} "
+    out.append(("w", f"CASE WHEN {d.match(w, '[yY]$')} AND {d.match(_stem(w, 1), V)} "
                    f"THEN {_stem(w, 1)} || 'i' ELSE {w} END"))
     # steps 2 and 3: m > 0
-    out.append((w, _suffix_case(w, STEP2, lambda s, _: _m_gt0(d, s))))
-    out.append((w, _suffix_case(w, STEP3, lambda s, _: _m_gt0(d, s))))
+    out.append(("w", _suffix_case(w, STEP2, lambda s, _: _m_gt0(d, s))))
+    out.append(("w", _suffix_case(w, STEP3, lambda s, _: _m_gt0(d, s))))
 
     # step 4: m > 1
     def cond4(s, suf):
@@ -153,13 +157,13 @@ def steps(dialect: str = "spark") -> list[tuple[str, str]]:
             return f"({d.match(s, '[st]$')} AND {_m_gt1(d, s)})"
         return _m_gt1(d, s)
 
-    out.append((w, _suffix_case(w, [(s, "") for s in STEP4], cond4)))
+    out.append(("w", _suffix_case(w, [(s, "") for s in STEP4], cond4)))
     # step 5a: final e
     s1 = _stem(w, 1)
-    out.append((w, f"CASE WHEN {w} LIKE '%e' AND ({_m_gt1(d, s1)} OR "
+    out.append(("w", f"CASE WHEN {w} LIKE '%e' AND ({_m_gt1(d, s1)} OR "
                    f"({_m_eq1(d, s1)} AND NOT {_cvc(d, s1)})) THEN {s1} ELSE {w} END"))
     # step 5b: ll -> l when m > 1
-    out.append((w, f"CASE WHEN {w} LIKE '%ll' AND {_m_gt1(d, w)} THEN {s1} ELSE {w} END"))
+    out.append(("w", f"CASE WHEN {w} LIKE '%ll' AND {_m_gt1(d, w)} THEN {s1} ELSE {w} END"))
     return out
 
 

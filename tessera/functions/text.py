@@ -13,8 +13,8 @@ Order of the steps matters and follows the reference pipeline:
 Everything is a native Spark expression (no Python UDF).  Two forms:
 
 * :func:`analyze` - an ``array<string>`` column, for per-row use (no stem);
-* :func:`analyze_tokens` - the long table ``(id, term)``, one row per token,
-  with one projection per Porter step (codegen'd, no shuffle).
+* :func:`analyze_tokens` - the weighted long table ``(id, term, n)``; the
+  Porter chain runs once per distinct word (a stem dictionary).
 
 Known deviations from an NLTK tokenizer (accepted, see README): ``...`` and
 quote tokens are never produced; ``don't`` stays whole (and is a stop word);
@@ -105,45 +105,108 @@ def analyze(text: Column, stop: bool = True, do_fold: bool = True) -> Column:
     return split_pieces(toks)
 
 
-def stem_column(df: DataFrame, col: str = "w") -> DataFrame:
-    """T5+T6 on a long table: possessive strip, then one select per step."""
-    other = [c for c in df.columns if c != col]
-    out = df.withColumn(col, F.regexp_replace(F.col(col), POSSESSIVE_RE, ""))
-    out = out.withColumn("orig", F.col(col))
-    for name, expr in porter.steps("spark"):
-        out = out.withColumn(name, F.expr(expr))
-    out = out.withColumn(col, F.expr(porter.final("orig", col)))
-    return out.select(*other, col)
+def stem_sql(word_sql: str) -> str:
+    """T5: the Porter chain as one Spark SQL expression over ``word_sql``.
 
+    The steps are nested one-element ``transform`` lambdas over a struct
+    ``(w, cut, orig)``: the text grows linearly with the number of steps and
+    holds no aliases (so constraint propagation has nothing to compose).
+    """
+    state = f"array(named_struct('w', {word_sql}, 'cut', false, 'orig', {word_sql}))"
+    for name, expr in porter.steps("spark", w="x.w", cut="x.cut"):
+        w_new = expr if name == "w" else "x.w"
+        cut_new = expr if name == "cut" else "x.cut"
+        state = f"transform({state}, x -> named_struct('w', {w_new}, 'cut', {cut_new}, 'orig', x.orig))"
+    state = f"transform({state}, x -> {porter.final('x.orig', 'x.w')})"
+    return f"element_at({state}, 1)"
+
+
+def stem_column(df: DataFrame, col: str = "w", chain: bool = False) -> DataFrame:
+    """T5+T6: replace ``col`` by its Porter stem (possessive stripped first).
+
+    ``chain=True`` runs one codegen'd projection per step instead of the
+    lambda form: faster on large inputs, but only for plans that are
+    written out right after (a join or filter above the chain would make
+    constraint propagation compose the step aliases).
+    """
+    tmp = "_stem_in"
+    out = df.withColumn(tmp, F.regexp_replace(F.col(col), POSSESSIVE_RE, ""))
+    if not chain:
+        return out.withColumn(col, F.expr(stem_sql(tmp))).drop(tmp)
+    other = [c for c in df.columns if c != col]
+    out = out.select(*other, F.col(tmp).alias("_w"), F.col(tmp).alias("_orig"), F.lit(False).alias("_cut"))
+    for name, expr in porter.steps("spark", w="_w", cut="_cut"):
+        out = out.withColumn("_" + name, F.expr(expr))
+    return out.select(*other, F.expr(porter.final("_orig", "_w")).alias(col))
 
-def analyze_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True,
-                   stem: bool = True, do_fold: bool = True,
-                   term_col: str = "term") -> DataFrame:
-    """The long token table ``(id_col, term)`` of a text column.
 
-    Explodes once per document, stems each token with narrow projections
-    (no shuffle), folds, then splits hyphen/apostrophe pieces.  Documents
-    with no token produce no row; callers count documents from ``df``.
-    """
+def raw_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True) -> DataFrame:
+    """T1-T3 + T13: ``(id_col, w, n)``: each distinct lower-case token of a
+    document with its count (one row per document and token)."""
     toks = tokenize(F.col(text_col))
     if stop:
         toks = remove_stop_words(toks)
     t = df.select(F.col(id_col), F.explode(toks).alias("w"))
-    if stem:
-        t = stem_column(t, "w")
-    w = F.col("w")
+    return t.groupBy(id_col, "w").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+def _pieces(w: Column, do_fold: bool) -> Column:
+    """T7-T10 on one (stemmed) word: fold, blank out ' and -, drop empty or
+    all-digit words, split on blanks, drop empty pieces."""
     if do_fold:
         w = fold(w)
     w = F.translate(w, "'-", "  ")
-    t = t.select(id_col, w.alias("w"))
-    # The empty/all-digit test lives inside the generator on purpose: a
-    # Filter here would be pushed below the stem projections and inline the
-    # whole step chain into its predicate.
-    w = F.col("w")
-    pieces = F.when((w == "") | w.rlike(DIGITS_RE), F.array().cast("array<string>")) \
+    parts = F.when((w == "") | w.rlike(DIGITS_RE), F.array().cast("array<string>")) \
         .otherwise(F.split(F.trim(w), " +"))
-    t = t.select(id_col, F.explode(pieces).alias(term_col))
-    return t.where(F.col(term_col) != "")
+    return F.filter(parts, lambda t: t != "")
+
+
+def word_dictionary(words: DataFrame, stem: bool = True, do_fold: bool = True,
+                    materialize: bool = False) -> DataFrame:
+    """``(w, pieces)``: the final terms of each distinct raw word.
+
+    With ``materialize`` the stem runs as the codegen'd projection chain and
+    the dictionary is written to the shared folder (read back as a plain
+    scan, so no optimizer rule ever sees the chain under a join).
+    """
+    d = words.select("w").distinct().withColumn("s", F.col("w"))
+    if stem:
+        d = stem_column(d, "s", chain=materialize)
+    d = d.select("w", _pieces(F.col("s"), do_fold).alias("pieces"))
+    if not materialize:
+        return d
+    from tessera.sources.files import materialize as _mat
+    return _mat(d, "word-dictionary")
+
+
+def analyze_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True,
+                   stem: bool = True, do_fold: bool = True, term_col: str = "term",
+                   materialize: bool = False, max_broadcast_words: int = 2_000_000) -> DataFrame:
+    """The weighted token table ``(id_col, term, n)`` of a text column;
+    ``n`` is the number of occurrences of ``term`` in the document.
+
+    Tokens are counted per document first (the per-document partial
+    aggregation needs no shuffle when the input is partitioned by id).  All
+    string work after tokenising (stem, fold, split) runs once per
+    *distinct* word: a word dictionary is built and joined back, broadcast
+    only when its size is checked to be at most ``max_broadcast_words``
+    (else a shuffle join, with AQE splitting hot words).  ``materialize``
+    writes the per-document counts, the dictionary and the result to the
+    shared folder, so the corpus is tokenised once and every consumer
+    (document frequency, postings, norms) reads the same table.  Documents
+    with no token produce no row; callers count documents from ``df``.
+    """
+    from tessera.sources.files import materialize as _mat
+    raw = raw_tokens(df, id_col, text_col, stop)
+    if materialize:
+        raw = _mat(raw, "raw-tokens")
+    dic = word_dictionary(raw.select("w"), stem=stem, do_fold=do_fold, materialize=materialize)
+    small = (dic if materialize else raw.select("w").distinct()).limit(max_broadcast_words + 1).count() \
+        <= max_broadcast_words
+    j = raw.join(F.broadcast(dic) if small else dic, "w")
+    t = j.select(id_col, F.explode("pieces").alias(term_col), "n")
+    out = t.groupBy(id_col, term_col).agg(F.sum("n").cast("long").alias("n"))
+    return _mat(out, "tokens") if materialize else out
 
 
 def whitespace_tokens(text: Column) -> Column:

@@ -32,8 +32,9 @@ from tessera.functions import text as tx
 
 
 def term_freq(tokens: DataFrame, id_col: str = "doc_id", term_col: str = "term") -> DataFrame:
-    """I4: raw term frequency per (document, term)."""
-    return tokens.groupBy(id_col, term_col).agg(F.count(F.lit(1)).cast("long").alias("tf"))
+    """I4: raw term frequency per (document, term) from the weighted
+    token table (already one row per document and term)."""
+    return tokens.select(id_col, term_col, F.col("n").alias("tf"))
 
 
 def doc_freq(tf: DataFrame, term_col: str = "term") -> DataFrame:
@@ -102,15 +103,25 @@ class Index:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stop: bool = True, stem: bool = True, fold: bool = True,
-                tokens: DataFrame | None = None) -> Index:
-    """I1-I8 for one text column (Q7 builds one per field)."""
+                tokens: DataFrame | None = None, materialize: bool = True) -> Index:
+    """I1-I8 for one text column (Q7 builds one per field).
+
+    With ``materialize`` (the default) the term-frequency table and the
+    (small) IDF table are written once to the shared folder and read back:
+    the corpus is analysed once however many consumers follow.
+    """
     docs = docs.select(id_col, text_col)
     if tokens is None:
-        tokens = tx.analyze_tokens(docs, id_col, text_col, stop=stop, stem=stem, do_fold=fold)
+        tokens = tx.analyze_tokens(docs, id_col, text_col, stop=stop, stem=stem, do_fold=fold,
+                                   materialize=materialize)
     tf = term_freq(tokens, id_col)
     dfreq = doc_freq(tf)
     n = n_docs(docs)
     idf = inverse_doc_freq(dfreq, n)
+    if materialize:
+        from tessera.sources.files import materialize as _mat
+        idf = _mat(idf, "idf")
+        dfreq = idf.select("term", "df")
     weighted = (tf.join(idf.select("term", "idf"), "term")
                 .withColumn("w", F.col("tf") * F.col("idf")))
     per_doc = Window.partitionBy(id_col)

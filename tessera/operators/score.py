@@ -45,8 +45,8 @@ def description_scores(listing: DataFrame, index: ix.Index, matches: DataFrame,
     norm is 0.  Output (id_col, desc_score) for every matched row.
     """
     qtoks = index.analyze(query, "qid", "text")
-    qlen = qtoks.groupBy("qid").agg(F.count(F.lit(1)).alias("qlen"))
-    qv = (qtoks.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    qlen = qtoks.groupBy("qid").agg(F.sum("n").alias("qlen"))
+    qv = (qtoks.select("qid", "term", F.col("n").alias("qtf"))
           .join(qlen, "qid").join(index.idf.select("term", "idf"), "term")
           .select("term", (F.col("qtf") / F.col("qlen") * F.col("idf")).alias("qw")))
     qnorm = qv.select(F.sqrt(F.sum(F.col("qw") * F.col("qw")))).scalar()

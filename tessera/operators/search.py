@@ -51,7 +51,7 @@ def query_table(spark, texts: list[str] | str, qid: str = "qid", col: str = "tex
 def query_terms_all(index: Index, queries: DataFrame, qid: str = "qid",
                     text_col: str = "text") -> DataFrame:
     """Distinct analysed query terms, in vocabulary or not: (qid, term)."""
-    return index.analyze(queries, qid, text_col).distinct()
+    return index.analyze(queries, qid, text_col).select(qid, "term")
 
 
 def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
@@ -61,7 +61,7 @@ def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
     Output (qid, term, qtf, qw, qnorm, qwn); qwn = qw / |q| (NULL if |q| = 0).
     """
     toks = index.analyze(queries, qid, text_col)
-    qtf = toks.groupBy(qid, "term").agg(F.count(F.lit(1)).cast("long").alias("qtf"))
+    qtf = toks.select(qid, "term", F.col("n").alias("qtf"))
     qv = (qtf.join(index.idf.select("term", "idf"), "term")
           .withColumn("qw", F.col("qtf") * F.col("idf")))
     per_q = Window.partitionBy(qid)

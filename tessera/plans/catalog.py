@@ -85,8 +85,8 @@ _PORTER_CTES, _ = tx.sql_tokens_ctes("pt", "SELECT doc_id, text FROM documents",
           "SELECT doc_id, term, count(*)::BIGINT AS cnt FROM pt GROUP BY ALL"))
 def analyze_porter(spark, d):
     """T1-T10 with Porter stems, counted per document."""
-    toks = tx.analyze_tokens(_docs(spark, d), "doc_id", "text")
-    return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+    toks = tx.analyze_tokens(_docs(spark, d), "doc_id", "text", materialize=True)
+    return toks.select("doc_id", "term", F.col("n").alias("cnt"))
 
 
 # --------------------------------------------------------------- the index
@@ -158,7 +158,7 @@ def corpus_stats(spark, d):
     idx = _doc_index(spark, d)
     return spark.range(1).select(
         docs.select(F.count(F.lit(1))).scalar().cast("long").alias("n_docs"),
-        idx.tokens.select(F.count(F.lit(1))).scalar().cast("long").alias("n_tokens"),
+        idx.tokens.select(F.sum("n")).scalar().cast("long").alias("n_tokens"),
         idx.doc_freq.select(F.count(F.lit(1))).scalar().cast("long").alias("n_terms"),
         idx.tf.select(F.count(F.lit(1))).scalar().cast("long").alias("n_postings"),
         F.lit(len(docs.columns)).cast("long").alias("n_columns"))

@@ -21,6 +21,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back:
+    computed once, reused by several branches, lineage cut (a lost
+    executor re-reads files instead of recomputing the whole chain)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # ------------------------------------------------------- landed pages
 
 def land_pages(pages: DataFrame, path: str) -> None:
