@@ -48,19 +48,33 @@ def query_table(spark, texts: list[str] | str, qid: str = "qid", col: str = "tex
     return spark.createDataFrame(list(enumerate(texts)), f"{qid} long, {col} string")
 
 
+def analyzed_queries(index: Index, queries: DataFrame, qid: str = "qid",
+                     text_col: str = "text") -> DataFrame:
+    """The query table analysed once, like the index: (qid, term, n).
+
+    Written to the shared folder and read back, so the size probe, the
+    query vector and candidate generation reuse one analysis.
+    """
+    if "term" in queries.columns and "n" in queries.columns:
+        return queries
+    from tessera.sources.files import materialize
+    return materialize(index.analyze(queries, qid, text_col), "query-terms")
+
+
 def query_terms_all(index: Index, queries: DataFrame, qid: str = "qid",
                     text_col: str = "text") -> DataFrame:
     """Distinct analysed query terms, in vocabulary or not: (qid, term)."""
-    return index.analyze(queries, qid, text_col).select(qid, "term")
+    return analyzed_queries(index, queries, qid, text_col).select(qid, "term")
 
 
 def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
                  text_col: str = "text") -> DataFrame:
     """Q4 + I9: in-vocabulary query terms with raw-TF x IDF weights.
 
+    ``queries`` is the raw ``(qid, text)`` table or its analysed form.
     Output (qid, term, qtf, qw, qnorm, qwn); qwn = qw / |q| (NULL if |q| = 0).
     """
-    toks = index.analyze(queries, qid, text_col)
+    toks = analyzed_queries(index, queries, qid, text_col)
     qtf = toks.select(qid, "term", F.col("n").alias("qtf"))
     qv = (qtf.join(index.idf.select("term", "idf"), "term")
           .withColumn("qw", F.col("qtf") * F.col("idf")))
@@ -98,8 +112,8 @@ def conjunctive_search(index: Index, queries: DataFrame, qid: str = "qid",
 def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",
                text_col: str = "text") -> DataFrame:
     """Un-normalised dot product of query and document vectors."""
-    qv = broadcast_if_small(query_vector(index, queries, qid, text_col),
-                            probe=query_terms_all(index, queries, qid, text_col))
+    toks = analyzed_queries(index, queries, qid, text_col)
+    qv = broadcast_if_small(query_vector(index, toks, qid, text_col), probe=toks)
     return (index.postings.join(qv, "term")
             .groupBy(qid, index.id_col)
             .agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
@@ -112,8 +126,9 @@ def cosine_scores(index: Index, queries: DataFrame, qid: str = "qid",
     Candidates whose cosine is undefined (zero document or query norm) are
     dropped instead of carrying NaN.  Scores are rounded to 6 digits.
     """
-    qv = broadcast_if_small(query_vector(index, queries, qid, text_col).select(qid, "term", "qwn"),
-                            probe=query_terms_all(index, queries, qid, text_col))
+    toks = analyzed_queries(index, queries, qid, text_col)
+    qv = broadcast_if_small(query_vector(index, toks, qid, text_col).select(qid, "term", "qwn"),
+                            probe=toks)
     return (index.postings.select("term", index.id_col, "wn").join(qv, "term")
             .groupBy(qid, index.id_col)
             .agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
