@@ -132,9 +132,13 @@ def weighted_similarity(listing: DataFrame, texts: dict[str, str], id_col: str =
     if not active:
         return base.withColumn("similarity_score", F.lit(0.0))
     wts = field_weights(active)
+    # one pass over the (possibly expensive) listing for all field indexes
+    from tessera.sources.files import materialize
+    fields_tbl = materialize(listing.select(id_col, *active), "listing-fields")
+    base = fields_tbl.select(id_col)
     parts = []
     for f in active:
-        idx = ix.build_index(listing, id_col, f)
+        idx = ix.build_index(fields_tbl, id_col, f)
         cos = srch.cosine_scores(idx, srch.query_table(spark, norm[f]))
         parts.append(cos.select(id_col, (F.col("score") * F.lit(wts.get(f, 0.0))).alias("ws")))
     allp = parts[0]
@@ -163,6 +167,8 @@ def faceted_search(listing: DataFrame, q: FacetQuery, id_col: str = "restaurantI
     the score (kept, unlike the reference), ordered by score then id.
     """
     texts = {"restaurantName": q.restaurant_name, "city": q.city, "cuisineType": q.cuisine_type}
+    from tessera.sources.files import materialize
+    listing = materialize(listing, "listing")
     sim = weighted_similarity(listing, texts, id_col)
     res = listing.join(sim, id_col)
     if any((v or "").strip() for v in texts.values()):
