@@ -166,3 +166,23 @@ def index_roundtrip(spark, d):
                       norms=idx.norms, n=idx.n, stop=idx.stop, stem=idx.stem, fold=idx.fold, id_col="doc_id")
     queries = read_table(spark, d, "benchmark").select("item_id", "text")
     return srch.ranked_search(loaded, queries, k=K, qid="item_id").select("item_id", "doc_id", "rank", "score")
+
+
+@register("geojson_centroid", ORACLE["polygon_centroid"])
+def geojson_centroid(spark, d):
+    """Region rings written as GeoJSON features, read back with
+    an explicit schema, exploded to vertices, centroids computed."""
+    geo = _geo_spark(spark, d).select("region", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+    path = files.scratch_path(spark, "regions-geojson")
+    files.write_geojson(g.star_ring(geo), path, order_cols=g.STAR_ORDER)
+    verts = files.read_geojson(spark, path).withColumnRenamed("reg_name", "region")
+    return g.polygon_centroid(verts, order_cols=("i",))
+
+
+@register("points_text_path", ORACLE["monotone_path"])
+def points_text_path(spark, d):
+    """S12 (re-aimed) + K1: points written as 'case x y' lines, parsed back
+    with split + cast, then the monotone-path check."""
+    path = files.scratch_path(spark, "points-text")
+    files.write_points_text(_points(spark, d), path)
+    return pth.monotone_path(files.read_points_text(spark, path))

@@ -110,3 +110,84 @@ def write_url_list(df: DataFrame, path: str, col: str = "url") -> None:
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     """URL list, each line stripped (blank lines stay as '')."""
     return spark.read.text(path).select(F.trim("value").alias("url"))
+
+
+# ------------------------------------------------------------ GeoJSON
+
+FEATURE_SCHEMA = T.StructType([
+    T.StructField("type", T.StringType()),
+    T.StructField("properties", T.StructType([T.StructField("reg_name", T.StringType())])),
+    T.StructField("geometry", T.StructType([
+        T.StructField("type", T.StringType()),
+        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+    ])),
+])
+COLLECTION_SCHEMA = T.StructType([
+    T.StructField("type", T.StringType()),
+    T.StructField("features", T.ArrayType(FEATURE_SCHEMA)),
+])
+
+
+def write_geojson(vertices: DataFrame, path: str, key: str = "region", order_cols=("i",)) -> None:
+    """One GeoJSON Feature per line (a Polygon ring of ``[lon, lat]`` in
+    vertex order).  One row per polygon: its vertex list is the output."""
+    order_cols = list(order_cols)
+    ring = (vertices.groupBy(key)
+            .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_cols, "lon", "lat"]))))
+                 .alias("pts"))
+            .select(F.lit("Feature").alias("type"),
+                    F.struct(F.col(key).alias("reg_name")).alias("properties"),
+                    F.struct(F.lit("Polygon").alias("type"),
+                             F.array(F.transform("pts", lambda p: F.array(p["lon"], p["lat"])))
+                             .alias("coordinates")).alias("geometry")))
+    ring.write.mode("overwrite").json(path)
+
+
+def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
+    """S10 + G2: GeoJSON features (one per line, or a whole
+    FeatureCollection file with ``collection=True``) exploded to
+    ``vertices(reg_name, ring, i, lon, lat)``."""
+    if collection:
+        fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", True).json(path)
+        feats = fc.select(F.explode("features").alias("f")).select("f.*")
+    else:
+        feats = spark.read.schema(FEATURE_SCHEMA).json(path)
+    rings = feats.select(F.col("properties.reg_name").alias("reg_name"),
+                         F.posexplode("geometry.coordinates").alias("ring", "coords"))
+    return rings.select("reg_name", F.col("ring").cast("long").alias("ring"),
+                        F.posexplode("coords").alias("i", "xy")).select(
+        "reg_name", "ring", F.col("i").cast("long").alias("i"),
+        F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat"))
+
+
+# ------------------------------------------------------- points as text
+
+def write_points_text(points: DataFrame, path: str) -> None:
+    """Points as text lines ``case x y``."""
+    points.select(F.concat_ws(" ", "case_id", "x", "y").alias("value")).write.mode("overwrite").text(path)
+
+
+def read_points_text(spark: SparkSession, path: str) -> DataFrame:
+    """S12 (re-aimed): ``case x y`` lines -> ``points(case_id, x, y)`` by
+    split + cast (the reference's sequential stdin format needs line order,
+    which a distributed read does not have, so the case id is on each line)."""
+    parts = F.split(F.trim("value"), " +")
+    return (spark.read.text(path).where(F.trim("value") != "")
+            .select(parts[0].cast("long").alias("case_id"), parts[1].cast("long").alias("x"),
+                    parts[2].cast("long").alias("y")))
+
+
+# --------------------------------------------------------- misc helpers
+
+def union_ragged(parts: list[DataFrame]) -> DataFrame:
+    """S3: records with differing keys -> one table, missing fields NULL."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def keep_ok(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pages with status 200, rejected responses for the log)."""
+    ok = F.col("status") == 200
+    return responses.where(ok), responses.where(~ok | F.col("status").isNull())
