@@ -58,7 +58,7 @@ def description_scores(listing: DataFrame, index: ix.Index, matches: DataFrame,
           .join(index.idf.select("term", "idf"), "term")
           .select(id_col, "term", (F.col("dtf") / F.col("dlen") * F.col("idf")).alias("dw")))
     dnorm = dv.groupBy(id_col).agg(F.sqrt(F.sum(F.col("dw") * F.col("dw"))).alias("dnorm"))
-    dot = (dv.join(F.broadcast(qv), "term")
+    dot = (dv.join(srch.broadcast_if_small(qv), "term")
            .groupBy(id_col).agg(F.sum(F.col("dw") * F.col("qw")).alias("dot")))
     return (docs.select(id_col).join(dot, id_col, "left").join(dnorm, id_col, "left")
             .select(id_col, F.coalesce(
