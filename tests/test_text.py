@@ -61,3 +61,14 @@ def test_whitespace_tokens_and_strip(spark):
     r = df.select(tx.whitespace_tokens(F.col("t")).alias("a"), tx.strip_lower(F.col("t")).alias("s")).first()
     assert r.a == ["Bar", "chef's", "table"]
     assert r.s == "bar  chef's\ttable"
+
+
+def test_materialized_and_lambda_paths_agree(spark):
+    """The corpus path (projection-chain stems, written dictionary) and the
+    query path (lambda stems) produce the same weighted token table."""
+    from tessera.sources.tables import read_table
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    a = tx.analyze_tokens(docs, "doc_id", "text", materialize=True)
+    b = tx.analyze_tokens(docs, "doc_id", "text", materialize=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.count() > 1000
