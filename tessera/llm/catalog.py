@@ -3,7 +3,7 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from tessera.llm import arrow_tokens, packing
+from tessera.llm import arrow_tokens, near_dup, packing, quality
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -15,6 +15,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_distribution_divergence(spark, sf_dir):
+    return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_arrow_token_files(spark, sf_dir):
     out = scratch(spark, "token-files")
@@ -25,3 +30,8 @@ def op3_arrow_token_files(spark, sf_dir):
 @query
 def op4_min_bin_slack(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op9_chosen_path(spark, sf_dir):
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
