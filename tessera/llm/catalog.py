@@ -3,7 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from tessera.llm import arrow_tokens, near_dup, packing, quality
+from pyspark.sql import functions as F
+
+from tessera.llm import arrow_tokens, near_dup, packing, quality, secrets, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -32,6 +34,19 @@ def op4_min_bin_slack(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op6_ownership_frequency(spark, sf_dir):
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"), owner=F.col("source"),
+                                 repository=F.concat_ws("/", "source", "lang"))
+
+
 @query
 def op9_chosen_path(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
+
+
+@query
+def op10_transaction_assembly(spark, sf_dir):
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+    return warc.captures(spark, manifest, with_payload=False).select(
+        "page_id", "response.payload_bytes", "response.payload_digest", "record_type", "refers_to")
