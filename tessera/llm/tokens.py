@@ -24,8 +24,10 @@ def tokenizer_path(name: str) -> str:
 class PieceEncoder(dict):
     """piece -> ids as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, max_pieces: int = 700_000):
+    def __init__(self, path: str, max_pieces: int = 500_000):
         super().__init__()
+        self.earlier: dict[str, bytes] = {}  # the table before the last time it was full
+        self.plain, self.lower = None, False
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,21 +37,33 @@ class PieceEncoder(dict):
         spec = json.loads(self.tokenizer.to_str())
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.cut = self._before_space
+            self.cut, self.plain = self._before_space, re.compile(f" ?[{_LETTERS}]+")
         elif _drops_space(pre) and {n["type"] for n in norm.get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}:
             self.lower = any(n["type"] == "Lowercase" for n in norm["normalizers"])
-            self.cut = self._at_space
+            self.cut, self.plain = self._at_space, re.compile(f"[{_LETTERS}]+")
         else:
             self.cut = lambda text: [text]
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        ids = self.earlier.get(piece)
+        if ids is None:
+            ids = self._new(piece)
         if len(piece) <= 64:
             if len(self) >= self.max_pieces:
+                self.earlier = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
+    def _new(self, piece: str) -> bytes:
+        if self.plain and len(piece) > 1:
+            if piece[-1] in ".," and piece[-2].isalpha():  # a mark alone after a letter is a piece of its own
+                return self[piece[:-1]] + self[piece[-1]]
+            if self.plain.fullmatch(piece):  # one word: normalised here, and left to the library's model alone
+                word = "".join(map(_BYTE_CHARS.__getitem__, (piece.lower() if self.lower else piece).encode()))
+                return np.array([t.id for t in self.tokenizer.model.tokenize(word)], dtype=self.dtype).tobytes()
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
     def _at_space(self, text: str) -> list[str]:
         """For tokenizers that drop white space."""
         if self.lower and text.isascii():
@@ -67,6 +81,20 @@ class PieceEncoder(dict):
         return b"".join(map(self.__getitem__, self.cut(text))) if text else b""
 
 
+# Letters of Latin-1: one code point each in either case, and composed already.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
+def _byte_chars() -> list[str]:
+    """The character that byte-level tokenizers write for each byte: printable
+    Latin-1 characters for themselves, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in own)
+    table = {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
+    return [table[b] for b in range(256)]
+
+
+_BYTE_CHARS = _byte_chars()
 _SPACES = re.compile(r"\s[ \n]")
 _SURE_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r])")
 _ENCODERS: dict[str, PieceEncoder] = {}
