@@ -61,6 +61,15 @@ def global_index(df: DataFrame, keys: list[str], name: str, index_col: str = "_i
             .withColumn(index_col, F.col("_row") + F.col("_before")).drop("_part", "_row", "_before"))
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case, all else as it is.  ``lower`` does that, and fast,
+    for texts without other capitals (letters, title case, enclosed letters
+    and numerals)."""
+    other = text.rlike(r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^A-Z]]")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(other, F.translate(text, upper, upper.lower())).otherwise(F.lower(text))
+
+
 def prefix_sums(values: Column, block: int = 512) -> Column:
     """Exclusive prefix sums of an array of long, in two levels so that the
     cost stays near linear for very long arrays."""
