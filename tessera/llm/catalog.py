@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, near_dup, packing, quality, secrets, warc
+from tessera.llm import arrow_tokens, decontam, near_dup, packing, quality, secrets, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -22,6 +22,21 @@ def op1_distribution_divergence(spark, sf_dir):
     return quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+# The rules of the contract.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op2_path_template_tree(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    # a page is labelled as the document is whose number ends its path
+    number = F.regexp_extract("url", r"://[^/?#]*/(?:[^?#]*/)?([0-9]{1,18})[^0-9/?#]*/?(?:[?#]|$)", 1)
+    bad = read_table(spark, sf_dir, "labels").select(F.col("doc_id"), (1 - F.col("quality")).alias("bad"))
+    labels = (pages.withColumn("n", number).selectExpr("page_id", "try_cast(n AS bigint) AS doc_id")
+              .join(bad, "doc_id").select("page_id", "bad"))
+    return url_templates.url_verdicts(pages, labels, URL_RULES)
+
+
 @query
 def op3_arrow_token_files(spark, sf_dir):
     out = scratch(spark, "token-files")
