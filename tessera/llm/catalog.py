@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, near_dup, packing, quality, secrets, url_templates, warc
+from tessera.llm import arrow_tokens, decontam, near_dup, packing, quality, secrets, toxicity, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -49,6 +49,11 @@ def op4_min_bin_slack(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op5_compression_distance(spark, sf_dir):
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_ownership_frequency(spark, sf_dir):
     return secrets.secret_report(read_table(spark, sf_dir, "documents"), owner=F.col("source"),
