@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, near_dup, packing, quality, secrets, toxicity, url_templates, warc
+from tessera.llm import arrow_tokens, decontam, layout_html, near_dup, packing, quality, secrets, toxicity, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -65,6 +65,11 @@ def op7_prefix_filtered_join(spark, sf_dir):
     return decontam.contamination_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_layout_rendering(spark, sf_dir):
+    return layout_html.rendered_pages(read_table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_chosen_path(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
