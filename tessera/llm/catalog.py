@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, layout_html, near_dup, packing, quality, secrets, toxicity, url_templates, warc
+from tessera.llm import arrow_tokens, decontam, layout_html, near_dup, oracle, packing, quality, secrets, toxicity, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -80,3 +80,7 @@ def op10_transaction_assembly(spark, sf_dir):
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch(spark, "archives"))
     return warc.captures(spark, manifest, with_payload=False).select(
         "page_id", "response.payload_bytes", "response.payload_digest", "record_type", "refers_to")
+
+
+ORACLE |= {"op1_distribution_divergence": oracle.OP1, "op6_ownership_frequency": oracle.OP6, "op7_prefix_filtered_join": oracle.OP7,
+           "op9_chosen_path": oracle.OP9, "op10_transaction_assembly": oracle.OP10}
