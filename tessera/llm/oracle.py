@@ -107,7 +107,7 @@ def _distance(p: str, q: str) -> str:
     return f"sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z: ({term(a)} + {term(b)}) / 2)), 0))"
 
 
-def _op1(min_chars=200, min_tokens=50, min_docs=20, char_limit=0.14, word_limit=0.15, char_allowance=1.6, word_allowance=1.6) -> str:
+def _op1(min_chars=200, min_tokens=50, min_docs=20, char_limit=0.16, word_limit=0.15, char_allowance=1.6, word_allowance=1.6) -> str:
     lists = " ".join(f"WHEN {_sql(k)} THEN {_list(v)}" for k, v in quality.COMMON.items())
     langs = ", ".join(map(_sql, quality.COMMON))
     counts = ", ".join(f"length(c) - length(regexp_replace(c, {_sql(p + '+')}, '', 'g'))" for p in quality.CLASSES.values())

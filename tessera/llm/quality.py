@@ -178,7 +178,7 @@ def _judged_by(features: DataFrame, refs: DataFrame, min_chars, min_tokens, min_
 
 
 def judged(features: DataFrame, *, min_chars: int = 200, min_tokens: int = 50, min_docs: int = 20,
-           char_limit: float = 0.14, word_limit: float = 0.15, char_allowance: float = 1.6, word_allowance: float = 1.6) -> DataFrame:
+           char_limit: float = 0.16, word_limit: float = 0.15, char_allowance: float = 1.6, word_allowance: float = 1.6) -> DataFrame:
     """``features`` (stored) with base_failed, char_distance, word_distance, kept."""
     limits = (min_chars, min_tokens, min_docs, char_limit, word_limit, char_allowance, word_allowance)
     near = _judged_by(features, references(features, min_chars, min_tokens), *limits).where("kept").select("_q")
