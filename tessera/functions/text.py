@@ -29,6 +29,11 @@ from pyspark.sql import functions as F
 from tessera.functions import porter
 
 TOKEN_RE = "[\\p{L}\\p{N}]+(?:['’-][\\p{L}\\p{N}]+)*"
+# What Python's str.split() and str.strip() take as blank
+# (a regex class for Java and RE2).
+BLANK = ("[\\t\\n\\x{000B}\\f\\r \\x{001C}-\\x{001F}\\x{0085}\\x{00A0}\\x{1680}"
+         "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+STRIP_RE = f"^{BLANK}+|{BLANK}+$"
 DIGITS_RE = "^\\p{Nd}+$"
 POSSESSIVE_RE = "['’]s$"
 
@@ -181,16 +186,16 @@ def word_dictionary(words: DataFrame, stem: bool = True, do_fold: bool = True,
 
 def analyze_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True,
                    stem: bool = True, do_fold: bool = True, term_col: str = "term",
-                   materialize: bool = False, max_broadcast_words: int = 2_000_000) -> DataFrame:
+                   materialize: bool = False) -> DataFrame:
     """The weighted token table ``(id_col, term, n)`` of a text column;
     ``n`` is the number of occurrences of ``term`` in the document.
 
     Tokens are counted per document first (the per-document partial
     aggregation needs no shuffle when the input is partitioned by id).  All
     string work after tokenising (stem, fold, split) runs once per
-    *distinct* word: a word dictionary is built and joined back, broadcast
-    only when its size is checked to be at most ``max_broadcast_words``
-    (else a shuffle join, with AQE splitting hot words).  ``materialize``
+    *distinct* word: a word dictionary is built and joined back (broadcast
+    by Spark below its byte threshold, else a shuffle join with AQE splitting
+    hot words).  ``materialize``
     writes the per-document counts, the dictionary and the result to the
     shared folder, so the corpus is tokenised once and every consumer
     (document frequency, postings, norms) reads the same table.  Documents
@@ -201,22 +206,20 @@ def analyze_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True,
     if materialize:
         raw = _mat(raw, "raw-tokens")
     dic = word_dictionary(raw.select("w"), stem=stem, do_fold=do_fold, materialize=materialize)
-    small = (dic if materialize else raw.select("w").distinct()).limit(max_broadcast_words + 1).count() \
-        <= max_broadcast_words
-    j = raw.join(F.broadcast(dic) if small else dic, "w")
+    j = raw.join(dic, "w")
     t = j.select(id_col, F.explode("pieces").alias(term_col), "n")
     out = t.groupBy(id_col, term_col).agg(F.sum("n").cast("long").alias("n"))
     return _mat(out, "tokens") if materialize else out
 
 
 def whitespace_tokens(text: Column) -> Column:
-    """``str.split()``: blank-separated, case kept, no analysis."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\s ]+"), lambda t: t != "")
+    """``str.split()``: separated by any Unicode blank, case kept, no analysis."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{BLANK}+"), lambda t: t != "")
 
 
 def strip_lower(text: Column) -> Column:
     """Python-style ``strip().lower()`` (all Unicode blanks)."""
-    return F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "^[\\s ]+|[\\s ]+$", ""))
+    return F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), STRIP_RE, ""))
 
 
 # ----------------------------------------------------- DuckDB (oracle) SQL

@@ -18,10 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Python's str.strip() whitespace set, as a regex class (Java and RE2).
-WS = ("[\\t\\n\\x{000B}\\f\\r \\x{001C}-\\x{001F}\\x{0085}\\x{00A0}\\x{1680}"
-      "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
-STRIP_RE = f"^{WS}+|{WS}+$"
+from tessera.functions.text import STRIP_RE
+
 TAG_RE = "<[^>]+>"
 # HTML entities decoded by node_text, '&amp;' last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
@@ -99,7 +97,8 @@ def paragraphs(html: Column) -> Column:
     paragraph running to the next ``<p>`` or ``</p>``; document order,
     duplicates kept, each stripped."""
     article = F.regexp_extract(html, "(?s)<article>(.*?)</article>", 1)
-    pieces = F.slice(F.split(article, "<p>"), 2, 1 << 30)
+    pieces = F.split(article, "<p>")
+    pieces = F.slice(pieces, 2, F.size(pieces))
     return F.transform(pieces, lambda p: node_text(F.regexp_replace(p, "(?s)</p>.*$", "")))
 
 

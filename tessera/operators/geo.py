@@ -41,28 +41,34 @@ def region_markers(listing_geo: DataFrame, region: str | None, topk_names: DataF
                                    F.col("cuisineType")).alias("hover")))
 
 
-def polygon_centroid(vertices: DataFrame, key: str = "region", order_cols=("i",)) -> DataFrame:
-    """Area centroid of one simple polygon per key from its ring
-    ``(key, <order_cols>, lon, lat)``, by the shoelace sums.
+def polygon_centroid(vertices: DataFrame, key: str = "region", order_cols=("i",),
+                     part_col: str | None = None, ring_col: str | None = None) -> DataFrame:
+    """Area centroid of each key's polygons from their rings
+    ``(key, [part, ring,] <order_cols>, lon, lat)``, by the shoelace sums.
 
-    Edges come from :func:`with_previous` (distributed, no per-key task);
-    the closing edge pairs the first vertex with the last one.
+    Without part and ring a key is one ring.  Ring 0 of a part is its
+    outline and the others are holes; each ring's direction is normalised, so
+    holes are taken off whichever way they run.  Edges come from
+    :func:`with_previous` (distributed, no per-key task); the edge that closes
+    a ring comes from its first and last vertices, one row per ring.
     """
-    order_cols = list(order_cols)
-    v = vertices.select(key, *order_cols, F.col("lon").alias("x"), F.col("lat").alias("y"))
-    last = v.groupBy(key).agg(F.max_by(F.struct("x", "y"), F.struct(*order_cols)).alias("_last"))
-    p = with_previous(v, key, order_cols=order_cols, value_cols=("x", "y")).join(last, key)
-    px = F.coalesce(F.col("prev_x"), F.col("_last.x"))
-    py = F.coalesce(F.col("prev_y"), F.col("_last.y"))
-    cross = px * F.col("y") - F.col("x") * py
-    sums = p.groupBy(key).agg(
-        F.sum(cross).alias("a2"),
-        F.sum((px + F.col("x")) * cross).alias("cx6"),
-        F.sum((py + F.col("y")) * cross).alias("cy6"))
+    order_cols, ring_keys = list(order_cols), [key, *(c for c in (part_col, ring_col) if c)]
+    v = vertices.select(*ring_keys, *order_cols, F.col("lon").alias("x"), F.col("lat").alias("y"))
+    edges = with_previous(v, ring_keys, order_cols=order_cols, value_cols=("x", "y")).where(
+        F.col("prev_x").isNotNull()).select(*ring_keys, F.col("prev_x").alias("px"), F.col("prev_y").alias("py"), "x", "y")
+    place = F.struct(*order_cols)
+    ends = v.groupBy(*ring_keys).agg(F.max_by(F.struct("x", "y"), place).alias("l"), F.min_by(F.struct("x", "y"), place).alias("f"))
+    closing = ends.select(*ring_keys, F.col("l.x").alias("px"), F.col("l.y").alias("py"), F.col("f.x").alias("x"), F.col("f.y").alias("y"))
+    cross = F.col("px") * F.col("y") - F.col("x") * F.col("py")
+    rings = edges.unionByName(closing).groupBy(*ring_keys).agg(
+        F.sum(cross).alias("a2"), F.sum((F.col("px") + F.col("x")) * cross).alias("cx6"),
+        F.sum((F.col("py") + F.col("y")) * cross).alias("cy6"))
+    sign = F.signum("a2") * (F.when(F.col(ring_col) > 0, -1).otherwise(1) if ring_col else F.lit(1))
+    sums = rings.groupBy(key).agg(*[F.sum(sign * F.col(c)).alias(c) for c in ("a2", "cx6", "cy6")])
     return sums.select(key,
                        F.round(F.try_divide(F.col("cx6"), F.col("a2") * 3), 6).alias("lon"),
                        F.round(F.try_divide(F.col("cy6"), F.col("a2") * 3), 6).alias("lat"),
-                       F.round(F.abs(F.col("a2")) / 2, 6).alias("area"))
+                       F.round(F.col("a2") / 2, 6).alias("area"))
 
 
 STAR_ORDER = ("a", "d", "lon", "lat")

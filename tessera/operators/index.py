@@ -80,9 +80,9 @@ def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFr
 
 @dataclass
 class Index:
-    """Handles to the lazily-built index tables of one text column."""
+    """Handles to the index tables of one text column, built or loaded."""
 
-    docs: DataFrame
+    docs: DataFrame | None  # None for a loaded index
     tokens: DataFrame
     tf: DataFrame
     doc_freq: DataFrame
@@ -143,3 +143,33 @@ def doc_norms(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def doc_vectors(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Sparse document vectors, zero weights removed (long form)."""
     return postings.where(F.col("w") != 0).select(id_col, "term", "w")
+
+
+def save_index(index: Index, path: str) -> None:
+    """Everything that a search needs, as Parquet under ``path``:
+    postings (term, id, tf, w, wn) ranged and sorted by (term, id), so a term
+    is found by row-group statistics and a frequent one spans many files; idf,
+    vocabulary (dense ids), norms, and one row of N and the options."""
+    i = index.id_col
+    (index.postings.repartitionByRange("term", i).sortWithinPartitions("term", i).write.mode("overwrite").parquet(f"{path}/postings"))
+    (index.idf.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/idf"))
+    dense_ids(index.doc_freq.select("term"), "term", "term_id").write.mode("overwrite").parquet(f"{path}/vocabulary")
+    index.norms.write.mode("overwrite").parquet(f"{path}/norms")
+    spark = index.postings.sparkSession
+    (spark.range(1).select(index.n.cast("double").alias("n"), *[F.lit(getattr(index, o)).alias(o) for o in ("stop", "stem", "fold", "id_col")])
+     .write.mode("overwrite").parquet(f"{path}/options"))
+
+
+def load_index(spark, path: str) -> Index:
+    """A saved index; nothing of the corpus is read or analysed again."""
+    options = spark.read.parquet(f"{path}/options").first()
+    postings, idf = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf"))
+    tf = postings.select(options["id_col"], "term", "tf")
+    return Index(docs=None, tokens=tf.withColumnRenamed("tf", "n"), tf=tf, doc_freq=idf.select("term", "df"), idf=idf,
+                 postings=postings, norms=spark.read.parquet(f"{path}/norms"), n=F.lit(options["n"]),
+                 stop=options["stop"], stem=options["stem"], fold=options["fold"], id_col=options["id_col"])
+
+
+def save_vocabulary(spark, path: str, target: str) -> None:
+    """The saved vocabulary as CSV (term, term_id) with a header."""
+    spark.read.parquet(f"{path}/vocabulary").write.mode("overwrite").option("header", True).option("escape", '"').csv(target)

@@ -4,22 +4,20 @@ Points are ``(case_id, x, y)``.  A case may hold a huge share of all points,
 so nothing is done per case in one task:
 
 1. :func:`with_previous` sorts all points globally by (case, x, y) (range
-   partitioned, distributed), checkpoints the sorted table, and gives each
-   point its predecessor inside its case with one ``mapInPandas`` pass per
-   partition (no shuffle); the first row of a partition takes its
-   predecessor from the last row of the previous non-empty partition,
-   looked up in a table of one row per partition.
+   partitioned, distributed), checkpoints the sorted table, and takes each
+   point's predecessor with ``lag`` over (partition, case): a hot case is as
+   many groups as it has partitions.  The first row of a partition takes its
+   predecessor from the last row of the previous one, looked up in a table of
+   one row per partition.
 2. Feasibility is ``min(least(dx, dy)) >= 0`` per case: a plain
    aggregation with a map-side partial step.
-3. The path of a feasible case is the concatenation of its segments in
-   point order.  Only distinct points of feasible cases are collected, and
-   on a monotone path distinct points have distinct ``x + y``, so the list
-   is never longer than the path string that is the output itself.
+3. :func:`path_moves` is the path in long form (case, position, move, count);
+   :func:`monotone_path` joins the moves of a case into its string, which is
+   as long as the case.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,83 +26,70 @@ from tessera.session import checkpoint_dir
 ORIGIN = (0, 0)
 
 
-def _prev_in_partition(key: str, order_cols: list[str], value_cols: list[str]):
-    """Per-partition predecessor by key (rows arrive sorted)."""
-    prev_cols = [f"prev_{c}" for c in value_cols]
-
-    def fn(batches):
-        carry = None  # last row of the previous batch: (key, values...)
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{c: pd.Series(dtype="float64") for c in prev_cols},
-                                 _first=pd.Series(dtype="bool"))
-                continue
-            out = pdf.copy()
-            same = out[key].eq(out[key].shift(1))
-            for c, pc in zip(value_cols, prev_cols):
-                out[pc] = out[c].shift(1).where(same)
-            first = ~same
-            if carry is not None:
-                row0 = out.index[0]
-                if out.at[row0, key] == carry[0]:
-                    for i, pc in enumerate(prev_cols):
-                        out.at[row0, pc] = carry[1 + i]
-                    first.iloc[0] = False
-            out["_first"] = first
-            last = out.iloc[-1]
-            carry = (last[key], *[last[c] for c in value_cols])
-            yield out
-    return fn, prev_cols
-
-
-def with_previous(points: DataFrame, key: str = "case_id", order_cols=("x", "y"),
+def with_previous(points: DataFrame, key: str | list[str] = "case_id", order_cols=("x", "y"),
                   value_cols=("x", "y")) -> DataFrame:
-    """Each row with ``prev_<col>`` of its predecessor in (key, order) order;
-    NULL for the first row of a key."""
-    order_cols, value_cols = list(order_cols), list(value_cols)
+    """Each row with ``prev_<col>`` of its predecessor in (key, order) order,
+    in the column's own type; NULL for the first row of a key."""
+    keys, order_cols, value_cols = [key] if isinstance(key, str) else list(key), list(order_cols), list(value_cols)
     checkpoint_dir(points.sparkSession)
-    cols = list(dict.fromkeys([key, *order_cols, *value_cols]))
-    ordered = (points.select(*cols).orderBy(key, *order_cols)
+    cols = list(dict.fromkeys([*keys, *order_cols, *value_cols]))
+    ordered = (points.select(*cols).orderBy(*keys, *order_cols)
                .withColumn("_pid", F.spark_partition_id())
                .checkpoint(eager=True))
-    fn, prev_cols = _prev_in_partition(key, order_cols, value_cols)
-    fields = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields]
-                       + [f"{pc} double" for pc in prev_cols] + ["_first boolean"])
-    local = ordered.mapInPandas(fn, fields)
     # last row of every non-empty partition, and the one before it
-    last = ordered.groupBy("_pid").agg(F.max_by(F.struct(key, *value_cols),
-                                                F.struct(key, *order_cols)).alias("_last"))
-    w = Window.orderBy("_pid")
-    boundary = last.select("_pid", F.lag("_last").over(w).alias("_before"))
-    j = local.join(F.broadcast(boundary), "_pid", "left")
-    fix = F.col("_first") & (F.col("_before")[key] == F.col(key))
-    out = j
-    for c, pc in zip(value_cols, prev_cols):
-        out = out.withColumn(pc, F.when(fix, F.col("_before")[c].cast("double")).otherwise(F.col(pc)))
+    last = ordered.groupBy("_pid").agg(F.max_by(F.struct(*dict.fromkeys([*keys, *value_cols])),
+                                                F.struct(*keys, *order_cols)).alias("_last"))
+    boundary = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_before"))
+    w = Window.partitionBy("_pid", *keys).orderBy(*order_cols)
+    out = ordered.withColumn("_first", F.row_number().over(w) == 1)
+    for c in value_cols:
+        out = out.withColumn(f"prev_{c}", F.lag(c).over(w))
+    # one row per partition
+    out = out.join(F.broadcast(boundary), "_pid", "left")
+    fix = F.col("_first")
+    for k in keys:
+        fix = fix & F.col("_before")[k].eqNullSafe(F.col(k))
+    for c in value_cols:
+        out = out.withColumn(f"prev_{c}", F.when(fix, F.col("_before")[c]).otherwise(F.col(f"prev_{c}")))
     return out.drop("_pid", "_first", "_before")
 
 
 def steps(points: DataFrame, key: str = "case_id") -> DataFrame:
     """dx, dy from the predecessor (the origin for the first point)."""
     p = with_previous(points, key)
-    return (p.withColumn("dx", (F.col("x") - F.coalesce("prev_x", F.lit(float(ORIGIN[0])))).cast("long"))
-            .withColumn("dy", (F.col("y") - F.coalesce("prev_y", F.lit(float(ORIGIN[1])))).cast("long")))
+    return (p.withColumn("dx", F.col("x") - F.coalesce("prev_x", F.lit(ORIGIN[0]).cast("long")))
+            .withColumn("dy", F.col("y") - F.coalesce("prev_y", F.lit(ORIGIN[1]).cast("long"))))
 
 
-def monotone_path(points: DataFrame, key: str = "case_id") -> DataFrame:
-    """K1: per case ``possible`` (YES/NO) and the lexicographically
-    smallest right/up path through all points (NULL when impossible)."""
-    distinct = points.select(key, "x", "y").distinct()
-    st = steps(distinct, key)
-    feas = st.groupBy(key).agg((F.min(F.least("dx", "dy")) >= 0).alias("ok"))
-    good = st.join(feas.where("ok").select(key), key, "left_semi")
+def _feasible(points: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    st = steps(points.select(key, "x", "y").distinct(), key)
+    return st, st.groupBy(key).agg((F.min(F.least("dx", "dy")) >= 0).alias("ok"))
+
+
+def path_moves(points: DataFrame, key: str = "case_id") -> DataFrame:
+    """K1 in long form: (case, x, y, rights, ups) of each point of a feasible
+    case, in the order of (x, y); no case is gathered anywhere."""
+    st, feasible = _feasible(points, key)
+    return st.join(feasible.where("ok").select(key), key, "left_semi").select(
+        key, "x", "y", F.col("dx").alias("rights"), F.col("dy").alias("ups"))
+
+
+def monotone_path(points: DataFrame, key: str = "case_id", cases: DataFrame | None = None) -> DataFrame:
+    """K1: per case ``possible`` (YES/NO) and the lexicographically smallest
+    right/up path through all points (NULL when impossible).  With a table of
+    ``cases`` a case without points gives YES and an empty path."""
+    st, feasible = _feasible(points, key)
+    good = st.join(feasible.where("ok").select(key), key, "left_semi")
     seg = F.concat(F.repeat(F.lit("R"), F.col("dx").cast("int")), F.repeat(F.lit("U"), F.col("dy").cast("int")))
     paths = (good.groupBy(key)
              .agg(F.array_sort(F.collect_list(F.struct("x", "y", seg.alias("s")))).alias("segs"))
              .select(key, F.concat_ws("", F.transform("segs", lambda z: z["s"])).alias("path")))
-    return (feas.join(paths, key, "left")
-            .select(key, F.when(F.col("ok"), F.lit("YES")).otherwise(F.lit("NO")).alias("possible"),
-                    F.when(F.col("ok"), F.col("path")).alias("path")))
+    out = feasible.join(paths, key, "left")
+    if cases is not None:
+        out = cases.select(key).distinct().join(out, key, "left").withColumn("ok", F.coalesce("ok", F.lit(True))).withColumn(
+            "path", F.coalesce("path", F.lit("")))
+    return out.select(key, F.when(F.col("ok"), F.lit("YES")).otherwise(F.lit("NO")).alias("possible"),
+                      F.when(F.col("ok"), F.col("path")).alias("path"))
 
 
 def tour_length(points: DataFrame, key: str = "case_id") -> DataFrame:

@@ -194,12 +194,13 @@ def right_join(left: DataFrame, right: DataFrame, key: str, suffix_drop: str = "
 def rank_key(df: DataFrame, order_cols: list[str], name: str = "rank_key") -> DataFrame:
     """1-based position after sorting (distributed, no global window)."""
     from tessera.operators.index import dense_ids
-    keyed = df.withColumn("_ord", F.struct(*[F.col(c) for c in order_cols]))
+    nulls_last = [f(c) for c in order_cols for f in (lambda c: F.col(c).isNull().alias(f"{c}_null"), F.col)]
+    keyed = df.withColumn("_ord", F.struct(*nulls_last))
     return dense_ids(keyed, "_ord", name).withColumn(name, F.col(name) + 1).drop("_ord")
 
 
 def hover_text(name: Column, city: Column, address: Column, cuisine: Column) -> Column:
-    """P5: marker hover HTML (NULL fields print as empty)."""
+    """P5: marker hover HTML (NULL fields print as empty); its labels are fixed values."""
     return F.concat(
         F.lit("<b>Name:</b> "), F.coalesce(name, F.lit("")), F.lit("<br>"),
         F.lit("<b>City:</b> "), F.coalesce(city, F.lit("")), F.lit("<br>"),
@@ -208,11 +209,16 @@ def hover_text(name: Column, city: Column, address: Column, cuisine: Column) ->
 
 
 def list_literal(col: Column) -> Column:
-    """Render an array as a Python-style list literal (the TSV form)."""
-    return F.concat(F.lit("["), F.concat_ws(", ", F.transform(
-        col, lambda x: F.concat(F.lit("'"), x, F.lit("'")))), F.lit("]"))
+    """Render an array as a list literal (the TSV form), quoted and escaped as
+    Python does: single quotes, unless the value holds one and no double quote."""
+    def item(x):
+        plain = F.regexp_replace(x, r"\\", r"\\\\")
+        double = F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"'))
+        return F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), F.regexp_replace(plain, "'", r"\\'"), F.lit("'")))
+    return F.concat(F.lit("["), F.concat_ws(", ", F.transform(col, item)), F.lit("]"))
 
 
 def parse_list_literal(col: Column) -> Column:
     """Parse a list literal (single or double quotes) without eval."""
-    return F.from_json(col, "array<string>", {"allowSingleQuotes": "true"})
+    return F.from_json(col, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})

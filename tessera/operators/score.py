@@ -58,7 +58,7 @@ def description_scores(listing: DataFrame, index: ix.Index, matches: DataFrame,
           .join(index.idf.select("term", "idf"), "term")
           .select(id_col, "term", (F.col("dtf") / F.col("dlen") * F.col("idf")).alias("dw")))
     dnorm = dv.groupBy(id_col).agg(F.sqrt(F.sum(F.col("dw") * F.col("dw"))).alias("dnorm"))
-    dot = (dv.join(srch.broadcast_if_small(qv), "term")
+    dot = (dv.join(qv, "term")
            .groupBy(id_col).agg(F.sum(F.col("dw") * F.col("qw")).alias("dot")))
     return (docs.select(id_col).join(dot, id_col, "left").join(dnorm, id_col, "left")
             .select(id_col, F.coalesce(
@@ -94,9 +94,9 @@ def custom_score(listing: DataFrame, index: ix.Index, q: CustomQuery, k: int = 5
               .withColumn("price_score", F.coalesce(price, F.lit(0.0))))
     total = (F.col("desc_score") * wts["description"] + F.col("cuisine_score") * wts["cuisine"]
              + F.col("facility_score") * wts["facilities"] + F.col("price_score") * wts["price"])
-    scored = scored.withColumn("customScore", F.round(total, 6))
+    scored = scored.withColumn("customScore", total)
     n = q.result_size(k)
-    return scored.orderBy(F.desc("customScore"), F.asc(id_col)).limit(n)
+    return scored.orderBy(srch.by_score("customScore"), F.asc(id_col)).limit(n)
 
 
 # ------------------------------------------------------ multi-field search
@@ -105,7 +105,7 @@ FIELDS = ("restaurantName", "city", "cuisineType")
 
 
 def field_weights(active: list[str]) -> dict[str, float]:
-    """Q9 weight scheme by the set of typed fields."""
+    """Q9 weight scheme by the set of typed fields (fixed values)."""
     if len(active) == 1:
         return {active[0]: 1.0}
     if len(active) == 2 and "restaurantName" in active:
@@ -146,7 +146,7 @@ def weighted_similarity(listing: DataFrame, texts: dict[str, str], id_col: str =
         allp = allp.unionByName(p)
     summed = allp.groupBy(id_col).agg((F.sum("ws") / F.lit(float(len(active)))).alias("s"))
     return (base.join(summed, id_col, "left")
-            .select(id_col, F.round(F.coalesce("s", F.lit(0.0)), 6).alias("similarity_score")))
+            .select(id_col, F.coalesce("s", F.lit(0.0)).alias("similarity_score")))
 
 
 @dataclass
@@ -163,8 +163,8 @@ class FacetQuery:
 def faceted_search(listing: DataFrame, q: FacetQuery, id_col: str = "restaurantId") -> DataFrame:
     """Q10: similarity, score > 0 if any text typed, four filters, sorted.
 
-    Output: restaurantName, address, cuisineType, priceRange, website and
-    the score (kept, unlike the reference), ordered by score then id.
+    Output: rank, restaurantName, address, cuisineType, priceRange, website
+    and the score (kept, unlike the reference), best score first, then id.
     """
     texts = {"restaurantName": q.restaurant_name, "city": q.city, "cuisineType": q.cuisine_type}
     from tessera.sources.files import materialize
@@ -178,5 +178,6 @@ def faceted_search(listing: DataFrame, q: FacetQuery, id_col: str = "restaurantI
     res = rel.filter_in(res, "region", q.regions)
     res = rel.filter_contains_all(res, "creditCards", q.credit_cards)
     res = rel.filter_contains_all(res, "facilitiesServices", q.facilities)
-    return res.select(id_col, "restaurantName", "address", "cuisineType", "priceRange", "website",
-                      "similarity_score")
+    res = res.select(id_col, "restaurantName", "address", "cuisineType", "priceRange", "website",
+                     "similarity_score")
+    return srch.ranked(res, id_col, "similarity_score")

@@ -3,8 +3,8 @@
 Queries come as a table ``(qid, text)`` so one plan answers one query or
 thousands.  The query side is analysed with the index's own options.
 
-Plan shape of ranked search: query terms (small, bounded by the query
-table) join postings on ``term``; candidates aggregate on (qid, doc_id);
+Plan shape of ranked search: query terms join postings on ``term`` (Spark
+broadcasts them below its byte threshold, else AQE splits frequent terms); candidates aggregate on (qid, doc_id);
 the per-query top-k is ``row_number() <= k`` which Spark plans as a
 partial ``WindowGroupLimit`` before the shuffle, so no task ever sorts all
 candidates of one query.  Document norms are folded into the postings
@@ -13,32 +13,16 @@ candidates of one query.  Document norms are folded into the postings
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.index import Index
 
-SCORE_DIGITS = 6
-
-
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Size check for a broadcast: at most ``max_rows`` rows (one small job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       probe: DataFrame | None = None) -> DataFrame:
-    """Broadcast a side only after checking its size.
-
-    ``probe`` is a cheaper table that bounds ``df`` from above (e.g. the
-    analysed query terms before the IDF join).  Above the bound the plain
-    DataFrame is returned and Spark picks a shuffle join (AQE may still
-    broadcast it from run-time statistics).
-    """
-    return F.broadcast(df) if is_small(probe if probe is not None else df, max_rows) else df
+# Scores are compared to this many digits: sums of the same products in another
+# order differ in the 16th, and such scores are ties (broken by id).
+TIE_DIGITS = 12
 
 
 def query_table(spark, texts: list[str] | str, qid: str = "qid", col: str = "text") -> DataFrame:
@@ -48,6 +32,17 @@ def query_table(spark, texts: list[str] | str, qid: str = "qid", col: str = "tex
     return spark.createDataFrame(list(enumerate(texts)), f"{qid} long, {col} string")
 
 
+def narrowed(index: Index, texts: list[str] | str) -> Index:
+    """The index restricted to the terms of literal query texts.  Their few
+    terms become an ``IN`` filter that reaches the scan of a saved index; any
+    search over the result is the same as over the whole index."""
+    spark = index.postings.sparkSession
+    rows = index.analyze(query_table(spark, texts), "qid", "text").select("term").distinct().collect()  # the caller's own words
+    only = F.col("term").isin([r["term"] for r in rows]) if rows else F.lit(False)
+    return replace(index, postings=index.postings.where(only), tf=index.tf.where(only), idf=index.idf.where(only),
+                   doc_freq=index.doc_freq.where(only))
+
+
 def analyzed_queries(index: Index, queries: DataFrame, qid: str = "qid",
                      text_col: str = "text") -> DataFrame:
     """The query table analysed once, like the index: (qid, term, n).
@@ -87,8 +82,8 @@ def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
 def any_term_search(index: Index, queries: DataFrame, qid: str = "qid",
                     text_col: str = "text") -> DataFrame:
     """Documents holding any query term: (qid, doc_id)."""
-    qt = broadcast_if_small(query_terms_all(index, queries, qid, text_col))
-    return (index.postings.select("term", index.id_col).join(qt, "term")
+    qt = query_terms_all(index, queries, qid, text_col)
+    return (index.tf.select("term", index.id_col).join(qt, "term")
             .select(qid, index.id_col).distinct())
 
 
@@ -101,10 +96,9 @@ def conjunctive_search(index: Index, queries: DataFrame, qid: str = "qid",
     """
     qt = query_terms_all(index, queries, qid, text_col)
     need = qt.groupBy(qid).agg(F.count(F.lit(1)).alias("n_terms"))
-    qt_b = broadcast_if_small(qt)
-    hits = (index.postings.select("term", index.id_col).join(qt_b, "term")
+    hits = (index.tf.select("term", index.id_col).join(qt, "term")
             .groupBy(qid, index.id_col).agg(F.count(F.lit(1)).alias("n_hit")))
-    return (hits.join(broadcast_if_small(need, probe=qt), qid)
+    return (hits.join(need, qid)
             .where(F.col("n_hit") == F.col("n_terms"))
             .select(qid, index.id_col))
 
@@ -113,7 +107,7 @@ def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",
                text_col: str = "text") -> DataFrame:
     """Un-normalised dot product of query and document vectors."""
     toks = analyzed_queries(index, queries, qid, text_col)
-    qv = broadcast_if_small(query_vector(index, toks, qid, text_col), probe=toks)
+    qv = query_vector(index, toks, qid, text_col)
     return (index.postings.join(qv, "term")
             .groupBy(qid, index.id_col)
             .agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
@@ -124,22 +118,34 @@ def cosine_scores(index: Index, queries: DataFrame, qid: str = "qid",
     """Q7: cosine(query, doc) for every candidate (doc sharing a term).
 
     Candidates whose cosine is undefined (zero document or query norm) are
-    dropped instead of carrying NaN.  Scores are rounded to 6 digits.
+    dropped instead of carrying NaN.  Scores are not rounded.
     """
     toks = analyzed_queries(index, queries, qid, text_col)
-    qv = broadcast_if_small(query_vector(index, toks, qid, text_col).select(qid, "term", "qwn"),
-                            probe=toks)
+    qv = query_vector(index, toks, qid, text_col).select(qid, "term", "qwn")
     return (index.postings.select("term", index.id_col, "wn").join(qv, "term")
             .groupBy(qid, index.id_col)
             .agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
-            .where(F.col("score").isNotNull())
-            .withColumn("score", F.round("score", SCORE_DIGITS)))
+            .where(F.col("score").isNotNull()))
+
+
+def by_score(score_col: str = "score"):
+    """Sort key: highest score first, equal to TIE_DIGITS digits."""
+    return F.desc(F.round(score_col, TIE_DIGITS))
+
+
+def ranked(scores: DataFrame, id_col: str, score_col: str = "score") -> DataFrame:
+    """All rows, best first, with their ``rank`` (1-based) in that order;
+    the numbering is distributed (no global window)."""
+    from tessera.operators.index import dense_ids
+    keyed = scores.withColumn("_ord", F.struct((-F.round(score_col, TIE_DIGITS)).alias("s"), F.col(id_col).alias("i")))
+    return (dense_ids(keyed, "_ord", "rank").withColumn("rank", F.col("rank") + 1)
+            .drop("_ord").orderBy("rank"))
 
 
 def top_k(scores: DataFrame, k: int, qid: str = "qid", id_col: str = "doc_id",
           score_col: str = "score") -> DataFrame:
     """Per-query top-k, ties by ascending id; adds ``rank`` (1-based)."""
-    w = Window.partitionBy(qid).orderBy(F.desc(score_col), F.asc(id_col))
+    w = Window.partitionBy(qid).orderBy(by_score(score_col), F.asc(id_col))
     return (scores.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .withColumn("rank", F.col("rank").cast("long")))

@@ -170,24 +170,25 @@ _DOC_COLS = "d.doc_id, d.lang, d.source, d.n_chars"
 
 
 @register("ranked_search", o.with_(DOC_IDX + LIT_Q + o.cosine_ctes("sc", "dx", "lq", "qid"),
-          f"SELECT t.doc_id, t.rank, t.score, d.lang, d.source FROM ({o.top_k_sql('sc', K, 'qid')}) t "
+          f"SELECT t.doc_id, t.rank, round(t.score, 6) AS score, d.lang, d.source FROM ({o.top_k_sql('sc', K, 'qid')}) t "
           f"JOIN documents d USING (doc_id)"))
 def ranked_search(spark, d):
     """Q6: cosine top-k of one query over all documents, rows fetched by id."""
     idx = _doc_index(spark, d)
     res = srch.ranked_search(idx, srch.query_table(spark, SEARCH_TEXT), k=K)
     docs = _docs(spark, d).select("doc_id", "lang", "source")
-    return res.join(docs, "doc_id").select("doc_id", "rank", "score", "lang", "source")
+    return (docs.join(res, "doc_id").select("doc_id", "rank", F.round("score", 6).alias("score"), "lang", "source")
+            .orderBy("rank"))
 
 
 @register("ranked_search_batch", o.with_(DOC_IDX + BENCH_Q + o.cosine_ctes("sc", "dx", "bq", "item_id"),
-          f"SELECT item_id, doc_id, rank, score FROM ({o.top_k_sql('sc', K, 'item_id')})"))
+          f"SELECT item_id, doc_id, rank, round(score, 6) AS score FROM ({o.top_k_sql('sc', K, 'item_id')})"))
 def ranked_search_batch(spark, d):
     """Every benchmark passage as a query, top-k documents each."""
     idx = _doc_index(spark, d)
     queries = read_table(spark, d, "benchmark").select("item_id", "text")
     return srch.ranked_search(idx, queries, k=K, qid="item_id").select(
-        "item_id", "doc_id", "rank", "score")
+        "item_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 _CONJ = ("conj AS (SELECT p.doc_id FROM dx_tf p JOIN lq_all a USING (term) GROUP BY p.doc_id "
@@ -252,12 +253,13 @@ _PART_Q = o.query_ctes("fq", "px", o.literal_query_sql(FIELD_TEXT))
 
 
 @register("field_similarity", o.with_(_PART_IDX + _PART_Q + o.cosine_ctes("sc", "px", "fq", "qid", "p_partkey"),
-          "SELECT p_partkey, score FROM sc"))
+          "SELECT p_partkey, round(score, 6) AS score, row_number() OVER (ORDER BY round(score, 12) DESC, p_partkey) AS rank FROM sc"))
 def field_similarity(spark, d):
-    """Q7: index one column on the fly; every match with its cosine."""
+    """Q7: index one column on the fly; every match with its cosine, best first."""
     part = read_table(spark, d, "part")
     idx = ix.build_index(part, "p_partkey", "p_name")
-    return srch.cosine_scores(idx, srch.query_table(spark, FIELD_TEXT)).select("p_partkey", "score")
+    scores = srch.cosine_scores(idx, srch.query_table(spark, FIELD_TEXT))
+    return srch.ranked(scores, "p_partkey").select("p_partkey", F.round("score", 6).alias("score"), "rank")
 
 
 _PAIR = [f"pa AS (SELECT doc_id FROM dx_tf WHERE term = {o.q(PAIR_TERMS[0])})",

@@ -135,20 +135,18 @@ def next_page(spark, d):
 # ------------------------------------------- rendered listing markup
 
 @register("extract_jsonld", o.with_(LP + GEO,
-          "SELECT l.restaurantId, CASE WHEN l.priceRange <> '€' THEN g.restaurantName END AS name, "
-          "CASE WHEN l.priceRange <> '€' THEN g.region END AS region, "
-          "CASE WHEN l.priceRange <> '€' THEN g.latitude END AS latitude, "
-          "CASE WHEN l.priceRange <> '€' THEN g.longitude END AS longitude "
-          "FROM listing_parts l LEFT JOIN geo g USING (restaurantId)"))
+          "SELECT restaurantId, g.restaurantName AS name, g.region, g.latitude, g.longitude "
+          "FROM (SELECT restaurantId FROM listing_parts UNION ALL SELECT -s_suppkey FROM supplier) l LEFT JOIN geo g USING (restaurantId)"))
 def extract_jsonld(spark, d):
-    """JSON-LD rendered from geo rows (none for '€' rows), parsed back;
-    a page without the block keeps a NULL record."""
-    lp = rel.listing_parts(spark, d).select("restaurantId", "priceRange")
+    """JSON-LD rendered from geo rows, parsed back; pages without the
+    block (here those of suppliers, with negative ids) keep a NULL record."""
+    lp = rel.listing_parts(spark, d).select("restaurantId")
+    lp = lp.unionByName(read_table(spark, d, "supplier").select((-F.col("s_suppkey")).cast(lp.schema[0].dataType).alias("restaurantId")))
     geo = _geo_spark(spark, d)
     doc = F.to_json(F.struct(F.col("restaurantName").alias("name"),
                              F.struct(F.col("region").alias("addressRegion")).alias("address"),
                              "latitude", "longitude"))
-    script = F.when(F.col("priceRange") != "€", F.concat(
+    script = F.when(F.col("latitude").isNotNull(), F.concat(
         F.lit('<script type="application/ld+json">'), doc, F.lit("</script>"))).otherwise(F.lit(""))
     pages = lp.join(geo, "restaurantId", "left").select(
         "restaurantId", F.concat(F.lit("<html><head>"), script, F.lit("</head><body></body></html>")).alias("html"))

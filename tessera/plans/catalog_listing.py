@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import text as tx
 from tessera.operators import index as ix
 from tessera.operators import relational as rel
 from tessera.operators import score as sc
@@ -20,7 +21,7 @@ CUSTOM = sc.CustomQuery(description=SEARCH_TEXT, cuisineType="src3",
                         priceRange="€€€", num_results=10)
 SIM_TEXTS = {"restaurantName": "Red bolt", "city": " Asia ", "cuisineType": ""}
 FACETS = sc.FacetQuery(restaurant_name="small", city="europe", cuisine_type="promo",
-                       price_range=("€€", "€€€€"), regions=[],
+                       price_range=("€€", "€€€€"), regions=[f"NATION_{i}" for i in range(0, 25, 2)],
                        credit_cards=["BUILDING"], facilities=["1-URGENT"])
 PRICE_RANGE = ("€€", "€€€")
 REGIONS = ["NATION_1", "NATION_7", "NATION_12"]
@@ -73,6 +74,21 @@ def _geo_spark(spark, d) -> DataFrame:
         .alias("longitude"))
 
 
+def _geo_all(spark, d) -> DataFrame:
+    """The geo table of parts and suppliers; suppliers (ids from
+    SUPPLIER_IDS on) have no listing, so a right join leaves them alone."""
+    geo = _geo_spark(spark, d)
+    sup = read_table(spark, d, "supplier").select(
+        (F.col("s_suppkey") + SUPPLIER_IDS).cast(geo.schema["restaurantId"].dataType).alias("restaurantId"),
+        F.col("s_name").alias("restaurantName"), F.lit(None).cast("string").alias("region"),
+        F.round(F.lit(36.0) + F.col("s_nationkey") * 0.35, 6).alias("latitude"),
+        F.round(F.lit(7.0) + F.col("s_nationkey") * 0.2, 6).alias("longitude"))
+    return geo.unionByName(sup)
+
+
+SUPPLIER_IDS = 1_000_000_000_000
+
+
 def _region_case(col: str) -> str:
     whens = " ".join(f"WHEN {o.q(a)} THEN {o.q(b)}" for a, b in rel.REGION_NAMES)
     return f"CASE {col} {whens} ELSE {col} END"
@@ -87,6 +103,12 @@ GEO = [
 ]
 
 
+GEO_ALL = [
+    f"geo_all AS (SELECT * FROM geo UNION ALL SELECT s_suppkey + {SUPPLIER_IDS}, s_name, NULL, "
+    "round((36.0 + s_nationkey * 0.35)::DOUBLE, 6), round((7.0 + s_nationkey * 0.2)::DOUBLE, 6) FROM supplier)",
+]
+
+
 def _arrays_as_text(df: DataFrame, cols=("facilitiesServices", "creditCards")) -> DataFrame:
     for c in cols:
         if c in df.columns:
@@ -174,22 +196,22 @@ def translate_region(spark, d):
 
 _RJ_SQL = ("SELECT g.restaurantId, l.city, l.address, l.priceRange, l.cuisineType, l.website, "
            "l.restaurantName, g.region, g.latitude, g.longitude FROM "
-           "(SELECT * FROM listing_parts WHERE priceRange <> '€') l RIGHT JOIN geo g USING (restaurantId)")
+           "listing_parts l RIGHT JOIN geo_all g USING (restaurantId)")
 
 
 def _right_join(spark, d):
-    lp = rel.listing_parts(spark, d).where(F.col("priceRange") != "€").select(
+    lp = rel.listing_parts(spark, d).select(
         "restaurantId", "city", "address", "priceRange", "cuisineType", "website", "restaurantName")
-    return rel.right_join(lp, _geo_spark(spark, d), "restaurantId")
+    return rel.right_join(lp, _geo_all(spark, d), "restaurantId")
 
 
-@register("right_join_geo", o.with_(LP + GEO, _RJ_SQL))
+@register("right_join_geo", o.with_(LP + GEO + GEO_ALL, _RJ_SQL))
 def right_join_geo(spark, d):
-    """Right join of the listing (bands above €) with all geo rows."""
+    """Right join of the listing with all geo rows (some without a listing)."""
     return _right_join(spark, d)
 
 
-@register("fill_empty", o.with_(LP + GEO,
+@register("fill_empty", o.with_(LP + GEO + GEO_ALL,
           "SELECT restaurantId, coalesce(city, '') AS city, coalesce(address, '') AS address, "
           "coalesce(priceRange, '') AS priceRange, coalesce(cuisineType, '') AS cuisineType, "
           "coalesce(website, '') AS website, coalesce(restaurantName, '') AS restaurantName, "
@@ -229,7 +251,7 @@ def semi_join_topk(spark, d):
     names = top.join(part.select("p_partkey", "p_name"), "p_partkey").select(
         F.col("p_name").alias("restaurantName"))
     lp = rel.listing_parts(spark, d)
-    return lp.join(srch.broadcast_if_small(names), "restaurantName", "left_semi").select(
+    return lp.join(names, "restaurantName", "left_semi").select(
         "restaurantId", "restaurantName")
 
 
@@ -279,7 +301,7 @@ _DESC = [
     "cqlen AS (SELECT count(*) AS n FROM cq_tok)",
     "cqv AS (SELECT term, count(*) / (SELECT n FROM cqlen) * i.idf AS qw FROM cq_tok "
     "JOIN dx_idf i USING (term) GROUP BY term, i.idf)",
-    "craw AS (SELECT doc_id, list_filter(regexp_split_to_array(description, '[\\s ]+'), lambda t: t <> '') "
+    "craw AS (SELECT doc_id, list_filter(regexp_split_to_array(description, '" + tx.BLANK + "+'), lambda t: t <> '') "
     "AS toks FROM listing_docs WHERE doc_id IN (SELECT doc_id FROM cm))",
     "ctok AS (SELECT doc_id, len(toks) AS dlen, unnest(toks) AS term FROM craw)",
     "cdv AS (SELECT doc_id, term, count(*) / any_value(dlen) * i.idf AS dw FROM ctok "
@@ -302,20 +324,21 @@ def _sql_fac_fraction(col: str, wishes) -> str:
 _W = sc.CUSTOM_WEIGHTS
 _SCORED = (
     "SELECT l.doc_id, l.restaurantName, l.address, l.description, l.website, "
-    f"round(c.desc_score * {_W['description']} + "
+    f"c.desc_score * {_W['description']} + "
     f"(CASE WHEN l.cuisineType = {o.q(CUSTOM.cuisineType)} THEN 1.0 ELSE 0.0 END) * {_W['cuisine']} + "
     f"({_sql_fac_fraction('l.facilitiesServices', CUSTOM.facilitiesServices)}) * {_W['facilities']} + "
-    f"(CASE WHEN l.priceRange = {o.q(CUSTOM.priceRange)} THEN 1.0 ELSE 0.0 END) * {_W['price']}, 6) "
+    f"(CASE WHEN l.priceRange = {o.q(CUSTOM.priceRange)} THEN 1.0 ELSE 0.0 END) * {_W['price']} "
     "AS customScore FROM listing_docs l JOIN cdesc c USING (doc_id)")
 
 
 @register("custom_score", o.with_(DOC_IDX + LD + _CUSTOM_Q + [_CONJ] + _DESC,
-          f"SELECT * FROM ({_SCORED}) ORDER BY customScore DESC, doc_id LIMIT {CUSTOM.result_size()}"))
+          f"SELECT * REPLACE (round(customScore, 6) AS customScore) FROM ({_SCORED}) "
+          f"ORDER BY round(customScore, 12) DESC, doc_id LIMIT {CUSTOM.result_size()}"))
 def custom_score(spark, d):
     """Q8: weighted custom score of the all-terms matches, top n."""
     lst = rel.listing_docs(spark, d)
     res = sc.custom_score(lst, _doc_index(spark, d), CUSTOM)
-    return res.select("doc_id", "restaurantName", "address", "description", "website", "customScore")
+    return res.select("doc_id", "restaurantName", "address", "description", "website", F.round("customScore", 6).alias("customScore"))
 
 
 @register("custom_description_score", o.with_(DOC_IDX + LD + _CUSTOM_Q + [_CONJ] + _DESC,
@@ -356,7 +379,7 @@ def _sql_similarity(texts: dict) -> list[str]:
         unions.append(f"SELECT restaurantId, score * {wts.get(f, 0.0)} AS ws FROM {p}s")
     if unions:
         ctes.append("simu AS (" + " UNION ALL ".join(unions) + ")")
-        ctes.append("sim AS (SELECT l.restaurantId, round(coalesce(s.s, 0.0), 6) AS similarity_score "
+        ctes.append("sim AS (SELECT l.restaurantId, coalesce(s.s, 0.0) AS similarity_score "
                     "FROM listing_parts l LEFT JOIN (SELECT restaurantId, sum(ws) / "
                     f"{float(len(active))} AS s FROM simu GROUP BY restaurantId) s USING (restaurantId))")
     else:
@@ -364,10 +387,12 @@ def _sql_similarity(texts: dict) -> list[str]:
     return ctes
 
 
-@register("weighted_similarity", o.with_(LP + _sql_similarity(SIM_TEXTS), "SELECT * FROM sim"))
+@register("weighted_similarity", o.with_(LP + _sql_similarity(SIM_TEXTS),
+          "SELECT restaurantId, round(similarity_score, 6) AS similarity_score FROM sim"))
 def weighted_similarity(spark, d):
     """Q9: weighted multi-field cosine over the listing (every row)."""
-    return sc.weighted_similarity(rel.listing_parts(spark, d), SIM_TEXTS)
+    return sc.weighted_similarity(rel.listing_parts(spark, d), SIM_TEXTS).withColumn(
+        "similarity_score", F.round("similarity_score", 6))
 
 
 def _sql_faceted(q: sc.FacetQuery) -> str:
@@ -386,10 +411,12 @@ def _sql_faceted(q: sc.FacetQuery) -> str:
     where = (" WHERE " + " AND ".join(conds)) if conds else ""
     return o.with_(LP + _sql_similarity(texts),
                    "SELECT l.restaurantId, l.restaurantName, l.address, l.cuisineType, l.priceRange, l.website, "
-                   "s.similarity_score FROM listing_parts l JOIN sim s USING (restaurantId)" + where)
+                   "round(s.similarity_score, 6) AS similarity_score, row_number() OVER (ORDER BY round(s.similarity_score, 12) DESC, "
+                   "l.restaurantId) AS rank FROM listing_parts l JOIN sim s USING (restaurantId)" + where)
 
 
 @register("faceted_search", _sql_faceted(FACETS))
 def faceted_search(spark, d):
-    """Q10: similarity + price range + regions + cards + facilities."""
-    return sc.faceted_search(rel.listing_parts(spark, d), FACETS)
+    """Q10: similarity + price range + regions + cards + facilities, best first."""
+    return sc.faceted_search(rel.listing_parts(spark, d), FACETS).withColumn(
+        "similarity_score", F.round("similarity_score", 6))

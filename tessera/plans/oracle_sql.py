@@ -62,11 +62,11 @@ def literal_query_sql(text: str, qid: str = "qid", text_col: str = "text") -> st
 
 
 def cosine_ctes(p: str, ix: str, qp: str, qid: str, id_col: str = "doc_id") -> list[str]:
-    return [f"{p} AS (SELECT {qid}, {id_col}, round(sum(v.qwn * d.wn), 6) AS score "
+    return [f"{p} AS (SELECT {qid}, {id_col}, sum(v.qwn * d.wn) AS score "
             f"FROM {ix}_post d JOIN {qp}_vec v USING (term) GROUP BY {qid}, {id_col} "
             f"HAVING sum(v.qwn * d.wn) IS NOT NULL)"]
 
 
 def top_k_sql(src: str, k: int, qid: str, id_col: str = "doc_id") -> str:
     return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {qid} "
-            f"ORDER BY score DESC, {id_col} ASC)::BIGINT AS rank FROM {src}) WHERE rank <= {k}")
+            f"ORDER BY round(score, 12) DESC, {id_col} ASC)::BIGINT AS rank FROM {src}) WHERE rank <= {k}")

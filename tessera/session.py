@@ -1,14 +1,16 @@
 """Session helpers.
 
 The library never creates folders on the machine it runs on: lineage cuts go
-to ``spark.checkpoint.dir`` (a shared folder named by the cluster).  Only
-tests and local benches set one themselves, and only when it is unset.
+to ``spark.checkpoint.dir`` (a shared folder named by the cluster), and it is
+an error if none is configured.  Callers on one machine (tests, benches) name
+one themselves.  :func:`scratch_scope` removes what was written there.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
-import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
     conf = dict(_DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    conf["tessera.minTextPartitions"] = str(cpus)
     conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -41,20 +44,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  A local run (tests, bench) without it gets a fresh ``mkdtemp``.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder of the session: ``spark.checkpoint.dir``, or what
+    ``setCheckpointDir`` named.  Raises if there is none."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - some sessions refuse core confs at run time
-            pass
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SCOPES: list[list[str]] = []
+
+
+def own_scratch(path: str) -> str:
+    """Leave ``path`` to the innermost :func:`scratch_scope`, if any."""
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are removed at its end, so results must
+    have been written or collected by then.  Without a scope they stay."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(hadoop).delete(p, True)

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import checkpoint_dir
+from tessera.functions.text import STRIP_RE
+from tessera.session import checkpoint_dir, own_scratch
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-out/{name}-{uuid.uuid4().hex[:12]}"
+    return own_scratch(f"{base}/tessera-out/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -27,32 +28,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     executor re-reads files instead of recomputing the whole chain)."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ------------------------------------------------------- landed pages
 
 def land_pages(pages: DataFrame, path: str) -> None:
-    """Write one file per page under ``page=<batch>/key=<url key>/``
-    (the reference's folder-per-batch layout; the key is the file name).
-    ``pages`` has ``batch, url_key, html`` and one row per (batch, key)."""
-    (pages.select(F.col("batch").alias("page"), F.col("url_key").alias("key"), "html")
-     .repartition("page", "key")
-     .write.mode("overwrite").partitionBy("page", "key").text(path))
-
-
-def scan_pages(spark: SparkSession, path: str, first: int | None = None,
-               last: int | None = None) -> DataFrame:
-    """Every landed page (one row per file, whole text), with its
-    batch folder and key from the directory names; ``first``/``last``
-    restrict the batch folders and reach the scan as partition filters."""
-    df = (spark.read.option("basePath", path)
-          .text(path, wholetext=True, pathGlobFilter="*.txt")
-          .select(F.col("page").cast("long").alias("page"), F.col("key").cast("string").alias("key"),
-                  F.regexp_replace("value", "\n$", "").alias("html")))
-    if first is not None and last is not None:
-        df = df.where(F.col("page").between(first, last))
-    return df
+    """Land pages ``(batch, url_key, html)`` as Parquet rows (page, key, html),
+    range-sorted by batch folder: a range of folders reaches the scan as a
+    pushed filter, and there is no directory or file per page."""
+    (pages.select(F.col("batch").cast("long").alias("page"), F.col("url_key").cast("string").alias("key"), "html")
+     .repartitionByRange("page", "key").sortWithinPartitions("page", "key").write.mode("overwrite").parquet(path))
+
+
+def _between(df: DataFrame, first: int | None, last: int | None) -> DataFrame:
+    return df if first is None or last is None else df.where(F.col("page").between(first, last))
+
+
+def scan_pages(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """S1/S2 over landed rows: (page, key, html), of folders first..last if given."""
+    return _between(spark.read.schema("page long, key string, html string").parquet(path), first, last)
+
+
+def scan_page_folders(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """S1/S2 over a crawl's own folders ``page_<n>/<name>.html``: one row per
+    file with its whole text (UTF-8, byte for byte), page and key from the path.  A range of folders
+    is listed by name, so the others are never opened."""
+    folders = "page_*" if first is None or last is None else "page_{" + ",".join(map(str, range(first, last + 1))) + "}"
+    files = (spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{folders}/*.html")
+             .select(F.col("content").cast("string").alias("value"), F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")).alias("file")))
+    return files.select(F.regexp_extract("file", "/page_([0-9]+)/[^/]+$", 1).cast("long").alias("page"),
+                        F.regexp_extract("file", r"([^/]+)\.html$", 1).alias("key"), F.col("value").alias("html"))
 
 
 # ---------------------------------------------------------------- TSV
@@ -82,19 +88,6 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 # --------------------------------------------------- index and results
 
-def write_index(tables: dict[str, DataFrame], path: str, sort_col: str = "term") -> None:
-    """Index tables as Parquet, range-sorted by term so row-group
-    min/max statistics prune term lookups."""
-    for name, df in tables.items():
-        out = df.repartitionByRange(sort_col).sortWithinPartitions(sort_col) \
-            if sort_col in df.columns else df
-        out.write.mode("overwrite").parquet(f"{path}/{name}")
-
-
-def read_index(spark: SparkSession, path: str, names) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{path}/{n}") for n in names}
-
-
 def save_result(df: DataFrame, path: str) -> DataFrame:
     """Persist a search result (explicit opt-in) and return the table
     read back from storage (lineage cut)."""
@@ -109,55 +102,56 @@ def write_url_list(df: DataFrame, path: str, col: str = "url") -> None:
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     """URL list, each line stripped (blank lines stay as '')."""
-    return spark.read.text(path).select(F.trim("value").alias("url"))
+    return spark.read.text(path).select(F.regexp_replace("value", STRIP_RE, "").alias("url"))
 
 
 # ------------------------------------------------------------ GeoJSON
 
-FEATURE_SCHEMA = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("properties", T.StructType([T.StructField("reg_name", T.StringType())])),
-    T.StructField("geometry", T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
-    ])),
-])
-COLLECTION_SCHEMA = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("features", T.ArrayType(FEATURE_SCHEMA)),
-])
+# Coordinates are kept as JSON text: their depth depends on the type.
+FEATURE = ("struct<type:string, properties:struct<reg_name:string>, geometry:struct<type:string, coordinates:string>>")
+POLYGON = "array<array<array<double>>>"
 
 
 def write_geojson(vertices: DataFrame, path: str, key: str = "region", order_cols=("i",)) -> None:
-    """One GeoJSON Feature per line (a Polygon ring of ``[lon, lat]`` in
-    vertex order).  One row per polygon: its vertex list is the output."""
+    """One GeoJSON Feature per line (a Polygon with one closed ring of
+    ``[lon, lat]`` in vertex order).  A feature is one row by its format."""
     order_cols = list(order_cols)
     ring = (vertices.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_cols, "lon", "lat"]))))
-                 .alias("pts"))
-            .select(F.lit("Feature").alias("type"),
-                    F.struct(F.col(key).alias("reg_name")).alias("properties"),
-                    F.struct(F.lit("Polygon").alias("type"),
-                             F.array(F.transform("pts", lambda p: F.array(p["lon"], p["lat"])))
-                             .alias("coordinates")).alias("geometry")))
+            .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_cols, "lon", "lat"])))).alias("pts"))
+            .withColumn("ring", F.transform("pts", lambda p: F.array(p["lon"], p["lat"])))
+            .select(F.lit("Feature").alias("type"), F.struct(F.col(key).alias("reg_name")).alias("properties"),
+                    F.struct(F.lit("Polygon").alias("type"), F.array(F.concat("ring", F.slice("ring", 1, 1))).alias("coordinates"))
+                    .alias("geometry")))
     ring.write.mode("overwrite").json(path)
 
 
-def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
-    """S10 + G2: GeoJSON features (one per line, or a whole
-    FeatureCollection file with ``collection=True``) exploded to
-    ``vertices(reg_name, ring, i, lon, lat)``."""
+def read_features(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
+    """GeoJSON features, one per line or a whole FeatureCollection."""
     if collection:
-        fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", True).json(path)
-        feats = fc.select(F.explode("features").alias("f")).select("f.*")
-    else:
-        feats = spark.read.schema(FEATURE_SCHEMA).json(path)
-    rings = feats.select(F.col("properties.reg_name").alias("reg_name"),
-                         F.posexplode("geometry.coordinates").alias("ring", "coords"))
-    return rings.select("reg_name", F.col("ring").cast("long").alias("ring"),
-                        F.posexplode("coords").alias("i", "xy")).select(
-        "reg_name", "ring", F.col("i").cast("long").alias("i"),
-        F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat"))
+        fc = spark.read.schema(f"type string, features array<{FEATURE}>").option("multiLine", True).json(path)
+        return fc.select(F.explode("features").alias("f")).select("f.*")
+    return spark.read.schema(T._parse_datatype_string(FEATURE)).json(path)
+
+
+def region_names(features: DataFrame) -> DataFrame:
+    """The region list, sorted, without nulls and repetitions."""
+    return features.select(F.col("properties.reg_name").alias("region")).na.drop().distinct().orderBy("region")
+
+
+def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
+    """S10 + G2: the vertices of Polygon and MultiPolygon features:
+    ``(reg_name, part, ring, i, lon, lat)``; ring 0 is a part's outline, the
+    others are its holes.  A feature without geometry has none; another type
+    of geometry is an error."""
+    g = F.col("geometry")
+    parts = (F.when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], POLYGON)))
+             .when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], f"array<{POLYGON}>"))
+             .when(g["type"].isNotNull(), F.raise_error(F.concat(F.lit("geometry type not supported: "), g["type"])).cast(f"array<{POLYGON}>")))
+    p = read_features(spark, path, collection).select(F.col("properties.reg_name").alias("reg_name"), F.posexplode(parts).alias("part", "rings"))
+    r = p.select("reg_name", "part", F.posexplode("rings").alias("ring", "coords"))
+    return r.select("reg_name", F.col("part").cast("long").alias("part"), F.col("ring").cast("long").alias("ring"),
+                    F.posexplode("coords").alias("i", "xy")).select(
+        "reg_name", "part", "ring", F.col("i").cast("long").alias("i"), F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat"))
 
 
 # ------------------------------------------------------- points as text

@@ -12,25 +12,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Tables whose rows carry whole texts: per-row work (tokenising, stemming,
-# extraction) is CPU-heavy, so they are spread over all cores when the scan
-# yields fewer splits than that (a single-row-group file is one split).
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Repartition to the default parallelism if the scan has fewer splits
-    (hash on ``key`` so per-document aggregations need no further shuffle);
-    a no-op on a cluster-sized input (thousands of splits)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key) if key else df.repartition(want)
-    return df
+# A session setting for small inputs on one machine (a file of one row group
+# is one task); a cluster leaves it unset and no text is ever shuffled here.
+MIN_TEXT_PARTITIONS = "tessera.minTextPartitions"
+TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
+    n = spark.conf.get(MIN_TEXT_PARTITIONS, None) if name in TEXT_TABLES else None
+    return df.repartition(int(n)) if n else df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

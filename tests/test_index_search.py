@@ -26,7 +26,7 @@ def test_search_modes(spark, corpus):
     assert _rows(srch.any_term_search(idx, q), "doc_id") == [(0,), (1,), (2,)]
     assert _rows(srch.conjunctive_search(idx, q), "doc_id") == [(0,)]
     ranked = srch.ranked_search(idx, q, k=5).orderBy("rank").collect()
-    assert [(r.doc_id, r.score) for r in ranked] == [(0, 0.816497), (1, 0.471405), (2, 0.316228)]
+    assert [(r.doc_id, round(r.score, 6)) for r in ranked] == [(0, 0.816497), (1, 0.471405), (2, 0.316228)]
 
 
 def test_oov_and_stop_only_queries(spark, corpus):
@@ -69,7 +69,7 @@ def test_against_python_mirror(spark, seed):
     idx = ix.build_index(df, stem=False)
     query = [rnd.choice(words) for _ in range(3)]
     want = _py_cosine(docs, query)
-    got = {r.doc_id: r.score for r in srch.cosine_scores(idx, srch.query_table(spark, " ".join(query))).collect()}
+    got = {r.doc_id: round(r.score, 6) for r in srch.cosine_scores(idx, srch.query_table(spark, " ".join(query))).collect()}
     assert got == want
     # conjunctive results are a subset of any-term results
     q = srch.query_table(spark, " ".join(query))
@@ -79,7 +79,7 @@ def test_against_python_mirror(spark, seed):
     # top-k is a prefix of the full ranking
     full = sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))
     top = srch.ranked_search(idx, q, k=5).orderBy("rank").collect()
-    assert [(r.doc_id, r.score) for r in top] == full[:5]
+    assert [(r.doc_id, round(r.score, 6)) for r in top] == full[:5]
 
 
 def test_dense_ids_are_dense_and_ordered(spark):
