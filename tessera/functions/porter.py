@@ -1,8 +1,13 @@
 """Porter stemmer as a chain of SQL expressions over one string column.
 
 The published algorithm (Porter, 1980, "An algorithm for suffix stripping"),
-with its author's later revisions ``bli -> ble`` and ``logi -> log``, and
-words of one or two letters left unchanged.  Each step is a plain SQL
+with its author's later revisions ``bli -> ble`` and ``logi -> log``, words of
+one or two letters left unchanged, and the extensions that are the default of
+the common Python implementation: irregular forms; ``ies`` and ``ied`` of
+four-letter words give ``ie``; a final y changes only after a consonant that
+isn't the first letter; ``alli`` is taken off before the rest of step 2;
+``fulli -> ful``; ``logi`` counts its l with the stem; and a two-letter
+vowel-consonant stem counts as short.  Each step is a plain SQL
 expression over ``w`` (the word being stemmed).  Spark evaluates the chain
 as nested one-element ``transform`` lambdas over a ``(w, cut, orig)``
 struct (see :func:`tessera.functions.text.stem`): the expression grows
@@ -19,10 +24,6 @@ starts the word or follows a vowel.  Step 0 marks every consonant ``y`` as
 upper-case ``Y``, so afterwards the class ``[aeiouy]`` is exactly "vowel"
 and everything else (including ``Y``, digits, accented letters) is a
 consonant.  The final step lower-cases the word again.
-
-Known differences to NLTK's default ``PorterStemmer`` mode (which adds
-irregular forms such as ``dying -> die`` and a 4-letter ``ies`` rule):
-those extra rules are not applied.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ STEP2 = [
     ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
     ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"),
     ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
-    ("logi", "log"),
+    ("fulli", "ful"), ("logi", "log"),
 ]
 # Step 3 (condition m > 0): suffix -> replacement.
 STEP3 = [
@@ -52,6 +53,12 @@ STEP4 = [
 ]
 
 
+# Irregular forms.
+IRREGULAR = {"skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news", "innings": "inning",
+             "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning", "canning": "canning",
+             "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
+
+
 class _Dialect:
     """The few spellings that differ between Spark SQL and DuckDB."""
 
@@ -87,8 +94,9 @@ def _m_eq1(d: _Dialect, s: str) -> str:
 
 
 def _cvc(d: _Dialect, s: str) -> str:
-    # consonant-vowel-consonant at the end, the last one not w, x or y
-    return d.match(s, f"{C}{V}[^aeiouywxY]$")
+    # consonant-vowel-consonant at the end, the last one not w, x or y; or a
+    # vowel and a consonant alone
+    return f"({d.match(s, f'{C}{V}[^aeiouywxY]$')} OR {d.match(s, f'^{V}{C}$')})"
 
 
 def _double(d: _Dialect, s: str) -> str:
@@ -127,14 +135,16 @@ def steps(dialect: str = "spark", w: str = "w", cut: str = "cut") -> list[tuple[
     out.append(("w", d.replace_all(
         f"regexp_replace({w}, '^y', 'Y')", "([aeiouy])y", "Y")))
     # step 1a
-    out.append(("w", f"CASE WHEN {w} LIKE '%sses' OR {w} LIKE '%ies' THEN {_stem(w, 2)} "
+    out.append(("w", f"CASE WHEN length({w}) = 4 AND {w} LIKE '%ies' THEN {_stem(w, 1)} "
+                   f"WHEN {w} LIKE '%sses' OR {w} LIKE '%ies' THEN {_stem(w, 2)} "
                    f"WHEN {w} LIKE '%ss' THEN {w} "
                    f"WHEN {w} LIKE '%s' THEN {_stem(w, 1)} ELSE {w} END"))
     # step 1b, first half: eed / ed / ing
-    ed_ok = f"({w} LIKE '%ed' AND NOT {w} LIKE '%eed' AND {d.match(_stem(w, 2), V)})"
+    ed_ok = f"({w} LIKE '%ed' AND NOT {w} LIKE '%eed' AND NOT {w} LIKE '%ied' AND {d.match(_stem(w, 2), V)})"
     ing_ok = f"({w} LIKE '%ing' AND NOT {w} LIKE '%eed' AND {d.match(_stem(w, 3), V)})"
     out.append(("cut", f"({ed_ok} OR {ing_ok})"))
-    out.append(("w", f"CASE WHEN {w} LIKE '%eed' THEN "
+    out.append(("w", f"CASE WHEN {w} LIKE '%ied' THEN (CASE WHEN length({w}) = 4 THEN {_stem(w, 1)} ELSE {_stem(w, 2)} END) "
+                   f"WHEN {w} LIKE '%eed' THEN "
                    f"(CASE WHEN {_m_gt0(d, _stem(w, 3))} THEN {_stem(w, 1)} ELSE {w} END) "
                    f"WHEN {ed_ok} THEN {_stem(w, 2)} "
                    f"WHEN {ing_ok} THEN {_stem(w, 3)} ELSE {w} END"))
@@ -144,11 +154,13 @@ def steps(dialect: str = "spark", w: str = "w", cut: str = "cut") -> list[tuple[
                    f"WHEN {_double(d, w)} AND NOT {d.match(w, '[lsz]$')} THEN {_stem(w, 1)} "
                    f"WHEN {_m_eq1(d, w)} AND {_cvc(d, w)} THEN {w} || 'e' "
                    f"ELSE {w} END"))
-    # step 1c: y -> i when the stem has a vowel
-    out.append(("w", f"CASE WHEN {d.match(w, '[yY]$')} AND {d.match(_stem(w, 1), V)} "
+    # step 1c: y -> i after a consonant that isn't the first letter
+    out.append(("w", f"CASE WHEN {d.match(w, '[yY]$')} AND {d.match(_stem(w, 1), f'.{C}$')} "
                    f"THEN {_stem(w, 1)} || 'i' ELSE {w} END"))
-    # steps 2 and 3: m > 0
-    out.append(("w", _suffix_case(w, STEP2, lambda s, _: _m_gt0(d, s))))
+    # step 2 (m > 0), alli first; the l of logi is the stem's
+    out.append(("w", f"CASE WHEN {w} LIKE '%alli' AND {_m_gt0(d, _stem(w, 4))} THEN {_stem(w, 2)} ELSE {w} END"))
+    out.append(("w", _suffix_case(w, STEP2, lambda s, suf: _m_gt0(d, _stem(w, 3) if suf == "logi" else s))))
+    # step 3 (m > 0)
     out.append(("w", _suffix_case(w, STEP3, lambda s, _: _m_gt0(d, s))))
 
     # step 4: m > 1
@@ -168,5 +180,6 @@ def steps(dialect: str = "spark", w: str = "w", cut: str = "cut") -> list[tuple[
 
 
 def final(orig: str = "orig", w: str = "w") -> str:
-    """Words of one or two letters stay as they are; un-mark ``Y``."""
-    return f"CASE WHEN length({orig}) <= 2 THEN {orig} ELSE lower({w}) END"
+    """Irregular forms; words of one or two letters stay as they are; un-mark ``Y``."""
+    forms = " ".join(f"WHEN {orig} = '{a}' THEN '{b}'" for a, b in IRREGULAR.items())
+    return f"CASE {forms} WHEN length({orig}) <= 2 THEN {orig} ELSE lower({w}) END"

@@ -10,6 +10,12 @@ STEMS = {
     "digitizer": "digit", "triplicate": "triplic", "electrical": "electr", "adoption": "adopt",
     "cease": "ceas", "controll": "control", "roll": "roll", "seasonal": "season",
     "cuisine": "cuisin", "restaurants": "restaur", "feed": "feed", "is": "is",
+    # the default mode's own forms and rules, from its published examples
+    "dying": "die", "skies": "sky", "news": "news", "dies": "die", "flies": "fli", "died": "die", "denied": "deni",
+    "mules": "mule", "owned": "own", "humbled": "humbl", "sized": "size", "meeting": "meet", "stating": "state",
+    "siezing": "siez", "itemization": "item", "sensational": "sensat", "traditional": "tradit", "reference": "refer",
+    "colonizer": "colon", "plotted": "plot", "day": "day", "enjoy": "enjoy", "holiday": "holiday", "tied": "tie",
+    "wonderfully": "wonder", "aging": "age", "conditionally": "condit", "geology": "geolog", "by": "by", "spied": "spi",
 }
 
 
