@@ -21,17 +21,44 @@ from pyspark.sql import functions as F
 from tessera.functions.text import STRIP_RE
 
 TAG_RE = "<[^>]+>"
-# HTML entities decoded by node_text, '&amp;' last.
+# HTML's named entities of Latin-1, U+00A0 to U+00FF in order,
+# and the others that text is written with.
+LATIN_1 = ("nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr deg plusmn sup2 sup3 acute micro "
+           "para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil "
+           "Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave "
+           "Uacute Ucirc Uuml Yacute THORN szlig agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml "
+           "igrave iacute icirc iuml eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml yacute "
+           "thorn yuml").split()
+NAMED = {name: chr(0xA0 + i) for i, name in enumerate(LATIN_1)} | {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "euro": "€", "ndash": "–", "mdash": "—", "lsquo": "‘",
+    "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "hellip": "…", "oelig": "œ", "OElig": "Œ", "trade": "™"}
+# What the DuckDB twins decode (the driver's pages hold no others in the fields they read).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+            ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+
+
+def decode_entities(x: Column) -> Column:
+    """Named and numeric character references as their characters, each once;
+    unknown ones stay."""
+    names = F.create_map(*[F.lit(v) for pair in NAMED.items() for v in pair])
+
+    def piece(p, i):
+        name = F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
+            name.startswith("#"), F.substr(name, F.lit(2)))
+        code = digits.cast("long")
+        known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        char = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(code.isNotNull(), "\ufffd").otherwise(
+            F.try_element_at(names, name))
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)))
+
+    return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(F.split(x, "&"), piece), "")).otherwise(x)
 
 
 def node_text(x: Column, strip: bool = True) -> Column:
     """Text of a markup fragment: tags removed, entities decoded, and
     (where the reference strips) all leading/trailing whitespace removed."""
-    out = F.regexp_replace(x, TAG_RE, "")
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+    out = decode_entities(F.regexp_replace(x, TAG_RE, ""))
     if strip:
         out = F.regexp_replace(out, STRIP_RE, "")
     return out
@@ -50,8 +77,8 @@ def all_of(html: Column, pattern: str) -> Column:
 
 @dataclass(frozen=True)
 class Field:
-    """One extracted field: scope regex (group 1 = the node), optional
-    second regex inside the scope, text clean-up, list or single value."""
+    """One extracted field: a regex whose group 1 is the node or attribute,
+    text clean-up, list or single value."""
 
     name: str
     pattern: str
@@ -150,13 +177,76 @@ def split_price_category(s: Column) -> dict[str, Column]:
 def card_codes(html: Column) -> Column:
     """X6g: card codes from ``data-src`` image paths: the lower-case run
     after a ``/`` and before a ``-``."""
-    srcs = all_of(html, '<img[^>]*data-src="([^"]*)"')
+    srcs = all_of(html, f"<img{GAP}[^>]*data-src{VALUE}")
     return F.transform(srcs, lambda p: F.regexp_extract(p, "/([a-z]*)-", 1))
 
 
+# Inside a tag: what parts attributes, and an attribute's value in either quotes.
+GAP = "[ \\t\\r\\n]"
+VALUE = "\\s*=\\s*[\"']([^\"']*)[\"']"
+
+
 def og_url(html: Column) -> Column:
-    """X6i: ``<meta property="og:url" content=...>``."""
-    return first(html, '<meta[^>]*property="og:url"[^>]*content="([^"]*)"')
+    """X6i: content of the first ``<meta property="og:url">``, attributes in
+    any order and with either quotes, entities decoded."""
+    metas = F.filter(F.regexp_extract_all(html, F.lit(f"(?i)<meta{GAP}[^>]*>"), F.lit(0)),
+                     lambda m: m.rlike(f"(?i){GAP}property\\s*=\\s*[\"']og:url[\"']"))
+    return decode_entities(first(F.get(metas, F.lit(0)), f"(?i){GAP}content{VALUE}"))
+
+
+# ------------------------------------------------------- the listing record
+
+def opened(tag: str, *tokens: str) -> str:
+    """Regex of an opening tag whose class holds the tokens, in this order."""
+    inside = f"(?:[^\"']*{GAP})".join(tokens)
+    return f"<{tag}{GAP}(?:[^>]*{GAP})?class\\s*=\\s*[\"'](?:[^\"']*{GAP})?{inside}(?:{GAP}[^\"']*)?[\"'][^>]*>"
+
+
+def within(html: Column, start: str, stop: str) -> Column:
+    """What follows the first tag ``start`` up to ``stop``; NULL if absent."""
+    return first(html, f"(?s){start}(.*?)(?:{stop}|$)")
+
+
+def listing_record(df: DataFrame, html_col: str = "html", keep: tuple = ("page_id",)) -> DataFrame:
+    """The twelve-field record of a listing page, with ``_errors``.
+
+    Scopes run from their opening tag to a closing one that can't lie inside
+    (blocks, titles and items of the template hold no element of their own
+    name).  Fixed values: the class names."""
+    h = F.col(html_col)
+    # The rows of the data sheet, each up to the next one.  Scopes are
+    # columns of their own, so that no expression holds another one twice.
+    sheet = within(within(h, opened("div", "restaurant-details__components"), "</body>"), opened("div", "data-sheet"), "</body>")
+    span = within(within(within(h, opened("section", "section__text-componets", "section__text-separator"), "</section>"),
+                         opened("div", "collapse__block-title"), "</section>"), opened("div", "d-flex"), "</section>")
+    scopes = df.select(*keep, F.split(sheet, opened("div", "row")).alias("_rows"), span.alias("_phone"), og_url(h).alias("website"),
+                       within(h, opened("div", "data-sheet__description"), "</div>").alias("_about"),
+                       within(h, opened("div", "restaurant-details__services"), "</ul>").alias("_services"),
+                       within(h, opened("div", "list--card"), "</div>").alias("_cards"))
+    nodes = scopes.withColumn("_title", first(F.get("_rows", F.lit(1)), f"(?s){opened('h1', 'data-sheet__title')}(.*?)</h1>")).withColumn(
+        "_blocks", F.transform(all_of(F.get("_rows", F.lit(2)), f"(?s){opened('div', 'data-sheet__block--text')}(.*?)</div>"), lambda x: node_text(x)))
+    text = {"restaurantName": node_text(F.col("_title"), strip=False)}
+    text |= {**split_address(F.get("_blocks", F.lit(0))), **split_price_category(F.get("_blocks", F.lit(1)))}
+    text |= {
+        "description": F.replace(node_text(F.col("_about")), F.lit("\n"), F.lit("")),
+        "facilitiesServices": F.transform(all_of(F.col("_services"), f"(?s)<li(?:{GAP}[^>]*)?>(.*?)</li>"), lambda x: node_text(x)),
+        "creditCards": card_codes(F.col("_cards")),
+        "phoneNumber": node_text(first(F.col("_phone"), f"(?s)<span(?:{GAP}[^>]*)?>(.*?)</span>")),
+        "website": F.col("website")}
+    out = nodes.select(*keep, *[c.alias(n) for n, c in text.items()])
+    missing = [F.when(F.col(n).isNull(), F.lit(n)) for n in text]
+    return out.withColumn("_errors", F.array_compact(F.array(*missing)))
+
+
+def card_links(df: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """The title link of every card of an index page that has one,
+    host-prefixed, duplicates kept: (page_id, pos, link)."""
+    cards = F.split(F.col(html_col), opened("div", "card__menu-content"))
+    title = opened("h3", "card__menu-content--title")
+    hrefs = F.filter(F.transform(F.slice(cards, 2, F.size(cards)), lambda c: decode_entities(F.regexp_extract(
+        c, f"(?s){title}.*?<a{GAP}(?:[^>]*{GAP})?href{VALUE}", 1))), lambda x: x != "")
+    return (df.select("page_id", host(F.col(url_col)).alias("_host"), F.posexplode(hrefs).alias("pos", "href"))
+            .select("page_id", F.col("pos").cast("long").alias("pos"), F.concat("_host", "href").alias("link")))
 
 
 JSONLD_SCHEMA = ("struct<name:string,address:struct<addressRegion:string>,"
@@ -172,7 +262,7 @@ def jsonld(html: Column) -> Column:
 def next_page(items: Column) -> Column:
     """``items`` is the list of pagination ``<li>`` bodies; true when
     the item after the first one holding ``a.active`` has an ``a[href]``."""
-    flags = F.transform(items, lambda x: x.rlike('<a[^>]*class="[^"]*active'))
+    flags = F.transform(items, lambda x: x.rlike(opened("a", "active")))
     idx = F.array_position(flags, F.lit(True))
     nxt = F.try_element_at(items, (idx + 1).cast("int"))
-    return F.when(idx > 0, F.coalesce(nxt.rlike('<a[^>]*href="[^"]+"'), F.lit(False))).otherwise(F.lit(False))
+    return F.when(idx > 0, F.coalesce(nxt.rlike(f"<a{GAP}[^>]*href\\s*=\\s*[\"'][^\"']"), F.lit(False))).otherwise(F.lit(False))

@@ -112,8 +112,8 @@ def batch_assign(spark, d):
 def extract_meta(spark, d):
     """X6i: og:url, rendered into each page head from its URL, then read back."""
     p = _pages(spark, d)
-    html = F.regexp_replace(F.col("html"), "<head>",
-                            F.concat(F.lit('<head><meta property="og:url" content="'), F.col("url"), F.lit('">')))
+    url = F.replace(F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("'"), F.lit("&#39;"))
+    html = F.replace(F.col("html"), F.lit("<head>"), F.concat(F.lit("<head><meta content='"), url, F.lit("' property=\"og:url\">")))
     return p.select("page_id", ex.og_url(html).alias("website"))
 
 
@@ -194,3 +194,52 @@ def split_price_category(spark, d):
     lp = rel.listing_parts(spark, d)
     parts = ex.split_price_category(F.concat_ws(" · ", "priceRange", "cuisineType"))
     return lp.select("restaurantId", *[v.alias(k) for k, v in parts.items()])
+
+
+@register("extract_listing", o.with_(LP, (
+    "SELECT restaurantId, restaurantName || ' & café ’x' || chr(39) AS restaurantName, ' ' || city AS city, ' ' || region AS postalCode, "
+    "' ' || cuisineType AS country, address || '  ' || restaurantName AS address, priceRange, cuisineType, "
+    "CASE WHEN restaurantId % 7 <> 0 THEN 'About ' || restaurantName || 'and more' END AS description, "
+    "array_to_string(facilitiesServices, '|') AS facilitiesServices, lower(array_to_string(creditCards, '|')) AS creditCards, "
+    "CASE WHEN restaurantId % 5 <> 0 THEN '+39 ' || restaurantId END AS phoneNumber, website || '?a=1&b=2' AS website, "
+    "((restaurantId % 7 = 0)::INT + (restaurantId % 5 = 0)::INT)::BIGINT AS n_errors FROM listing_parts")))
+def extract_listing(spark, d):
+    """X6, X6a-X6i, X8: the listing record read from pages rendered with the
+    template's class names, with entities and missing nodes."""
+    def div(cls, *inner):
+        return F.concat(F.lit(f'<div class="{cls}">'), *inner, F.lit("</div>"))
+
+    name, rid = F.col("restaurantName"), F.col("restaurantId").cast("string")
+    items = F.concat_ws("", F.transform("facilitiesServices", lambda x: F.concat(F.lit("<li> "), x, F.lit("\n</li>"))))
+    cards = F.concat_ws("", F.transform("creditCards", lambda c: F.concat(F.lit("<img class='c' data-src='/i/"), F.lower(c), F.lit("-1.svg'>"))))
+    address = F.concat_ws(", ", "address", "restaurantName", "city", "region", "cuisineType")
+    block = "data-sheet__block"
+    sheet = div("data-sheet", div("row", F.lit('<h1 id="t" class="big data-sheet__title">'), name, F.lit(" &amp; caf&eacute; &#8217;x&#x27;</h1>")),
+                div("row x", div(block, div(f"{block}--text", F.lit("\n "), address, F.lit(" "))),
+                    div(block, div(f"{block}--text", F.concat_ws(" &middot; ", "priceRange", "cuisineType")))), div("row", F.lit("ignored")))
+    about = F.when(F.col("restaurantId") % 7 != 0, div("data-sheet__description", F.lit(" About <b>"), name, F.lit("</b>\nand more ")))
+    phone = F.when(F.col("restaurantId") % 5 != 0, F.concat(
+        F.lit('<section class="section section-main section__text-componets section__text-separator">'),
+        div("collapse__block-title", div("d-flex a", F.lit("<span> +39 "), rid, F.lit("</span><span>no</span>"))), F.lit("</section>")))
+    head = F.concat(F.lit("<html><head><meta content='"), F.replace(F.concat(F.col("website"), F.lit("?a=1&b=2")), F.lit("&"), F.lit("&amp;")),
+                    F.lit("' property='og:url'></head><body>"))
+    pages = rel.listing_parts(spark, d).select("restaurantId", F.concat(
+        head, div("restaurant-details__components", sheet, F.coalesce(about, F.lit("")), F.coalesce(phone, F.lit(""))),
+        div("restaurant-details__services", F.lit("<ul>"), items, F.lit("</ul><ul><li>no</li></ul>")), div("list--card", cards),
+        F.lit("</body></html>")).alias("html"))
+    out = ex.listing_record(pages, keep=("restaurantId",))
+    return (out.withColumn("facilitiesServices", F.array_join("facilitiesServices", "|")).withColumn("creditCards", F.array_join("creditCards", "|"))
+            .withColumn("n_errors", F.size("_errors").cast("long")).drop("_errors"))
+
+
+@register("card_links", o.with_(LP, "SELECT restaurantId AS page_id, row_number() OVER (PARTITION BY restaurantId ORDER BY i) - 1 AS pos, "
+          "'https://parts.example/' || x || '?a&b' AS link FROM (SELECT restaurantId, unnest(creditCards) AS x, "
+          "unnest(range(1, len(creditCards) + 1)) AS i FROM listing_parts)"))
+def card_links(spark, d):
+    """Title links of the cards of rendered index pages, with cards
+    without a link between them."""
+    lp = rel.listing_parts(spark, d)
+    card = F.transform("creditCards", lambda c: F.concat(F.lit('<div class="x card__menu-content y"><h3 class="card__menu-content--title z"><a class="t" '),
+                                                         F.lit("href='/"), c, F.lit("?a&amp;b'>t</a></h3></div>")))
+    html = F.concat(F.array_join(card, "<div class='card__menu-content'><h3>none</h3></div>"), F.lit("<a href='/no'>n</a>"))
+    return ex.card_links(lp.select(F.col("restaurantId").alias("page_id"), F.col("website").alias("url"), html.alias("html")))

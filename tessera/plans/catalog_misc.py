@@ -241,3 +241,26 @@ def points_text_path(spark, d):
     path = files.scratch_path(spark, "points-text")
     files.write_points_text(_points(spark, d), path)
     return pth.monotone_path(files.read_points_text(spark, path))
+
+
+@register("union_ragged", o.with_(LP + GEO, "SELECT restaurantId, restaurantName, city, NULL::DOUBLE AS latitude FROM listing_parts "
+          "UNION ALL SELECT restaurantId, restaurantName, NULL, latitude FROM geo"))
+def union_ragged(spark, d):
+    """S3: records of two shapes as one table, missing fields NULL."""
+    lp = rel.listing_parts(spark, d).select("restaurantId", "restaurantName", "city")
+    return files.union_ragged([lp, _geo_spark(spark, d).select("restaurantId", "restaurantName", "latitude")])
+
+
+@register("keep_ok", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 200 WHEN 'O' THEN 404 END AS status, o_orderstatus = 'F' AS ok FROM orders")
+def keep_ok(spark, d):
+    """Responses (orders stand in, finished ones as status 200) split into kept and rejected."""
+    status = F.when(F.col("o_orderstatus") == "F", 200).when(F.col("o_orderstatus") == "O", 404)
+    ok, bad = files.keep_ok(read_table(spark, d, "orders").select("o_orderkey", status.alias("status")))
+    return ok.withColumn("ok", F.lit(True)).unionByName(bad.withColumn("ok", F.lit(False)))
+
+
+@register("no_region_markers", "SELECT scope, priceRange, colour, restaurantId, latitude, longitude, restaurantName, hover FROM ("
+          + ORACLE["region_markers"] + ") WHERE false")
+def no_region_markers(spark, d):
+    """Without a region there are no markers."""
+    return g.region_markers(_right_join(spark, d), None)

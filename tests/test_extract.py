@@ -63,3 +63,20 @@ def test_relational_helpers(spark):
                   F.col("p").between("€", "€€€").alias("b"),
                   rel.parse_list_literal(F.col("l")).alias("l")).first()
     assert (r.t, r.b, r.l) == ("Toscana", True, ["Bar", "Chef's table"])
+
+
+def test_entities_attributes_and_class_tokens(spark):
+    page = ("<head><META content='https://h/x?a=1&amp;b=2&#x3D;' data-x=\"1\" property='og:url'></head>"
+            "<li><a class=\"inactive\" href=\"/1\">1</a></li><li><a class='x active'>2</a></li><li><a href='/3'>3</a></li>")
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(ex.og_url(F.col("html")).alias("u")).first().u == "https://h/x?a=1&b=2="
+    t = spark.createDataFrame([("&eacute;&#8217;&#x1F600; &amp;lt; &nope; & &#0; &lt;b&gt; AT&T; &nbsp;",)], "t string")
+    assert t.select(ex.node_text(F.col("t"), strip=False).alias("t")).first().t == "é’😀 &lt; &nope; & \ufffd <b> AT&T; \u00a0"
+    items = ex.all_of(F.col("html"), "<li>(.*?)</li>")
+    assert df.select(ex.next_page(items).alias("n")).first().n is True
+
+
+def test_listing_record_of_a_bare_page(spark):
+    df = spark.createDataFrame([(1, "<html></html>"), (2, None)], "page_id long, html string")
+    for r in ex.listing_record(df).collect():
+        assert r.restaurantName is None and r.website is None and "phoneNumber" in r._errors
