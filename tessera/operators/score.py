@@ -57,10 +57,10 @@ def description_scores(listing: DataFrame, index: ix.Index, matches: DataFrame,
     dv = (toks.groupBy(id_col, "dlen", "term").agg(F.count(F.lit(1)).alias("dtf"))
           .join(index.idf.select("term", "idf"), "term")
           .select(id_col, "term", (F.col("dtf") / F.col("dlen") * F.col("idf")).alias("dw")))
-    dnorm = dv.groupBy(id_col).agg(F.sqrt(F.sum(F.col("dw") * F.col("dw"))).alias("dnorm"))
-    dot = (dv.join(qv, "term")
-           .groupBy(id_col).agg(F.sum(F.col("dw") * F.col("qw")).alias("dot")))
-    return (docs.select(id_col).join(dot, id_col, "left").join(dnorm, id_col, "left")
+    # norm and dot product in one pass over the matched texts
+    both = (dv.join(qv, "term", "left").groupBy(id_col)
+            .agg(F.sqrt(F.sum(F.col("dw") * F.col("dw"))).alias("dnorm"), F.sum(F.col("dw") * F.col("qw")).alias("dot")))
+    return (matches.select(id_col).join(both, id_col, "left")
             .select(id_col, F.coalesce(
                 F.try_divide(F.col("dot"), F.col("dnorm") * qnorm), F.lit(0.0)).alias("desc_score")))
 
@@ -83,12 +83,15 @@ def custom_score(listing: DataFrame, index: ix.Index, q: CustomQuery, k: int = 5
     """
     wts = dict(CUSTOM_WEIGHTS, **(weights or {}))
     spark = listing.sparkSession
+    from tessera.sources.files import materialize
     query = srch.query_table(spark, q.description)
-    matches = srch.conjunctive_search(index, query).select(id_col)
+    matches = materialize(srch.conjunctive_search(index, query).select(id_col), "matches")
     desc = description_scores(listing, index, matches, query, id_col)
     cuisine = (F.col("cuisineType") == F.lit(q.cuisineType)).cast("double") if q.cuisineType else F.lit(0.0)
     price = (F.col("priceRange") == F.lit(q.priceRange)).cast("double") if q.priceRange else F.lit(0.0)
-    scored = (listing.join(desc, id_col)
+    # scored on narrow columns; the wide rows are fetched for the n that stay
+    narrow = listing.select(id_col, "cuisineType", "facilitiesServices", "priceRange")
+    scored = (narrow.join(desc, id_col)
               .withColumn("cuisine_score", F.coalesce(cuisine, F.lit(0.0)))
               .withColumn("facility_score", facility_fraction(F.col("facilitiesServices"), q.facilitiesServices))
               .withColumn("price_score", F.coalesce(price, F.lit(0.0))))
@@ -96,7 +99,9 @@ def custom_score(listing: DataFrame, index: ix.Index, q: CustomQuery, k: int = 5
              + F.col("facility_score") * wts["facilities"] + F.col("price_score") * wts["price"])
     scored = scored.withColumn("customScore", total)
     n = q.result_size(k)
-    return scored.orderBy(srch.by_score("customScore"), F.asc(id_col)).limit(n)
+    top = scored.drop("cuisineType", "facilitiesServices", "priceRange").orderBy(srch.by_score("customScore"), F.asc(id_col)).limit(n)
+    # n rows, the caller's own bound
+    return listing.join(F.broadcast(materialize(top, "top")), id_col).orderBy(srch.by_score("customScore"), F.asc(id_col))
 
 
 # ------------------------------------------------------ multi-field search
