@@ -24,7 +24,7 @@ def tokenizer_path(name: str) -> str:
 class PieceEncoder(dict):
     """piece -> ids as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, max_pieces: int = 500_000):
+    def __init__(self, path: str, max_pieces: int = 200_000):
         super().__init__()
         self.earlier: dict[str, bytes] = {}  # the table before the last time it was full
         self.plain, self.lower = None, False
