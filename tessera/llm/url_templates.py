@@ -64,10 +64,11 @@ def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes:
     segment = F.lit("**") if last else F.get("segments", F.lit(depth))
     going = state.where(more).withColumn("segment", segment)
     shape = F.regexp_replace("segment", "[0-9]+", "#")
-    child = (going.groupBy("host", "prefix", "segment").agg(*_counts())
-             .withColumn("shape", F.when(F.col("segment").rlike("[0-9]"), shape).otherwise("")))
-    group = child.groupBy("host", "prefix", "shape").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("n").alias("g_n"), F.sum("labelled").alias("g_labelled"), F.sum("bad").alias("g_bad"))
+    # both are stored, so that nothing but the join needs the rows of a key together and Spark may split a large group
+    child = stored(going.groupBy("host", "prefix", "segment").agg(*_counts())
+                   .withColumn("shape", F.when(F.col("segment").rlike("[0-9]"), shape).otherwise("")), "segments")
+    group = stored(child.groupBy("host", "prefix", "shape").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("g_n"), F.sum("labelled").alias("g_labelled"), F.sum("bad").alias("g_bad")), "groups")
     variable = (F.col("values") > F.when(F.col("shape") == "", max_words).otherwise(max_shapes)) & (F.col("g_n") <= max_recur * F.col("values"))
     wildcard = F.when(F.col("shape") == "", "*").otherwise(F.translate("shape", "#", "*"))
     share = F.col("g_bad") / F.col("g_labelled")
