@@ -39,7 +39,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 ids."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), max_pieces=200_000)  # workers are shared with the other stages
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),

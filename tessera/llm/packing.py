@@ -84,11 +84,11 @@ def plan_windows(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int,
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = 1, capacity: int = 2048) -> DataFrame:
+                 end_id: int = 1, capacity: int = 2048, max_pieces: int = 500_000) -> DataFrame:
     """Every document's ids cut into full windows and a remaining piece
     (``ids``: little-endian, two or four bytes each by vocabulary size)."""
     def cut(batches):
-        enc = tk.encoder(tokenizer)
+        enc = tk.encoder(tokenizer, max_pieces)
         end, width = np.array([end_id], dtype=enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
         step = capacity * width
 
@@ -107,11 +107,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
 
 
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
-         end_id: int = 1, capacity: int = 2048) -> DataFrame:
+         end_id: int = 1, capacity: int = 2048, max_pieces: int = 500_000) -> DataFrame:
     """Pieces with their place: doc_id, start, length, ids_crc32, doc_tokens,
     ids, sequence_id, offset.  ``packed_sequences`` turns them into sequences."""
     pieces = stored(token_pieces(docs, tokenizer, id_col=id_col, text_col=text_col,
-                                 end_id=end_id, capacity=capacity), "pieces")
+                                 end_id=end_id, capacity=capacity, max_pieces=max_pieces), "pieces")
     narrow = pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     # at most `capacity` rows
     counts = {r["length"]: r["n"] for r in narrow.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}

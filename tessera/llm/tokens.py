@@ -24,7 +24,7 @@ def tokenizer_path(name: str) -> str:
 class PieceEncoder(dict):
     """piece -> ids as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, max_pieces: int = 200_000):
+    def __init__(self, path: str, max_pieces: int = 500_000):
         super().__init__()
         self.earlier: dict[str, bytes] = {}  # the table before the last time it was full
         self.plain, self.lower = None, False
@@ -97,7 +97,7 @@ def _byte_chars() -> list[str]:
 _BYTE_CHARS = _byte_chars()
 _SPACES = re.compile(r"\s[ \n]")
 _SURE_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r])")
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
 def _drops_space(pre: dict) -> bool:
@@ -114,8 +114,9 @@ def id_dtype(path: str) -> str:
     return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
 
 
-def encoder(path: str) -> PieceEncoder:
-    """This worker's encoder; kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, max_pieces: int = 500_000) -> PieceEncoder:
+    """This worker's encoder; kept between tasks.  Its table takes about 100
+    MB for every 300,000 of ``max_pieces``."""
+    if (path, max_pieces) not in _ENCODERS:
+        _ENCODERS[path, max_pieces] = PieceEncoder(path, max_pieces)
+    return _ENCODERS[path, max_pieces]
