@@ -5,9 +5,16 @@ implied end tags, implied table rows, scopes of end tags) and gives it as a
 stream of open, text and close events; ``render`` lays the visible text out:
 blocks on lines of their own with blank lines where blocks have margins, lists
 indented with their markers, preformatted text as it is, and table cells
-aligned in columns (spans included).  Hidden are elements that are never shown
-(scripts, styles, templates, the head), the ``hidden`` attribute, and inline
-``display: none`` and ``visibility: hidden``.
+aligned in columns (spans included).  Text and elements of a table that are in
+none of its cells or captions come before it, as in a browser, with the style
+of what holds the table; there only white space is dropped.
+
+Hidden are elements that are never shown (scripts, styles, templates, the
+head, option lists of inputs, and in svg and math what they only define or
+describe), the ``hidden`` attribute, and inline ``display: none`` and
+``visibility: hidden``.  The page is taken as seen with scripts, frames, audio
+and video, whose stand-in texts (noscript, noframes, inside iframe, audio and
+video) are hidden; objects and canvases are not drawn, so theirs are shown.
 
 Each page is a row of its own: one pass, no shuffle, a page in memory at a
 time; there is no recursion, so the depth of a page doesn't matter.
@@ -36,7 +43,14 @@ def _set(names: str) -> frozenset[str]:
 # Kinds of elements.
 VOID = _set("area base br col embed hr img input link meta param source track wbr")
 RAW = _set("script style xmp iframe noembed noframes textarea title noscript")
-HIDDEN = _set("head script style template noscript iframe noembed noframes title datalist object audio video canvas svg math")
+HIDDEN = _set("head script style template noscript iframe noembed noframes title datalist audio video")
+# Content of svg and math: never shown there, set apart from its neighbours, tags that end it, elements in which html goes on.
+HIDDEN_IN = _set("defs desc metadata symbol clippath mask pattern marker annotation annotation-xml")
+APART_IN = _set("text mtr mtd")
+FOREIGN = _set("svg math")
+LEAVES_FOREIGN = _set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+                      "pre ruby s small span strong strike sub sup table tt u ul var")
+HTML_IN_FOREIGN = _set("foreignobject desc title annotation-xml mi mo mn ms mtext")
 IN_HEAD = _set("base link meta noscript script style template title")
 BLOCK = _set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
              "form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol optgroup option p pre search section summary table ul")
@@ -46,6 +60,9 @@ HEADINGS = _set("h1 h2 h3 h4 h5 h6")
 LISTS = _set("ul ol menu dir")
 SECTIONS = _set("thead tbody tfoot")
 TABLE_PARTS = _set("caption colgroup thead tbody tfoot tr td th")
+BETWEEN = SECTIONS | {"table", "colgroup", "tr"}  # what is directly in these stands before the table
+# The parent that a table part has; what is open inside of it ends.
+PART_OF = {"tr": SECTIONS | {"table"}} | dict.fromkeys(("td", "th"), SECTIONS | {"table", "tr"})
 # What a start tag ends, and the elements that it doesn't look beyond.
 ENDS = {"li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select", "datalist"}),
         "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -71,9 +88,12 @@ def _attributes(tag: str, name: str) -> dict[str, str]:
 def tree_events(page: str):
     """("open", name, attributes), ("text", string) and ("close", name) of the element tree."""
     stack: list[str] = []
+    foreign = 0  # open svg and math elements
 
     def close_to(depth):
+        nonlocal foreign
         while len(stack) > depth:
+            foreign -= stack[-1] in FOREIGN
             yield "close", stack.pop()
 
     def last(names, beyond) -> int:
@@ -86,6 +106,8 @@ def tree_events(page: str):
         return -1
 
     def opened(name, attributes):
+        nonlocal foreign
+        foreign += name in FOREIGN
         stack.append(name)
         return "open", name, attributes
 
@@ -94,6 +116,10 @@ def tree_events(page: str):
             yield from close_to(len(stack) - 1)
         if name in ("html", "body", "head") and (name in stack or "body" in stack):
             return
+        while foreign and name in LEAVES_FOREIGN and (k := last(FOREIGN, HTML_IN_FOREIGN)) >= 0:
+            yield from close_to(k)
+        if name == "table" and (k := last({"table"}, {"td", "th", "caption", "template"})) >= 0:
+            yield from close_to(k)  # only a cell or caption holds another table
         if name in CLOSES_P and (k := last({"p"}, SCOPE)) >= 0:
             yield from close_to(k)
         if name in HEADINGS and stack and stack[-1] in HEADINGS:
@@ -102,15 +128,18 @@ def tree_events(page: str):
             return  # table parts outside a table are ignored
         if name in ENDS and (k := last(*ENDS[name])) >= 0:
             yield from close_to(k)
-        if name in ("td", "th") and last({"tr"}, {"table"}) < 0:
-            if (k := last({"caption", "colgroup"}, {"table"})) >= 0:
-                yield from close_to(k)
-            yield opened("tr", {})
+        if name in TABLE_PARTS:
+            yield from close_to(last(PART_OF.get(name, {"table"}), ()) + 1)
+            if name in ("td", "th") and stack[-1] != "tr":
+                yield opened("tr", {})
         if name in VOID:
             yield "open", name, _attributes(tag, name)
             yield "close", name
         else:
+            alone = foreign and tag.endswith("/>") and (name in FOREIGN or last(FOREIGN, HTML_IN_FOREIGN) >= 0)
             yield opened(name, _attributes(tag, name))
+            if alone or name in FOREIGN and tag.endswith("/>"):
+                yield from close_to(len(stack) - 1)
 
     def end(name):
         if name == "br":
@@ -272,25 +301,34 @@ def _whole(text: str | None, low: int, high: int) -> int | None:
 def render(page: str | None) -> tuple[str, int, int, int]:
     """(visible text, lines, list items, tables)."""
     flows, tables, items, n_tables = [Flow()], [], 0, 0
-    elements: list[tuple] = []  # (shown, displayed, numbering)
+    elements: list[tuple] = []  # (shown, displayed, numbering, name)
+    foreign = 0  # open svg and math elements
     for event, *rest in tree_events(page or ""):
         shown, displayed = elements[-1][:2] if elements else (True, True)
         flow = flows[-1]
+        name = rest[0]
+        between = event != "close" and bool(elements) and elements[-1][3] in BETWEEN and (event == "text" or name not in TABLE_PARTS)
+        if between:  # not in a cell: in the flow and with the style of what holds the table
+            k = len(elements) - 1
+            while k and elements[k][3] != "table":
+                k -= 1
+            shown, displayed = elements[k - 1][:2] if k else (True, True)
         if event == "text":
-            if shown and displayed and not (tables and len(tables) == len(flows)):  # not between the cells of a table
-                flow.text(rest[0])
+            if shown and displayed and not (between and not name.strip(SPACE)):
+                flow.text(name)
             continue
-        name = rest[0]
+        inner = foreign > 0
+        if name in FOREIGN:
+            foreign += 1 if event == "open" else -1
         if event == "open":
             attributes, numbering = rest[1], None
             style = attributes.get("style", "").lower().replace(" ", "") if attributes else ""
-            displayed = displayed and name not in HIDDEN and "hidden" not in attributes and "display:none" not in style
+            displayed = displayed and name not in HIDDEN and not (inner and name in HIDDEN_IN) and "hidden" not in attributes and "display:none" not in style
             shown = "visibility:visible" in style or shown and "visibility:hidden" not in style and "visibility:collapse" not in style
             if displayed:
                 if name == "br":
                     flow.newline()
                 elif name == "table":
-                    flow.block(True)
                     tables.append(Table())
                     n_tables += 1
                 elif name == "tr":
@@ -300,6 +338,8 @@ def render(page: str | None) -> tuple[str, int, int, int]:
                     flows.append(Flow())
                 elif name == "caption" and tables:
                     flows.append(Flow())
+                elif inner and name in APART_IN:
+                    flow.gap = True
                 elif name in BLOCK or name == "hr":
                     flow.block(name in MARGIN and not (name in LISTS and any(e[2] for e in elements if isinstance(e[2], list))))
                     if name in LISTS:
@@ -317,16 +357,16 @@ def render(page: str | None) -> tuple[str, int, int, int]:
                         flow.indents.append(["  ", "  "])
                     elif name == "pre":
                         flow.pre += 1
-            elements.append((shown, displayed, numbering))
+            elements.append((shown, displayed, numbering, name))
             continue
-        _, displayed, numbering = elements.pop()
+        _, displayed, numbering, _ = elements.pop()
         if not displayed:
             continue
         if name in ("td", "th"):
             lines = flows.pop().result()
             tables[-1].rows[-1].append((lines, numbering[0], 1 if numbering[1] is None else numbering[1] or 65534))
         elif name == "caption" and tables:
-            tables[-1].caption = flows.pop().result()
+            tables[-1].caption += flows.pop().result()
         elif name == "table":
             flow.block(True)
             lines = tables.pop().laid_out()
@@ -336,6 +376,8 @@ def render(page: str | None) -> tuple[str, int, int, int]:
                 flow.newline()
             flow.pre -= 1
             flow.block(True)
+        elif inner and name in APART_IN:
+            flow.gap = True
         elif name in BLOCK:
             if name == "li" and flow.indents[-1][0] != flow.indents[-1][1] and not flow._open:
                 flow._begin()  # an empty item is its marker

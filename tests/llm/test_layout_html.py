@@ -31,6 +31,28 @@ def test_layout(page, text):
     assert lay.render(page)[0] == text
 
 
+OUTSIDE_CELLS = [
+    ("<table>lost<tr><td>x</table>", "lost\n\nx"), ("<table><tr><div>lost</div><td>x</table>", "lost\n\nx"),
+    ("a<table>b<tr> <td>x</td> c <td>y</table>d", "ab c\n\nx  y\n\nd"),
+    ("<table><tr><td>o<table>in<tr><td>x</table><td>p</table>", "oin  p\n\nx"),
+    ("<table><tbody><ul><li>i</ul><tr><td>x<tfoot>f<tr><td>y</table>", "- i\n\nf\n\nx\ny"),
+    ("<table hidden>lost<tr><td>no</table>", "lost"), ("<table><tr style='visibility:hidden'>lost<td>no</table>", "lost"),
+    ("<div hidden><table>no<tr><td>no</table></div>x", "x"), ("<table><div hidden>no<td>x</table>", "x"),
+    ("<table><b>a</b> <i>b</i><i> c</i><tr><td>x</table>", "ab c\n\nx"), ("<table>a<table>b<tr><td>x</table>c", "a\n\nb\n\nx\n\nc"),
+    ("<table><caption>a</caption><caption>b</caption><td>x</table>", "a\nb\nx"), ("<table><colgroup>a<col><div>b</div><td>x</table>", "a\nb\n\nx"),
+    ("<table><script>no</script><style>no</style><td>x</table>", "x"),
+    ("x <math><mi>a</mi><mo>+</mo><mn>1</mn><annotation>no</annotation></math> y", "x a+1 y"),
+    ("<svg><title>no</title><style/><defs/><defs><text>no</text></defs><text>a</text><text>b<tspan>c</tspan></text></svg>d", "a bc d"),
+    ("<svg><defs><path/><p>out", "out"), ("<svg/>a<svg><foreignObject><p>b</p></foreignObject></svg>", "a\n\nb"),
+    ("<object data=x><param name=y>fall</object> <canvas>back</canvas><video>no</video>", "fall back"),
+]
+
+
+@pytest.mark.parametrize("page, text", OUTSIDE_CELLS)
+def test_all_visible_text(page, text):
+    assert lay.render(page)[0] == text
+
+
 class Words(HTMLParser):
     """Visible words in order; for well-formed pages without tables or inline hiding."""
 
