@@ -51,7 +51,7 @@ def op4_min_bin_slack(spark, sf_dir):
 
 @query
 def op5_compression_distance(spark, sf_dir):
-    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), max_chars=None)
 
 
 @query

@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, what a score may depend on, odd rows."""
 
+import random
 import zlib
 
 import pytest
@@ -56,3 +57,34 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len({r["score"] for r in out if r["doc_id"] == 6}) == 1
     assert toxicity.toxicity_scores(odd_docs, labels.limit(0)).count() == len(out)
     assert toxicity.toxicity_scores(no_docs, labels).count() == 0
+
+
+def test_rare_marks_beside_frequent_ones():
+    """Words of 2.4 % of the toxic texts count beside one of half of them, and beginnings with many endings."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(3, 9))) for _ in range(3000)]
+
+    def text(*marks):
+        out = [rng.choice(words) for _ in range(60)]
+        for mark in marks:
+            out.insert(rng.randrange(len(out)), mark)
+        return " ".join(out)
+
+    def ending():
+        return "".join(rng.choice("aeioulmnrst") for _ in range(4))
+
+    rows = [(text(), 0) for _ in range(2000)]
+    for i in range(1000):
+        rare = "quaffwyg" if i % 42 == 0 else "vequyx" + ending() if i % 5 == 1 else None
+        rows.append((text(*["kkidiotkk"] * (i % 2), *[rare] * (rare is not None)), 1))
+    model = toxicity.fit(rows)
+    common, many, plain = model.score(text("kkidiotkk")), model.score(text("quaffwyg")), max(model.score(text()) for _ in range(20))
+    assert common > plain and many > plain
+    assert sum(model.score(text("vequyx" + ending(), "vequyx" + ending())) > plain for _ in range(20)) >= 15
+
+
+def test_whole_texts_train(spark):
+    docs = spark.createDataFrame([(i, "x" * 30_000 + " end") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    rows, _ = toxicity.training_rows(docs, labels, 30, 500, None)
+    assert rows and all(t.endswith(" end") for t, _ in rows)
