@@ -3,11 +3,15 @@
 The paths of a host form a tree of segments, generalised level by level:
 
 * segments with digits are grouped by their shape (digits as ``#``), the
-  others together; a group of many values that hardly recur is variable and
-  becomes one wildcard branch (``*``, or the shape with ``*`` for digits);
+  others together; in a group of more than ``max_words`` (``max_shapes``)
+  values, those that hold at most one part in so many of its pages are
+  variable and become one wildcard branch (``*``, or the shape with ``*`` for
+  digits), but for branches whose share of bad labels differs from theirs;
 * of the literal branches that stay, those whose share of bad labels doesn't
   differ from that of all of them together (two-proportion z) are merged into
-  one branch ``~``; a branch that differs stays under its own name;
+  one branch ``~``; a branch that differs stays under its own name.  Among
+  variable values z grows with their number, and few labels prove nothing
+  (Bernstein's bound, the z test for many labels);
 * below ``max_depth`` segments the rest of the path is the wildcard ``**``.
 
 The leaves are templates.  The purity of a template is its share of good
@@ -58,7 +62,7 @@ def _counts() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
-def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes: int, max_recur: float, z: float) -> DataFrame:
+def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes: int, z: float) -> DataFrame:
     """``state`` with ``prefix`` one segment longer for the paths that go on."""
     more = F.size("segments") > depth
     segment = F.lit("**") if last else F.get("segments", F.lit(depth))
@@ -69,21 +73,28 @@ def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes:
                    .withColumn("shape", F.when(F.col("segment").rlike("[0-9]"), shape).otherwise("")), "segments")
     group = stored(child.groupBy("host", "prefix", "shape").agg(
         F.count(F.lit(1)).alias("values"), F.sum("n").alias("g_n"), F.sum("labelled").alias("g_labelled"), F.sum("bad").alias("g_bad")), "groups")
-    variable = (F.col("values") > F.when(F.col("shape") == "", max_words).otherwise(max_shapes)) & (F.col("g_n") <= max_recur * F.col("values"))
+    limit = F.when(F.col("shape") == "", max_words).otherwise(max_shapes)
+    variable = F.col("variable")
+    keys = ["host", "prefix", "shape"]
+    child = stored(child.join(group, keys).withColumn("variable", (F.col("values") > limit) & (F.col("n") * limit <= F.col("g_n"))), "marked")
+    many = stored(child.where(variable).groupBy(keys).agg(F.sum("labelled").alias("v_labelled"), F.sum("bad").alias("v_bad")), "variable")
     wildcard = F.when(F.col("shape") == "", "*").otherwise(F.translate("shape", "#", "*"))
     share = F.col("g_bad") / F.col("g_labelled")
     spread = F.sqrt(share * (1 - share) / F.col("labelled"))
     similar = (F.col("labelled") == 0) | (F.abs(F.col("bad") / F.col("labelled") - share) <= z * spread)
+    usual = F.try_divide("v_bad", "v_labelled")
+    off = F.abs(F.col("bad") - F.col("labelled") * usual)
+    differs = F.coalesce(off * off > (z * z + 2 * F.log(F.col("values"))) * (F.col("labelled") * usual * (1 - usual) + off / 3), F.lit(False))
     merged = (F.col("values") > 1) & F.coalesce(similar, F.lit(True))
-    name = F.when(F.col("segment") == "**", "**").when(variable, wildcard).when(merged, "~").otherwise(F.col("segment"))
-    names = child.join(group, ["host", "prefix", "shape"]).select("host", "prefix", "segment", name.alias("name"))
+    name = F.when(F.col("segment") == "**", "**").when(variable & ~differs, wildcard).when(variable, F.col("segment")).when(merged, "~").otherwise(F.col("segment"))
+    names = child.join(many, keys, "left").select("host", "prefix", "segment", name.alias("name"))
     longer = (going.join(names, ["host", "prefix", "segment"])
               .withColumn("prefix", F.concat("prefix", F.lit("/"), "name")).select(*state.columns))
     return stored(longer.unionByName(state.where(~more)), "templates")
 
 
 def path_templates(pages: DataFrame, labels: DataFrame, *, max_depth: int = 6, max_words: int = 30, max_shapes: int = 3,
-                   max_recur: float = 20.0, z: float = 1.96, strength: float = 10.0, min_purity: float = 0.5) -> DataFrame:
+                   z: float = 1.96, strength: float = 10.0, min_purity: float = 0.5) -> DataFrame:
     """Per (host, path): template, purity, rejected.  pages: page_id, host,
     path; labels: page_id, bad (0 or 1)."""
     labelled = labels.where(F.col("bad").isNotNull()).groupBy("page_id").agg(F.count(F.lit(1)).alias("labelled"), F.sum("bad").alias("bad"))
@@ -92,7 +103,7 @@ def path_templates(pages: DataFrame, labels: DataFrame, *, max_depth: int = 6, m
     state = stored(urls.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("prefix", F.lit("")), "urls")
     deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
     for depth in range(min(deepest, max_depth + 1)):
-        state = _level(state, depth, depth == max_depth, max_words, max_shapes, max_recur, z)
+        state = _level(state, depth, depth == max_depth, max_words, max_shapes, z)
         if depth == max_depth:  # the rest is one segment
             break
 

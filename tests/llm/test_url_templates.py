@@ -75,3 +75,21 @@ def test_templates(spark):
     n, bad = 300, sum(b for i, b in labels if rows[i][1].startswith("http://shop.example.org/out"))
     host = 1 - sum(b for _, b in labels) / len(labels)
     assert {r["purity"] for r in out.values() if r["template"] == "/out/*"} == {round((n - bad + 10 * host) / (n + 10), 6)}
+
+
+def test_a_bad_branch_among_many_good_ones(spark):
+    for times in (1, 5):  # as many pages of the same site change nothing
+        rows, labels = [], []
+        for i in range(100):
+            name = "dir" + "".join("abcdefghij"[int(c)] for c in f"{i:02d}")
+            for k in range(10 * times):
+                rows.append((len(rows), f"http://h.org/{name}/p{k}"))
+                labels.append((len(labels), 0))
+        for k in range(500 * times):
+            rows.append((len(rows), f"http://h.org/spam/p{k}"))
+            labels.append((len(labels), 1))
+        rows += [(len(rows) + i, f"http://u.org/{i}/x") for i in range(40)]  # variable, without labels
+        out = ut.url_verdicts(*frames(spark, rows, labels), []).collect()
+        assert {r["verdict"] for r in out if "/spam/" in r["path"]} == {"block"}
+        assert {r["verdict"] for r in out if "/spam/" not in r["path"]} == {"allow"}
+        assert {r["template"].split("/")[1] for r in out} == {"spam", "*"}
