@@ -12,7 +12,11 @@ The paths of a host form a tree of segments, generalised level by level:
   one branch ``~``; a branch that differs stays under its own name.  Among
   variable values z grows with their number, and few labels prove nothing
   (Bernstein's bound, the z test for many labels);
-* below ``max_depth`` segments the rest of the path is the wildcard ``**``.
+* below ``max_depth`` segments the rest of the paths of a prefix is the
+  wildcard ``**`` if its branches can't differ: it is one path, or the labels
+  are all good, all bad or missing.  Else the prefix branches on by the same
+  rules; what all of its paths have in common is passed at once, so long urls
+  cost no levels.
 
 The leaves are templates.  The purity of a template is its share of good
 labels, smoothed towards that of its host, which is smoothed towards that of
@@ -62,11 +66,10 @@ def _counts() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
-def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes: int, z: float) -> DataFrame:
+def _level(state: DataFrame, depth: int, max_words: int, max_shapes: int, z: float) -> DataFrame:
     """``state`` with ``prefix`` one segment longer for the paths that go on."""
     more = F.size("segments") > depth
-    segment = F.lit("**") if last else F.get("segments", F.lit(depth))
-    going = state.where(more).withColumn("segment", segment)
+    going = state.where(more).withColumn("segment", F.get("segments", F.lit(depth)))
     shape = F.regexp_replace("segment", "[0-9]+", "#")
     # both are stored, so that nothing but the join needs the rows of a key together and Spark may split a large group
     child = stored(going.groupBy("host", "prefix", "segment").agg(*_counts())
@@ -86,13 +89,33 @@ def _level(state: DataFrame, depth: int, last: bool, max_words: int, max_shapes:
     off = F.abs(F.col("bad") - F.col("labelled") * usual)
     differs = F.coalesce(off * off > (z * z + 2 * F.log(F.col("values"))) * (F.col("labelled") * usual * (1 - usual) + off / 3), F.lit(False))
     merged = (F.col("values") > 1) & F.coalesce(similar, F.lit(True))
-    name = F.when(F.col("segment") == "**", "**").when(variable & ~differs, wildcard).when(variable, F.col("segment")).when(merged, "~").otherwise(F.col("segment"))
+    name = F.when(variable & ~differs, wildcard).when(variable, F.col("segment")).when(merged, "~").otherwise(F.col("segment"))
     names = child.join(many, keys, "left").select("host", "prefix", "segment", name.alias("name"))
     longer = (going.join(names, ["host", "prefix", "segment"])
               .withColumn("prefix", F.concat("prefix", F.lit("/"), "name")).select(*state.columns))
     return stored(longer.unionByName(state.where(~more)), "templates")
 
 
+def _passed(state: DataFrame) -> DataFrame:
+    """``state``, whose ``segments`` are those left, with ``**`` for the rest
+    under prefixes that needn't branch; of the others without the segments that
+    all paths of a prefix begin with."""
+    more = F.size("segments") > 0
+    going = state.where(more)
+    rests = stored(going.groupBy("host", "prefix").agg(
+        F.count(F.lit(1)).alias("paths"), F.sum("labelled").alias("g_labelled"), F.sum("bad").alias("g_bad"),
+        F.min("segments").alias("first"), F.max("segments").alias("last")), "rests")
+    ends = (F.col("paths") == 1) | (F.col("g_bad") == 0) | (F.col("g_bad") == F.col("g_labelled"))
+    # what the least and the greatest have in common, all between them have
+    other = F.array_position(F.zip_with("first", "last", lambda a, b: a.eqNullSafe(b)), False).cast("int")
+    rests = rests.select("host", "prefix", ends.alias("ends"), F.when(other == 0, F.size("first")).otherwise(other - 1).alias("common"))
+    start = F.array_join(F.slice("segments", F.lit(1), F.col("common")), "/")
+    prefix = F.when(F.col("ends"), F.concat("prefix", F.lit("/**"))).when(F.col("common") > 0, F.concat("prefix", F.lit("/"), start)).otherwise(F.col("prefix"))
+    left = F.when(F.col("ends"), F.slice("segments", 1, 0)).otherwise(F.slice("segments", F.col("common") + 1, F.size("segments")))
+    passed = going.join(rests, ["host", "prefix"]).withColumns({"prefix": prefix, "segments": left}).select(*state.columns)
+    return stored(passed.unionByName(state.where(~more)), "passed")
+
+
 def path_templates(pages: DataFrame, labels: DataFrame, *, max_depth: int = 6, max_words: int = 30, max_shapes: int = 3,
                    z: float = 1.96, strength: float = 10.0, min_purity: float = 0.5) -> DataFrame:
     """Per (host, path): template, purity, rejected.  pages: page_id, host,
@@ -102,10 +125,15 @@ def path_templates(pages: DataFrame, labels: DataFrame, *, max_depth: int = 6, m
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("labelled", F.lit(0))).alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad")))
     state = stored(urls.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("prefix", F.lit("")), "urls")
     deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(min(deepest, max_depth + 1)):
-        state = _level(state, depth, depth == max_depth, max_words, max_shapes, z)
-        if depth == max_depth:  # the rest is one segment
+    for depth in range(min(deepest, max_depth)):
+        state = _level(state, depth, max_words, max_shapes, z)
+    left = F.slice("segments", max_depth + 1, F.size("segments"))
+    while deepest > max_depth:
+        state = _passed(state.withColumn("segments", left))
+        if state.where(F.size("segments") > 0).isEmpty():
             break
+        state = _level(state, 0, max_words, max_shapes, z)
+        left = F.slice("segments", 2, F.size("segments"))
 
     leaves = state.groupBy("host", "prefix").agg(*_counts())
     hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("h_labelled"), F.sum("bad").alias("h_bad"))

@@ -93,3 +93,17 @@ def test_a_bad_branch_among_many_good_ones(spark):
         assert {r["verdict"] for r in out if "/spam/" in r["path"]} == {"block"}
         assert {r["verdict"] for r in out if "/spam/" not in r["path"]} == {"allow"}
         assert {r["template"].split("/")[1] for r in out} == {"spam", "*"}
+
+
+def test_branches_below_the_depth(spark):
+    rows, labels = [], []
+    for i in range(60):
+        for path, bad in (("spam/" + "y/" * 50 + str(i), 1), (f"docs/{i}", 0), ("docs", 0)):
+            labels.append((len(rows), bad))
+            rows.append((len(rows), f"http://h.org/a/b/c/d/e/f/{'x/' * 40}{path}"))
+    rows.append((len(rows), "http://h.org/a/b/c/d/e/f/" + "x/" * 40 + "docs/new"))
+    out = ut.url_verdicts(*frames(spark, rows, labels), []).collect()
+    assert len(out) == len(rows)
+    assert all((r["verdict"] == "block") == ("/spam/" in r["path"]) for r in out)
+    start = "/a/b/c/d/e/f" + "/x" * 40
+    assert {r["template"] for r in out} == {start + "/spam/**", start + "/docs/**", start + "/docs"}
