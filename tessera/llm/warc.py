@@ -216,12 +216,12 @@ def assemble(records: DataFrame) -> DataFrame:
     own = captures.where("record_type = 'response'")
     targets = (own.join(wanted, F.col("response.record_id") == F.col("id"), "left_semi")
                .select(F.col("response.record_id").alias("id"), F.col("page_id").alias("target_page"),
-                       F.col("response.payload_bytes").alias("target_bytes")).dropDuplicates(["id"]))
+                       F.col("response").alias("target")).dropDuplicates(["id"]))
     again = captures.where("record_type = 'revisit'").join(targets, F.col("refers_to") == F.col("id"), "left")
     keep = ["page_id", "target_uri", "record_type", "request", "metadata"]
+    referred = F.struct("target.record_id", "response.payload_digest", "target.payload_bytes", "target.payload")
     return (own.select(*keep, "response", F.lit(None).cast("long").alias("refers_to"))
-            .unionByName(again.select(*keep, F.col("response").withField("payload_bytes", F.col("target_bytes")).alias("response"),
-                                      F.col("target_page").alias("refers_to"))))
+            .unionByName(again.select(*keep, referred.alias("response"), F.col("target_page").alias("refers_to"))))
 
 
 def captures(spark: SparkSession, manifest: DataFrame, with_payload: bool = True) -> DataFrame:

@@ -58,6 +58,17 @@ def test_odd_rows(spark):
     assert text.count(b"WARC-Type: request") == len(rows) and text.count(b"WARC-Type: warcinfo") == manifest.count()
 
 
+def test_revisits_hold_the_response(spark):
+    rows = [(i, f"http://h/{i}", "é" * 600 if i < 4 else "x" * i) for i in range(6)]
+    _, captures = run(spark, spark.createDataFrame(rows, PAGES))
+    out = {r["page_id"]: r for r in captures.collect()}
+    assert sum(r["record_type"] == "revisit" for r in out.values()) == 3
+    for page_id, _, html in rows:
+        assert bytes(out[page_id]["response"]["payload"]).decode() == html
+        target = out[page_id]["refers_to"] if out[page_id]["record_type"] == "revisit" else page_id
+        assert out[page_id]["response"]["record_id"] == out[target]["response"]["record_id"]
+
+
 def test_empty(spark):
     manifest, captures = run(spark, spark.createDataFrame([], PAGES))
     assert manifest.count() == captures.count() == 0
