@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, layout_html, near_dup, oracle, packing, quality, secrets, sketches, toxicity, url_templates, warc
+from tessera.llm import arrow_tokens, decontam, layout_html, merkle, near_dup, oracle, packing, quality, secrets, sketches, toxicity, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -87,5 +87,11 @@ def op12_bottom_k_sketch(spark, sf_dir):
     return sketches.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_slot_pivot(spark, sf_dir):
+    return merkle.verified_documents(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE |= {"op1_distribution_divergence": oracle.OP1, "op6_ownership_frequency": oracle.OP6, "op7_prefix_filtered_join": oracle.OP7,
-           "op9_chosen_path": oracle.OP9, "op10_transaction_assembly": oracle.OP10}
+           "op9_chosen_path": oracle.OP9, "op10_transaction_assembly": oracle.OP10,
+           "op13_slot_pivot": oracle.OP13}

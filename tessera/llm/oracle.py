@@ -148,3 +148,46 @@ SELECT doc_id, n_words, word_chars, cl[1] AS n_symbols, n_dup_lines, n_repeat_wo
 
 
 OP1 = _op1()
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's bytes (DuckDB has none)."""
+    step = "lambda c, z: xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), {step})"
+    digits = f"list_transform(range(1, 2 * octet_length(encode({text})) + 1, 2), lambda i: ('0x' || hex(encode({text}))[i:i + 1])::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {digits}), lambda a, b: {byte}))"
+
+
+def field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+_FIELDS = " || ".join(field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))
+_KEPT = "CASE WHEN {crc} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END".format(crc=crc32("doc_id::VARCHAR"))
+
+OP13 = f"""
+WITH RECURSIVE f AS (SELECT doc_id, source, sha256({_FIELDS} || {field('text')}) AS leaf, sha256({_FIELDS} || {field('kept')}) AS tampered
+  FROM (SELECT *, {_KEPT} AS kept FROM documents)),
+l AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS id,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM f),
+t AS (SELECT 0 AS level, source, pos, leaf AS digest, n FROM l UNION ALL
+  SELECT level + 1, source, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 2) // 3) FROM t WHERE n > 1 GROUP BY level, source, pos // 3),
+sub AS (SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, pos, digest, n FROM sub UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 2) // 3) FROM u WHERE n > 1 GROUP BY level, pos // 3),
+tr AS (SELECT level, source, pos // 3 AS p, list(digest ORDER BY pos) AS ds FROM t WHERE n > 1 GROUP BY ALL),
+ur AS (SELECT level, pos // 3 AS p, list(digest ORDER BY pos) AS ds FROM u WHERE n > 1 GROUP BY ALL),
+a AS (SELECT id, source, 0 AS level, pos, tampered AS node, '' AS proof FROM l UNION ALL
+  SELECT id, a.source, a.level + 1, pos // 3, sha256(array_to_string(list_concat(ds[:pos % 3], [node], ds[pos % 3 + 2:]), '')),
+    proof || array_to_string(list_concat(ds[:pos % 3], ds[pos % 3 + 2:]), '')
+  FROM a JOIN tr ON tr.level = a.level AND tr.source IS NOT DISTINCT FROM a.source AND tr.p = pos // 3),
+b AS (SELECT id, 0 AS level, sub.pos, node, proof FROM (SELECT id, arg_max(node, level) AS node, arg_max(proof, level) AS proof, any_value(source) AS source
+    FROM a GROUP BY id) x JOIN sub ON sub.source IS NOT DISTINCT FROM x.source UNION ALL
+  SELECT id, b.level + 1, pos // 3, sha256(array_to_string(list_concat(ds[:pos % 3], [node], ds[pos % 3 + 2:]), '')),
+    proof || array_to_string(list_concat(ds[:pos % 3], ds[pos % 3 + 2:]), '')
+  FROM b JOIN ur ON ur.level = b.level AND ur.p = pos // 3),
+r AS (SELECT digest AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, sub.digest AS subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM (SELECT id, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM b GROUP BY id) x JOIN l USING (id)
+JOIN sub ON sub.source IS NOT DISTINCT FROM l.source CROSS JOIN r
+"""
