@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, decontam, layout_html, merkle, near_dup, oracle, packing, quality, secrets, sketches, toxicity, url_templates, warc
+from tessera.llm import arrow_tokens, decontam, layout_html, merkle, near_dup, oracle, packing, quality, repair, secrets, sketches, toxicity, url_templates, warc
 from tessera.llm._common import read_table, scratch
 from tessera.llm.tokens import tokenizer_path
 
@@ -82,6 +82,11 @@ def op10_transaction_assembly(spark, sf_dir):
         "page_id", "response.payload_bytes", "response.payload_digest", "record_type", "refers_to")
 
 
+@query
+def op11_rank_convergence(spark, sf_dir):
+    return repair.repaired_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_bottom_k_sketch(spark, sf_dir):
     return sketches.edited_fingerprints(read_table(spark, sf_dir, "documents"))
