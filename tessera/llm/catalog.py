@@ -99,4 +99,4 @@ def op13_slot_pivot(spark, sf_dir):
 
 ORACLE |= {"op1_distribution_divergence": oracle.OP1, "op6_ownership_frequency": oracle.OP6, "op7_prefix_filtered_join": oracle.OP7,
            "op9_chosen_path": oracle.OP9, "op10_transaction_assembly": oracle.OP10,
-           "op13_slot_pivot": oracle.OP13}
+           "op11_rank_convergence": oracle.OP11, "op13_slot_pivot": oracle.OP13}

@@ -191,3 +191,47 @@ SELECT doc_id, leaf, sub.digest AS subroot, root, sha256(proof) AS proof_sha256,
 FROM (SELECT id, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM b GROUP BY id) x JOIN l USING (id)
 JOIN sub ON sub.source IS NOT DISTINCT FROM l.source CROSS JOIN r
 """
+
+
+_SHOWN = "coalesce({0}::VARCHAR, ' ')"
+_KEY = crc32("(" + _SHOWN.format("conv_id") + " || ':' || " + _SHOWN.format("turn") + ")")
+
+OP11 = rf"""
+WITH RECURSIVE h AS (SELECT conv_id, turn, {_SHOWN.format('role')} AS role, {_SHOWN.format('text')} AS text, {_KEY} % 20 AS h FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+  CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) FROM h WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(len(role) || ':' || role || text)) AS i,
+  count(*) OVER (PARTITION BY conv_id) AS n, regexp_replace(text, '[ 	-]+$', '') AS body FROM d),
+f AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS x,
+  left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM o),
+g AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS free, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS m FROM f),
+v AS (SELECT conv_id, n + 1 AS i, 0 AS e, 6 AS s, 3 AS u, 0 AS a FROM (SELECT DISTINCT conv_id, n FROM g) UNION ALL
+  SELECT conv_id, i, least(re, 3 + least(ru, 3 + ra)), least(rs, 3 + least(ru, 3 + ra)), least(ru, 3 + ra), least(ra, 3 + ru) FROM (
+    SELECT v.conv_id, g.i, least(4 + e, CASE WHEN NOT free THEN 999999 WHEN x = 's' THEN least(m + s, 3 + m + u) WHEN x = 'u' THEN m + u ELSE 3 + m + u END) AS re,
+      least(4 + s, CASE WHEN NOT free THEN 999999 WHEN x = 'u' THEN m + u ELSE 3 + m + u END) AS rs,
+      least(4 + u, CASE WHEN NOT free THEN 999999 WHEN x = 'a' THEN m + a ELSE 3 + m + a END) AS ru,
+      least(4 + a, CASE WHEN NOT free THEN 999999 WHEN x = 'u' THEN m + u ELSE 3 + m + u END) AS ra
+    FROM v JOIN g ON g.conv_id IS NOT DISTINCT FROM v.conv_id AND g.i = v.i - 1)),
+c AS (SELECT conv_id, i, [e, s, u, a] AS c FROM v),
+st AS (SELECT a.conv_id, a.i, a.c, b.c AS after, role, text, free, m, x FROM c a LEFT JOIN c b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = a.i + 1
+  LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM a.conv_id AND g.i = a.i),
+w AS (SELECT DISTINCT conv_id, 1::BIGINT AS i, 1 AS k, '' AS audit, []::VARCHAR[] AS rows, 0 AS step FROM c UNION ALL
+  SELECT conv_id, CASE WHEN op = 'I' THEN i ELSE i + 1 END, CASE op WHEN 'D' THEN k WHEN 'K' THEN kept ELSE into_ END, audit || op,
+    CASE op WHEN 'D' THEN rows WHEN 'K' THEN list_append(rows, role || ':' || text)
+      ELSE list_append(rows, CASE WHEN into_ = 3 THEN 'user:' ELSE 'assistant:' END || CASE WHEN op = 'R' THEN text ELSE '' END) END, step + 1
+  FROM (SELECT *, CASE WHEN after IS NULL AND k IN (1, 4) THEN NULL WHEN 4 + after[k] = c[k] THEN 'D' WHEN 3 + c[into_] = c[k] THEN 'I'
+      WHEN kept IS NOT NULL AND m + after[kept] = c[k] THEN 'K' ELSE 'R' END AS op
+    FROM (SELECT w.*, st.c, after, role, text, m, CASE WHEN k = 3 THEN 4 ELSE 3 END AS into_,
+        CASE WHEN NOT free THEN NULL WHEN x = 's' AND k = 1 THEN 2 WHEN x = 'u' AND k <> 3 THEN 3 WHEN x = 'a' AND k = 3 THEN 4 END AS kept
+      FROM w JOIN st ON st.conv_id IS NOT DISTINCT FROM w.conv_id AND st.i = w.i)) WHERE op IS NOT NULL),
+e AS (SELECT conv_id, arg_max(audit, step) AS audit, arg_max(rows, step) AS rows FROM w GROUP BY conv_id),
+q AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(c[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(array_to_string(rows, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) z LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM z.conv_id
+LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM z.conv_id LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM z.conv_id AND c.i = 1
+"""
