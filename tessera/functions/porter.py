@@ -7,17 +7,12 @@ the common Python implementation: irregular forms; ``ies`` and ``ied`` of
 four-letter words give ``ie``; a final y changes only after a consonant that
 isn't the first letter; ``alli`` is taken off before the rest of step 2;
 ``fulli -> ful``; ``logi`` counts its l with the stem; and a two-letter
-vowel-consonant stem counts as short.  Each step is a plain SQL
-expression over ``w`` (the word being stemmed).  Spark evaluates the chain
-as nested one-element ``transform`` lambdas over a ``(w, cut, orig)``
-struct (see :func:`tessera.functions.text.stem`): the expression grows
-linearly with the number of steps, carries no aliases (so the optimizer's
-constraint propagation has nothing to compose), and runs once per distinct
-word of the corpus.
-
-The same step list renders to DuckDB SQL for the test oracle: the only
-dialect differences are the regex-match and regex-replace function names
-and the back-reference syntax.
+vowel-consonant stem counts as short.
+
+Two forms that share only the suffix tables: :func:`stem`, a Spark column
+expression, looks at a word's last letters first, so that most steps cost a
+few comparisons, and can be used inside array functions; :func:`steps` renders
+the algorithm step by step as DuckDB SQL, the test oracle.
 
 Vowels/consonants: ``a e i o u`` are vowels; ``y`` is a vowel unless it
 starts the word or follows a vowel.  Step 0 marks every consonant ``y`` as
@@ -28,6 +23,11 @@ consonant.  The final step lower-cases the word again.
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 V = "[aeiouy]"
 C = "[^aeiouy]"
 
@@ -59,52 +59,38 @@ IRREGULAR = {"skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tyin
              "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
 
 
-class _Dialect:
-    """The few spellings that differ between Spark SQL and DuckDB."""
-
-    def __init__(self, name: str):
-        self.name = name
-
-    def match(self, expr: str, pattern: str) -> str:
-        if self.name == "spark":
-            return f"rlike({expr}, '{pattern}')"
-        return f"regexp_matches({expr}, '{pattern}')"
-
-    def replace_all(self, expr: str, pattern: str, repl_group1: str) -> str:
-        """Replace every match; the replacement is group 1 followed by text."""
-        if self.name == "spark":
-            return f"regexp_replace({expr}, '{pattern}', '$1{repl_group1}')"
-        return f"regexp_replace({expr}, '{pattern}', '\\1{repl_group1}', 'g')"
-
-
 def _stem(w: str, k: int) -> str:
     return f"substr({w}, 1, length({w}) - {k})"
 
 
-def _m_gt0(d: _Dialect, s: str) -> str:
-    return d.match(s, f"^{C}*{V}+{C}")
+def _match(expr: str, pattern: str) -> str:
+    return f"regexp_matches({expr}, '{pattern}')"
+
 
+def _m_gt0(s: str) -> str:
+    return _match(s, f"^{C}*{V}+{C}")
 
-def _m_gt1(d: _Dialect, s: str) -> str:
-    return d.match(s, f"^{C}*{V}+{C}+{V}+{C}")
 
+def _m_gt1(s: str) -> str:
+    return _match(s, f"^{C}*{V}+{C}+{V}+{C}")
 
-def _m_eq1(d: _Dialect, s: str) -> str:
-    return f"({_m_gt0(d, s)} AND NOT {_m_gt1(d, s)})"
 
+def _m_eq1(s: str) -> str:
+    return f"({_m_gt0(s)} AND NOT {_m_gt1(s)})"
 
-def _cvc(d: _Dialect, s: str) -> str:
+
+def _cvc(s: str) -> str:
     # consonant-vowel-consonant at the end, the last one not w, x or y; or a
     # vowel and a consonant alone
-    return f"({d.match(s, f'{C}{V}[^aeiouywxY]$')} OR {d.match(s, f'^{V}{C}$')})"
+    return f"({_match(s, f'{C}{V}[^aeiouywxY]$')} OR {_match(s, f'^{V}{C}$')})"
 
 
-def _double(d: _Dialect, s: str) -> str:
+def _double(s: str) -> str:
     # two equal consonants at the end (a vowel y and a consonant Y count
     # as the same letter, as in the original character test)
     return (f"(length({s}) >= 2 AND lower(substr({s}, length({s}), 1)) = "
             f"lower(substr({s}, length({s}) - 1, 1)) AND "
-            f"{d.match(f'substr({s}, length({s}), 1)', f'^{C}$')})")
+            f"{_match(f'substr({s}, length({s}), 1)', f'^{C}$')})")
 
 
 def _suffix_case(w: str, table, cond) -> str:
@@ -119,63 +105,59 @@ def _suffix_case(w: str, table, cond) -> str:
     return "CASE " + " ".join(whens) + f" ELSE {w} END"
 
 
-def steps(dialect: str = "spark", w: str = "w", cut: str = "cut") -> list[tuple[str, str]]:
-    """Ordered (column, SQL expression) assignments.
+def steps(w: str = "w", cut: str = "cut") -> list[tuple[str, str]]:
+    """The oracle's form: ordered (column, DuckDB expression) assignments.
 
     Input columns: ``w`` (the lower-case word).  Output: ``w`` stemmed.  A
     helper column ``cut`` carries "step 1b removed ed/ing" between the two
     halves of step 1b.  The caller keeps the original word for the
-    length <= 2 rule (see :func:`final`).  ``w`` and ``cut`` name the SQL
-    references to use; the first element of each pair is the logical
-    target (``"w"`` or ``"cut"``).
+    length <= 2 rule (see :func:`final`).
     """
-    d = _Dialect(dialect)
     out: list[tuple[str, str]] = []
     # step 0: mark consonant y
-    out.append(("w", d.replace_all(
-        f"regexp_replace({w}, '^y', 'Y')", "([aeiouy])y", "Y")))
+    out.append(("w", f"regexp_replace(regexp_replace({w}, '^y', 'Y'), '([aeiouy])y', '\\1Y', 'g')"))
     # step 1a
     out.append(("w", f"CASE WHEN length({w}) = 4 AND {w} LIKE '%ies' THEN {_stem(w, 1)} "
                    f"WHEN {w} LIKE '%sses' OR {w} LIKE '%ies' THEN {_stem(w, 2)} "
                    f"WHEN {w} LIKE '%ss' THEN {w} "
                    f"WHEN {w} LIKE '%s' THEN {_stem(w, 1)} ELSE {w} END"))
     # step 1b, first half: eed / ed / ing
-    ed_ok = f"({w} LIKE '%ed' AND NOT {w} LIKE '%eed' AND NOT {w} LIKE '%ied' AND {d.match(_stem(w, 2), V)})"
-    ing_ok = f"({w} LIKE '%ing' AND NOT {w} LIKE '%eed' AND {d.match(_stem(w, 3), V)})"
+    ed_ok = f"({w} LIKE '%ed' AND NOT {w} LIKE '%eed' AND NOT {w} LIKE '%ied' AND {_match(_stem(w, 2), V)})"
+    ing_ok = f"({w} LIKE '%ing' AND NOT {w} LIKE '%eed' AND {_match(_stem(w, 3), V)})"
     out.append(("cut", f"({ed_ok} OR {ing_ok})"))
     out.append(("w", f"CASE WHEN {w} LIKE '%ied' THEN (CASE WHEN length({w}) = 4 THEN {_stem(w, 1)} ELSE {_stem(w, 2)} END) "
                    f"WHEN {w} LIKE '%eed' THEN "
-                   f"(CASE WHEN {_m_gt0(d, _stem(w, 3))} THEN {_stem(w, 1)} ELSE {w} END) "
+                   f"(CASE WHEN {_m_gt0(_stem(w, 3))} THEN {_stem(w, 1)} ELSE {w} END) "
                    f"WHEN {ed_ok} THEN {_stem(w, 2)} "
                    f"WHEN {ing_ok} THEN {_stem(w, 3)} ELSE {w} END"))
     # step 1b, second half: repair the cut stem
     out.append(("w", f"CASE WHEN NOT {cut} THEN {w} "
                    f"WHEN {w} LIKE '%at' OR {w} LIKE '%bl' OR {w} LIKE '%iz' THEN {w} || 'e' "
-                   f"WHEN {_double(d, w)} AND NOT {d.match(w, '[lsz]$')} THEN {_stem(w, 1)} "
-                   f"WHEN {_m_eq1(d, w)} AND {_cvc(d, w)} THEN {w} || 'e' "
+                   f"WHEN {_double(w)} AND NOT {_match(w, '[lsz]$')} THEN {_stem(w, 1)} "
+                   f"WHEN {_m_eq1(w)} AND {_cvc(w)} THEN {w} || 'e' "
                    f"ELSE {w} END"))
     # step 1c: y -> i after a consonant that isn't the first letter
-    out.append(("w", f"CASE WHEN {d.match(w, '[yY]$')} AND {d.match(_stem(w, 1), f'.{C}$')} "
+    out.append(("w", f"CASE WHEN {_match(w, '[yY]$')} AND {_match(_stem(w, 1), f'.{C}$')} "
                    f"THEN {_stem(w, 1)} || 'i' ELSE {w} END"))
     # step 2 (m > 0), alli first; the l of logi is the stem's
-    out.append(("w", f"CASE WHEN {w} LIKE '%alli' AND {_m_gt0(d, _stem(w, 4))} THEN {_stem(w, 2)} ELSE {w} END"))
-    out.append(("w", _suffix_case(w, STEP2, lambda s, suf: _m_gt0(d, _stem(w, 3) if suf == "logi" else s))))
+    out.append(("w", f"CASE WHEN {w} LIKE '%alli' AND {_m_gt0(_stem(w, 4))} THEN {_stem(w, 2)} ELSE {w} END"))
+    out.append(("w", _suffix_case(w, STEP2, lambda s, suf: _m_gt0(_stem(w, 3) if suf == "logi" else s))))
     # step 3 (m > 0)
-    out.append(("w", _suffix_case(w, STEP3, lambda s, _: _m_gt0(d, s))))
+    out.append(("w", _suffix_case(w, STEP3, lambda s, _: _m_gt0(s))))
 
     # step 4: m > 1
     def cond4(s, suf):
         if suf == "ion":
-            return f"({d.match(s, '[st]$')} AND {_m_gt1(d, s)})"
-        return _m_gt1(d, s)
+            return f"({_match(s, '[st]$')} AND {_m_gt1(s)})"
+        return _m_gt1(s)
 
     out.append(("w", _suffix_case(w, [(s, "") for s in STEP4], cond4)))
     # step 5a: final e
     s1 = _stem(w, 1)
-    out.append(("w", f"CASE WHEN {w} LIKE '%e' AND ({_m_gt1(d, s1)} OR "
-                   f"({_m_eq1(d, s1)} AND NOT {_cvc(d, s1)})) THEN {s1} ELSE {w} END"))
+    out.append(("w", f"CASE WHEN {w} LIKE '%e' AND ({_m_gt1(s1)} OR "
+                   f"({_m_eq1(s1)} AND NOT {_cvc(s1)})) THEN {s1} ELSE {w} END"))
     # step 5b: ll -> l when m > 1
-    out.append(("w", f"CASE WHEN {w} LIKE '%ll' AND {_m_gt1(d, w)} THEN {s1} ELSE {w} END"))
+    out.append(("w", f"CASE WHEN {w} LIKE '%ll' AND {_m_gt1(w)} THEN {s1} ELSE {w} END"))
     return out
 
 
@@ -183,3 +165,113 @@ def final(orig: str = "orig", w: str = "w") -> str:
     """Irregular forms; words of one or two letters stay as they are; un-mark ``Y``."""
     forms = " ".join(f"WHEN {orig} = '{a}' THEN '{b}'" for a, b in IRREGULAR.items())
     return f"CASE {forms} WHEN length({orig}) <= 2 THEN {orig} ELSE lower({w}) END"
+
+
+# ------------------------------------------------------------- Spark column
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, the value being evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _less(w: Column, k: int) -> Column:
+    """``w`` without its last k letters (none left if it is shorter)."""
+    return F.substr(w, F.lit(1), F.length(w) - k)
+
+
+def _measure(w: Column, more_than: int) -> Column:
+    """Has more vowel-consonant sequences than 0 or 1."""
+    return w.rlike(f"^{C}*" + f"{V}+{C}+" * more_than + f"{V}+{C}")
+
+
+def _is_cvc(w: Column) -> Column:
+    return w.rlike(f"{C}{V}[^aeiouywxY]$|^{V}{C}$")
+
+
+def _replace_suffix(w: Column, table, allowed) -> Column:
+    """The longest suffix of ``table`` gives way to its replacement if what is
+    left is ``allowed``.  Branches by last letter, so a word meets few suffixes."""
+    out = None
+    for letter in sorted({suffix[-1] for suffix, _ in table}):
+        case = None
+        for suffix, new in sorted((r for r in table if r[0][-1] == letter), key=lambda r: -len(r[0])):
+            left = _less(w, len(suffix))
+            then = F.when(allowed(w, left, suffix), F.concat(left, F.lit(new)) if new else left).otherwise(w)
+            case = F.when(w.endswith(suffix), then) if case is None else case.when(w.endswith(suffix), then)
+        out = F.when(w.endswith(letter), case.otherwise(w)) if out is None else out.when(w.endswith(letter), case.otherwise(w))
+    return out.otherwise(w)
+
+
+def _mark_y(w: Column) -> Column:
+    return F.when(F.contains(w, F.lit("y")), F.regexp_replace(F.regexp_replace(w, "^y", "Y"), "([aeiouy])y", "$1Y")).otherwise(w)
+
+
+def _plural(w: Column) -> Column:
+    # ies of four letters keeps ie; sses, ies lose es; ss stays
+    two = w.endswith("sses") | (w.endswith("ies") & (F.length(w) != 4))
+    return F.when(~w.endswith("s") | (w.endswith("ss") & ~w.endswith("sses")), w).when(two, _less(w, 2)).otherwise(_less(w, 1))
+
+
+def _mend(w: Column) -> Column:
+    """After ed or ing: at, bl, iz get an e; a double consonant but l, s, z
+    loses one; a short word gets an e."""
+    double = w.rlike(f"({C})\\1$|yY$") & ~w.rlike("[lsz]$")
+    return (F.when(w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e"))).when(double, _less(w, 1))
+            .when(_measure(w, 0) & ~_measure(w, 1) & _is_cvc(w), F.concat(w, F.lit("e"))).otherwise(w))
+
+
+def _past(w: Column) -> Column:
+    def cut(k):
+        return _let(_less(w, k), lambda left: F.when(left.rlike(V), _mend(left)).otherwise(w))
+    return (F.when(w.endswith("ied"), F.when(F.length(w) == 4, _less(w, 1)).otherwise(_less(w, 2)))
+            .when(w.endswith("eed"), F.when(_measure(_less(w, 3), 0), _less(w, 1)).otherwise(w))
+            .when(w.endswith("ed"), cut(2)).when(w.endswith("ing"), cut(3)).otherwise(w))
+
+
+def _final_y(w: Column) -> Column:
+    return F.when((w.endswith("y") | w.endswith("Y")) & _less(w, 1).rlike(f".{C}$"), F.concat(_less(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _alli(w: Column) -> Column:
+    return F.when(w.endswith("alli") & _measure(_less(w, 4), 0), _less(w, 2)).otherwise(w)
+
+
+def _final_e(w: Column) -> Column:
+    left = _less(w, 1)
+    return F.when(w.endswith("e"), F.when(_measure(left, 1) | (_measure(left, 0) & ~_is_cvc(left)), left).otherwise(w)).otherwise(w)
+
+
+def _final_ll(w: Column) -> Column:
+    return F.when(w.endswith("ll"), F.when(_measure(w, 1), _less(w, 1)).otherwise(w)).otherwise(w)
+
+
+@functools.cache
+def _stems(words: str) -> Column:
+    return stems(F.col(words))
+
+
+def stems(words: Column | str) -> Column:
+    """T5: the Porter stems of an array of lower-case words; irregular forms
+    first, words of one or two letters as they are.  Each stage runs over the
+    whole array, so no lambda stands inside another but where a word is cut.
+    The expression for a column's name is built once."""
+    if isinstance(words, str):
+        return _stems(words)
+    stages = [
+        _mark_y, _plural, _past, _final_y, _alli,
+        lambda w: _replace_suffix(w, STEP2, lambda w, left, s: _measure(_less(w, 3) if s == "logi" else left, 0)),
+        lambda w: _replace_suffix(w, STEP3, lambda w, left, s: _measure(left, 0)),
+        lambda w: _replace_suffix(w, [(s, "") for s in STEP4],
+                                  lambda w, left, s: _measure(left, 1) & left.rlike("[st]$") if s == "ion" else _measure(left, 1)),
+        _final_e, _final_ll,
+    ]
+    out = words
+    for stage in stages:
+        out = F.transform(out, stage)
+    irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
+    return F.zip_with(words, out, lambda w, s: F.when(F.length(w) <= 2, w).otherwise(F.coalesce(F.try_element_at(irregular, w), F.lower(s))))
+
+
+def stem(word: Column) -> Column:
+    """T5 of one word."""
+    return stems(F.array(word))[0]

@@ -13,8 +13,8 @@ Order of the steps matters and follows the reference pipeline:
 Everything is a native Spark expression (no Python UDF).  Two forms:
 
 * :func:`analyze` - an ``array<string>`` column, for per-row use (no stem);
-* :func:`analyze_tokens` - the weighted long table ``(id, term, n)``; the
-  Porter chain runs once per distinct word (a stem dictionary).
+* :func:`analyze_tokens` - the weighted long table ``(id, term, n)``, counted
+  inside each document's row (no shuffle), each distinct word stemmed once.
 
 Known deviations from an NLTK tokenizer (accepted, see README): ``...`` and
 quote tokens are never produced; ``don't`` stays whole (and is a stop word);
@@ -110,105 +110,72 @@ def analyze(text: Column, stop: bool = True, do_fold: bool = True) -> Column:
     return split_pieces(toks)
 
 
-def stem_sql(word_sql: str) -> str:
-    """T5: the Porter chain as one Spark SQL expression over ``word_sql``.
+def term_bags(df: DataFrame, keys: list[str], text_col: str, stop: bool = True,
+              stem: bool = True, do_fold: bool = True) -> DataFrame:
+    """T1-T11 and T13 inside the text's own row: ``keys`` and ``terms``, an
+    array of (term, n), n being the number of occurrences of ``term``.
 
-    The steps are nested one-element ``transform`` lambdas over a struct
-    ``(w, cut, orig)``: the text grows linearly with the number of steps and
-    holds no aliases (so constraint propagation has nothing to compose).
+    Words are sorted and counted in the row, every distinct word of the row is
+    stemmed, folded and split once, and the terms that came of several words
+    are counted together.  Nothing is shuffled and no dictionary is kept, so
+    the work grows with the texts alone, whatever the vocabulary.
     """
-    state = f"array(named_struct('w', {word_sql}, 'cut', false, 'orig', {word_sql}))"
-    for name, expr in porter.steps("spark", w="x.w", cut="x.cut"):
-        w_new = expr if name == "w" else "x.w"
-        cut_new = expr if name == "cut" else "x.cut"
-        state = f"transform({state}, x -> named_struct('w', {w_new}, 'cut', {cut_new}, 'orig', x.orig))"
-    state = f"transform({state}, x -> {porter.final('x.orig', 'x.w')})"
-    return f"element_at({state}, 1)"
-
-
-def stem_column(df: DataFrame, col: str = "w", chain: bool = False) -> DataFrame:
-    """T5+T6: replace ``col`` by its Porter stem (possessive stripped first).
-
-    ``chain=True`` runs one codegen'd projection per step instead of the
-    lambda form: faster on large inputs, but only for plans that are
-    written out right after (a join or filter above the chain would make
-    constraint propagation compose the step aliases).
-    """
-    tmp = "_stem_in"
-    out = df.withColumn(tmp, F.regexp_replace(F.col(col), POSSESSIVE_RE, ""))
-    if not chain:
-        return out.withColumn(col, F.expr(stem_sql(tmp))).drop(tmp)
-    other = [c for c in df.columns if c != col]
-    out = out.select(*other, F.col(tmp).alias("_w"), F.col(tmp).alias("_orig"), F.lit(False).alias("_cut"))
-    for name, expr in porter.steps("spark", w="_w", cut="_cut"):
-        out = out.withColumn("_" + name, F.expr(expr))
-    return out.select(*other, F.expr(porter.final("_orig", "_w")).alias(col))
-
-
-def raw_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True) -> DataFrame:
-    """T1-T3 + T13: ``(id_col, w, n)``: each distinct lower-case token of a
-    document with its count (one row per document and token)."""
-    toks = tokenize(F.col(text_col))
+    words = tokenize(F.col(text_col))
     if stop:
-        toks = remove_stop_words(toks)
-    t = df.select(F.col(id_col), F.explode(toks).alias("w"))
-    return t.groupBy(id_col, "w").agg(F.count(F.lit(1)).cast("long").alias("n"))
+        words = remove_stop_words(words)
+    # one column after the other: each is evaluated once
+    runs = _runs(df.select(*keys, F.sort_array(words).alias("_s")), keys, lambda w: w)
+    counted = runs.select(*keys, F.transform("_a", lambda a: F.get("_s", a)).alias("_w"),
+                          F.zip_with("_a", "_z", lambda a, z: (z - a).cast("long")).alias("_n"))
+    counted = counted.select(*keys, F.transform("_w", lambda w: F.regexp_replace(w, POSSESSIVE_RE, "")).alias("_w"), "_n")
+    out = porter.stems("_w") if stem else F.col("_w")
+    pieces = F.flatten(F.zip_with(out, "_n", lambda w, n: F.transform(_pieces(w, do_fold), lambda t: F.struct(t.alias("term"), n.alias("n")))))
+    merged = _runs(counted.select(*keys, F.sort_array(pieces).alias("_s")), keys, lambda t: t["term"])
+    return merged.select(*keys, F.zip_with("_a", "_z", lambda a, z: F.struct(
+        F.get("_s", a)["term"].alias("term"),
+        F.when(z == a + 1, F.get("_s", a)["n"]).otherwise(
+            F.aggregate(F.slice("_s", a + 1, z - a), F.lit(0).cast("long"), lambda n, t: n + t["n"])).alias("n"))).alias("terms"))
+
+
+def _runs(df: DataFrame, keys: list[str], value) -> DataFrame:
+    """Runs of equal values in the sorted array ``_s``: ``_a`` and ``_z``, the
+    positions of each run's first item and of the one after its last."""
+    size = F.size("_s")
+    first = F.filter(F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>")),
+                     lambda i: (i == 0) | (value(F.get("_s", i)) != value(F.get("_s", i - 1))))
+    started = df.select(*keys, "_s", first.alias("_a"))
+    return started.select(*keys, "_s", "_a", F.when(F.size("_a") > 0, F.concat(F.slice("_a", F.lit(2), F.size("_a")), F.array(size)))
+                          .otherwise(F.array().cast("array<int>")).alias("_z"))
 
 
 def _pieces(w: Column, do_fold: bool) -> Column:
     """T7-T10 on one (stemmed) word: fold, blank out ' and -, drop empty or
     all-digit words, split on blanks, drop empty pieces."""
+    plain = w
     if do_fold:
         w = fold(w)
     w = F.translate(w, "'-", "  ")
     parts = F.when((w == "") | w.rlike(DIGITS_RE), F.array().cast("array<string>")) \
         .otherwise(F.split(F.trim(w), " +"))
-    return F.filter(parts, lambda t: t != "")
-
-
-def word_dictionary(words: DataFrame, stem: bool = True, do_fold: bool = True,
-                    materialize: bool = False) -> DataFrame:
-    """``(w, pieces)``: the final terms of each distinct raw word.
-
-    With ``materialize`` the stem runs as the codegen'd projection chain and
-    the dictionary is written to the shared folder (read back as a plain
-    scan, so no optimizer rule ever sees the chain under a join).
-    """
-    d = words.select("w").distinct().withColumn("s", F.col("w"))
-    if stem:
-        d = stem_column(d, "s", chain=materialize)
-    d = d.select("w", _pieces(F.col("s"), do_fold).alias("pieces"))
-    if not materialize:
-        return d
-    from tessera.sources.files import materialize as _mat
-    return _mat(d, "word-dictionary")
+    return F.when(plain.rlike("^[a-z]+$"), F.array(plain)).otherwise(F.filter(parts, lambda t: t != ""))
 
 
-def analyze_tokens(df: DataFrame, id_col: str, text_col: str, stop: bool = True,
+def analyze_tokens(df: DataFrame, id_col: str | list[str], text_col: str, stop: bool = True,
                    stem: bool = True, do_fold: bool = True, term_col: str = "term",
                    materialize: bool = False) -> DataFrame:
-    """The weighted token table ``(id_col, term, n)`` of a text column;
-    ``n`` is the number of occurrences of ``term`` in the document.
-
-    Tokens are counted per document first (the per-document partial
-    aggregation needs no shuffle when the input is partitioned by id).  All
-    string work after tokenising (stem, fold, split) runs once per
-    *distinct* word: a word dictionary is built and joined back (broadcast
-    by Spark below its byte threshold, else a shuffle join with AQE splitting
-    hot words).  ``materialize``
-    writes the per-document counts, the dictionary and the result to the
-    shared folder, so the corpus is tokenised once and every consumer
-    (document frequency, postings, norms) reads the same table.  Documents
-    with no token produce no row; callers count documents from ``df``.
+    """The weighted token table ``(id_col, term, n)`` of a text column, one
+    row per document (a row of ``df``) and term; ``id_col`` may be several
+    columns.  See :func:`term_bags`: no shuffle.  ``materialize`` writes it to
+    the shared folder, so the corpus is analysed once for all consumers.
+    Documents with no token produce no row; callers count documents from ``df``.
     """
     from tessera.sources.files import materialize as _mat
-    raw = raw_tokens(df, id_col, text_col, stop)
-    if materialize:
-        raw = _mat(raw, "raw-tokens")
-    dic = word_dictionary(raw.select("w"), stem=stem, do_fold=do_fold, materialize=materialize)
-    j = raw.join(dic, "w")
-    t = j.select(id_col, F.explode("pieces").alias(term_col), "n")
-    out = t.groupBy(id_col, term_col).agg(F.sum("n").cast("long").alias("n"))
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    bags = term_bags(df, keys, text_col, stop=stop, stem=stem, do_fold=do_fold)
+    # outer: else the optimizer infers a filter on the array's size and computes
+    # the whole array a second time for it
+    out = (bags.select(*keys, F.explode_outer("terms").alias("_t")).select(*keys, F.col("_t.term").alias(term_col), F.col("_t.n").alias("n"))
+           .where(F.col(term_col).isNotNull()))
     return _mat(out, "tokens") if materialize else out
 
 
@@ -274,7 +241,7 @@ def sql_tokens_ctes(prefix: str, source_sql: str, id_col: str, text_col: str,
                     f"{_sql_str(POSSESSIVE_RE)}, '') AS w FROM {last})")
         ctes.append(f"{prefix}_o AS (SELECT {id_col}, w, w AS orig, false AS cut FROM {prefix}_p)")
         last = f"{prefix}_o"
-        for i, (name, expr) in enumerate(porter.steps("duckdb")):
+        for i, (name, expr) in enumerate(porter.steps()):
             ctes.append(f"{prefix}_s{i} AS (SELECT * REPLACE ({expr} AS {name}) FROM {last})")
             last = f"{prefix}_s{i}"
         ctes.append(f"{prefix}_f AS (SELECT {id_col}, {porter.final('orig', 'w')} AS w FROM {last})")

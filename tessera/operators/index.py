@@ -10,12 +10,12 @@ dense id):
 * ``postings``  (term, doc_id, tf, w, wn)   w = tf * idf, wn = w / |d|
 * ``norms``     (doc_id, norm)              sqrt(sum w^2)
 
-Shuffles, in order: the tf aggregation on (doc_id, term) after a map-side
-partial count; the document-frequency count on term (partial first); the
-tf x idf join on term (AQE turns it into a broadcast when the vocabulary is
-small at run time, otherwise sort-merge with skew splitting of hot terms);
-the per-document norm, a window on doc_id (a document is already one row,
-so the group is bounded by one document's length).
+Shuffles, in order: none for the term frequencies (counted in the document's
+row, :func:`tessera.functions.text.term_bags`); the document-frequency count on
+term (partial first); the tf x idf join on term (broadcast while the vocabulary
+is small, otherwise sort-merge with skew splitting of hot terms); the norms, a
+sum by document of which partial sums are shuffled, joined back.  Written are
+tf, idf and, when first used, the norms (one row per document).
 
 A posting list is never collected into one row: a frequent term may hold a
 large share of all documents.
@@ -31,15 +31,9 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 
 
-def term_freq(tokens: DataFrame, id_col: str = "doc_id", term_col: str = "term") -> DataFrame:
-    """I4: raw term frequency per (document, term) from the weighted
-    token table (already one row per document and term)."""
-    return tokens.select(id_col, term_col, F.col("n").alias("tf"))
-
-
-def doc_freq(tf: DataFrame, term_col: str = "term") -> DataFrame:
+def doc_freq(tf: DataFrame, keys: list[str]) -> DataFrame:
     """I3 (first half): number of documents holding each term."""
-    return tf.groupBy(term_col).agg(F.count(F.lit(1)).cast("long").alias("df"))
+    return tf.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("df"))
 
 
 def n_docs(docs: DataFrame) -> Column:
@@ -47,9 +41,9 @@ def n_docs(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1)).cast("double")).scalar()
 
 
-def inverse_doc_freq(dfreq: DataFrame, n: Column, term_col: str = "term") -> DataFrame:
+def inverse_doc_freq(dfreq: DataFrame, n: Column, keys: list[str]) -> DataFrame:
     """``log10(N / df)`` (not Spark ML's smoothed ``ln((N+1)/(df+1))``)."""
-    return dfreq.select(term_col, "df", F.log10(n / F.col("df")).alias("idf"))
+    return dfreq.select(*keys, "df", F.log10(n / F.col("df")).alias("idf"))
 
 
 def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFrame:
@@ -80,22 +74,57 @@ def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFr
 
 @dataclass
 class Index:
-    """Handles to the index tables of one text column, built or loaded."""
+    """Handles to the index tables of one text column, or of several fields
+    (then ``by`` names the key columns that stand before id and term, and N
+    counts the rows per key), built or loaded."""
 
-    docs: DataFrame | None  # None for a loaded index
-    tokens: DataFrame
     tf: DataFrame
-    doc_freq: DataFrame
     idf: DataFrame
-    postings: DataFrame
-    norms: DataFrame
     n: Column
     stop: bool
     stem: bool
     fold: bool
     id_col: str
-
-    def analyze(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    by: tuple[str, ...] = ()
+    docs: DataFrame | None = None  # None for a loaded index
+    saved_postings: DataFrame | None = None
+    saved_norms: DataFrame | None = None
+    whole: Index | None = None  # of an index narrowed to some terms: what it was
+
+    @property
+    def tokens(self) -> DataFrame:
+        return self.tf.withColumnRenamed("tf", "n")
+
+    @property
+    def doc_freq(self) -> DataFrame:
+        return self.idf.select(*self.by, "term", "df")
+
+    @property
+    def weighted(self) -> DataFrame:
+        """(by, id, term, tf, w): tf x idf."""
+        keys = [*self.by, "term"]
+        return (self.tf.join(self.idf.select(*keys, "idf"), keys)
+                .withColumn("w", F.col("tf") * F.col("idf")).drop("idf"))
+
+    @property
+    def norms(self) -> DataFrame:
+        """(by, id, norm); written when first asked for."""
+        if self.whole is not None:
+            return self.whole.norms
+        if self.saved_norms is None:
+            from tessera.sources.files import materialize
+            self.saved_norms = materialize(doc_norms(self.weighted, [*self.by, self.id_col]), "norms")
+        return self.saved_norms
+
+    @property
+    def postings(self) -> DataFrame:
+        """(by, term, id, tf, w, wn), wn = w / norm (NULL for a norm of 0)."""
+        if self.saved_postings is not None:
+            return self.saved_postings
+        return (self.weighted.join(self.norms, [*self.by, self.id_col])
+                .select(*self.by, "term", self.id_col, "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("wn")))
+
+    def analyze(self, df: DataFrame, id_col: str | list[str], text_col: str) -> DataFrame:
         """Analyse other text (queries) exactly like the indexed column."""
         return tx.analyze_tokens(df, id_col, text_col, stop=self.stop,
                                  stem=self.stem, do_fold=self.fold)
@@ -103,41 +132,41 @@ class Index:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stop: bool = True, stem: bool = True, fold: bool = True,
-                tokens: DataFrame | None = None, materialize: bool = True) -> Index:
-    """I1-I8 for one text column (Q7 builds one per field).
+                materialize: bool = True) -> Index:
+    """I1-I8 for one text column (Q7).
 
     With ``materialize`` (the default) the term-frequency table and the
     (small) IDF table are written once to the shared folder and read back:
     the corpus is analysed once however many consumers follow.
     """
     docs = docs.select(id_col, text_col)
-    if tokens is None:
-        tokens = tx.analyze_tokens(docs, id_col, text_col, stop=stop, stem=stem, do_fold=fold,
-                                   materialize=materialize)
-    tf = term_freq(tokens, id_col)
-    dfreq = doc_freq(tf)
-    n = n_docs(docs)
-    idf = inverse_doc_freq(dfreq, n)
+    return _index(docs, docs, [], id_col, text_col, n_docs(docs), stop, stem, fold, materialize)
+
+
+def build_fields_index(listing: DataFrame, id_col: str, fields: list[str],
+                       stop: bool = True, stem: bool = True, fold: bool = True) -> Index:
+    """I1-I8 for several columns of one table, in one pass: a row's fields
+    become rows (field, id, text), and every index table is keyed by field.
+    N is the number of rows of the table, the same for all fields."""
+    rows = listing.select(id_col, F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in fields])).alias("_f")).select("_f.field", id_col, "_f.text")
+    return _index(listing, rows, ["field"], id_col, "text", n_docs(listing), stop, stem, fold, True)
+
+
+def _index(docs, rows, by, id_col, text_col, n, stop, stem, fold, materialize) -> Index:
+    tokens = tx.analyze_tokens(rows, [*by, id_col], text_col, stop=stop, stem=stem, do_fold=fold, materialize=materialize)
+    tf = tokens.withColumnRenamed("n", "tf")
+    idf = inverse_doc_freq(doc_freq(tf, [*by, "term"]), n, [*by, "term"])
     if materialize:
         from tessera.sources.files import materialize as _mat
         idf = _mat(idf, "idf")
-        dfreq = idf.select("term", "df")
-    weighted = (tf.join(idf.select("term", "idf"), "term")
-                .withColumn("w", F.col("tf") * F.col("idf")))
-    per_doc = Window.partitionBy(id_col)
-    postings = (weighted
-                .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc)))
-                .withColumn("wn", F.try_divide(F.col("w"), F.col("norm")))
-                .select("term", id_col, "tf", "w", "wn", "norm"))
-    norms = postings.groupBy(id_col).agg(F.first("norm").alias("norm"))
-    return Index(docs=docs, tokens=tokens, tf=tf, doc_freq=dfreq, idf=idf,
-                 postings=postings.drop("norm"), norms=norms, n=n, stop=stop,
-                 stem=stem, fold=fold, id_col=id_col)
-
-
-def doc_norms(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return Index(docs=docs, tf=tf, idf=idf, n=n, stop=stop, stem=stem, fold=fold, id_col=id_col, by=tuple(by))
+
+
+def doc_norms(postings: DataFrame, id_col: str | list[str] = "doc_id") -> DataFrame:
     """I8: L2 norm of each document's TF-IDF vector."""
-    return postings.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    return postings.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
 def doc_vectors(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -163,11 +192,9 @@ def save_index(index: Index, path: str) -> None:
 def load_index(spark, path: str) -> Index:
     """A saved index; nothing of the corpus is read or analysed again."""
     options = spark.read.parquet(f"{path}/options").first()
-    postings, idf = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf"))
-    tf = postings.select(options["id_col"], "term", "tf")
-    return Index(docs=None, tokens=tf.withColumnRenamed("tf", "n"), tf=tf, doc_freq=idf.select("term", "df"), idf=idf,
-                 postings=postings, norms=spark.read.parquet(f"{path}/norms"), n=F.lit(options["n"]),
-                 stop=options["stop"], stem=options["stem"], fold=options["fold"], id_col=options["id_col"])
+    postings, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf", "norms"))
+    return Index(tf=postings.select(options["id_col"], "term", "tf"), idf=idf, n=F.lit(options["n"]), stop=options["stop"], stem=options["stem"],
+                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms)
 
 
 def save_vocabulary(spark, path: str, target: str) -> None:

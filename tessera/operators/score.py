@@ -2,8 +2,8 @@
 
 Everything is joins and column arithmetic over the listing table; the
 per-field cosines reuse :func:`tessera.operators.search.cosine_scores` with
-an index built over the whole listing (IDF over all rows, filters applied
-afterwards, as in the reference).
+one index of all typed fields over the whole listing (IDF over all rows, filters
+applied afterwards, as in the reference).
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def custom_score(listing: DataFrame, index: ix.Index, q: CustomQuery, k: int = 5
     spark = listing.sparkSession
     from tessera.sources.files import materialize
     query = srch.query_table(spark, q.description)
-    matches = materialize(srch.conjunctive_search(index, query).select(id_col), "matches")
+    matches = materialize(srch.conjunctive_search(*srch.literal(index, q.description)).select(id_col), "matches")
     desc = description_scores(listing, index, matches, query, id_col)
     cuisine = (F.col("cuisineType") == F.lit(q.cuisineType)).cast("double") if q.cuisineType else F.lit(0.0)
     price = (F.col("priceRange") == F.lit(q.priceRange)).cast("double") if q.priceRange else F.lit(0.0)
@@ -127,30 +127,35 @@ def weighted_similarity(listing: DataFrame, texts: dict[str, str], id_col: str =
     """Q9: sum of weight x cosine over typed fields / number typed.
 
     Every listing row is returned (0 when nothing matched or nothing typed).
-    One index per typed field over the whole listing; the per-field scores
-    are unioned and summed per row (one aggregation, no per-field join).
+    One index holds all typed fields over the whole listing, keyed by field, so
+    the scores of all fields come from one join and are summed per row.
     """
-    spark = listing.sparkSession
+    from tessera.sources.files import materialize
+    active = typed_fields(texts, fields)
+    # one pass over the (possibly expensive) listing for all fields
+    rows = listing.select(id_col, *active)
+    return field_similarity(materialize(rows, "listing-fields") if active else rows, active, id_col)
+
+
+def typed_fields(texts: dict[str, str], fields=FIELDS) -> dict[str, str]:
+    """The fields with a text, lower-cased and without blanks at its ends."""
     norm = {f: (texts.get(f) or "").strip().lower() for f in fields}
-    active = [f for f in fields if norm[f]]
-    base = listing.select(id_col)
+    return {f: t for f, t in norm.items() if t}
+
+
+def field_similarity(listing: DataFrame, active: dict[str, str], id_col: str) -> DataFrame:
+    """(id, similarity_score) of every row of a table that is cheap to read."""
+    spark = listing.sparkSession
     if not active:
-        return base.withColumn("similarity_score", F.lit(0.0))
-    wts = field_weights(active)
-    # one pass over the (possibly expensive) listing for all field indexes
-    from tessera.sources.files import materialize
-    fields_tbl = materialize(listing.select(id_col, *active), "listing-fields")
-    base = fields_tbl.select(id_col)
-    parts = []
-    for f in active:
-        idx = ix.build_index(fields_tbl, id_col, f)
-        cos = srch.cosine_scores(idx, srch.query_table(spark, norm[f]))
-        parts.append(cos.select(id_col, (F.col("score") * F.lit(wts.get(f, 0.0))).alias("ws")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    summed = allp.groupBy(id_col).agg((F.sum("ws") / F.lit(float(len(active)))).alias("s"))
-    return (base.join(summed, id_col, "left")
+        return listing.select(id_col, F.lit(0.0).alias("similarity_score"))
+    wts = field_weights(list(active))
+    index = ix.build_fields_index(listing, id_col, list(active))
+    typed = index.analyze(spark.createDataFrame(list(active.items()), "field string, text string"), "field", "text").collect()  # the caller's own words
+    narrow = srch.narrowed(index, sorted({r["term"] for r in typed}))
+    scores = srch.cosine_scores(narrow, spark.createDataFrame(typed, "field string, term string, n long"), qid="field")
+    weight = F.element_at(F.create_map(*[F.lit(x) for f in active for x in (f, wts.get(f, 0.0))]), F.col("field"))
+    summed = scores.groupBy(id_col).agg((F.sum(F.col("score") * weight) / F.lit(float(len(active)))).alias("s"))
+    return (listing.select(id_col).join(summed, id_col, "left")
             .select(id_col, F.coalesce("s", F.lit(0.0)).alias("similarity_score")))
 
 
@@ -174,7 +179,7 @@ def faceted_search(listing: DataFrame, q: FacetQuery, id_col: str = "restaurantI
     texts = {"restaurantName": q.restaurant_name, "city": q.city, "cuisineType": q.cuisine_type}
     from tessera.sources.files import materialize
     listing = materialize(listing, "listing")
-    sim = weighted_similarity(listing, texts, id_col)
+    sim = field_similarity(listing, typed_fields(texts), id_col)
     res = listing.join(sim, id_col)
     if any((v or "").strip() for v in texts.values()):
         res = res.where(F.col("similarity_score") > 0)

@@ -32,34 +32,46 @@ def query_table(spark, texts: list[str] | str, qid: str = "qid", col: str = "tex
     return spark.createDataFrame(list(enumerate(texts)), f"{qid} long, {col} string")
 
 
-def narrowed(index: Index, texts: list[str] | str) -> Index:
-    """The index restricted to the terms of literal query texts.  Their few
-    terms become an ``IN`` filter that reaches the scan of a saved index; any
-    search over the result is the same as over the whole index."""
-    spark = index.postings.sparkSession
-    rows = index.analyze(query_table(spark, texts), "qid", "text").select("term").distinct().collect()  # the caller's own words
-    only = F.col("term").isin([r["term"] for r in rows]) if rows else F.lit(False)
-    return replace(index, postings=index.postings.where(only), tf=index.tf.where(only), idf=index.idf.where(only),
-                   doc_freq=index.doc_freq.where(only))
+def narrowed(index: Index, terms: list[str]) -> Index:
+    """The index restricted to some terms: an ``IN`` filter that reaches the
+    scan of its tables.  A search for these terms is the same as over the whole
+    index; norms are the whole documents'."""
+    only = F.col("term").isin(terms) if terms else F.lit(False)
+    saved = index.saved_postings
+    return replace(index, tf=index.tf.where(only), idf=index.idf.where(only), whole=index.whole or index,
+                   saved_postings=None if saved is None else saved.where(only))
+
+
+def literal(index: Index, texts: list[str] | str) -> tuple[Index, DataFrame]:
+    """Literal query texts analysed (the caller's own words: a local table
+    ``(qid, term, n)``), and the index narrowed to their terms."""
+    spark = index.tf.sparkSession
+    rows = index.analyze(query_table(spark, texts), "qid", "text").collect()
+    return narrowed(index, sorted({r["term"] for r in rows})), spark.createDataFrame(rows, "qid long, term string, n long")
+
+
+def query_keys(index: Index, qid: str) -> list[str]:
+    """A query's key: its id and the index's own key columns."""
+    return list(dict.fromkeys([qid, *index.by]))
 
 
 def analyzed_queries(index: Index, queries: DataFrame, qid: str = "qid",
                      text_col: str = "text") -> DataFrame:
     """The query table analysed once, like the index: (qid, term, n).
 
-    Written to the shared folder and read back, so the size probe, the
-    query vector and candidate generation reuse one analysis.
+    Written to the shared folder and read back, so the query vector and
+    candidate generation reuse one analysis.
     """
     if "term" in queries.columns and "n" in queries.columns:
         return queries
     from tessera.sources.files import materialize
-    return materialize(index.analyze(queries, qid, text_col), "query-terms")
+    return materialize(index.analyze(queries, query_keys(index, qid), text_col), "query-terms")
 
 
 def query_terms_all(index: Index, queries: DataFrame, qid: str = "qid",
                     text_col: str = "text") -> DataFrame:
     """Distinct analysed query terms, in vocabulary or not: (qid, term)."""
-    return analyzed_queries(index, queries, qid, text_col).select(qid, "term")
+    return analyzed_queries(index, queries, qid, text_col).select(*query_keys(index, qid), "term")
 
 
 def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
@@ -69,14 +81,14 @@ def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
     ``queries`` is the raw ``(qid, text)`` table or its analysed form.
     Output (qid, term, qtf, qw, qnorm, qwn); qwn = qw / |q| (NULL if |q| = 0).
     """
-    toks = analyzed_queries(index, queries, qid, text_col)
-    qtf = toks.select(qid, "term", F.col("n").alias("qtf"))
-    qv = (qtf.join(index.idf.select("term", "idf"), "term")
+    toks, keys, term = analyzed_queries(index, queries, qid, text_col), query_keys(index, qid), [*index.by, "term"]
+    qtf = toks.select(*keys, "term", F.col("n").alias("qtf"))
+    qv = (qtf.join(index.idf.select(*term, "idf"), term)
           .withColumn("qw", F.col("qtf") * F.col("idf")))
-    per_q = Window.partitionBy(qid)
+    per_q = Window.partitionBy(*keys)  # a query's own terms
     return (qv.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(per_q)))
             .withColumn("qwn", F.try_divide(F.col("qw"), F.col("qnorm")))
-            .select(qid, "term", "qtf", "qw", "qnorm", "qwn"))
+            .select(*keys, "term", "qtf", "qw", "qnorm", "qwn"))
 
 
 def any_term_search(index: Index, queries: DataFrame, qid: str = "qid",
@@ -87,20 +99,35 @@ def any_term_search(index: Index, queries: DataFrame, qid: str = "qid",
             .select(qid, index.id_col).distinct())
 
 
+def rarest_first(index: Index, queries: DataFrame, qid: str = "qid", text_col: str = "text") -> DataFrame:
+    """A query's distinct terms in order of their document frequency (``nth``,
+    1 the rarest) with their number: (qid, term, nth, n_terms).  A query with a
+    term out of the vocabulary, which nothing can match, has none."""
+    terms = query_terms_all(index, queries, qid, text_col).join(index.doc_freq, "term", "left")
+    of_q = Window.partitionBy(qid)  # a query's own terms
+    return (terms.withColumn("n_terms", F.count(F.lit(1)).over(of_q)).withColumn("known", F.count("df").over(of_q))
+            .withColumn("nth", F.row_number().over(of_q.orderBy("df", "term")))
+            .where(F.col("known") == F.col("n_terms")).select(qid, "term", "nth", "n_terms"))
+
+
 def conjunctive_search(index: Index, queries: DataFrame, qid: str = "qid",
                        text_col: str = "text") -> DataFrame:
     """Documents holding every analysed query term: (qid, doc_id).
 
-    An out-of-vocabulary term can never be matched, so its query returns
-    no rows; a query with no terms returns no rows.
+    Rarest first: the candidates are the posting list of a query's rarest
+    term; its other terms only say which candidates they hold, by a join on
+    (term, document), a key without hot values.  Spark broadcasts whichever
+    side is small, so frequent posting lists are read, never multiplied by
+    the queries that hold their term.  An out-of-vocabulary term can never be
+    matched, so its query returns no rows; neither does one with no terms.
     """
-    qt = query_terms_all(index, queries, qid, text_col)
-    need = qt.groupBy(qid).agg(F.count(F.lit(1)).alias("n_terms"))
-    hits = (index.tf.select("term", index.id_col).join(qt, "term")
-            .groupBy(qid, index.id_col).agg(F.count(F.lit(1)).alias("n_hit")))
-    return (hits.join(need, qid)
-            .where(F.col("n_hit") == F.col("n_terms"))
-            .select(qid, index.id_col))
+    i, tf = index.id_col, index.tf.select("term", index.id_col)
+    order = rarest_first(index, queries, qid, text_col)
+    candidates = tf.join(order.where("nth = 1").select(qid, "term", "n_terms"), "term").select(qid, i, "n_terms")
+    wanted = candidates.join(order.where("nth > 1").select(qid, "term"), qid)
+    held = wanted.join(tf, ["term", i]).groupBy(qid, i, "n_terms").agg(F.count(F.lit(1)).alias("n_held"))
+    return (candidates.where("n_terms = 1").select(qid, i)
+            .unionByName(held.where(F.col("n_held") == F.col("n_terms") - 1).select(qid, i)))
 
 
 def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",
@@ -120,10 +147,10 @@ def cosine_scores(index: Index, queries: DataFrame, qid: str = "qid",
     Candidates whose cosine is undefined (zero document or query norm) are
     dropped instead of carrying NaN.  Scores are not rounded.
     """
-    toks = analyzed_queries(index, queries, qid, text_col)
-    qv = query_vector(index, toks, qid, text_col).select(qid, "term", "qwn")
-    return (index.postings.select("term", index.id_col, "wn").join(qv, "term")
-            .groupBy(qid, index.id_col)
+    toks, keys, term = analyzed_queries(index, queries, qid, text_col), query_keys(index, qid), [*index.by, "term"]
+    qv = query_vector(index, toks, qid, text_col).select(*keys, "term", "qwn")
+    return (index.postings.select(*term, index.id_col, "wn").join(qv, term)
+            .groupBy(*keys, index.id_col)
             .agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
             .where(F.col("score").isNotNull()))
 

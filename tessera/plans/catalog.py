@@ -85,7 +85,7 @@ _PORTER_CTES, _ = tx.sql_tokens_ctes("pt", "SELECT doc_id, text FROM documents",
           "SELECT doc_id, term, count(*)::BIGINT AS cnt FROM pt GROUP BY ALL"))
 def analyze_porter(spark, d):
     """T1-T10 with Porter stems, counted per document."""
-    toks = tx.analyze_tokens(_docs(spark, d), "doc_id", "text", materialize=True)
+    toks = tx.analyze_tokens(_docs(spark, d), "doc_id", "text")
     return toks.select("doc_id", "term", F.col("n").alias("cnt"))
 
 
@@ -107,7 +107,7 @@ def inverted_index(spark, d):
 @register("term_freq", o.with_(DOC_IDX, "SELECT doc_id, term, tf FROM dx_tf"))
 def term_freq(spark, d):
     """I4: raw term frequency per (document, term)."""
-    return _doc_index(spark, d).tf
+    return _doc_index(spark, d).tf.select("doc_id", "term", "tf")
 
 
 @register("idf", o.with_(DOC_IDX, "SELECT term, df, round(idf, 6) AS idf FROM dx_idf"))
@@ -143,7 +143,7 @@ def doc_vectors(spark, d):
 @register("doc_norms", o.with_(DOC_IDX, "SELECT doc_id, round(norm, 6) AS norm FROM dx_norm"))
 def doc_norms(spark, d):
     """I8: L2 norm per document."""
-    return ix.doc_norms(_doc_index(spark, d).postings).withColumn("norm", F.round("norm", 6))
+    return _doc_index(spark, d).norms.withColumn("norm", F.round("norm", 6))
 
 
 @register("corpus_stats", o.with_(DOC_IDX,
@@ -175,7 +175,7 @@ _DOC_COLS = "d.doc_id, d.lang, d.source, d.n_chars"
 def ranked_search(spark, d):
     """Q6: cosine top-k of one query over all documents, rows fetched by id."""
     idx = _doc_index(spark, d)
-    res = srch.ranked_search(idx, srch.query_table(spark, SEARCH_TEXT), k=K)
+    res = srch.ranked_search(*srch.literal(idx, SEARCH_TEXT), k=K)
     docs = _docs(spark, d).select("doc_id", "lang", "source")
     return (docs.join(res, "doc_id").select("doc_id", "rank", F.round("score", 6).alias("score"), "lang", "source")
             .orderBy("rank"))
@@ -200,7 +200,7 @@ _CONJ = ("conj AS (SELECT p.doc_id FROM dx_tf p JOIN lq_all a USING (term) GROUP
 def conj_search(spark, d):
     """Q1: documents holding every query term (4 listing columns)."""
     idx = _doc_index(spark, d)
-    hits = srch.conjunctive_search(idx, srch.query_table(spark, SEARCH_TEXT))
+    hits = srch.conjunctive_search(*srch.literal(idx, SEARCH_TEXT))
     return hits.join(_docs(spark, d), "doc_id").select("doc_id", "lang", "source", "n_chars")
 
 
@@ -223,7 +223,7 @@ def conj_search_all(spark, d):
 def any_term_search(spark, d):
     """Documents holding any query term."""
     idx = _doc_index(spark, d)
-    return srch.any_term_search(idx, srch.query_table(spark, SEARCH_TEXT)).select("doc_id")
+    return srch.any_term_search(*srch.literal(idx, SEARCH_TEXT)).select("doc_id")
 
 
 @register("query_vector", o.with_(DOC_IDX + BENCH_Q,
@@ -258,7 +258,7 @@ def field_similarity(spark, d):
     """Q7: index one column on the fly; every match with its cosine, best first."""
     part = read_table(spark, d, "part")
     idx = ix.build_index(part, "p_partkey", "p_name")
-    scores = srch.cosine_scores(idx, srch.query_table(spark, FIELD_TEXT))
+    scores = srch.cosine_scores(*srch.literal(idx, FIELD_TEXT))
     return srch.ranked(scores, "p_partkey").select("p_partkey", F.round("score", 6).alias("score"), "rank")
 
 

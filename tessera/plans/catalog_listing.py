@@ -247,7 +247,7 @@ def semi_join_topk(spark, d):
     """Listing rows whose name is among the names of a saved top-k."""
     part = read_table(spark, d, "part")
     idx = ix.build_index(part, "p_partkey", "p_name")
-    top = srch.ranked_search(idx, srch.query_table(spark, FIELD_TEXT), k=K)
+    top = srch.ranked_search(*srch.literal(idx, FIELD_TEXT), k=K)
     names = top.join(part.select("p_partkey", "p_name"), "p_partkey").select(
         F.col("p_name").alias("restaurantName"))
     lp = rel.listing_parts(spark, d)

@@ -97,7 +97,7 @@ def region_markers(spark, d):
     saved top-k (written to storage and read back, as the map step does)."""
     part = read_table(spark, d, "part")
     idx = ix.build_index(part, "p_partkey", "p_name")
-    top = srch.ranked_search(idx, srch.query_table(spark, FIELD_TEXT), k=K)
+    top = srch.ranked_search(*srch.literal(idx, FIELD_TEXT), k=K)
     names = top.join(part.select("p_partkey", "p_name"), "p_partkey").select(
         F.col("p_name").alias("restaurantName"))
     saved = files.save_result(names, files.scratch_path(spark, "top_k_result"))
@@ -174,8 +174,7 @@ def saved_index_search(spark, d):
 
 def saved_search(spark, d, path: str):
     """The search half of :func:`saved_index_search`."""
-    loaded = srch.narrowed(ix.load_index(spark, path), SEARCH_TEXT)
-    res = srch.ranked_search(loaded, srch.query_table(spark, SEARCH_TEXT), k=K)
+    res = srch.ranked_search(*srch.literal(ix.load_index(spark, path), SEARCH_TEXT), k=K)
     docs = _docs(spark, d).select("doc_id", "lang", "source")
     return docs.join(res, "doc_id").select("doc_id", "rank", F.round("score", 6).alias("score"), "lang", "source")
 

@@ -143,9 +143,9 @@ def test_saved_index_search_reads_its_terms_only(spark, tmp_path):
     ix.save_index(built, f"{tmp_path}/ix")
     loaded = ix.load_index(spark, f"{tmp_path}/ix")
     q = srch.query_table(spark, "term7 common")
-    small = srch.narrowed(loaded, "term7 common")
+    small, terms = srch.literal(loaded, "term7 common")
     key = lambda df: [(r.doc_id, r.rank, round(r.score, 9)) for r in df.orderBy("rank").collect()]
-    assert key(srch.ranked_search(small, q)) == key(srch.ranked_search(built, q)) == key(srch.ranked_search(loaded, q))
-    plan = srch.ranked_search(small, q)._jdf.queryExecution().executedPlan().toString()
+    assert key(srch.ranked_search(small, terms)) == key(srch.ranked_search(small, q)) == key(srch.ranked_search(built, q)) == key(srch.ranked_search(loaded, q))
+    plan = srch.ranked_search(small, terms)._jdf.queryExecution().executedPlan().toString()
     assert "In(term, [" in plan and "sum(pow" not in plan
     assert srch.conjunctive_search(small, q).count() == 6
