@@ -89,6 +89,7 @@ class Index:
     docs: DataFrame | None = None  # None for a loaded index
     saved_postings: DataFrame | None = None
     saved_norms: DataFrame | None = None
+    bounds: DataFrame | None = None  # of a loaded index: (term, block, n, w, wn), the largest weights
     whole: Index | None = None  # of an index narrowed to some terms: what it was
 
     @property
@@ -174,17 +175,34 @@ def doc_vectors(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return postings.where(F.col("w") != 0).select(id_col, "term", "w")
 
 
+# Documents of a block: small, so that a block's largest weight of a term says
+# much; the bounds are then about three quarters as many rows as the postings.
+BLOCK_DOCS = 8
+
+
+def document_blocks(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, block): documents of similar largest weights together, in blocks
+    of BLOCK_DOCS; numbered without a global window."""
+    tops = postings.groupBy(id_col).agg(F.max("wn").alias("_m")).withColumn("_o", F.struct("_m", id_col))
+    return dense_ids(tops, "_o", "_r").select(id_col, F.expr(f"_r div {BLOCK_DOCS}").alias("block"))
+
+
 def save_index(index: Index, path: str) -> None:
     """Everything that a search needs, as Parquet under ``path``:
-    postings (term, id, tf, w, wn) ranged and sorted by (term, id), so a term
-    is found by row-group statistics and a frequent one spans many files; idf,
-    vocabulary (dense ids), norms, and one row of N and the options."""
+    postings (term, id, tf, w, wn, block) ranged and sorted by (term, id), so a
+    term is found by row-group statistics and a frequent one spans many files;
+    bounds, the largest weights by (term, block of documents); idf, vocabulary
+    (dense ids), norms, and one row of N and the options."""
+    from tessera.sources.files import materialize
     i = index.id_col
-    (index.postings.repartitionByRange("term", i).sortWithinPartitions("term", i).write.mode("overwrite").parquet(f"{path}/postings"))
+    blocks = materialize(document_blocks(index.postings, i), "blocks")
+    (index.postings.join(blocks, i).repartitionByRange("term", i).sortWithinPartitions("term", i).write.mode("overwrite").parquet(f"{path}/postings"))
+    spark = index.tf.sparkSession
+    (spark.read.parquet(f"{path}/postings").groupBy("term", "block").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w"), F.max("wn").alias("wn"))
+     .repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/bounds"))
     (index.idf.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/idf"))
     dense_ids(index.doc_freq.select("term"), "term", "term_id").write.mode("overwrite").parquet(f"{path}/vocabulary")
     index.norms.write.mode("overwrite").parquet(f"{path}/norms")
-    spark = index.postings.sparkSession
     (spark.range(1).select(index.n.cast("double").alias("n"), *[F.lit(getattr(index, o)).alias(o) for o in ("stop", "stem", "fold", "id_col")])
      .write.mode("overwrite").parquet(f"{path}/options"))
 
@@ -194,7 +212,7 @@ def load_index(spark, path: str) -> Index:
     options = spark.read.parquet(f"{path}/options").first()
     postings, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf", "norms"))
     return Index(tf=postings.select(options["id_col"], "term", "tf"), idf=idf, n=F.lit(options["n"]), stop=options["stop"], stem=options["stem"],
-                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms)
+                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms, bounds=spark.read.parquet(f"{path}/bounds"))
 
 
 def save_vocabulary(spark, path: str, target: str) -> None:

@@ -39,7 +39,7 @@ def narrowed(index: Index, terms: list[str]) -> Index:
     only = F.col("term").isin(terms) if terms else F.lit(False)
     saved = index.saved_postings
     return replace(index, tf=index.tf.where(only), idf=index.idf.where(only), whole=index.whole or index,
-                   saved_postings=None if saved is None else saved.where(only))
+                   saved_postings=None if saved is None else saved.where(only), bounds=None if index.bounds is None else index.bounds.where(only))
 
 
 def literal(index: Index, texts: list[str] | str) -> tuple[Index, DataFrame]:
@@ -130,11 +130,69 @@ def conjunctive_search(index: Index, queries: DataFrame, qid: str = "qid",
             .unionByName(held.where(F.col("n_held") == F.col("n_terms") - 1).select(qid, i)))
 
 
+SEEDS = 8  # blocks of a query that are scored to begin with
+SLACK = 1e-9  # bounds and scores are sums in different orders
+
+
+def candidates(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> tuple[DataFrame, DataFrame]:
+    """The (qid, block, id) that can be among a query's k best, and every
+    query's bounds by block, (qid, block, term, q, ub).
+
+    ``qv`` (qid, term, q), weights not negative.  ub = q x the largest
+    ``value`` of the term in the block.  The SEEDS blocks of a query with the
+    largest sums of ub are scored; the k-th best score there is at most the
+    k-th best of all, the threshold (0 where there are fewer than k).  A block
+    whose sum is below it is out.  In the others a document has to hold one of
+    the terms that the block's sum can't reach the threshold without (the
+    essential ones), and its score by these, plus the bounds of the others,
+    has to reach it too.
+    """
+    from tessera.sources.files import materialize
+    i, postings = index.id_col, index.postings.select("term", "block", index.id_col, F.col(value).alias("v"))
+    ub = materialize(qv.join(index.bounds.select("term", "block", F.col(value).alias("_top")), "term")
+                     .select(qid, "block", "term", "q", (F.col("q") * F.col("_top")).alias("ub")), "block-bounds")
+    blocks = ub.groupBy(qid, "block").agg(F.sum("ub").alias("reach"))
+    best_first = Window.partitionBy(qid).orderBy(F.desc("reach"), "block")
+    seeds = blocks.withColumn("_r", F.row_number().over(best_first)).where(F.col("_r") <= SEEDS).select(qid, "block")
+    seeded = (ub.join(seeds, [qid, "block"]).join(postings, ["term", "block"]).groupBy(qid, i).agg(F.sum(F.col("q") * F.col("v")).alias("s")))
+    by_score_ = Window.partitionBy(qid).orderBy(F.desc("s"))
+    kth = seeded.withColumn("_r", F.row_number().over(by_score_)).where(F.col("_r") == k).select(qid, F.col("s").alias("least"))
+    least = F.coalesce("least", F.lit(0.0)) - SLACK
+    alive = blocks.join(kth, qid, "left").where(F.col("reach") >= least).select(qid, "block", least.alias("least"))
+    # a block's terms, least bound first: those that together stay below the threshold aren't essential
+    upto = Window.partitionBy(qid, "block").orderBy("ub", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    terms = (ub.join(alive, [qid, "block"]).withColumn("_sum", F.sum("ub").over(upto))
+             .withColumn("essential", F.col("_sum") >= F.col("least")))
+    rest = F.sum(F.when(~F.col("essential"), F.col("ub")).otherwise(0.0)).over(Window.partitionBy(qid, "block"))
+    terms = terms.withColumn("rest", rest).where("essential")
+    found = (terms.join(postings, ["term", "block"]).groupBy(qid, "block", i)
+             .agg(F.sum(F.col("q") * F.col("v")).alias("s"), F.first("rest").alias("rest"), F.first("least").alias("least"))
+             .where(F.col("s") + F.col("rest") >= F.col("least")).select(qid, "block", i))
+    return found, ub
+
+
+def bounded_scores(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> DataFrame:
+    """(qid, id, sum of q x ``value``) of at least each query's k best, whole
+    scores: the same as over all postings.  Every join is on (term, block) or
+    (qid, block), keys of at most BLOCK_DOCS documents."""
+    found, ub = candidates(index, qv, value, k, qid)
+    i = index.id_col
+    return (found.join(ub.select(qid, "block", "term", "q"), [qid, "block"])
+            .join(index.postings.select("term", "block", i, F.col(value).alias("v")), ["term", "block", i])
+            .groupBy(qid, i).agg(F.sum(F.col("q") * F.col("v")).alias("sum")))
+
+
 def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",
-               text_col: str = "text") -> DataFrame:
-    """Un-normalised dot product of query and document vectors."""
+               text_col: str = "text", k: int | None = None) -> DataFrame:
+    """Un-normalised dot product of query and document vectors, of all
+    pairs that share a term or, with ``k``, of each query's k best (with
+    ``rank``; by the bounds of a saved index where there are any)."""
     toks = analyzed_queries(index, queries, qid, text_col)
     qv = query_vector(index, toks, qid, text_col)
+    if k is not None:
+        scores = (bounded_scores(index, qv.select(qid, "term", F.col("qw").alias("q")), "w", k, qid).withColumnRenamed("sum", "dot")
+                  if index.bounds is not None else sparse_dot(index, toks, qid))
+        return top_k(scores, k, qid, index.id_col, "dot")
     return (index.postings.join(qv, "term")
             .groupBy(qid, index.id_col)
             .agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
@@ -180,5 +238,10 @@ def top_k(scores: DataFrame, k: int, qid: str = "qid", id_col: str = "doc_id",
 
 def ranked_search(index: Index, queries: DataFrame, k: int = 10, qid: str = "qid",
                   text_col: str = "text") -> DataFrame:
-    """Cosine top-k per query: (qid, doc_id, score, rank)."""
+    """Cosine top-k per query: (qid, doc_id, score, rank).  With the
+    bounds of a saved index only what can be among the k is scored."""
+    if index.bounds is not None:
+        qv = query_vector(index, queries, qid, text_col).select(qid, "term", F.col("qwn").alias("q"))
+        scores = bounded_scores(index, qv.where(F.col("q").isNotNull()), "wn", k, qid)
+        return top_k(scores.withColumnRenamed("sum", "score"), k, qid, index.id_col)
     return top_k(cosine_scores(index, queries, qid, text_col), k, qid, index.id_col)

@@ -86,3 +86,64 @@ def test_dense_ids_are_dense_and_ordered(spark):
     df = spark.createDataFrame([(f"t{i:04d}",) for i in range(500)], "term string").repartition(7)
     ids = ix.dense_ids(df, "term", "term_id").orderBy("term").collect()
     assert [r.term_id for r in ids] == list(range(500))
+
+
+def _loaded(spark, docs, tmp_path, **kw):
+    built = ix.build_index(docs, **kw)
+    ix.save_index(built, f"{tmp_path}/ix")
+    return built, ix.load_index(spark, f"{tmp_path}/ix")
+
+
+def test_top_k_by_bounds_is_the_whole_ranking(spark, tmp_path):
+    """The k best by score bounds against all pairs: same documents, ranks and scores."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    queries = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    queries = queries.unionByName(spark.createDataFrame([(-1, "the of"), (-2, ""), (-3, "zzzz ertion"), (-4, "ertion thnd onan")], "qid long, text string"))
+    built, loaded = _loaded(spark, docs, tmp_path)
+    key = lambda df, c: sorted((r["qid"], r["rank"], r["doc_id"], round(r[c], 9)) for r in df.collect())
+    for k in (1, 10, 1000):
+        assert key(srch.ranked_search(loaded, queries, k=k), "score") == key(srch.ranked_search(built, queries, k=k), "score")
+    assert key(srch.sparse_dot(loaded, queries, k=5), "dot") == key(srch.sparse_dot(built, queries, k=5), "dot")
+
+
+def test_bounds_leave_few_pairs(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    queries = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    _, loaded = _loaded(spark, docs, tmp_path)
+    qv = srch.query_vector(loaded, queries).select("qid", "term", F.col("qwn").alias("q"))
+    found, _ = srch.candidates(loaded, qv, "wn", 10, "qid")
+    assert 400 <= found.count() < 0.25 * srch.cosine_scores(loaded, queries).count()
+
+
+def test_rarest_first(spark):
+    """Candidates are the rarest term's documents; the frequent term's are only looked up."""
+    docs = spark.createDataFrame([(i, "common " + ("rare " if i % 100 == 7 else "") + f"w{i % 5}") for i in range(400)], "doc_id long, text string")
+    idx = ix.build_index(docs)
+    q = srch.query_table(spark, ["common rare", "common", "rare w2 common", "common missing", "", "w1 w2"])
+    order = [tuple(r) for r in srch.rarest_first(idx, q).orderBy("qid", "nth").collect()]
+    assert order == [(0, "rare", 1, 2), (0, "common", 2, 2), (1, "common", 1, 1), (2, "rare", 1, 3), (2, "w2", 2, 3), (2, "common", 3, 3),
+                     (5, "w1", 1, 2), (5, "w2", 2, 2)]
+    got = srch.conjunctive_search(idx, q)
+    hits = {i: {r.doc_id for r in got.where(f"qid = {i}").collect()} for i in range(6)}
+    assert hits == {0: {7, 107, 207, 307}, 1: set(range(400)), 2: {7, 107, 207, 307}, 3: set(), 4: set(), 5: set()}
+    # the other terms meet postings by (term, document) alone
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert any("term" in line and "doc_id" in line for line in joins)
+
+
+def test_one_index_of_many_fields(spark):
+    listing = spark.createDataFrame([(1, "red fish", "Rome"), (2, "red", None), (3, None, "red Rome"), (4, "", "")], "i long, name string, city string")
+    idx = ix.build_fields_index(listing, "i", ["name", "city"])
+    for f in ("name", "city"):
+        alone = ix.build_index(listing, "i", f)
+        assert (sorted((r.term, round(r.idf, 9)) for r in idx.idf.where(F.col("field") == f).collect())
+                == sorted((r.term, round(r.idf, 9)) for r in alone.idf.collect()))
+        assert (sorted((r.i, r.term, r.tf, round(r.wn, 9)) for r in idx.postings.where(F.col("field") == f).collect())
+                == sorted((r.i, r.term, r.tf, round(r.wn, 9)) for r in alone.postings.collect()))
+
+
+def test_index_plan_has_no_window(spark, corpus):
+    idx = ix.build_index(corpus, materialize=False)
+    plan = idx.postings._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Python" not in plan
