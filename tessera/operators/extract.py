@@ -13,6 +13,7 @@ back-references), so the DuckDB oracle runs the very same patterns.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -197,34 +198,85 @@ def og_url(html: Column) -> Column:
 # ------------------------------------------------------- the listing record
 
 def opened(tag: str, *tokens: str) -> str:
-    """Regex of an opening tag whose class holds the tokens, in this order."""
-    inside = f"(?:[^\"']*{GAP})".join(tokens)
-    return f"<{tag}{GAP}(?:[^>]*{GAP})?class\\s*=\\s*[\"'](?:[^\"']*{GAP})?{inside}(?:{GAP}[^\"']*)?[\"'][^>]*>"
+    """Regex of an opening tag whose class holds the tokens, in any order."""
+    inside = "|".join(f"(?:[^\"']*{GAP})".join(order) for order in itertools.permutations(tokens))
+    return f"<{tag}{GAP}(?:[^>]*{GAP})?class\\s*=\\s*[\"'](?:[^\"']*{GAP})?(?:{inside})(?:{GAP}[^\"']*)?[\"'][^>]*>"
 
 
-def within(html: Column, start: str, stop: str) -> Column:
-    """What follows the first tag ``start`` up to ``stop``; NULL if absent."""
-    return first(html, f"(?s){start}(.*?)(?:{stop}|$)")
+def _at_tags(markup: Column, tag: str) -> Column:
+    """The markup cut before every opening and closing ``tag``."""
+    return F.split(markup, f"(?i)(?=</?{tag}(?:[\\s/>]))")
+
+
+def _turn(piece: Column, tag: str) -> Column:
+    """What a piece does to the depth: 1 (it opens), -1 (it closes), 0."""
+    return F.when(piece.rlike(f"(?i)^<{tag}[\\s/>]"), 1).when(piece.rlike(f"(?i)^</{tag}[\\s/>]"), -1).otherwise(0)
+
+
+def balanced(markup: Column, tag: str) -> Column:
+    """``markup`` starts after an opening ``tag``: what it holds up to the end
+    tag of its own, elements of the same name inside included (one pass over
+    the tags with a running depth; to the end if it is never closed)."""
+    def step(acc, piece):
+        depth = acc["depth"] + _turn(piece, tag)
+        return F.when(acc["depth"] == 0, acc).otherwise(
+            F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n")))
+
+    def kept(pieces):
+        n = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
+        return F.array_join(F.slice(pieces, F.lit(1), n), "")
+
+    return F.transform(F.array(_at_tags(markup, tag)), kept)[0]
+
+
+def element(html: Column, start: str, tag: str) -> Column:
+    """The content of the first element whose opening tag is like ``start``; NULL if absent."""
+    return F.when(html.rlike(f"(?s){start}"), balanced(F.regexp_extract(html, f"(?s){start}(.*)$", 1), tag))
+
+
+def children(markup: Column, start: str, tag: str) -> Column:
+    """The content of the elements like ``start`` that lie directly in
+    ``markup``, in no other element named ``tag``."""
+    empty = F.array().cast("array<int>")
+
+    def step(acc, piece):
+        turn = _turn(piece, tag)
+        depth = F.greatest(acc["depth"] + turn, F.lit(0))
+        begins = (turn == 1) & (acc["depth"] == 0) & piece.rlike(f"(?s)^{start}")
+        ends = (turn == -1) & (depth == 0) & (F.size(acc["a"]) > F.size(acc["z"]))
+        return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"),
+                        F.when(begins, F.array_append(acc["a"], acc["i"])).otherwise(acc["a"]).alias("a"),
+                        F.when(ends, F.array_append(acc["z"], acc["i"])).otherwise(acc["z"]).alias("z"))
+
+    def found(pieces):
+        spans = F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit(1).alias("i"), empty.alias("a"), empty.alias("z")), step,
+                            lambda acc: F.zip_with(acc["a"], acc["z"], lambda a, z: F.struct(a.alias("a"), F.coalesce(z, acc["i"]).alias("z"))))
+        return F.transform(spans, lambda x: F.regexp_replace(F.array_join(F.slice(pieces, x["a"], x["z"] - x["a"]), ""), "(?s)^<[^>]*>", ""))
+
+    return F.transform(F.array(_at_tags(markup, tag)), found)[0]
 
 
 def listing_record(df: DataFrame, html_col: str = "html", keep: tuple = ("page_id",)) -> DataFrame:
     """The twelve-field record of a listing page, with ``_errors``.
 
-    Scopes run from their opening tag to a closing one that can't lie inside
-    (blocks, titles and items of the template hold no element of their own
-    name).  Fixed values: the class names."""
+    Scopes are balanced: an element ends at its own end tag, whatever elements
+    of its name it holds, and rows and blocks are children, not descendants.
+    Fixed values: the class names."""
     h = F.col(html_col)
-    # The rows of the data sheet, each up to the next one.  Scopes are
-    # columns of their own, so that no expression holds another one twice.
-    sheet = within(within(h, opened("div", "restaurant-details__components"), "</body>"), opened("div", "data-sheet"), "</body>")
-    span = within(within(within(h, opened("section", "section__text-componets", "section__text-separator"), "</section>"),
-                         opened("div", "collapse__block-title"), "</section>"), opened("div", "d-flex"), "</section>")
-    scopes = df.select(*keep, F.split(sheet, opened("div", "row")).alias("_rows"), span.alias("_phone"), og_url(h).alias("website"),
-                       within(h, opened("div", "data-sheet__description"), "</div>").alias("_about"),
-                       within(h, opened("div", "restaurant-details__services"), "</ul>").alias("_services"),
-                       within(h, opened("div", "list--card"), "</div>").alias("_cards"))
-    nodes = scopes.withColumn("_title", first(F.get("_rows", F.lit(1)), f"(?s){opened('h1', 'data-sheet__title')}(.*?)</h1>")).withColumn(
-        "_blocks", F.transform(all_of(F.get("_rows", F.lit(2)), f"(?s){opened('div', 'data-sheet__block--text')}(.*?)</div>"), lambda x: node_text(x)))
+    # Scopes are columns of their own, so that no expression holds another one twice.
+    outer = df.select(*keep, h.alias("_h"), element(h, opened("div", "restaurant-details__components"), "div").alias("_details"))
+    parts = outer.select(*keep, "_h", element(F.col("_details"), opened("div", "data-sheet"), "div").alias("_sheet"), element(
+        F.col("_details"), opened("section", "section__text-componets", "section__text-separator"), "section").alias("_section"))
+    h = F.col("_h")
+    scopes = parts.select(*keep, children(F.col("_sheet"), opened("div", "row"), "div").alias("_rows"),  # X6a
+                          element(element(F.col("_section"), opened("div", "collapse__block-title"), "div"), opened("div", "d-flex"), "div").alias("_phone"),
+                          og_url(h).alias("website"), element(h, opened("div", "data-sheet__description"), "div").alias("_about"),
+                          element(h, opened("div", "restaurant-details__services"), "div").alias("_services"),
+                          element(h, opened("div", "list--card"), "div").alias("_cards"))
+    nodes = scopes.withColumn("_title", first(F.get("_rows", F.lit(0)), f"(?s){opened('h1', 'data-sheet__title')}(.*?)</h1>")).withColumn(
+        "_info", F.split(F.get("_rows", F.lit(1)), opened("div", "data-sheet__block"))).withColumn(
+        "_blocks", F.flatten(F.transform(F.slice("_info", F.lit(2), F.size("_info")), lambda b: F.transform(
+            children(balanced(b, "div"), opened("div", "data-sheet__block--text"), "div"), lambda x: node_text(x)))))
     text = {"restaurantName": node_text(F.col("_title"), strip=False)}
     text |= {**split_address(F.get("_blocks", F.lit(0))), **split_price_category(F.get("_blocks", F.lit(1)))}
     text |= {
@@ -242,11 +294,13 @@ def card_links(df: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     """The title link of every card of an index page that has one,
     host-prefixed, duplicates kept: (page_id, pos, link)."""
     cards = F.split(F.col(html_col), opened("div", "card__menu-content"))
-    title = opened("h3", "card__menu-content--title")
+    heading = f"(?s){opened('h3', 'card__menu-content--title')}(.*?)</h3>"
+    # a card ends with its own end tag, a title with its heading's
     hrefs = F.filter(F.transform(F.slice(cards, 2, F.size(cards)), lambda c: decode_entities(F.regexp_extract(
-        c, f"(?s){title}.*?<a{GAP}(?:[^>]*{GAP})?href{VALUE}", 1))), lambda x: x != "")
-    return (df.select("page_id", host(F.col(url_col)).alias("_host"), F.posexplode(hrefs).alias("pos", "href"))
-            .select("page_id", F.col("pos").cast("long").alias("pos"), F.concat("_host", "href").alias("link")))
+        F.regexp_extract(balanced(c, "div"), heading, 1), f"<a{GAP}(?:[^>]*{GAP})?href{VALUE}", 1))), lambda x: x != "")
+    # outer: an inner one computes the links twice, for a filter on their number
+    return (df.select("page_id", host(F.col(url_col)).alias("_host"), F.posexplode_outer(hrefs).alias("pos", "href"))
+            .where(F.col("href").isNotNull()).select("page_id", F.col("pos").cast("long").alias("pos"), F.concat("_host", "href").alias("link")))
 
 
 JSONLD_SCHEMA = ("struct<name:string,address:struct<addressRegion:string>,"

@@ -31,6 +31,16 @@ class CustomQuery:
     priceRange: str = ""
     num_results: int = 0
 
+    @classmethod
+    def from_choices(cls, description: str, cuisine: str | None = "All", facilities: dict[str, bool] | None = None,
+                     price: str | None = "All", num_results: int = 0) -> CustomQuery:
+        """A search form's choices as a query: ``All`` (or nothing chosen)
+        is no preference, and only the ticked facilities are wishes."""
+        def choice(value):
+            return "" if value in (None, "All") else value
+
+        return cls(description, choice(cuisine), [name for name, ticked in (facilities or {}).items() if ticked], choice(price), num_results)
+
     def result_size(self, k: int = 5) -> int:
         """``num_results`` if a positive int, else ``k``."""
         n = self.num_results

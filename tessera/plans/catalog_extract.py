@@ -205,7 +205,8 @@ def split_price_category(spark, d):
     "((restaurantId % 7 = 0)::INT + (restaurantId % 5 = 0)::INT)::BIGINT AS n_errors FROM listing_parts")))
 def extract_listing(spark, d):
     """X6, X6a-X6i, X8: the listing record read from pages rendered with the
-    template's class names, with entities and missing nodes."""
+    template's class names, with entities, missing nodes, rows inside rows and
+    elements of a scope's own name in it."""
     def div(cls, *inner):
         return F.concat(F.lit(f'<div class="{cls}">'), *inner, F.lit("</div>"))
 
@@ -214,10 +215,10 @@ def extract_listing(spark, d):
     cards = F.concat_ws("", F.transform("creditCards", lambda c: F.concat(F.lit("<img class='c' data-src='/i/"), F.lower(c), F.lit("-1.svg'>"))))
     address = F.concat_ws(", ", "address", "restaurantName", "city", "region", "cuisineType")
     block = "data-sheet__block"
-    sheet = div("data-sheet", div("row", F.lit('<h1 id="t" class="big data-sheet__title">'), name, F.lit(" &amp; caf&eacute; &#8217;x&#x27;</h1>")),
+    sheet = div("data-sheet", div("row", div("row", div("row y", F.lit("inner"))), F.lit('<h1 id="t" class="big data-sheet__title">'), name, F.lit(" &amp; caf&eacute; &#8217;x&#x27;</h1>")),
                 div("row x", div(block, div(f"{block}--text", F.lit("\n "), address, F.lit(" "))),
                     div(block, div(f"{block}--text", F.concat_ws(" &middot; ", "priceRange", "cuisineType")))), div("row", F.lit("ignored")))
-    about = F.when(F.col("restaurantId") % 7 != 0, div("data-sheet__description", F.lit(" About <b>"), name, F.lit("</b>\nand more ")))
+    about = F.when(F.col("restaurantId") % 7 != 0, div("data-sheet__description", F.lit(" About <div><b>"), name, F.lit("</b><div></div></div>\nand more ")))
     phone = F.when(F.col("restaurantId") % 5 != 0, F.concat(
         F.lit('<section class="section section-main section__text-componets section__text-separator">'),
         div("collapse__block-title", div("d-flex a", F.lit("<span> +39 "), rid, F.lit("</span><span>no</span>"))), F.lit("</section>")))
@@ -225,7 +226,7 @@ def extract_listing(spark, d):
                     F.lit("' property='og:url'></head><body>"))
     pages = rel.listing_parts(spark, d).select("restaurantId", F.concat(
         head, div("restaurant-details__components", sheet, F.coalesce(about, F.lit("")), F.coalesce(phone, F.lit(""))),
-        div("restaurant-details__services", F.lit("<ul>"), items, F.lit("</ul><ul><li>no</li></ul>")), div("list--card", cards),
+        div("restaurant-details__services", div("title"), F.lit("<ul>"), items, F.lit("</ul>")), F.lit("<ul><li>no</li></ul>"), div("list--card", cards),
         F.lit("</body></html>")).alias("html"))
     out = ex.listing_record(pages, keep=("restaurantId",))
     return (out.withColumn("facilitiesServices", F.array_join("facilitiesServices", "|")).withColumn("creditCards", F.array_join("creditCards", "|"))

@@ -80,3 +80,42 @@ def test_listing_record_of_a_bare_page(spark):
     df = spark.createDataFrame([(1, "<html></html>"), (2, None)], "page_id long, html string")
     for r in ex.listing_record(df).collect():
         assert r.restaurantName is None and r.website is None and "phoneNumber" in r._errors
+
+
+NESTED = """<html><head><meta property="og:url" content="https://h.org/r/1"></head><body>
+<div class="restaurant-details__components wide"><div class="x data-sheet"><div class="intro"><div class="row">not a row of the sheet</div></div>
+<div class="row first"><div class="row"><div>inner</div></div><h1 class="data-sheet__title">Da <b>Rosa</b></h1></div>
+<div class='row'><div class="data-sheet__block"><div class="data-sheet__block--text">Via <div>Roma</div> 1, Bari, 70100, Italy</div>
+<div class="other"><div class="data-sheet__block--text">not a child</div></div>
+<div class="data-sheet__block--text">€€ · Apulian</div></div></div></div>
+<div class="data-sheet__description">One <div>two <div>2b</div></div> three</div>
+<section class="section__text-separator section section__text-componets"><section>inner</section><div class="collapse__block-title"><div></div><div class="d-flex">
+<div>call</div><span>+39 1</span></div></div></section></div>
+<div class="restaurant-details__services"><div>more</div><ul><li>Bar</li></ul><ul><li>Garden</li></ul></div>
+<div class="list--card"><div><img data-src="/i/visa-1.png"></div><img data-src="/i/amex-2.png"></div><img data-src="/i/none-3.png"></body></html>"""
+
+
+def test_listing_record_of_nested_markup(spark):
+    df = spark.createDataFrame([(1, NESTED)], "page_id long, html string")
+    r = ex.listing_record(df).first()
+    assert (r.restaurantName, r.address, r.city, r.postalCode, r.country) == ("Da Rosa", "Via Roma 1", " Bari", " 70100", " Italy")
+    assert (r.priceRange, r.cuisineType, r.phoneNumber, r.website) == ("€€", "Apulian", "+39 1", "https://h.org/r/1")
+    assert (r.description, r.facilitiesServices, r.creditCards) == ("One two 2b three", ["Bar", "Garden"], ["visa", "amex"])
+    assert r._errors == []
+
+
+def test_card_links_stay_in_their_title(spark):
+    page = ("<div class='card__menu-content'><div>a</div><h3 class=\"card__menu-content--title\">None</h3><a href='/not/title'>x</a></div>"
+            "<div class='b card__menu-content'><div><h3 class='card__menu-content--title'><a class='k' href='/r/2?a=1&amp;b=2'>Two</a></h3></div></div>"
+            "<div class='card__menu-content'><p>no heading</p></div><h3 class='card__menu-content--title'><a href='/outside'>o</a></h3>"
+            "<ul><li><a href='/page/2'>2</a></li></ul>")
+    df = spark.createDataFrame([(1, "https://h.org/list", page), (2, None, None), (3, "https://h.org", "")], "page_id long, url string, html string")
+    assert [tuple(r) for r in ex.card_links(df).collect()] == [(1, 0, "https://h.org/r/2?a=1&b=2")]
+
+
+def test_balanced_elements(spark):
+    df = spark.createDataFrame([("<div id=1><div class='k'>a<DIV>b</DIV>c<divider>d</div>e</div>",), ("<p>x",), ("<div class='k'>open<div>in</div>",), (None,)], "h string")
+    got = [r.e for r in df.select(ex.element(F.col("h"), ex.opened("div", "k"), "div").alias("e")).collect()]
+    assert got == ["a<DIV>b</DIV>c<divider>d", None, "open<div>in</div>", None]
+    kids = df.select(ex.children(F.col("h"), "<div[^>]*>", "div").alias("c")).collect()
+    assert kids[0].c == ["<div class='k'>a<DIV>b</DIV>c<divider>d</div>e"] and kids[1].c == [] and kids[2].c == ["open<div>in</div>"]

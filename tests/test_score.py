@@ -53,3 +53,19 @@ def test_faceted_filters(spark):
                       credit_cards=["amex"], facilities=["Terrace"])
     got = sorted(r.restaurantId for r in sc.faceted_search(lst, q).collect())
     assert got == [1, 3]
+
+
+def test_choices_of_the_form():
+    q = sc.CustomQuery.from_choices("modern", facilities={"Bar": True, "Garden": False, "Parking": True}, num_results=3)
+    assert q == sc.CustomQuery("modern", "", ["Bar", "Parking"], "", 3)
+    assert sc.CustomQuery.from_choices("x", "Italian", None, "€") == sc.CustomQuery("x", "Italian", [], "€")
+    assert sc.CustomQuery.from_choices("x", None, {}, None).result_size() == 5
+
+
+def test_no_preference_scores_by_text_alone(spark, corpus):
+    """All / nothing ticked: the other parts of the score are 0."""
+    listing = corpus.selectExpr("doc_id", "text AS description", "'Italian' AS cuisineType", "array('Bar') AS facilitiesServices", "'€' AS priceRange")
+    idx = ix.build_index(corpus)
+    rows = sc.custom_score(listing, idx, sc.CustomQuery.from_choices("modern seasonal", facilities={"Bar": False})).collect()
+    assert [(r.doc_id, r.cuisine_score, r.facility_score, r.price_score) for r in rows] == [(0, 0.0, 0.0, 0.0)]
+    assert abs(rows[0].customScore - 0.1 * rows[0].desc_score) < 1e-12
