@@ -63,25 +63,44 @@ def scan_page_folders(spark: SparkSession, path: str, first: int | None = None,
 
 # ---------------------------------------------------------------- TSV
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated with a header; list columns as JSON text."""
+# How line breaks and the escape itself are written in a TSV, so
+# that a record is one line and a file can be read in parts.
+LINE_CODES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+NULL_CODE = "\\N"  # null, which an empty text isn't
+
+
+def _nested(f: T.StructField) -> bool:
+    return isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+
+
+def write_tsv(df: DataFrame, path: str, quoted: bool = False) -> None:
+    """Tab-separated with a header; list columns as JSON text.  Line breaks
+    in a text are written as two characters (LINE_CODES), so no record spans
+    lines; ``quoted`` leaves them as they are, inside quotes."""
     out = df
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        if _nested(f):
             out = out.withColumn(f.name, F.to_json(f.name))
+        if not quoted and (_nested(f) or isinstance(f.dataType, T.StringType)):
+            for plain, code in LINE_CODES:
+                out = out.withColumn(f.name, F.replace(F.col(f.name), F.lit(plain), F.lit(code)))
     out.write.mode("overwrite").option("header", True).option("sep", "\t") \
-        .option("quote", '"').option("escape", '"').csv(path)
+        .option("quote", '"').option("escape", '"').option("nullValue", "" if quoted else NULL_CODE).csv(path)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quoted: bool = False) -> DataFrame:
     """Read back with an explicit schema; list columns parsed from JSON
-    (single-quoted Python-style literals are accepted too)."""
-    flat = T.StructType([T.StructField(f.name, T.StringType() if isinstance(
-        f.dataType, (T.ArrayType, T.MapType, T.StructType)) else f.dataType, True) for f in schema.fields])
+    (single-quoted Python-style literals are accepted too).  A file is as many
+    tasks as its size asks for; one with quoted line breaks (``quoted``) is one task."""
+    flat = T.StructType([T.StructField(f.name, T.StringType() if _nested(f) else f.dataType, True) for f in schema.fields])
     df = (spark.read.schema(flat).option("header", True).option("sep", "\t")
-          .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+          .option("quote", '"').option("escape", '"').option("multiLine", quoted)
+          .option("nullValue", "" if quoted else NULL_CODE).csv(path))
     for f in schema.fields:
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        if not quoted and (_nested(f) or isinstance(f.dataType, T.StringType)):
+            for plain, code in reversed(LINE_CODES):
+                df = df.withColumn(f.name, F.replace(F.col(f.name), F.lit(code), F.lit(plain)))
+        if _nested(f):
             df = df.withColumn(f.name, F.from_json(f.name, f.dataType, {"allowSingleQuotes": "true"}))
     return df
 

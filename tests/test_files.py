@@ -34,3 +34,22 @@ def test_points_text(spark):
     files.write_points_text(pts, d + "/p")
     back = sorted(tuple(r) for r in files.read_points_text(spark, d + "/p").collect())
     assert back == [(1, 1, 3), (1, 4, 3)]
+
+
+def test_tsv_is_read_in_several_tasks(spark, tmp_path):
+    """Tabs, quotes, line breaks and backslashes come back from a file that is read in parts."""
+    odd = ['a\tb', 'say "x"', "two\nlines", "cr\r\nlf", "back\\slash \\n \\b \\\\", "", None, '"', "\n", "é\t\"\n\\"]
+    rows = [(i, odd[i % len(odd)], [odd[i % len(odd)] or "", "x\ny"]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "i long, t string, l array<string>")
+    for quoted in (False, True):
+        path = f"{tmp_path}/{quoted}"
+        files.write_tsv(df.coalesce(1), path, quoted=quoted)
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        try:
+            back = files.read_tsv(spark, path, df.schema, quoted=quoted)
+            assert (back.rdd.getNumPartitions() > 3) is not quoted
+            if not quoted:
+                assert sorted(map(tuple, back.collect())) == sorted((i, t, l) for i, t, l in rows)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
