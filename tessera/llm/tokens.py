@@ -1,7 +1,8 @@
 """Token ids of whole texts, one library call per distinct piece.
 
 A text is cut only where its tokenizer is certain to cut (at white space),
-so the ids of the pieces, joined, are those of the whole text.  Pieces recur
+so the ids of the pieces, joined, are those of the whole text as the library
+encodes it by default: strings of added tokens in a text give their ids.  Pieces recur
 often: each worker keeps the ids of those it has seen in a table of bounded
 size, and the tokenizers library encodes the others.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 
@@ -31,16 +33,22 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.max_pieces = max_pieces
         self.dtype = id_dtype(path)
+        self.code = np.dtype(self.dtype).char
         spec = json.loads(self.tokenizer.to_str())
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
-        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.cut, self.plain = self._before_space, re.compile(f" ?[{_LETTERS}]+")
+        added = spec.get("added_tokens") or []
+        # strings that the library cuts out first; texts without the first two characters of any hold none
+        self.added = re.compile("|".join(re.escape(t["content"][:2]) for t in added), re.I) if added else None
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"]) for t in added):
+            self.cut = lambda text: [text]
+        elif pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
+            self.cut, self.plain = self._before_space, re.compile(f"(\n?)( ?[{_LETTERS}]+)({_MARKS}*)")
         elif _drops_space(pre) and {n["type"] for n in norm.get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}:
             self.lower = any(n["type"] == "Lowercase" for n in norm["normalizers"])
-            self.cut, self.plain = self._at_space, re.compile(f"[{_LETTERS}]+")
+            self.cut, self.plain = self._at_space, re.compile(f"()([{_LETTERS}]+)({_MARKS}*)")
         else:
             self.cut = lambda text: [text]
 
@@ -56,17 +64,19 @@ class PieceEncoder(dict):
         return ids
 
     def _new(self, piece: str) -> bytes:
-        if self.plain and len(piece) > 1:
-            if piece[-1] in ".," and piece[-2].isalpha():  # a mark alone after a letter is a piece of its own
-                return self[piece[:-1]] + self[piece[-1]]
-            if self.plain.fullmatch(piece):  # one word: normalised here, and left to the library's model alone
-                word = "".join(map(_BYTE_CHARS.__getitem__, (piece.lower() if self.lower else piece).encode()))
-                return np.array([t.id for t in self.tokenizer.model.tokenize(word)], dtype=self.dtype).tobytes()
+        parts = self.plain.fullmatch(piece) if self.plain else None
+        if parts:
+            lead, word, marks = parts.groups()
+            if lead or marks:  # a line break before a word and a run of marks after it are pieces of their own
+                return (self[lead] if lead else b"") + self[word] + (self[marks] if marks else b"")
+            # one word: normalised here, and left to the library's model alone
+            word = (word.lower() if self.lower else word).encode().decode("latin-1").translate(_BYTE_CHARS)
+            return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _at_space(self, text: str) -> list[str]:
         """For tokenizers that drop white space."""
-        if self.lower and text.isascii():
+        if self.lower and text.isascii() and not (self.added and self.added.search(text)):
             text = text.lower()
         return text.replace("\n", " ").split(" ")
 
@@ -83,15 +93,16 @@ class PieceEncoder(dict):
 
 # Letters of Latin-1: one code point each in either case, and composed already.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+# Marks of ASCII: no letter, digit or white space, so a run of them is cut from a word.
+_MARKS = r"[!-/:-@\[-`{-~]"
 
 
-def _byte_chars() -> list[str]:
+def _byte_chars() -> dict[int, str]:
     """The character that byte-level tokenizers write for each byte: printable
     Latin-1 characters for themselves, the others from U+0100 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = (b for b in range(256) if b not in own)
-    table = {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
-    return [table[b] for b in range(256)]
+    return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
 _BYTE_CHARS = _byte_chars()

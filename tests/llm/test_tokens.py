@@ -1,5 +1,6 @@
 """Token files and packing against whole-text encoding."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -18,15 +19,27 @@ TEXTS = ["", " ", "a  b\n\nc", "The cat's 3.5 dogs, 'll go.\nNow", "x\t\n y 　z
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_pieces_equal_whole_text(path):
     enc, whole = tokens.PieceEncoder(path, max_pieces=7), Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     for text in [*TEXTS, " \n".join(TEXTS), "".join(TEXTS)]:
         got = np.frombuffer(enc.encode(text), dtype=enc.dtype).tolist()
         assert got == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+ODD = ["a", "B", "é", "İ", "ı", "ß", "ſ", "K", "Ω", "ς", "Σ", "e\u0301", "\u0301", "\u0338", "ﬁ", "日", "ก็", "😀", "👩\u200d👧", "1", "²", "٣", "Ⅷ",
+       ".", ",", "'", "'s", "'LL", "$$$", "!?", "_", "<|", "|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "…", "«",
+       " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u2003", "\u3000", "\x00", "\x1c", "\x85", "word", "Word", "que"]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_random_odd_strings_equal_the_library(path):
+    enc, whole, rng = tokens.PieceEncoder(path, max_pieces=50), Tokenizer.from_file(path), random.Random(5)
+    for _ in range(10_000):
+        text = "".join(rng.choices(ODD, k=rng.randint(1, 12)))
+        got = np.frombuffer(enc.encode(text), dtype=enc.dtype).tolist()
+        assert got == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def _expected(rows, path, end=1):
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     return {r["doc_id"]: whole.encode(r["text"] or "", add_special_tokens=False).ids + [end] for r in rows}
 
 
