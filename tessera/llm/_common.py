@@ -30,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as the struct ``_in``, so that no name of theirs
+    meets an operator's own; ``select("_in.*")`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row (a lambda
     variable, so the optimizer can't inline a costly expression)."""

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import ascii_lower, let, stored
+from tessera.llm._common import ascii_lower, let, stored, whole_row
 
 # What separates words, and the words of a window.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -125,21 +125,38 @@ def covered(spans: Column) -> Column:
         F.greatest(s["end"], a["end"]).alias("end")))["n"]
 
 
-def contamination_report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    documents, occurrences, window_items = contamination_hits(narrow, items, carry=["doc_id"], **kw)
+def _digests(text: Column) -> list[Column]:
+    return [F.xxhash64(F.lit(n), text) for n in (1, 2)]
+
+
+def contamination_report(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                         digests: bool = False, **kw) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256,
+    contaminated; with ``digests`` two 64-bit hashes of its text, d1 and d2."""
+    carry = ["doc_id", "d1", "d2"] if digests else ["doc_id"]
+    d1, d2 = _digests(F.col(text_col))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), d1.alias("d1"), d2.alias("d2"))
+    documents, occurrences, window_items = contamination_hits(narrow, items, carry=carry, **kw)
     found = stored(occurrences, "occurrences")
     hit = found.groupBy("_row").agg(covered(F.array_sort(F.collect_set(F.struct("start", "end")))).alias("n_hit"))
     item_ids = (found.select("_row", "window_id").distinct().join(window_items, "window_id").select("_row", "item_id").distinct()
                 .groupBy("_row").agg(F.array_sort(F.collect_list("item_id")).alias("items")))
     n_hit, ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
     return documents.join(hit.join(item_ids, "_row"), "_row", "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+        *carry, "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The documents that aren't contaminated (those without an id stay)."""
-    bad = contamination_report(docs, items, id_col=id_col, **kw).where("contaminated").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad.hint("shuffle_hash"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def remove_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """The documents that aren't contaminated, with the columns of ``docs``.
+
+    What goes is told by id (null equals null) and text, as it is the text
+    that is contaminated: rows without an id go too, and a clean row that
+    shares its id with a contaminated one stays.
+    """
+    bad = (contamination_report(docs, items, id_col=id_col, text_col=text_col, digests=True, **kw).where("contaminated")
+           .select("doc_id", "d1", "d2").distinct())
+    d1, d2 = _digests(F.col("_in")[text_col])
+    rows = docs.select(whole_row(docs)).withColumn("_d1", d1).withColumn("_d2", d2)
+    same = F.col("_in")[id_col].eqNullSafe(F.col("doc_id")) & (F.col("_d1") == F.col("d1")) & (F.col("_d2") == F.col("d2"))
+    return rows.join(bad.hint("shuffle_hash"), same, "left_anti").select("_in.*")

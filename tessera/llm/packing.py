@@ -106,10 +106,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(cut, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
-         end_id: int = 1, capacity: int = 2048, max_pieces: int = 500_000) -> DataFrame:
-    """Pieces with their place: doc_id, start, length, ids_crc32, doc_tokens,
-    ids, sequence_id, offset.  ``packed_sequences`` turns them into sequences."""
+def pack(docs: DataFrame, tokenizer: str, **kw) -> DataFrame:
+    """The places of all pieces: doc_id, start, length, ids_crc32, doc_tokens,
+    sequence_id, offset."""
+    return pack_tables(docs, tokenizer, **kw)[1]
+
+
+def pack_tables(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
+                end_id: int = 1, capacity: int = 2048, max_pieces: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """(pieces with their ids, a written table; places as of ``pack``).
+    ``packed_sequences`` joins the two into sequences."""
     pieces = stored(token_pieces(docs, tokenizer, id_col=id_col, text_col=text_col,
                                  end_id=end_id, capacity=capacity, max_pieces=max_pieces), "pieces")
     narrow = pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
@@ -140,20 +146,28 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     names = narrow.columns
     out = ", ".join(f"{c} long" for c in [*names, "sequence_id", "offset"])
     ordered = global_index(narrow, ["length", "doc_id", "start", "ids_crc32"], "ranked")
-    placed = ordered.mapInArrow(place, out)
-    placed._pieces = pieces  # the ids, for packed_sequences
-    return placed
+    return pieces, ordered.mapInArrow(place, out)
+
 
+def packed_sequences(pieces: DataFrame, placed: DataFrame, *, width: int = 2, capacity: int = 2048, pad_id: int = 0) -> DataFrame:
+    """One row per sequence: sequence_id, n_tokens, ids (binary, ``width``
+    bytes an id), mask (1 for an id, 0 for padding), doc_ids, starts, lengths.
 
-def packed_sequences(placed: DataFrame) -> DataFrame:
-    """One row per sequence: sequence_id, n_tokens, ids (binary), doc_ids,
-    starts.  A sequence is bounded by the capacity, so its group is too."""
-    ids = placed._pieces.select("doc_id", "start", "ids_crc32", "ids").dropDuplicates(["doc_id", "start", "ids_crc32"])
+    Sequences are padded to ``capacity``; one whose length is a power of two
+    isn't.  A sequence is bounded by the capacity, so its group is too.
+    """
+    ids = pieces.select("doc_id", "start", "ids_crc32", "ids").dropDuplicates(["doc_id", "start", "ids_crc32"])
     same = placed["doc_id"].eqNullSafe(ids["doc_id"]) & (placed["start"] == ids["start"]) & (placed["ids_crc32"] == ids["ids_crc32"])
     rows = placed.join(ids, same).select(placed["sequence_id"], F.struct(
         placed["offset"], placed["doc_id"], placed["start"], placed["length"], ids["ids"]).alias("p"))
+    n = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["length"])
+    size = F.col("n_tokens")
+    padding = F.when(size.bitwiseAND(size - 1) == 0, F.lit(0)).otherwise(capacity - size).cast("int")
+    pad = F.unhex(F.lit(int(pad_id).to_bytes(width, "little").hex()))
+    ids_of = F.aggregate("p", F.unhex(F.lit("")), lambda a, x: F.concat(a, x["ids"]))
     return (rows.groupBy("sequence_id").agg(F.array_sort(F.collect_list("p")).alias("p"))
-            .select("sequence_id", F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("n_tokens"),
-                    F.array_join(F.transform("p", lambda x: F.hex(x["ids"])), "").alias("_hex"),
-                    F.col("p.doc_id").alias("doc_ids"), F.col("p.start").alias("starts"))
-            .withColumn("ids", F.unhex("_hex")).drop("_hex"))
+            .withColumn("n_tokens", n).withColumn("_pad", padding)
+            .select("sequence_id", "n_tokens",
+                    F.concat(ids_of, F.unhex(F.repeat(F.hex(pad), F.col("_pad")))).alias("ids"),
+                    F.concat(F.array_repeat(F.lit(1).cast("byte"), size.cast("int")), F.array_repeat(F.lit(0).cast("byte"), F.col("_pad"))).alias("mask"),
+                    F.col("p.doc_id").alias("doc_ids"), F.col("p.start").alias("starts"), F.col("p.length").alias("lengths")))

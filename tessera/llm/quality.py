@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import let, stored
+from tessera.llm._common import let, stored, whole_row
 
 # White space, symbols, classes of characters that are no white
 # space (the rest, lower-case consonants mostly, is one more class).
@@ -194,5 +194,6 @@ def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that pass, with the columns of ``docs``."""
-    return judged(stored(with_features(docs), "features"), **limits).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with the columns of ``docs``, whatever their names."""
+    rows = with_features(docs.select(whole_row(docs)), "_in.text", "_in.lang")
+    return judged(stored(rows, "features"), **limits).where("kept").select("_in.*")

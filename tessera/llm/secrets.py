@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import let, prefix_sums, stored
+from tessera.llm._common import let, prefix_sums, stored, whole_row
 
 # The patterns of the base kinds, in their order.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -84,11 +84,11 @@ def named(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"])), ",")
 
 
-def with_spans(docs: DataFrame, text_col: str, repository: Column, owner: Column) -> DataFrame:
-    """``docs`` with ``_spans``, ``_repository``, ``_owner`` and a row number (store it before use)."""
-    return (docs.withColumn("_spans", candidate_spans(F.coalesce(F.col(text_col), F.lit(""))))
-            .withColumn("_repository", F.coalesce(repository, F.lit(""))).withColumn("_owner", F.coalesce(owner, F.lit("")))
-            .withColumn("_row", F.monotonically_increasing_id()))
+def with_spans(docs: DataFrame, carry: Column, text_col: str, repository: Column, owner: Column) -> DataFrame:
+    """``carry``, ``_spans``, ``_repository``, ``_owner`` and a row number ``_row`` (store it before use)."""
+    return docs.select(carry, candidate_spans(F.coalesce(F.col(text_col), F.lit(""))).alias("_spans"),
+                       F.coalesce(repository, F.lit("")).alias("_repository"), F.coalesce(owner, F.lit("")).alias("_owner"),
+                       F.monotonically_increasing_id().alias("_row"))
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -111,8 +111,7 @@ def judged(found: DataFrame, *, max_owners: int = 2, max_repositories: int = 4,
 def secret_report(docs: DataFrame, *, repository: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans,
     n_live, n_example."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), repository.alias("repository"), owner.alias("owner"))
-    found = stored(with_spans(narrow, "text", F.col("repository"), F.col("owner")).select("doc_id", "_row", "_owner", "_repository", "_spans"), "spans")
+    found = stored(with_spans(docs, F.col(id_col).alias("doc_id"), text_col, repository, owner), "spans")
     out = found.join(judged(found.where(F.size("_spans") > 0), **limits), "_row", "left")
     base = F.filter("_spans", lambda s: s["kind"] < 3)
     final = F.filter(F.coalesce("_judged", F.array()), lambda s: (s["kind"] < 3) | s["live"])
@@ -149,15 +148,22 @@ def redact(text: Column, spans: Column, mark: str) -> Column:
 def remove_live_secrets(docs: DataFrame, *, repository: Column, owner: Column, text_col: str = "text", mark: str = "<secret>",
                         size_col: str | None = "n_chars", **limits) -> DataFrame:
     """``docs`` with the live credentials in their texts replaced by ``mark``
-    (and ``size_col`` brought up to date where a text has changed)."""
-    names = docs.columns
-    found = stored(with_spans(docs, text_col, repository, owner), "spans")
-    clean = found.where(F.size("_spans") == 0).select(*[F.col(f"`{c}`") for c in names])
+    (and ``size_col`` brought up to date where a text has changed); all other
+    columns as they are, whatever their names."""
+    found = stored(with_spans(docs, whole_row(docs), text_col, repository, owner), "spans")
+    clean = found.where(F.size("_spans") == 0).select("_in.*")
     marked = found.where(F.size("_spans") > 0)
-    live = F.filter("_judged", lambda s: s["live"])
-    joined = marked.join(judged(marked, **limits), "_row").withColumn("_live", live)
+    joined = marked.join(judged(marked, **limits), "_row").withColumn("_live", F.filter("_judged", lambda s: s["live"]))
     changed = F.size("_live") > 0
-    joined = joined.withColumn(text_col, F.when(changed, redact(F.col(text_col), F.col("_live"), mark)).otherwise(F.col(text_col)))
-    if size_col in names:
-        joined = joined.withColumn(size_col, F.when(changed, F.length(text_col).cast(docs.schema[size_col].dataType)).otherwise(F.col(size_col)))
-    return clean.unionByName(joined.select(*[F.col(f"`{c}`") for c in names]))
+    text = F.col("_in")[text_col]
+    joined = joined.withColumn("_text", F.when(changed, redact(text, F.col("_live"), mark)).otherwise(text))
+
+    def column(name):
+        if name == text_col:
+            return F.col("_text").alias(name)
+        own = F.col("_in")[name]
+        if name == size_col:
+            own = F.when(changed, F.length("_text").cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+
+    return clean.unionByName(joined.select(*map(column, docs.columns)))

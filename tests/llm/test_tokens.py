@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tessera.llm import arrow_tokens, packing, tokens
-from tessera.llm._common import scratch
+from tessera.llm._common import scratch, stored
 
 WORD, BYTE = (tokens.tokenizer_path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 TEXTS = ["", " ", "a  b\n\nc", "The cat's 3.5 dogs, 'll go.\nNow", "x\t\n y 　z  w\x1c\n q", "É é é İ ß ſ K\n ẞ",
@@ -114,7 +114,8 @@ def test_plan_covers_each_rank_once():
 
 
 def test_pack_places_each_id_once(spark, odd_docs):
-    placed = packing.pack(odd_docs, BYTE, capacity=256)
+    pieces, placed = packing.pack_tables(odd_docs, BYTE, capacity=256)
+    pieces, placed = (stored(df, "t") for df in (pieces, placed))  # plain tables, read again
     want = _expected(odd_docs.collect(), BYTE)
     by_seq, by_doc = defaultdict(list), defaultdict(list)
     rows = placed.collect()
@@ -131,12 +132,23 @@ def test_pack_places_each_id_once(spark, odd_docs):
         assert at <= 256
     for doc, spans in by_doc.items():
         assert sum(n for _, n in spans) == len(want[doc]) * (2 if doc == 6 else 1)
-    seqs = {r["sequence_id"]: r for r in packing.packed_sequences(placed).collect()}
+    seqs = {r["sequence_id"]: r for r in packing.packed_sequences(pieces, placed, capacity=256, pad_id=9).collect()}
+    assert seqs.keys() == by_seq.keys()
     dtype = np.dtype(tokens.id_dtype(BYTE))
     for s, spans in by_seq.items():
         parts = sorted((r["offset"], r["doc_id"], r["start"], r["length"]) for r in rows if r["sequence_id"] == s)
         ids = [x for _, d, a, n in parts for x in want[d][a:a + n]]
-        assert np.frombuffer(seqs[s]["ids"], dtype=dtype).tolist() == ids
+        size = len(ids) if len(ids) & (len(ids) - 1) == 0 else 256
+        assert np.frombuffer(seqs[s]["ids"], dtype=dtype).tolist() == ids + [9] * (size - len(ids))
+        assert seqs[s]["mask"] == [1] * len(ids) + [0] * (size - len(ids)) and seqs[s]["n_tokens"] == len(ids)
+    # unpacked, the sequences give every document's ids back
+    back = defaultdict(dict)
+    for r in seqs.values():
+        at = 0
+        for d, a, n in zip(r["doc_ids"], r["starts"], r["lengths"]):
+            back[d].setdefault(a, np.frombuffer(r["ids"], dtype=dtype)[at:at + n].tolist())
+            at += n
+    assert {d: [x for _, ids in sorted(p.items()) for x in ids] for d, p in back.items()} == want
 
 
 def test_pack_empty(spark, no_docs):
