@@ -16,8 +16,9 @@ is enough to look for one, its prefix:
    window.
 
 Scale: the documents are read twice (counts, hits) and never shuffled.  The
-hashes that they are joined with are broadcast in blocks of ``BLOCK`` (4 MB)
-at most, all in the same pass, so the benchmark may be of any size.  A passage
+hashes that they are joined with are broadcast, ``BLOCK`` (4 MB) at most at a
+time: a larger benchmark takes a pass over the documents for each block, whose
+rows are written before the next one begins.  A passage
 that a third of all documents hold makes one row a hit; those rows are joined
 by hash, which Spark may split, and regrouped by document.
 
@@ -67,16 +68,21 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int)
     return windows, pairs.join(windows, "words").select("window_id", "item_id")
 
 
-def _among(rows: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Rows whose hash is listed; the list is broadcast in blocks of bounded size."""
-    blocks = -(-max(1, hashes.count()) // BLOCK)
+def _blocks(hashes: DataFrame) -> int:
+    return -(-max(1, hashes.count()) // BLOCK)
+
+
+def _among(rows: DataFrame, hashes: DataFrame, blocks: int, then) -> DataFrame:
+    """``then`` of the rows whose hash is listed.  One block of the list is
+    broadcast at a time, so ``then`` may aggregate by hash only."""
     if blocks == 1:
-        return rows.join(F.broadcast(hashes), "hash", "left_semi")
+        return then(rows.join(F.broadcast(hashes), "hash", "left_semi"))
+    out = None
     for b in range(blocks):
-        part = hashes.where(F.pmod("hash", F.lit(blocks)) == b).withColumn(f"_in{b}", F.lit(True))
-        rows = rows.join(F.broadcast(part), "hash", "left")
-    flags = [f"_in{b}" for b in range(blocks)]
-    return rows.where(F.coalesce(*flags, F.lit(False))).drop(*flags)
+        part = hashes.where(F.pmod("hash", F.lit(blocks)) == b)
+        found = stored(then(rows.join(F.broadcast(part), "hash", "left_semi")), "among")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def contamination_hits(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, item_id: str = "item_id", item_text: str = "text",
@@ -90,22 +96,27 @@ def contamination_hits(docs: DataFrame, items: DataFrame, *, window: int = WINDO
         shingles(F.col("words"), widths), lambda s: s["pos"] <= F.col("n") - width)).alias("s")).select("window_id", "s.pos", "s.hash"), "shingles")
 
     words = docs.select(*carry, words_of(F.col(text_col)).alias("_w"))
-    counts = _among(words.select(F.explode(shingles(F.col("_w"), widths)).alias("s")).select("s.hash"), parts.select("hash").distinct())
-    rarity = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("freq"))
+    sought = parts.select("hash").distinct()
+    rarity = _among(words.select(F.explode(shingles(F.col("_w"), widths)).alias("s")).select("s.hash"), sought, _blocks(sought),
+                    lambda rows: rows.groupBy("hash").agg(F.count(F.lit(1)).alias("freq")))
     prefix = stored(parts.join(rarity, "hash", "left").groupBy("window_id").agg(
         F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "hash", F.col("pos").alias("offset"))).alias("p"))
         .where("p.freq > 0").select("window_id", "p.hash", "p.offset"), "prefix")
 
     own = F.xxhash64(F.lit("document"))
     document = F.array(F.struct(F.lit(_DOCUMENT).alias("pos"), own.alias("hash")))
-    each = words.withColumn("_row", F.monotonically_increasing_id()).withColumn("_s", F.concat(document, shingles(F.col("_w"), widths)))
-    exploded = each.select("_row", *carry, "_w", F.explode("_s").alias("s")).select("_row", *carry, "_w", "s.pos", "s.hash")
     listed = prefix.select("hash").unionByName(docs.sparkSession.range(1).select(own.alias("hash"))).distinct()
+    blocks, number = _blocks(listed), F.monotonically_increasing_id().alias("_row")
+    numbered = words.select("*", number)
+    if blocks > 1:  # all passes must see the same numbers
+        numbered = stored(docs.select(*carry, F.col(text_col).alias("_t"), number), "numbered").select("_row", *carry, words_of(F.col("_t")).alias("_w"))
+    each = numbered.withColumn("_s", F.concat(document, shingles(F.col("_w"), widths)))
+    exploded = each.select("_row", *carry, "_w", F.explode("_s").alias("s")).select("_row", *carry, "_w", "s.pos", "s.hash")
     is_document = F.col("pos") == _DOCUMENT
     start = F.greatest(F.col("pos") - (window - 1), F.lit(0))
-    hits = stored(_among(exploded, listed).select(
+    hits = stored(_among(exploded, listed, blocks, lambda rows: rows.select(
         "_row", *[F.when(is_document, F.col(c)).alias(c) for c in carry], F.size("_w").alias("n_words"), "pos", "hash", start.alias("from"),
-        F.when(~is_document, F.slice("_w", start + 1, 2 * window)).alias("around")), "hits")
+        F.when(~is_document, F.slice("_w", start + 1, 2 * window)).alias("around"))), "hits")
 
     documents = hits.where(is_document).select("_row", *carry, F.col("n_words").cast("long").alias("n_words"))
     begin = F.col("pos") - F.col("offset")
