@@ -5,6 +5,12 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame that calls one of
 the operators of :mod:`tessera.llm`; its result is written as Parquet and read
 again as the next one's docs.  All but the last return the columns of
 ``documents``; every stage works on all that the one before it kept.
+
+Nulls: a null text has no words, fails the quality rules and is packed as an
+end id alone; rows without an id are judged like others.  Ties: of near
+duplicates the smallest id stays, rows of one id stay together.  Repeated rows
+are judged each; empty tables give empty results; further columns of any name
+are carried unchanged to the last stage, whose columns are ``packing.pack``'s.
 """
 
 from __future__ import annotations
