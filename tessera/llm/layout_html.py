@@ -12,12 +12,16 @@ of what holds the table; there only white space is dropped.
 Hidden are elements that are never shown (scripts, styles, templates, the
 head, option lists of inputs, and in svg and math what they only define or
 describe), the ``hidden`` attribute, and inline ``display: none`` and
-``visibility: hidden``.  The page is taken as seen with scripts, frames, audio
+``visibility: hidden``, the content of a ``details`` that isn't open but for
+its first summary, and a ``dialog`` that isn't open.  The page is taken as seen with scripts, frames, audio
 and video, whose stand-in texts (noscript, noframes, inside iframe, audio and
 video) are hidden; objects and canvases are not drawn, so theirs are shown.
 
 Each page is a row of its own: one pass, no shuffle, a page in memory at a
-time; there is no recursion, so the depth of a page doesn't matter.
+time.  There is no recursion, and time and output grow with the page, not with
+its depth: where an unclosed tag would end is looked up, the innermost open
+element of a name is kept by name, and lines are indented by ``MAX_INDENT``
+columns at most.  Only tables inside of tables cost their lines once a level.
 
 Defined results: null and empty html give an empty text; broken markup is
 repaired as above; repeated rows get equal texts; an empty table gives no
@@ -29,6 +33,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,10 +75,13 @@ ENDS = {"li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}
 SCOPE = _set("table td th caption button object template html")
 SPACE = " \t\n\f\r"
 
-TOKEN = re.compile(r"""<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*>|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>""", re.S)
+TOKEN = re.compile(r"<!--(?:.*?--!?>|.*\Z)|<[!?]|</?[a-zA-Z]", re.S)  # a comment, or how a tag begins
+TAG_END = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 WORD = re.compile(r"[^ \t\n\f\r]+")
+MAX_INDENT = 64  # columns
+NEAR = 12  # open elements that are looked at one by one
 
 
 def _attributes(tag: str, name: str) -> dict[str, str]:
@@ -85,36 +93,75 @@ def _attributes(tag: str, name: str) -> dict[str, str]:
     return found
 
 
+class TagEnds:
+    """Where the tags of a page end: at the first ``>`` that is in no quotes."""
+
+    def __init__(self, page: str):
+        self.page, self.marks, self.ends = page, None, None
+
+    def after(self, at: int) -> int:
+        """The end of the tag that is open at a place; -1: it has none."""
+        if self.marks is None:
+            if m := TAG_END.match(self.page, at):
+                return m.end()
+            self._prepare()
+        k = bisect_left(self.marks, at)
+        return self.ends[k] if k < len(self.marks) else -1
+
+    def _prepare(self) -> None:
+        """The ends from each ``>`` and quote on, from the last to the first; once
+        a page, as each tag without an end would be read to the end of the page."""
+        self.marks = [m.start() for m in re.finditer("[>\"']", self.page)]
+        self.ends, following = [-1] * len(self.marks), {}
+        for k in range(len(self.marks) - 1, -1, -1):
+            mark = self.page[self.marks[k]]
+            if mark == ">":
+                self.ends[k] = self.marks[k] + 1
+            else:
+                closing = following.get(mark, len(self.marks))
+                self.ends[k] = self.ends[closing + 1] if closing + 1 < len(self.marks) else -1
+                following[mark] = k
+
+
 def tree_events(page: str):
     """("open", name, attributes), ("text", string) and ("close", name) of the element tree."""
     stack: list[str] = []
+    depths: dict[str, list[int]] = {}  # of the open elements by name
     foreign = 0  # open svg and math elements
+    ends, last_end = TagEnds(page), page.rfind(">")
 
     def close_to(depth):
         nonlocal foreign
         while len(stack) > depth:
-            foreign -= stack[-1] in FOREIGN
-            yield "close", stack.pop()
+            name = stack.pop()
+            depths[name].pop()
+            foreign -= name in FOREIGN
+            yield "close", name
+
+    def innermost(names) -> int:
+        return max((depths[n][-1] for n in names if depths.get(n)), default=-1)
 
     def last(names, beyond) -> int:
         """Depth of the innermost of the names, not beyond others; -1: none."""
-        for k in range(len(stack) - 1, -1, -1):
+        for k in range(len(stack) - 1, max(len(stack) - NEAR, 0) - 1, -1):
             if stack[k] in names:
                 return k
             if stack[k] in beyond:
-                break
-        return -1
+                return -1
+        k = innermost(names) if len(stack) > NEAR else -1
+        return k if k >= 0 and k >= innermost(beyond) else -1
 
     def opened(name, attributes):
         nonlocal foreign
         foreign += name in FOREIGN
+        depths.setdefault(name, []).append(len(stack))
         stack.append(name)
         return "open", name, attributes
 
     def start(name, tag):
         if stack and stack[-1] == "head" and name not in IN_HEAD:
             yield from close_to(len(stack) - 1)
-        if name in ("html", "body", "head") and (name in stack or "body" in stack):
+        if name in ("html", "body", "head") and (depths.get(name) or depths.get("body")):
             return
         while foreign and name in LEAVES_FOREIGN and (k := last(FOREIGN, HTML_IN_FOREIGN)) >= 0:
             yield from close_to(k)
@@ -157,14 +204,21 @@ def tree_events(page: str):
     at, raw = 0, ""
     while at < len(page):
         if raw:  # nothing but its own end tag ends it
-            m = re.compile(rf"</{raw}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            stop = m.start() if m else len(page)
+            m = re.compile(rf"</{raw}(?=[\s/>])", re.I).search(page, at)
+            close = page.find(">", m.end()) if m else -1
+            stop = m.start() if close >= 0 else len(page)
             yield "text", (html.unescape(page[at:stop]) if raw in ("textarea", "title") else page[at:stop])
-            at = m.end() if m else len(page)
+            at = close + 1 if close >= 0 else len(page)
             raw = ""
             yield from close_to(len(stack) - 1)
             continue
-        m = TOKEN.search(page, at)
+        m, close = TOKEN.search(page, at), -1
+        while m:
+            close = m.end() if m[0][:4] == "<!--" else ends.after(m.end()) if m[0][1] not in "!?" \
+                else page.find(">", m.end()) + 1 if m.end() <= last_end else -1
+            if close >= 0:
+                break
+            m = TOKEN.search(page, m.start() + 1)  # never ended: text
         stop = m.start() if m else len(page)
         if stop > at:
             text = html.unescape(page[at:stop])
@@ -173,7 +227,7 @@ def tree_events(page: str):
             yield "text", text
         if not m:
             break
-        at, tag = m.end(), m[0]
+        at, tag = close, page[stop:close]
         if tag[1] in "!?":
             continue
         name = NAME.match(tag)[1].lower()
@@ -192,8 +246,27 @@ class Flow:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line, self.gap, self.margin, self.pre = "", False, False, 0
-        self.indents: list[list[str]] = []  # [of the first line, of later lines]
+        self.parts: list[str] = []  # of the line begun
+        self.gap, self.margin, self.pre = False, False, 0
+        self.visible = False  # something other than white space is on the line
+        self.indents: list[str] = []  # of a first line: list markers, or white space
+        self.columns = [0]  # sums of their widths
+        self.begun = 0  # indents whose first line has begun
+        self.blanks = False  # some line ends with blanks
+        self._open = False
+
+    def indent(self, first: str) -> None:
+        self.indents.append(first)
+        self.columns.append(self.columns[-1] + len(first))
+
+    def outdent(self) -> None:
+        self.indents.pop()
+        self.columns.pop()
+        self.begun = min(self.begun, len(self.indents))
+
+    def _add(self, part: str) -> None:
+        self.parts.append(part)
+        self.visible = self.visible or not part.isspace()
 
     def text(self, text: str) -> None:
         if self.pre:
@@ -201,50 +274,63 @@ class Flow:
                 if k:
                     self.newline()
                 if part:
-                    self._begin()
-                    self.line += part
+                    self.begin()
+                    self._add(part)
             return
         words = WORD.findall(text)
         if words:
             if text[0] in SPACE:
                 self.gap = True
-            joined = " ".join(words)
-            if self.line.strip() and self.gap and self._open:
-                self.line += " " + joined
+            if self.visible and self.gap and self._open:
+                self.parts.append(" ")
             else:
-                self._begin()
-                self.line += joined
+                self.begin()
+            self._add(" ".join(words))
             self.gap = text[-1] in SPACE
         elif text:
             self.gap = True
 
-    _open = False
-
-    def _begin(self) -> None:
+    def begin(self) -> None:
         if self._open:
             return
         if self.margin and self.lines:
             self.lines.append("")
         self.margin, self._open = False, True
-        for indent in self.indents:
-            self.line += indent[0]
-            indent[0] = indent[1]
-
-    def finish_line(self) -> None:
+        if self.indents:
+            self.parts.append(" " * min(self.columns[self.begun], MAX_INDENT))
+            for first, end in zip(self.indents[self.begun:], self.columns[self.begun + 1:]):
+                if end <= MAX_INDENT or not first.isspace():  # markers are text
+                    self._add(first)
+            self.begun = len(self.indents)
+
+    def finish_line(self, trim: bool = False) -> None:
         if self._open:
-            self.lines.append(self.line if self.pre else self.line.rstrip(" "))
-        self.line, self._open, self.gap = "", False, False
+            line = "".join(self.parts)
+            self.lines.append(line if self.pre and not trim else line.rstrip(" "))
+            self.blanks |= self.lines[-1][-1:] == " "
+        self.parts, self.visible, self._open, self.gap = [], False, False, False
 
     def newline(self) -> None:
-        if not self._open:
-            self._begin()
-            self.line = self.line.rstrip(" ")
-        self.finish_line()
+        empty = not self._open
+        self.begin()
+        self.finish_line(trim=empty)
 
     def block(self, margin: bool) -> None:
         self.finish_line()
         self.margin |= margin
 
+    def verbatim(self, lines: list[str]) -> None:
+        """Lines that are laid out already."""
+        self.block(True)
+        self.pre += 1
+        for line in lines[:1]:
+            self.text(line)
+            self.newline()
+        self.pre -= 1
+        indent = " " * min(self.columns[-1], MAX_INDENT)
+        self.lines += [line and indent + line for line in lines[1:]] if indent else lines[1:]
+        self.block(True)
+
     def result(self) -> list[str]:
         self.finish_line()
         return self.lines
@@ -261,8 +347,11 @@ class Table:
     def __init__(self):
         self.rows: list[list[tuple[list[str], int, int]]] = []
         self.caption: list[str] = []
+        self.blanks = False  # some line of a cell ends with blanks
 
     def laid_out(self) -> list[str]:
+        if not self.caption and not self.blanks and len(self.rows) == 1 == len(self.rows[0]):
+            return self.rows[0][0][0]  # one cell: its lines
         grid, taken = [], {}  # taken: column -> rows that a span from above still covers
         for row in self.rows:
             placed, column, below = [], 0, {c: n - 1 for c, n in taken.items() if n > 1}
@@ -301,7 +390,8 @@ def _whole(text: str | None, low: int, high: int) -> int | None:
 def render(page: str | None) -> tuple[str, int, int, int]:
     """(visible text, lines, list items, tables)."""
     flows, tables, items, n_tables = [Flow()], [], 0, 0
-    elements: list[tuple] = []  # (shown, displayed, numbering, name)
+    elements: list[tuple] = []  # (shown, displayed, numbering or span or what a closed details has shown, name)
+    lists: list[list] = []  # [kind, number] of the open ones
     foreign = 0  # open svg and math elements
     for event, *rest in tree_events(page or ""):
         shown, displayed = elements[-1][:2] if elements else (True, True)
@@ -314,7 +404,7 @@ def render(page: str | None) -> tuple[str, int, int, int]:
                 k -= 1
             shown, displayed = elements[k - 1][:2] if k else (True, True)
         if event == "text":
-            if shown and displayed and not (between and not name.strip(SPACE)):
+            if shown and displayed and not (between and not name.strip(SPACE)) and not (elements and isinstance(elements[-1][2], dict)):
                 flow.text(name)
             continue
         inner = foreign > 0
@@ -324,6 +414,12 @@ def render(page: str | None) -> tuple[str, int, int, int]:
             attributes, numbering = rest[1], None
             style = attributes.get("style", "").lower().replace(" ", "") if attributes else ""
             displayed = displayed and name not in HIDDEN and not (inner and name in HIDDEN_IN) and "hidden" not in attributes and "display:none" not in style
+            displayed = displayed and not (name == "dialog" and "open" not in attributes)
+            if elements and isinstance(elements[-1][2], dict):  # a details that isn't open shows its first summary
+                displayed = displayed and name == "summary" and not elements[-1][2]["summary"]
+                elements[-1][2]["summary"] |= name == "summary"
+            if name == "details" and "open" not in attributes:
+                numbering = {"summary": False}
             shown = "visibility:visible" in style or shown and "visibility:hidden" not in style and "visibility:collapse" not in style
             if displayed:
                 if name == "br":
@@ -341,20 +437,21 @@ def render(page: str | None) -> tuple[str, int, int, int]:
                 elif inner and name in APART_IN:
                     flow.gap = True
                 elif name in BLOCK or name == "hr":
-                    flow.block(name in MARGIN and not (name in LISTS and any(e[2] for e in elements if isinstance(e[2], list))))
+                    flow.block(name in MARGIN and not (name in LISTS and lists))
                     if name in LISTS:
                         numbering = ["ol" if name == "ol" else "ul", _whole(attributes.get("start"), -10**9, 10**9) if "start" in attributes else 1]
                         numbering[1] = 1 if numbering[1] is None else numbering[1]
+                        lists.append(numbering)
                     elif name == "li":
                         items += 1
-                        of = next((e[2] for e in reversed(elements) if isinstance(e[2], list)), ["ul", 1])
+                        of = lists[-1] if lists else ["ul", 1]
                         number = _whole(attributes.get("value"), -10**9, 10**9) if "value" in attributes else None
                         of[1] = of[1] if number is None else number
                         mark = f"{of[1]}. " if of[0] == "ol" else "- "
                         of[1] += 1
-                        flow.indents.append([mark, " " * len(mark)])
+                        flow.indent(mark)
                     elif name in ("blockquote", "dd"):
-                        flow.indents.append(["  ", "  "])
+                        flow.indent("  ")
                     elif name == "pre":
                         flow.pre += 1
             elements.append((shown, displayed, numbering, name))
@@ -363,31 +460,27 @@ def render(page: str | None) -> tuple[str, int, int, int]:
         if not displayed:
             continue
         if name in ("td", "th"):
-            lines = flows.pop().result()
+            cell = flows.pop()
+            lines = cell.result()
+            tables[-1].blanks |= cell.blanks
             tables[-1].rows[-1].append((lines, numbering[0], 1 if numbering[1] is None else numbering[1] or 65534))
         elif name == "caption" and tables:
             tables[-1].caption += flows.pop().result()
         elif name == "table":
-            flow.block(True)
-            lines = tables.pop().laid_out()
-            flow.pre += 1
-            for line in lines:
-                flow.text(line)
-                flow.newline()
-            flow.pre -= 1
-            flow.block(True)
+            flow.verbatim(tables.pop().laid_out())
         elif inner and name in APART_IN:
             flow.gap = True
         elif name in BLOCK:
-            if name == "li" and flow.indents[-1][0] != flow.indents[-1][1] and not flow._open:
-                flow._begin()  # an empty item is its marker
+            if name in LISTS:
+                lists.pop()
+            if name == "li" and flow.begun < len(flow.indents):
+                flow.begin()  # an empty item is its marker
             if name == "pre":
-                if flow._open or not flow.line:
-                    flow.finish_line()
+                flow.finish_line()
                 flow.pre -= 1
-            flow.block(name in MARGIN and not (name in LISTS and any(isinstance(e[2], list) for e in elements)))
+            flow.block(name in MARGIN and not (name in LISTS and lists))
             if name in ("li", "blockquote", "dd"):
-                flow.indents.pop()
+                flow.outdent()
     lines = flows[0].result()
     return "\n".join(lines), len(lines), items, n_tables
 

@@ -1,5 +1,7 @@
 """Layout rendering: hand-made layouts, and visible words against another parser."""
 
+import random
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -53,6 +55,61 @@ def test_all_visible_text(page, text):
     assert lay.render(page)[0] == text
 
 
+CLOSED = [
+    ("a<details><summary>s</summary>no<p>no</details>b", "a\ns\nb"), ("<details open><summary>s</summary>yes</details>", "s\nyes"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>x", "yes\nx"), ("<details>no<summary>s</summary><summary>no</details>", "s"),
+]
+
+
+@pytest.mark.parametrize("page, text", CLOSED)
+def test_closed_elements(page, text):
+    assert lay.render(page)[0] == text
+
+
+# One shape a megabyte long: never-ended tags, deep blocks, quotes, lists, and inline elements of one line.
+HOSTILE = ["<a ", '<a "', "<a '\"", "<!", "<div>", "<blockquote>x", "<ul><li>x", "<dl><dd>x", "<svg>", "<body>", "<p>x<b>", "a <b>b</b> ",
+           "<script </script ", "<pre>x", "<details>x"]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_time_and_output_grow_with_the_page(unit):
+    """Four times the page takes about four times as long (sixteen times if it
+    were quadratic), and lines are no longer than their indent and text."""
+    def measured(size):
+        page, begin = unit * (size // len(unit)), time.process_time()
+        text = lay.render(page)[0]
+        return time.process_time() - begin, len(text) / len(page)
+
+    small, _ = min(measured(250_000) for _ in range(2))
+    large, growth = measured(1_000_000)
+    assert large < 10 * small + 0.5 and growth < lay.MAX_INDENT
+
+
+def test_ends_of_tags():
+    """Tag by tag against reading on from each place."""
+    rnd = random.Random(5)
+    for _ in range(3000):
+        page = "".join(rnd.choice(["<a ", "'", '"', ">", "x", " "]) for _ in range(rnd.randint(1, 40)))
+        ends = lay.TagEnds(page)
+        for at in range(len(page) + 1):
+            quote, expected = "", -1
+            for k in range(at, len(page)):
+                if quote:
+                    quote = "" if page[k] == quote else quote
+                elif page[k] in "\"'":
+                    quote = page[k]
+                elif page[k] == ">":
+                    expected = k + 1
+                    break
+            assert ends.after(at) == expected
+
+
+def test_deep_indents():
+    lines = lay.render("<blockquote>x" * 100)[0].split("\n")
+    assert [len(line) - 1 for line in lines if line] == [min(2 * k, lay.MAX_INDENT) for k in range(1, 101)]
+    assert lay.render("<ul><li>" * 50 + "x")[0] == "- " * 50 + "x"  # markers are text
+
+
 class Words(HTMLParser):
     """Visible words in order; for well-formed pages without tables or inline hiding."""
 
