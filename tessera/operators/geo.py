@@ -41,6 +41,17 @@ def region_markers(listing_geo: DataFrame, region: str | None, topk_names: DataF
                                    F.col("cuisineType")).alias("hover")))
 
 
+def marker_frames(listing_geo: DataFrame, picks: DataFrame) -> DataFrame:
+    """G4 for a table of picked regions: per pick the number of its markers and
+    the frame around them ``(region, markers, south, north, west, east)``.
+    No region picked (null) has no markers.  Counted before the join, one row
+    a region."""
+    frames = (listing_geo.where(F.col("region").isNotNull() & F.col("priceRange").isin([b for b, _ in rel.PRICE_COLOURS]))
+              .groupBy("region").agg(F.count(F.lit(1)).alias("markers"), F.min("latitude").alias("south"), F.max("latitude").alias("north"),
+                                     F.min("longitude").alias("west"), F.max("longitude").alias("east")))
+    return picks.select("region").join(frames, "region", "left").withColumn("markers", F.coalesce("markers", F.lit(0).cast("long")))
+
+
 def polygon_centroid(vertices: DataFrame, key: str = "region", order_cols=("i",),
                      part_col: str | None = None, ring_col: str | None = None) -> DataFrame:
     """Area centroid of each key's polygons from their rings

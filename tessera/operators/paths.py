@@ -11,9 +11,10 @@ so nothing is done per case in one task:
    one row per partition.
 2. Feasibility is ``min(least(dx, dy)) >= 0`` per case: a plain
    aggregation with a map-side partial step.
-3. :func:`path_moves` is the path in long form (case, position, move, count);
-   :func:`monotone_path` joins the moves of a case into its string, which is
-   as long as the case.
+3. :func:`path_moves` is the path in long form (case, position, move, count)
+   and :func:`path_chunks` its text in pieces of bounded length; only
+   :func:`monotone_path` joins the moves of a case into its string, which is as
+   long as the case.
 """
 
 from __future__ import annotations
@@ -74,6 +75,27 @@ def path_moves(points: DataFrame, key: str = "case_id") -> DataFrame:
         key, "x", "y", F.col("dx").alias("rights"), F.col("dy").alias("ups"))
 
 
+def path_chunks(points: DataFrame, key: str = "case_id", size: int = 65_536) -> DataFrame:
+    """K1 as text in pieces: (case, chunk, path) with ``size`` characters in
+    each chunk of a feasible case but its last one.
+
+    A walk that never goes back has made x + y moves when it is at (x, y), so
+    each point's moves know their place in the text without sums over the
+    case; moves that reach over the end of a chunk are cut there.  Groups are
+    (case, chunk): at most ``size`` moves each, whatever the case.  A case
+    whose path is empty has no chunks."""
+    m = path_moves(points, key)
+    start, last = F.col("x") - F.col("rights") + F.col("y") - F.col("ups"), F.col("x") + F.col("y")
+    cut = (m.where(F.col("rights") + F.col("ups") > 0)
+           .select(key, start.alias("_from"), (start + F.col("rights")).alias("_turn"), last.alias("_to"),
+                   F.explode(F.sequence(F.floor(start / size), F.floor((last - 1) / size))).alias("chunk")))
+    low, high = F.greatest("_from", F.col("chunk") * size), F.least("_to", (F.col("chunk") + 1) * size)
+    text = F.concat(F.repeat(F.lit("R"), (F.least(high, "_turn") - low).cast("int")),
+                    F.repeat(F.lit("U"), (high - F.greatest(low, "_turn")).cast("int")))
+    return (cut.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(F.struct(low.alias("at"), text.alias("s")))).alias("_pieces"))
+            .select(key, "chunk", F.concat_ws("", F.transform("_pieces", lambda z: z["s"])).alias("path")))
+
+
 def monotone_path(points: DataFrame, key: str = "case_id", cases: DataFrame | None = None) -> DataFrame:
     """K1: per case ``possible`` (YES/NO) and the lexicographically smallest
     right/up path through all points (NULL when impossible).  With a table of

@@ -18,6 +18,8 @@ from tessera.sources.tables import read_table
 
 MARKER_REGION = "NATION_7"
 PAGE_RANGE = (2, 9)
+CHUNK = 16  # an order's path has some 50 moves
+PART = 100  # vertices of a feature: an outline is many features
 
 
 def _points(spark, d):
@@ -44,6 +46,21 @@ def monotone_path(spark, d):
     return pth.monotone_path(_points(spark, d))
 
 
+@register("path_moves", o.with_([_PTS, "dp AS (SELECT DISTINCT * FROM pts)", _STEPS.format(src="dp")],
+          "SELECT case_id, x, y, dx AS rights, dy AS ups FROM st WHERE case_id IN "
+          "(SELECT case_id FROM st GROUP BY case_id HAVING min(least(dx, dy)) >= 0)"))
+def path_moves(spark, d):
+    """K1 in long form: the moves to each point of the orders that have a path."""
+    return pth.path_moves(_points(spark, d))
+
+
+@register("path_chunks", f"SELECT case_id, chunk, substr(path, chunk * {CHUNK} + 1, {CHUNK}) AS path FROM ("
+          f"SELECT case_id, path, unnest(range(0, (length(path) + {CHUNK} - 1) // {CHUNK})) AS chunk FROM ({ORACLE['monotone_path']}) WHERE path <> '')")
+def path_chunks(spark, d):
+    """K1 as text in pieces: paths of orders, CHUNK moves a row."""
+    return pth.path_chunks(_points(spark, d), size=CHUNK)
+
+
 @register("tour_length", o.with_([_PTS, _STEPS.format(src="pts")],
           "SELECT case_id, sum(abs(dx) + abs(dy))::BIGINT AS steps FROM st GROUP BY case_id"))
 def tour_length(spark, d):
@@ -190,11 +207,11 @@ def saved_vocabulary(spark, d):
 
 @register("geojson_centroid", ORACLE["polygon_centroid"])
 def geojson_centroid(spark, d):
-    """Region rings written as GeoJSON features, read back with
-    an explicit schema, exploded to vertices, centroids computed."""
+    """Region rings written as GeoJSON features of bounded length,
+    read back with an explicit schema, exploded to vertices, centroids computed."""
     geo = _geo_spark(spark, d).select("region", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
     path = files.scratch_path(spark, "regions-geojson")
-    files.write_geojson(g.star_ring(geo), path, order_cols=g.STAR_ORDER)
+    files.write_geojson_parts(g.star_ring(geo), path, order_cols=g.STAR_ORDER, size=PART)
     verts = files.read_geojson(spark, path).withColumnRenamed("reg_name", "region")
     return g.polygon_centroid(verts, order_cols=("i",))
 
@@ -229,7 +246,7 @@ def region_list(spark, d):
     """The region names of a GeoJSON file, sorted."""
     geo = _geo_spark(spark, d).select("region", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
     path = files.scratch_path(spark, "regions-geojson")
-    files.write_geojson(g.star_ring(geo), path, order_cols=g.STAR_ORDER)
+    files.write_geojson_parts(geo, path, order_cols=("lon", "lat"), size=PART)
     return files.region_names(files.read_features(spark, path))
 
 
@@ -258,8 +275,14 @@ def keep_ok(spark, d):
     return ok.withColumn("ok", F.lit(True)).unionByName(bad.withColumn("ok", F.lit(False)))
 
 
-@register("no_region_markers", "SELECT scope, priceRange, colour, restaurantId, latitude, longitude, restaurantName, hover FROM ("
-          + ORACLE["region_markers"] + ") WHERE false")
+@register("no_region_markers", o.with_(LP + GEO + GEO_ALL + [
+    "rj AS (SELECT g.region, l.priceRange, g.latitude, g.longitude FROM listing_parts l RIGHT JOIN geo_all g USING (restaurantId))",
+    "picks AS (SELECT DISTINCT region FROM geo WHERE region IS NOT NULL UNION ALL SELECT NULL)",
+    f"shown AS (SELECT * FROM rj WHERE priceRange IN ({', '.join(o.q(b) for b, _ in rel.PRICE_COLOURS)}))"],
+    "SELECT p.region, count(s.region)::BIGINT AS markers, min(s.latitude) AS south, max(s.latitude) AS north, min(s.longitude) AS west, "
+    "max(s.longitude) AS east FROM picks p LEFT JOIN shown s ON p.region = s.region GROUP BY p.region"))
 def no_region_markers(spark, d):
-    """Without a region there are no markers."""
-    return g.region_markers(_right_join(spark, d), None)
+    """Markers of each region that can be picked, and of none picked, which has none."""
+    regions = _geo_spark(spark, d).select("region").na.drop().distinct()
+    none = spark.range(1).select(F.lit(None).cast("string").alias("region"))
+    return g.marker_frames(_right_join(spark, d), regions.unionByName(none))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import STRIP_RE
+from tessera.operators.index import dense_ids
 from tessera.session import checkpoint_dir, own_scratch
 
 
@@ -127,13 +128,29 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------ GeoJSON
 
 # Coordinates are kept as JSON text: their depth depends on the type.
-FEATURE = ("struct<type:string, properties:struct<reg_name:string>, geometry:struct<type:string, coordinates:string>>")
+FEATURE = ("struct<type:string, properties:struct<reg_name:string, `from`:bigint>, geometry:struct<type:string, coordinates:string>>")
 POLYGON = "array<array<array<double>>>"
+PART_VERTICES = 50_000
+
+
+def write_geojson_parts(vertices: DataFrame, path: str, key: str = "region", order_cols=("i",), size: int = PART_VERTICES) -> None:
+    """One outline a key as GeoJSON Features of at most ``size`` vertices, one
+    per line: a LineString is a stretch of the outline, its property ``from``
+    the number of its first vertex.  Numbers rise along an outline, over all
+    keys, so no key is gathered or counted by one task."""
+    order_cols = list(order_cols)
+    place = dense_ids(vertices.select(F.struct(key, *dict.fromkeys([*order_cols, "lon", "lat"])).alias("_v")), "_v", "_id")
+    part = (place.groupBy(F.col("_v")[key].alias("_key"), F.floor(F.col("_id") / size).alias("_part"))
+            .agg(F.array_sort(F.collect_list(F.struct("_id", F.array(F.col("_v.lon"), F.col("_v.lat")).alias("xy")))).alias("_pts")))
+    (part.select(F.lit("Feature").alias("type"), F.struct(F.col("_key").alias("reg_name"), F.col("_pts")[0]["_id"].alias("from")).alias("properties"),
+                 F.struct(F.lit("LineString").alias("type"), F.transform("_pts", lambda p: p["xy"]).alias("coordinates")).alias("geometry"))
+     .write.mode("overwrite").json(path))
 
 
 def write_geojson(vertices: DataFrame, path: str, key: str = "region", order_cols=("i",)) -> None:
     """One GeoJSON Feature per line (a Polygon with one closed ring of
-    ``[lon, lat]`` in vertex order).  A feature is one row by its format."""
+    ``[lon, lat]`` in vertex order).  A feature is one row by its format; for
+    outlines of any length there is :func:`write_geojson_parts`."""
     order_cols = list(order_cols)
     ring = (vertices.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order_cols, "lon", "lat"])))).alias("pts"))
@@ -144,8 +161,28 @@ def write_geojson(vertices: DataFrame, path: str, key: str = "region", order_col
     ring.write.mode("overwrite").json(path)
 
 
-def read_features(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
-    """GeoJSON features, one per line or a whole FeatureCollection."""
+# A FeatureCollection is cut at each feature's type.  A piece must go on with the feature's other members (so the type comes first).
+FEATURE_MARK = '"Feature"'
+COLLECTION_HEAD = r'^\x{FEFF}?\s*\{(?s:.*)"features"\s*:\s*\[\s*(\{[^{}]*"type"\s*:\s*$|\])'
+
+
+def _collection_features(spark: SparkSession, path: str) -> DataFrame:
+    pieces = spark.read.option("lineSep", FEATURE_MARK).text(path).where(F.trim("value") != "")
+    rest = F.col("value").rlike(r"^\s*,")
+    f = F.from_json(F.when(rest, F.concat(F.lit('{"type": ' + FEATURE_MARK), "value")), FEATURE)
+    wrong = F.raise_error(F.lit("collection can't be read in parts (a feature's type isn't its first member, or a value reads " + FEATURE_MARK
+                                + "); read it with whole=True")).cast(FEATURE)
+    return (pieces.where(~F.col("value").rlike(COLLECTION_HEAD))
+            .select(F.when(rest & (f["type"] == "Feature"), f).otherwise(wrong).alias("f")).select("f.*"))
+
+
+def read_features(spark: SparkSession, path: str, collection: bool = False, whole: bool = False) -> DataFrame:
+    """GeoJSON features, one per line or a FeatureCollection.  A collection
+    is read in parts, as many tasks as its size asks for; that needs each
+    feature's type to be its first member, otherwise it is an error.  ``whole``
+    reads any member order, a file a task."""
+    if collection and not whole:
+        return _collection_features(spark, path)
     if collection:
         fc = spark.read.schema(f"type string, features array<{FEATURE}>").option("multiLine", True).json(path)
         return fc.select(F.explode("features").alias("f")).select("f.*")
@@ -157,20 +194,23 @@ def region_names(features: DataFrame) -> DataFrame:
     return features.select(F.col("properties.reg_name").alias("region")).na.drop().distinct().orderBy("region")
 
 
-def read_geojson(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
-    """S10 + G2: the vertices of Polygon and MultiPolygon features:
+def read_geojson(spark: SparkSession, path: str, collection: bool = False, whole: bool = False) -> DataFrame:
+    """S10 + G2: the vertices of Polygon and MultiPolygon features, and of
+    outlines in LineStrings (:func:`write_geojson_parts`):
     ``(reg_name, part, ring, i, lon, lat)``; ring 0 is a part's outline, the
     others are its holes.  A feature without geometry has none; another type
     of geometry is an error."""
     g = F.col("geometry")
     parts = (F.when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], POLYGON)))
              .when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], f"array<{POLYGON}>"))
+             .when(g["type"] == "LineString", F.array(F.array(F.from_json(g["coordinates"], "array<array<double>>"))))
              .when(g["type"].isNotNull(), F.raise_error(F.concat(F.lit("geometry type not supported: "), g["type"])).cast(f"array<{POLYGON}>")))
-    p = read_features(spark, path, collection).select(F.col("properties.reg_name").alias("reg_name"), F.posexplode(parts).alias("part", "rings"))
-    r = p.select("reg_name", "part", F.posexplode("rings").alias("ring", "coords"))
-    return r.select("reg_name", F.col("part").cast("long").alias("part"), F.col("ring").cast("long").alias("ring"),
+    p = read_features(spark, path, collection, whole).select(
+        F.col("properties.reg_name").alias("reg_name"), F.coalesce("properties.from", F.lit(0).cast("long")).alias("first"), F.posexplode(parts).alias("part", "rings"))
+    r = p.select("reg_name", "first", "part", F.posexplode("rings").alias("ring", "coords"))
+    return r.select("reg_name", "first", F.col("part").cast("long").alias("part"), F.col("ring").cast("long").alias("ring"),
                     F.posexplode("coords").alias("i", "xy")).select(
-        "reg_name", "part", "ring", F.col("i").cast("long").alias("i"), F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat"))
+        "reg_name", "part", "ring", (F.col("first") + F.col("i")).alias("i"), F.col("xy")[0].alias("lon"), F.col("xy")[1].alias("lat"))
 
 
 # ------------------------------------------------------- points as text

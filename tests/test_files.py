@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from tessera.sources import files
 
 
@@ -28,6 +30,49 @@ def test_feature_collection_read(spark):
     assert len(v) == 4
 
 
+def _collection(names, indent=None, **more):
+    features = [{"type": "Feature", "properties": {"note": 'a "quoted" {brace}', "reg_name": n},
+                 "geometry": {"type": "Polygon", "coordinates": [[[float(i), 0.0], [2.0, 0.0], [2.0, 2.0], [float(i), 0.0]]]}} for i, n in enumerate(names)]
+    return json.dumps({"type": "FeatureCollection", "name": "r", "crs": {"type": "name", "properties": {"name": "x"}}, "features": features} | more, indent=indent)
+
+
+def test_collection_is_read_in_several_tasks(spark, tmp_path):
+    names = [f"region {i}" for i in range(600)]
+    (tmp_path / "a.json").write_text(_collection(names, bbox=[1, 2, 3, 4]))
+    (tmp_path / "b.json").write_text(_collection(["x", "FeatureCollection", "é"], indent=2) + "\n")
+    (tmp_path / "c.json").write_text(_collection([]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        parts = files.read_features(spark, str(tmp_path), collection=True)
+        assert parts.rdd.getNumPartitions() > 5
+        assert sorted(r.properties.reg_name for r in parts.collect()) == sorted([*names, "x", "FeatureCollection", "é"])
+        vertices, whole = (sorted(map(tuple, files.read_geojson(spark, str(tmp_path), collection=True, whole=w).collect())) for w in (False, True))
+        assert vertices == whole and len(vertices) == 4 * 603
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("feature", [
+    {"properties": {"reg_name": "a"}, "geometry": None, "type": "Feature"}, {"properties": {"reg_name": "a"}, "type": "Feature", "geometry": None},
+    {"type": "Feature", "properties": {"kind": "Feature", "reg_name": "a"}, "geometry": None}])
+def test_collection_that_cannot_be_cut_is_an_error(spark, tmp_path, feature):
+    (tmp_path / "a.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature, feature]}))
+    with pytest.raises(Exception, match="whole=True"):
+        files.read_features(spark, str(tmp_path), collection=True).collect()
+    assert [r.properties.reg_name for r in files.read_features(spark, str(tmp_path), collection=True, whole=True).collect()] == ["a", "a"]
+
+
+def test_outlines_in_bounded_parts(spark, tmp_path):
+    rows = [(k, i, float(i), float(-i)) for k, n in (("hot", 5000), ("b", 1), ("c", 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "region string, i long, lon double, lat double").repartition(7)
+    files.write_geojson_parts(df, str(tmp_path), size=64)
+    features = files.read_features(spark, str(tmp_path))
+    assert features.count() > 5031 / 64 and features.selectExpr("max(size(from_json(geometry.coordinates, 'array<array<double>>')))").first()[0] <= 64
+    back = files.read_geojson(spark, str(tmp_path)).orderBy("reg_name", "i").collect()
+    assert [(r.reg_name, r.lon, r.lat) for r in back] == [(k, x, y) for k, _, x, y in sorted(rows)]
+
+
 def test_points_text(spark):
     d = tempfile.mkdtemp(prefix="tessera-pts-")
     pts = spark.createDataFrame([(1, 1, 3), (1, 4, 3)], "case_id long, x long, y long")

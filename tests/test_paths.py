@@ -24,6 +24,35 @@ def test_golden_cases(spark):
     assert got == {1: ("YES", "RUUURRRRUU"), 2: ("NO", None), 3: ("YES", "RRRRUUU")}
 
 
+def test_path_in_chunks(spark):
+    """Chunks joined are the path, for jumps over many chunks, many points a
+    chunk, repeated points, points at the origin and cases without a path."""
+    rnd = random.Random(11)
+    by_case = {0: [(i // 3, i // 2) for i in range(700)], 1: [(0, 0)], 2: [(500, 333)], 3: [(1, 5), (2, 4)], 4: [(0, 0), (3, 0), (3, 0), (3, 9)], 5: [(-1, 2)]}
+    for c in range(6, 60):
+        x = y = 0
+        by_case[c] = []
+        for _ in range(rnd.randint(1, 9)):
+            x, y = x + rnd.randint(0, 20), y + rnd.randint(0, 20)
+            by_case[c].append((x, y))
+    df = spark.createDataFrame([(c, x, y) for c, p in by_case.items() for x, y in p], "case_id long, x long, y long")
+    for size in (1, 7, 65_536):
+        got = {}
+        for r in pth.path_chunks(df, size=size).orderBy("case_id", "chunk").collect():
+            assert r.chunk * size == len(got.get(r.case_id, "")) and 0 < len(r.path) <= size
+            got[r.case_id] = got.get(r.case_id, "") + r.path
+        assert got == {c: path for c, p in by_case.items() if (path := _py_path(p)[1])}
+    assert pth.path_chunks(df.limit(0)).count() == 0
+
+
+def test_marker_frames(spark):
+    rows = [("A", "€", 1.0, 5.0), ("A", "€€", 3.0, 4.0), ("A", "cheap", 9.0, 9.0), (None, "€", 7.0, 7.0), ("B", None, 2.0, 2.0)]
+    geo = spark.createDataFrame(rows, "region string, priceRange string, latitude double, longitude double")
+    picks = spark.createDataFrame([("A",), ("B",), (None,)], "region string")
+    out = {r.region: tuple(r)[1:] for r in g.marker_frames(geo, picks).collect()}
+    assert out == {"A": (2, 1.0, 3.0, 4.0, 5.0), "B": (0, None, None, None, None), None: (0, None, None, None, None)}
+
+
 def test_route_lengths(spark):
     """16 steps in x order, 11 when (0,2) comes first (prose example)."""
     pts = [(1, i, 0) for i in range(1, 8)] + [(1, 0, 2)]
