@@ -185,13 +185,15 @@ def distinct_nonnull(spark, d):
 
 
 @register("translate_region", o.with_(LP + GEO,
-          "SELECT restaurantId, region AS region_en, "
-          f"{_region_case('region')} AS region_it FROM listing_parts"))
+          f"SELECT restaurantId, region_en, {_region_case('region_en')} AS region_it FROM (SELECT restaurantId, "
+          f"CASE regexp_extract(region, '[0-9]+$') {' '.join(f'WHEN {o.q(str(k))} THEN {o.q(a)}' for k, (a, _) in enumerate(rel.REGION_NAMES))} "
+          "ELSE region END AS region_en FROM listing_parts)"))
 def translate_region(spark, d):
-    """Fixed region-name translation, others unchanged."""
-    lp = rel.listing_parts(spark, d)
-    return lp.select("restaurantId", F.col("region").alias("region_en"),
-                     rel.translate_region(F.col("region")).alias("region_it"))
+    """Fixed region-name translation, others unchanged (nations 0 to 7 stand for the eight regions)."""
+    number = F.regexp_extract("region", "[0-9]+$", 0)
+    named = F.create_map(*[F.lit(x) for k, (a, _) in enumerate(rel.REGION_NAMES) for x in (str(k), a)])
+    lp = rel.listing_parts(spark, d).select("restaurantId", F.coalesce(F.try_element_at(named, number), "region").alias("region_en"))
+    return lp.withColumn("region_it", rel.translate_region(F.col("region_en")))
 
 
 _RJ_SQL = ("SELECT g.restaurantId, l.city, l.address, l.priceRange, l.cuisineType, l.website, "

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 from tessera.operators import geo as g
 from tessera.operators import index as ix
 from tessera.operators import relational as rel
+from tessera.operators import score as sc
 from tessera.operators import paths as pth
 from tessera.operators import search as srch
 from tessera.plans import oracle_sql as o
-from tessera.plans.catalog import ORACLE, FIELD_TEXT, K, SEARCH_TEXT, _docs, register
+from tessera.plans.catalog import ORACLE, FIELD_TEXT, K, SEARCH_TEXT, _doc_index, _docs, register
 from tessera.plans.catalog_extract import batch_assign
-from tessera.plans.catalog_listing import GEO, GEO_ALL, LP, _geo_spark, _right_join, _arrays_as_text
+from tessera.plans.catalog_listing import CUSTOM, GEO, GEO_ALL, LD, LP, _geo_spark, _right_join, _arrays_as_text
 from tessera.sources import files
 from tessera.sources.tables import read_table
 
 MARKER_REGION = "NATION_7"
+SCORE_REGION = "NATION_2"
 PAGE_RANGE = (2, 9)
 CHUNK = 16  # an order's path has some 50 moves
 PART = 100  # vertices of a feature: an outline is many features
@@ -117,8 +119,33 @@ def region_markers(spark, d):
     top = srch.ranked_search(*srch.literal(idx, FIELD_TEXT), k=K)
     names = top.join(part.select("p_partkey", "p_name"), "p_partkey").select(
         F.col("p_name").alias("restaurantName"))
-    saved = files.save_result(names, files.scratch_path(spark, "top_k_result"))
-    return g.region_markers(_right_join(spark, d), MARKER_REGION, topk_names=saved)
+    path = files.scratch_path(spark, "top_k_result")
+    files.save_result(names, path)
+    return g.region_markers(_right_join(spark, d), MARKER_REGION, topk_names=files.read_result(spark, path))
+
+
+def _sql_score_markers() -> str:
+    from tessera.plans.catalog_listing import _sql_hover
+    colour = "CASE priceRange " + " ".join(f"WHEN {o.q(b)} THEN {o.q(c)}" for b, c in rel.PRICE_COLOURS) + " END"
+    return o.with_(LP + GEO + LD + [
+        f"sv AS (SELECT l.*, s.customScore FROM ({ORACLE['custom_score']}) s JOIN listing_docs l USING (doc_id))",
+        "lg AS (SELECT s.*, g.region, g.region AS city, g.latitude, g.longitude FROM sv s JOIN geo g ON g.restaurantId = s.doc_id)",
+        f"mk AS (SELECT 'national' AS scope, * FROM lg UNION ALL SELECT 'regional', * FROM lg WHERE region = {o.q(SCORE_REGION)})"],
+        f"SELECT scope, priceRange, {colour} AS colour, doc_id, latitude, longitude, restaurantName, "
+        f"{_sql_hover('restaurantName', 'city', 'address', 'cuisineType')} AS hover, customScore FROM mk "
+        f"WHERE priceRange IN ({', '.join(o.q(b) for b, _ in rel.PRICE_COLOURS)})")
+
+
+@register("saved_score_markers", _sql_score_markers())
+def saved_score_markers(spark, d):
+    """A custom score's whole rows saved, and its markers with their
+    scores from the newest version (documents placed by the part of their number)."""
+    path = files.scratch_path(spark, "custom_score_result")
+    files.save_result(sc.custom_score(rel.listing_docs(spark, d), _doc_index(spark, d), CUSTOM), path)
+    saved = files.read_result(spark, path)
+    places = _geo_spark(spark, d).select(F.col("restaurantId").alias("doc_id"), "region", F.col("region").alias("city"), "latitude", "longitude")
+    marks = g.region_markers(saved.join(places, "doc_id"), SCORE_REGION, topk_names=saved.select("restaurantName"), id_col="doc_id")
+    return marks.join(saved.select("doc_id", F.round("customScore", 6).alias("customScore")), "doc_id")
 
 
 # ---------------------------------------------------------- round trips

@@ -108,11 +108,33 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quoted: bool
 
 # --------------------------------------------------- index and results
 
+VERSION = "saved_at timestamp, version string"
+
+
 def save_result(df: DataFrame, path: str) -> DataFrame:
-    """Persist a search result (explicit opt-in) and return the table
-    read back from storage (lineage cut)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Persist a search result, whole rows and scores (explicit opt-in), as
+    a new version, and return the table read back from storage (lineage cut).
+
+    The rows go to a folder of their own; only when they are complete is a
+    line added to the list of versions, so a reader never sees half a result,
+    a job that fails leaves the former one, and one that is being read stays."""
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    df.write.parquet(f"{path}/rows/{version}")
+    (spark.range(1).select(F.current_timestamp().alias("saved_at"), F.lit(version).alias("version"))
+     .coalesce(1).write.mode("append").parquet(f"{path}/versions"))
+    return spark.read.schema(df.schema).parquet(f"{path}/rows/{version}")
+
+
+def result_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The complete versions of a saved result: (saved_at, version)."""
+    return spark.read.schema(VERSION).parquet(f"{path}/versions")
+
+
+def read_result(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The newest version of a saved result, or a stated one."""
+    if version is None:
+        version = result_versions(spark, path).agg(F.max_by("version", F.struct("saved_at", "version"))).first()[0]
+    return spark.read.parquet(f"{path}/rows/{version}")
 
 
 def write_url_list(df: DataFrame, path: str, col: str = "url") -> None:

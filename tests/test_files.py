@@ -73,6 +73,20 @@ def test_outlines_in_bounded_parts(spark, tmp_path):
     assert [(r.reg_name, r.lon, r.lat) for r in back] == [(k, x, y) for k, _, x, y in sorted(rows)]
 
 
+def test_versions_of_a_result(spark, tmp_path):
+    """A reader gets the newest complete version; a write that fails leaves the former one."""
+    path = str(tmp_path / "r")
+    one = files.save_result(spark.createDataFrame([(1, "a", 0.5)], "id long, name string, score double"), path)
+    assert [tuple(r) for r in files.read_result(spark, path).collect()] == [(1, "a", 0.5)]
+    with pytest.raises(Exception, match="broken"):
+        files.save_result(spark.range(100).selectExpr("id", "'x' AS name", "double(if(id = 99, raise_error('broken'), 1)) AS score"), path)
+    assert files.read_result(spark, path).count() == 1 == files.result_versions(spark, path).count()
+    files.save_result(one.union(one), path)  # reads a version while the next one is written
+    assert files.read_result(spark, path).count() == 2 and one.count() == 1
+    first = files.result_versions(spark, path).orderBy("saved_at").first().version
+    assert files.read_result(spark, path, first).count() == 1
+
+
 def test_points_text(spark):
     d = tempfile.mkdtemp(prefix="tessera-pts-")
     pts = spark.createDataFrame([(1, 1, 3), (1, 4, 3)], "case_id long, x long, y long")
