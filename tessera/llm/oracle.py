@@ -109,7 +109,6 @@ def _distance(p: str, q: str) -> str:
 
 def _op1(min_chars=200, min_tokens=50, min_docs=20, char_limit=0.16, word_limit=0.15, char_allowance=1.6, word_allowance=1.6) -> str:
     lists = " ".join(f"WHEN {_sql(k)} THEN {_list(v)}" for k, v in quality.COMMON.items())
-    langs = ", ".join(map(_sql, quality.COMMON))
     counts = ", ".join(f"length(c) - length(regexp_replace(c, {_sql(p + '+')}, '', 'g'))" for p in quality.CLASSES.values())
 
     def share(x, total):
@@ -128,7 +127,7 @@ def _op1(min_chars=200, min_tokens=50, min_docs=20, char_limit=0.16, word_limit=
 {name} AS (SELECT *, NOT failed AND NOT coalesce(dc > {char_limit} + {char_allowance} / sqrt(n_chars), false) AND NOT coalesce(dw > {word_limit} + {word_allowance} / sqrt(n_tokens), false) AS kept FROM {name}d)"""
 
     return rf"""
-WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, CASE WHEN lang IN ({langs}) THEN lang ELSE 'other' END AS lang, coalesce(text, '') AS text,
+WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS text,
     CASE lang {lists} ELSE {_list(quality.ANY)} END AS own FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS c,
     list_filter(string_split_regex(lower(text), {_sql(quality.TOKEN_BREAK)}), lambda x: x <> '') AS tk,
@@ -201,7 +200,8 @@ WITH RECURSIVE h AS (SELECT conv_id, turn, {_SHOWN.format('role')} AS role, {_SH
 d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
   CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) FROM h WHERE h <> 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(len(role) || ':' || role || text)) AS i,
-  count(*) OVER (PARTITION BY conv_id) AS n, regexp_replace(text, '[ 	-]+$', '') AS body FROM d),
+  count(*) OVER (PARTITION BY conv_id) AS n, regexp_replace(text, '[ 	-
+]+$', '') AS body FROM d),
 f AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
     WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS x,
   left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM o),

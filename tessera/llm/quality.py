@@ -5,8 +5,9 @@ words are compared with the language's reference by the Jensen-Shannon
 distance (base 2, from 0 to 1).  The references are the mean histograms of all
 documents of the language that pass the base rules and the length guards,
 estimated a second time over those of them that are near the first estimate,
-so that junk doesn't shift them.  They are at most ``len(COMMON) + 1`` rows of
-``len(CLASSES) + 2`` and 70 numbers, so they are broadcast.  Histograms are
+so that junk doesn't shift them.  They are one row a language of
+``len(CLASSES) + 2`` and at most 70 numbers, written as a table, so that Spark
+knows their size when it chooses whether to broadcast them.  Histograms are
 summed as whole millionths, which makes the references the same whatever the
 order of rows.
 
@@ -20,8 +21,9 @@ Scale: one pass over the texts gives narrow rows; the references need one
 partial aggregation; no text is shuffled, no word leaves its row.
 
 Defined results: null text has no words and fails the base rule of ten words;
-null and unknown languages share one reference; repeated rows get equal
-results; an empty table gives no rows; a text may be of any length.
+each language that the table names has a reference of its own, with the common
+words of all lists where ``COMMON`` has none for it; a null language has no
+reference, so only the base rules judge it; repeated rows get equal results; an empty table gives no rows; a text may be of any length.
 """
 
 from __future__ import annotations
@@ -81,7 +83,7 @@ def repeated_window_words(words: Column, width: int = 5) -> Column:
 def with_features(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with a struct ``_q`` of counts and histograms."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lang = F.when(F.col(lang_col).isin(*COMMON), F.col(lang_col)).otherwise("other")
+    lang = F.col(lang_col).cast("string")
     words = F.array_remove(F.split(text, SPACE + "+"), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     tokens = F.array_remove(F.split(F.lower(text), TOKEN_BREAK), "")
@@ -149,7 +151,7 @@ def js_distance(p: Column, q: Column) -> Column:
 
 def references(features: DataFrame, min_chars: int, min_tokens: int) -> DataFrame:
     """Per language: the documents and summed shares of each histogram."""
-    ok = features.where(~base_failed()).select(
+    ok = features.where(~base_failed() & F.col("_q.lang").isNotNull()).select(
         F.col("_q.lang").alias("_lang"), F.explode(F.array(
             F.struct(F.lit("c").alias("kind"), F.when(F.col("_q.n_chars") >= min_chars, char_shares()).alias("h")),
             F.struct(F.lit("w").alias("kind"), F.when(F.col("_q.t.n_tokens") >= min_tokens, word_shares()).alias("h")))).alias("x"))
@@ -161,8 +163,7 @@ def references(features: DataFrame, min_chars: int, min_tokens: int) -> DataFram
 
 
 def _judged_by(features: DataFrame, refs: DataFrame, min_chars, min_tokens, min_docs, char_limit, word_limit, char_allowance, word_allowance):
-    # refs: at most len(COMMON) + 1 rows, so it may be broadcast
-    out = features.join(F.broadcast(refs), F.col("_q.lang") == F.col("_lang"), "left")
+    out = features.join(refs, F.col("_q.lang") == F.col("_lang"), "left")
 
     def distance(long_enough, own, ref):
         usable = F.coalesce(F.get(F.col(ref), F.lit(0))["n"] >= min_docs, F.lit(False))
@@ -181,8 +182,9 @@ def judged(features: DataFrame, *, min_chars: int = 200, min_tokens: int = 50, m
            char_limit: float = 0.16, word_limit: float = 0.15, char_allowance: float = 1.6, word_allowance: float = 1.6) -> DataFrame:
     """``features`` (stored) with base_failed, char_distance, word_distance, kept."""
     limits = (min_chars, min_tokens, min_docs, char_limit, word_limit, char_allowance, word_allowance)
-    near = _judged_by(features, references(features, min_chars, min_tokens), *limits).where("kept").select("_q")
-    return _judged_by(features, references(near, min_chars, min_tokens), *limits)
+    first = stored(references(features, min_chars, min_tokens), "references")
+    near = _judged_by(features, first, *limits).where("kept").select("_q")
+    return _judged_by(features, stored(references(near, min_chars, min_tokens), "references"), *limits)
 
 
 def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:

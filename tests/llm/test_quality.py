@@ -1,6 +1,7 @@
 """Quality rules: base counts against plain Python, distances against the formula."""
 
 import math
+import random
 import re
 
 from tessera.llm import quality
@@ -51,6 +52,22 @@ def test_js_distance(spark):
     assert abs(got - math.sqrt((kl(a, m) + kl(b, m)) / 2)) < 1e-12
 
 
+def test_a_language_is_judged_by_its_own_reference(spark):
+    """Many clean texts of one language that has no word list, few of another,
+    some that name none, and junk under the name of the first."""
+    rnd = random.Random(3)
+
+    def text(letters):
+        return " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 9))) for _ in range(80))
+
+    rows = [(i, text("αβγδεζηθικλμνξο"), "el") for i in range(150)] + [(200 + i, text("aąbcćdeęłnoóśźż"), "pl") for i in range(40)]
+    rows += [(300 + i, text("abcdefghij"), None) for i in range(30)] + [(400 + i, text("ABCDEFG0123456789"), "el") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
+    assert {i for i, r in out.items() if not r["kept"]} == set(range(400, 405))
+    assert all((r["char_distance"] is None) == (300 <= i < 400) for i, r in out.items())
+
+
 def test_junk_goes_and_clean_text_stays(spark):
     docs, labels = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     out = quality.quality_verdicts(docs).where("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(
