@@ -9,10 +9,11 @@ isn't the first letter; ``alli`` is taken off before the rest of step 2;
 ``fulli -> ful``; ``logi`` counts its l with the stem; and a two-letter
 vowel-consonant stem counts as short.
 
-Two forms that share only the suffix tables: :func:`stem`, a Spark column
+Three forms that share only the suffix tables: :func:`stem`, a Spark column
 expression, looks at a word's last letters first, so that most steps cost a
-few comparisons, and can be used inside array functions; :func:`steps` renders
-the algorithm step by step as DuckDB SQL, the test oracle.
+few comparisons, and can be used inside array functions; :func:`stem_word`, the
+same for one Python string, for tasks that stem each distinct word once;
+:func:`steps` renders the algorithm step by step as DuckDB SQL, the test oracle.
 
 Vowels/consonants: ``a e i o u`` are vowels; ``y`` is a vowel unless it
 starts the word or follows a vowel.  Step 0 marks every consonant ``y`` as
@@ -24,6 +25,7 @@ consonant.  The final step lower-cases the word again.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -275,3 +277,78 @@ def stems(words: Column | str) -> Column:
 def stem(word: Column) -> Column:
     """T5 of one word."""
     return stems(F.array(word))[0]
+
+
+# ------------------------------------------------------------ Python string
+
+_HAS_VOWEL = re.compile(V).search
+_MEASURE = tuple(re.compile(f"{C}*" + f"{V}+{C}+" * more_than + f"{V}+{C}").match for more_than in (0, 1))
+_CVC = re.compile(f"{C}{V}[^aeiouywxY]$|^{V}{C}$").search
+_DOUBLE = re.compile(f"({C})\\1$|yY$").search
+_Y_AFTER_VOWEL = re.compile("([aeiouy])y")
+_Y_AFTER_CONSONANT = re.compile(f".{C}[yY]$").search
+
+
+def _by_last_letter(table) -> dict[str, list[tuple[str, str]]]:
+    rows = sorted(table, key=lambda r: -len(r[0]))
+    return {letter: [r for r in rows if r[0][-1] == letter] for letter in {suffix[-1] for suffix, _ in table}}
+
+
+_SUFFIXES_2, _SUFFIXES_3, _SUFFIXES_4 = _by_last_letter(STEP2), _by_last_letter(STEP3), _by_last_letter([(s, "") for s in STEP4])
+
+
+def _python_suffix(w: str, table, allowed) -> str:
+    for suffix, new in table.get(w[-1:], ()):
+        if w.endswith(suffix):
+            left = w[:-len(suffix)]
+            return left + new if allowed(w, left, suffix) else w
+    return w
+
+
+def _python_mend(w: str) -> str:
+    if w.endswith(("at", "bl", "iz")):
+        return w + "e"
+    if _DOUBLE(w) and w[-1] not in "lsz":
+        return w[:-1]
+    return w + "e" if _MEASURE[0](w) and not _MEASURE[1](w) and _CVC(w) else w
+
+
+def _python_past(w: str) -> str:
+    if w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
+    if w.endswith("eed"):
+        return w[:-1] if _MEASURE[0](w[:-3]) else w
+    for suffix in ("ed", "ing"):
+        if w.endswith(suffix):
+            left = w[:-len(suffix)]
+            return _python_mend(left) if _HAS_VOWEL(left) else w
+    return w
+
+
+def stem_word(word: str) -> str:
+    """T5 of one lower-case word as a Python string; see :func:`stems`."""
+    if len(word) <= 2:
+        return word
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    w = word
+    if "y" in w:
+        w = _Y_AFTER_VOWEL.sub(r"\1Y", "Y" + w[1:] if w[0] == "y" else w)
+    if w.endswith("sses") or w.endswith("ies") and len(w) != 4:
+        w = w[:-2]
+    elif w.endswith("s") and not w.endswith("ss"):
+        w = w[:-1]
+    w = _python_past(w)
+    if _Y_AFTER_CONSONANT(w):
+        w = w[:-1] + "i"
+    if w.endswith("alli") and _MEASURE[0](w[:-4]):
+        w = w[:-2]
+    w = _python_suffix(w, _SUFFIXES_2, lambda w, left, s: _MEASURE[0](w[:-3] if s == "logi" else left))
+    w = _python_suffix(w, _SUFFIXES_3, lambda w, left, s: _MEASURE[0](left))
+    w = _python_suffix(w, _SUFFIXES_4, lambda w, left, s: _MEASURE[1](left) and (s != "ion" or left[-1:] in ("s", "t")))
+    left = w[:-1]
+    if w.endswith("e") and (_MEASURE[1](left) or _MEASURE[0](left) and not _CVC(left)):
+        w = left
+    if w.endswith("ll") and _MEASURE[1](w):
+        w = w[:-1]
+    return w.replace("Y", "y")

@@ -10,11 +10,12 @@ Order of the steps matters and follows the reference pipeline:
 5. turn ``'`` and ``-`` into blanks, drop empty and all-digit tokens;
 6. split on blanks (the pieces are not filtered or stemmed again).
 
-Everything is a native Spark expression (no Python UDF).  Two forms:
+Two forms:
 
-* :func:`analyze` - an ``array<string>`` column, for per-row use (no stem);
-* :func:`analyze_tokens` - the weighted long table ``(id, term, n)``, counted
-  inside each document's row (no shuffle), each distinct word stemmed once.
+* :func:`analyze` - an ``array<string>`` column, a native expression for per-row use (no stem);
+* :func:`analyze_tokens` - the weighted long table ``(id, term, n)``: words by
+  native expressions, counted by row on Arrow batches inside the task (no
+  shuffle), each distinct word analysed once.
 
 Known deviations from an NLTK tokenizer (accepted, see README): ``...`` and
 quote tokens are never produced; ``don't`` stays whole (and is a stop word);
@@ -23,8 +24,11 @@ quote tokens are never produced; ``don't`` stays whole (and is a stop word);
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import porter
 
@@ -110,54 +114,90 @@ def analyze(text: Column, stop: bool = True, do_fold: bool = True) -> Column:
     return split_pieces(toks)
 
 
-def term_bags(df: DataFrame, keys: list[str], text_col: str, stop: bool = True,
-              stem: bool = True, do_fold: bool = True) -> DataFrame:
-    """T1-T11 and T13 inside the text's own row: ``keys`` and ``terms``, an
-    array of (term, n), n being the number of occurrences of ``term``.
+_FOLD = str.maketrans({src: dst for dst, sources in FOLD_SINGLE for src in sources} | dict(FOLD_MULTI))
+_BLANKED = str.maketrans("'-", "  ")
+_STOP = frozenset(STOP_WORDS)
+KNOWN_WORDS = 1 << 19  # words whose terms a worker remembers
+TASK_WORDS = 1 << 20  # words that a task counts at a time
 
-    Words are sorted and counted in the row, every distinct word of the row is
-    stemmed, folded and split once, and the terms that came of several words
-    are counted together.  Nothing is shuffled and no dictionary is kept, so
-    the work grows with the texts alone, whatever the vocabulary.
-    """
-    words = tokenize(F.col(text_col))
-    if stop:
-        words = remove_stop_words(words)
-    # one column after the other: each is evaluated once
-    runs = _runs(df.select(*keys, F.sort_array(words).alias("_s")), keys, lambda w: w)
-    counted = runs.select(*keys, F.transform("_a", lambda a: F.get("_s", a)).alias("_w"),
-                          F.zip_with("_a", "_z", lambda a, z: (z - a).cast("long")).alias("_n"))
-    counted = counted.select(*keys, F.transform("_w", lambda w: F.regexp_replace(w, POSSESSIVE_RE, "")).alias("_w"), "_n")
-    out = porter.stems("_w") if stem else F.col("_w")
-    pieces = F.flatten(F.zip_with(out, "_n", lambda w, n: F.transform(_pieces(w, do_fold), lambda t: F.struct(t.alias("term"), n.alias("n")))))
-    merged = _runs(counted.select(*keys, F.sort_array(pieces).alias("_s")), keys, lambda t: t["term"])
-    return merged.select(*keys, F.zip_with("_a", "_z", lambda a, z: F.struct(
-        F.get("_s", a)["term"].alias("term"),
-        F.when(z == a + 1, F.get("_s", a)["n"]).otherwise(
-            F.aggregate(F.slice("_s", a + 1, z - a), F.lit(0).cast("long"), lambda n, t: n + t["n"])).alias("n"))).alias("terms"))
-
-
-def _runs(df: DataFrame, keys: list[str], value) -> DataFrame:
-    """Runs of equal values in the sorted array ``_s``: ``_a`` and ``_z``, the
-    positions of each run's first item and of the one after its last."""
-    size = F.size("_s")
-    first = F.filter(F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>")),
-                     lambda i: (i == 0) | (value(F.get("_s", i)) != value(F.get("_s", i - 1))))
-    started = df.select(*keys, "_s", first.alias("_a"))
-    return started.select(*keys, "_s", "_a", F.when(F.size("_a") > 0, F.concat(F.slice("_a", F.lit(2), F.size("_a")), F.array(size)))
-                          .otherwise(F.array().cast("array<int>")).alias("_z"))
-
-
-def _pieces(w: Column, do_fold: bool) -> Column:
-    """T7-T10 on one (stemmed) word: fold, blank out ' and -, drop empty or
-    all-digit words, split on blanks, drop empty pieces."""
-    plain = w
+
+def word_terms(word: str, stop: bool = True, stem: bool = True, do_fold: bool = True) -> list[str]:
+    """T3-T10 of one lower-case word: its terms, none for a stop word or a number."""
+    if stop and word in _STOP:
+        return []
+    w = word[:-2] if word.endswith(("'s", "’s")) else word
+    if stem:
+        w = porter.stem_word(w)
     if do_fold:
-        w = fold(w)
-    w = F.translate(w, "'-", "  ")
-    parts = F.when((w == "") | w.rlike(DIGITS_RE), F.array().cast("array<string>")) \
-        .otherwise(F.split(F.trim(w), " +"))
-    return F.when(plain.rlike("^[a-z]+$"), F.array(plain)).otherwise(F.filter(parts, lambda t: t != ""))
+        w = w.translate(_FOLD)
+    w = w.translate(_BLANKED)
+    return [] if w.isdecimal() else [t for t in w.split(" ") if t]
+
+
+@functools.cache
+def _remembered(stop: bool, stem: bool, do_fold: bool):
+    """:func:`word_terms` with a memory that a worker's next tasks find again."""
+    return functools.lru_cache(maxsize=KNOWN_WORDS)(functools.partial(word_terms, stop=stop, stem=stem, do_fold=do_fold))
+
+
+def _document_slices(words):
+    """(first, number) of rows of at most TASK_WORDS words together (or one row)."""
+    import numpy as np
+    ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + TASK_WORDS, side="right")))
+        yield first, last - first
+        first = last
+
+
+def _counted(words, terms_of):
+    """(row, term, n) of an Arrow list column of words, as numpy rows, Arrow
+    terms and numpy counts: each distinct word is analysed once, the words of
+    all rows become numbers, and equal (row, term) pairs are counted."""
+    import numpy as np
+    import pyarrow as pa
+    coded = words.flatten().dictionary_encode()
+    codes, numbers, pieces, n_pieces = coded.indices.to_numpy(), {}, [], []
+    for word in coded.dictionary.to_pylist():
+        terms = terms_of(word)
+        n_pieces.append(len(terms))
+        pieces.extend([numbers.setdefault(t, len(numbers)) for t in terms])
+    pieces, n_pieces = np.array(pieces, dtype=np.int64), np.array(n_pieces, dtype=np.int64)
+    row = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy(zero_copy_only=False))
+    many = n_pieces[codes]  # terms of each word of each row
+    at = np.repeat((np.cumsum(n_pieces) - n_pieces)[codes] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    pairs, n = np.unique(np.repeat(row, many) * max(1, len(numbers)) + pieces[at], return_counts=True)
+    row, term = np.divmod(pairs, max(1, len(numbers)))
+    return row, pa.array(list(numbers), pa.string()).take(pa.array(term)), n
+
+
+def count_terms(df: DataFrame, keys: list[str], text_col: str, stop: bool = True,
+                stem: bool = True, do_fold: bool = True, term_col: str = "term") -> DataFrame:
+    """T1-T11 and T13 inside the text's own task: ``keys``, ``term_col`` and
+    ``n``, the number of occurrences of the term in the row's text.
+
+    Spark lower-cases and tokenises; a task turns the words of its Arrow batches
+    into numbers, analyses every distinct word once (its worker remembers KNOWN_WORDS
+    of them) and counts by row.  Nothing is shuffled and no dictionary is kept
+    beyond a task's, so the work grows with the texts alone.
+    """
+    def run(batches):
+        import pyarrow as pa
+        terms_of = _remembered(stop, stem, do_fold)
+        for batch in batches:
+            for first, size in _document_slices(batch.column(len(keys))):
+                part = batch.slice(first, size)
+                row, term, n = _counted(part.column(len(keys)), terms_of)
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(row) for i in range(len(keys))), term, pa.array(n, pa.int64())],
+                                                 names=[*keys, term_col, "n"])
+
+    rows = df.select(*keys, tokenize(F.col(text_col)).alias("_words"))
+    out = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in keys]
+                       + [T.StructField(term_col, T.StringType()), T.StructField("n", T.LongType())])
+    return rows.mapInArrow(run, out)
 
 
 def analyze_tokens(df: DataFrame, id_col: str | list[str], text_col: str, stop: bool = True,
@@ -165,17 +205,13 @@ def analyze_tokens(df: DataFrame, id_col: str | list[str], text_col: str, stop:
                    materialize: bool = False) -> DataFrame:
     """The weighted token table ``(id_col, term, n)`` of a text column, one
     row per document (a row of ``df``) and term; ``id_col`` may be several
-    columns.  See :func:`term_bags`: no shuffle.  ``materialize`` writes it to
+    columns.  See :func:`count_terms`: no shuffle.  ``materialize`` writes it to
     the shared folder, so the corpus is analysed once for all consumers.
     Documents with no token produce no row; callers count documents from ``df``.
     """
     from tessera.sources.files import materialize as _mat
     keys = [id_col] if isinstance(id_col, str) else list(id_col)
-    bags = term_bags(df, keys, text_col, stop=stop, stem=stem, do_fold=do_fold)
-    # outer: else the optimizer infers a filter on the array's size and computes
-    # the whole array a second time for it
-    out = (bags.select(*keys, F.explode_outer("terms").alias("_t")).select(*keys, F.col("_t.term").alias(term_col), F.col("_t.n").alias("n"))
-           .where(F.col(term_col).isNotNull()))
+    out = count_terms(df, keys, text_col, stop=stop, stem=stem, do_fold=do_fold, term_col=term_col)
     return _mat(out, "tokens") if materialize else out
 
 

@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.functions import porter
@@ -100,3 +101,31 @@ def test_counts_against_plain_python(spark):
     out = tx.analyze_tokens(docs, "doc_id", "text")
     assert sorted(map(tuple, out.collect())) == [(1, "12", 1), (1, "own", 1), (1, "run", 1), (1, "run", 6), (1, "runner", 1)]
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_analysed_once_by_word(spark, monkeypatch):
+    """The string form of the stemmer gives the column's stems, and the counts
+    by row are those of the array form, however the rows are cut into slices."""
+    rnd = random.Random(7)
+    suffixes = [s for s, _ in porter.STEP2 + porter.STEP3] + porter.STEP4 + "s es ies ied ed eed ing y e ll ss at bl iz tt ’s".split()
+    parts = "b y ay qu tr on al e a i o st ng ll ss per hop tan fil ie sky 1 é ß".split()
+    words = {"".join(rnd.choices(parts, k=rnd.randint(1, 4))) + "".join(rnd.choices(suffixes, k=rnd.randint(0, 3))) for _ in range(3000)} | set(porter.IRREGULAR)
+    got = {r.w: r.s for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", porter.stem(F.col("w")).alias("s")).collect()}
+    assert {w: porter.stem_word(w) for w in words} == got
+    texts = ["Chef's chef’s THE over-easy 12-14 1234 ßtraße", None, "", "x x y", "the of", "- ' x", "Łódź-Łódź Łódź"]
+    df = spark.createDataFrame([(i % 5 if i < 6 else None, t) for i, t in enumerate(texts)], "i long, t string").coalesce(1)
+    for stop in (True, False):
+        want = sorted((str(r.i), t, r.a.count(t)) for r in df.select("i", tx.analyze(F.regexp_replace(F.lower("t"), "['’]s\\b", ""), stop=stop).alias("a")).collect() for t in set(r.a))
+        assert sorted((str(r.i), r.term, r.n) for r in tx.analyze_tokens(df, "i", "t", stop=stop, stem=False).collect()) == want
+    words = pa.array([["a", "b"], [], ["c"] * 9, ["a"], ["b", "a", "a"]])
+    monkeypatch.setattr(tx, "TASK_WORDS", 4)
+    assert list(tx._document_slices(words)) == [(0, 2), (2, 1), (3, 2)]
+    counted = lambda w: [(r, t, n) for r, t, n in zip(*(x.tolist() for x in tx._counted(w, lambda t: [t] if t != "b" else ["x", "x"])))]
+    assert sorted(counted(words)) == [(0, "a", 1), (0, "x", 2), (2, "c", 9), (3, "a", 1), (4, "a", 2), (4, "x", 2)]
+    assert counted(pa.array([[], []], pa.list_(pa.string()))) == []
+
+
+def test_analysis_stems_no_arrays(spark):
+    """No stemming inside array functions, which Spark interprets word by word."""
+    plan = tx.analyze_tokens(spark.createDataFrame([(1, "a")], "i long, t string"), "i", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "MapInArrow" in plan
