@@ -11,11 +11,12 @@ dense id):
 * ``norms``     (doc_id, norm)              sqrt(sum w^2)
 
 Shuffles, in order: none for the term frequencies (counted in the document's
-row, :func:`tessera.functions.text.term_bags`); the document-frequency count on
-term (partial first); the tf x idf join on term (broadcast while the vocabulary
-is small, otherwise sort-merge with skew splitting of hot terms); the norms, a
-sum by document of which partial sums are shuffled, joined back.  Written are
-tf, idf and, when first used, the norms (one row per document).
+task, :func:`tessera.functions.text.count_terms`); the document-frequency count
+on term (partial first); of the tf x idf join only the rows of rare terms
+(:func:`join_terms`: the table of the frequent ones, of bounded length, is
+broadcast, so most rows stay where their document is); the norms, a sum by
+document of which partial sums are shuffled, joined back where ``wn`` is asked
+for.  Written are tf, idf and, when first used, the norms (one row per document).
 
 A posting list is never collected into one row: a frequent term may hold a
 large share of all documents.
@@ -72,6 +73,21 @@ def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFr
             .drop("_pid", "_rn", "_off"))
 
 
+FREQUENT = 100_000  # terms whose rows are joined by a broadcast
+
+
+def join_terms(tf: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
+    """``tf`` with the other columns of ``terms`` (keys, df, ...), a table of
+    one row per term that holds its ``df``.  At most FREQUENT terms have a share
+    of 1/FREQUENT of all rows and more; they make up most rows, and as their
+    table is broadcast, those are neither shuffled nor skewed.  The rows of the
+    others, none of them hot, are joined by key."""
+    least = terms.select(F.sum("df") / F.lit(float(FREQUENT))).scalar()
+    often = terms.where(F.col("df") >= least)
+    rare = tf.join(F.broadcast(often.select(*keys)), keys, "left_anti").join(terms.where(F.col("df") < least), keys)
+    return tf.join(F.broadcast(often), keys).unionByName(rare)
+
+
 @dataclass
 class Index:
     """Handles to the index tables of one text column, or of several fields
@@ -103,9 +119,15 @@ class Index:
     @property
     def weighted(self) -> DataFrame:
         """(by, id, term, tf, w): tf x idf."""
-        keys = [*self.by, "term"]
-        return (self.tf.join(self.idf.select(*keys, "idf"), keys)
-                .withColumn("w", F.col("tf") * F.col("idf")).drop("idf"))
+        return (join_terms(self.tf, self.idf, [*self.by, "term"])
+                .withColumn("w", F.col("tf") * F.col("idf")).drop("df", "idf"))
+
+    @property
+    def weights(self) -> DataFrame:
+        """(by, term, id, tf, w): the postings but for ``wn``, so that no norm
+        is computed or joined; like them, without rows that have no id."""
+        rows = self.weighted if self.saved_postings is None else self.saved_postings
+        return rows.where(F.col(self.id_col).isNotNull()).select(*self.by, "term", self.id_col, "tf", "w")
 
     @property
     def norms(self) -> DataFrame:

@@ -3,12 +3,12 @@
 Queries come as a table ``(qid, text)`` so one plan answers one query or
 thousands.  The query side is analysed with the index's own options.
 
-Plan shape of ranked search: query terms join postings on ``term`` (Spark
-broadcasts them below its byte threshold, else AQE splits frequent terms); candidates aggregate on (qid, doc_id);
-the per-query top-k is ``row_number() <= k`` which Spark plans as a
-partial ``WindowGroupLimit`` before the shuffle, so no task ever sorts all
-candidates of one query.  Document norms are folded into the postings
-(``wn``), so there is no norm join at query time.
+Plan shape of ranked search: query terms, written with their idf, join the
+term frequencies on ``term`` (Spark broadcasts them below its byte threshold,
+else AQE splits frequent terms); candidates aggregate on (qid, doc_id), partly
+where their document lies, and meet the document norms; the per-query top-k is
+``row_number() <= k`` which Spark plans as a partial ``WindowGroupLimit`` before
+the shuffle, so no task ever sorts all candidates of one query.
 """
 
 from __future__ import annotations
@@ -74,6 +74,22 @@ def query_terms_all(index: Index, queries: DataFrame, qid: str = "qid",
     return analyzed_queries(index, queries, qid, text_col).select(*query_keys(index, qid), "term")
 
 
+def weighted_queries(index: Index, queries: DataFrame, qid: str = "qid", text_col: str = "text") -> DataFrame:
+    """:func:`query_vector` with the terms' ``idf``, written to the shared
+    folder: Spark then knows its size before it plans the join with the index
+    (it would take a join and a window for as large as their inputs, and shuffle
+    the postings)."""
+    from tessera.sources.files import materialize
+    toks, keys, term = analyzed_queries(index, queries, qid, text_col), query_keys(index, qid), [*index.by, "term"]
+    qtf = toks.select(*keys, "term", F.col("n").alias("qtf"))
+    qv = (qtf.join(index.idf.select(*term, "idf"), term)
+          .withColumn("qw", F.col("qtf") * F.col("idf")))
+    per_q = Window.partitionBy(*keys)  # a query's own terms
+    return materialize(qv.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(per_q)))
+                       .withColumn("qwn", F.try_divide(F.col("qw"), F.col("qnorm")))
+                       .select(*keys, "term", "idf", "qtf", "qw", "qnorm", "qwn"), "query-vectors")
+
+
 def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
                  text_col: str = "text") -> DataFrame:
     """Q4 + I9: in-vocabulary query terms with raw-TF x IDF weights.
@@ -81,14 +97,18 @@ def query_vector(index: Index, queries: DataFrame, qid: str = "qid",
     ``queries`` is the raw ``(qid, text)`` table or its analysed form.
     Output (qid, term, qtf, qw, qnorm, qwn); qwn = qw / |q| (NULL if |q| = 0).
     """
-    toks, keys, term = analyzed_queries(index, queries, qid, text_col), query_keys(index, qid), [*index.by, "term"]
-    qtf = toks.select(*keys, "term", F.col("n").alias("qtf"))
-    qv = (qtf.join(index.idf.select(*term, "idf"), term)
-          .withColumn("qw", F.col("qtf") * F.col("idf")))
-    per_q = Window.partitionBy(*keys)  # a query's own terms
-    return (qv.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(per_q)))
-            .withColumn("qwn", F.try_divide(F.col("qw"), F.col("qnorm")))
-            .select(*keys, "term", "qtf", "qw", "qnorm", "qwn"))
+    return weighted_queries(index, queries, qid, text_col).drop("idf")
+
+
+def products(index: Index, qv: DataFrame, value: str, qid: str) -> DataFrame:
+    """(qid, id, sum): sums of ``value`` x w over the terms that a query and a
+    row share.  w is tf times the idf that the queries' terms carry, so only
+    these terms' rows are joined, with one small table, and lie document by
+    document when they are summed."""
+    keys, term = query_keys(index, qid), [*index.by, "term"]
+    return (index.tf.join(qv.select(*keys, "term", "idf", F.col(value).alias("_q")), term)
+            .groupBy(*keys, index.id_col)
+            .agg(F.sum(F.col("_q") * (F.col("tf") * F.col("idf"))).alias("sum")))
 
 
 def any_term_search(index: Index, queries: DataFrame, qid: str = "qid",
@@ -118,11 +138,14 @@ def conjunctive_search(index: Index, queries: DataFrame, qid: str = "qid",
     term; its other terms only say which candidates they hold, by a join on
     (term, document), a key without hot values.  Spark broadcasts whichever
     side is small, so frequent posting lists are read, never multiplied by
-    the queries that hold their term.  An out-of-vocabulary term can never be
+    the queries that hold their term, and no posting of a term that no query
+    holds is shuffled.  An out-of-vocabulary term can never be
     matched, so its query returns no rows; neither does one with no terms.
     """
-    i, tf = index.id_col, index.tf.select("term", index.id_col)
-    order = rarest_first(index, queries, qid, text_col)
+    from tessera.sources.files import materialize
+    i = index.id_col
+    order = materialize(rarest_first(index, queries, qid, text_col), "query-order")  # its size is known to the joins
+    tf = index.tf.select("term", i).join(order.select("term").distinct(), "term", "left_semi")
     candidates = tf.join(order.where("nth = 1").select(qid, "term", "n_terms"), "term").select(qid, i, "n_terms")
     wanted = candidates.join(order.where("nth > 1").select(qid, "term"), qid)
     held = wanted.join(tf, ["term", i]).groupBy(qid, i, "n_terms").agg(F.count(F.lit(1)).alias("n_held"))
@@ -188,14 +211,13 @@ def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",
     pairs that share a term or, with ``k``, of each query's k best (with
     ``rank``; by the bounds of a saved index where there are any)."""
     toks = analyzed_queries(index, queries, qid, text_col)
-    qv = query_vector(index, toks, qid, text_col)
     if k is not None:
-        scores = (bounded_scores(index, qv.select(qid, "term", F.col("qw").alias("q")), "w", k, qid).withColumnRenamed("sum", "dot")
-                  if index.bounds is not None else sparse_dot(index, toks, qid))
-        return top_k(scores, k, qid, index.id_col, "dot")
-    return (index.postings.join(qv, "term")
-            .groupBy(qid, index.id_col)
-            .agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
+        if index.bounds is None:
+            return top_k(sparse_dot(index, toks, qid), k, qid, index.id_col, "dot")
+        qv = query_vector(index, toks, qid, text_col).select(qid, "term", F.col("qw").alias("q"))
+        return top_k(bounded_scores(index, qv, "w", k, qid).withColumnRenamed("sum", "dot"), k, qid, index.id_col, "dot")
+    return (products(index, weighted_queries(index, toks, qid, text_col), "qw", qid)
+            .where(F.col(index.id_col).isNotNull()).withColumnRenamed("sum", "dot"))
 
 
 def cosine_scores(index: Index, queries: DataFrame, qid: str = "qid",
@@ -205,11 +227,10 @@ def cosine_scores(index: Index, queries: DataFrame, qid: str = "qid",
     Candidates whose cosine is undefined (zero document or query norm) are
     dropped instead of carrying NaN.  Scores are not rounded.
     """
-    toks, keys, term = analyzed_queries(index, queries, qid, text_col), query_keys(index, qid), [*index.by, "term"]
-    qv = query_vector(index, toks, qid, text_col).select(*keys, "term", "qwn")
-    return (index.postings.select(*term, index.id_col, "wn").join(qv, term)
-            .groupBy(*keys, index.id_col)
-            .agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
+    keys = query_keys(index, qid)
+    sums = products(index, weighted_queries(index, queries, qid, text_col), "qwn", qid)
+    return (sums.join(index.norms, [*index.by, index.id_col])
+            .select(*keys, index.id_col, F.try_divide(F.col("sum"), F.col("norm")).alias("score"))
             .where(F.col("score").isNotNull()))
 
 

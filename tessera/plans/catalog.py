@@ -17,6 +17,7 @@ from tessera.functions import text as tx
 from tessera.operators import index as ix
 from tessera.operators import search as srch
 from tessera.plans import oracle_sql as o
+from tessera.sources.files import materialize
 from tessera.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -120,7 +121,7 @@ def idf(spark, d):
           "SELECT term, doc_id, tf, round(w, 6) AS w FROM dx_post"))
 def tfidf_postings(spark, d):
     """TF-IDF weight per posting."""
-    return _doc_index(spark, d).postings.select("term", "doc_id", "tf", F.round("w", 6).alias("w"))
+    return _doc_index(spark, d).weights.select("term", "doc_id", "tf", F.round("w", 6).alias("w"))
 
 
 @register("weighted_index", o.with_(DOC_IDX + [
@@ -129,15 +130,16 @@ def tfidf_postings(spark, d):
 def weighted_index(spark, d):
     """Weighted inverted index keyed by the dense term id."""
     idx = _doc_index(spark, d)
-    voc = ix.dense_ids(idx.doc_freq.select("term"), "term", "term_id")
-    return idx.postings.join(voc, "term").select("term_id", "doc_id", F.round("w", 6).alias("w"))
+    voc = materialize(ix.dense_ids(idx.idf, "term", "term_id"), "vocabulary")
+    return (ix.join_terms(idx.tf, voc, ["term"]).where(F.col("doc_id").isNotNull())
+            .select("term_id", "doc_id", F.round(F.col("tf") * F.col("idf"), 6).alias("w")))
 
 
 @register("doc_vectors", o.with_(DOC_IDX,
           "SELECT doc_id, term, round(w, 6) AS w FROM dx_post WHERE w <> 0"))
 def doc_vectors(spark, d):
     """Sparse document vectors without zero weights (long form)."""
-    return ix.doc_vectors(_doc_index(spark, d).postings).withColumn("w", F.round("w", 6))
+    return ix.doc_vectors(_doc_index(spark, d).weights).withColumn("w", F.round("w", 6))
 
 
 @register("doc_norms", o.with_(DOC_IDX, "SELECT doc_id, round(norm, 6) AS norm FROM dx_norm"))

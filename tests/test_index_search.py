@@ -147,3 +147,26 @@ def test_index_plan_has_no_window(spark, corpus):
     idx = ix.build_index(corpus, materialize=False)
     plan = idx.postings._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Python" not in plan
+
+
+def test_frequent_terms_meet_their_idf_by_broadcast(spark, monkeypatch):
+    """Rows of frequent terms and of rare ones, joined apart, are those of one join."""
+    monkeypatch.setattr(ix, "FREQUENT", 4)
+    docs = spark.createDataFrame([(i if i else None, "common often " * (1 + i % 2) + f"w{i % 7} v{i}") for i in range(60)], "doc_id long, text string")
+    idx = ix.build_index(docs)
+    least = sum(r.df for r in idx.idf.collect()) / 4
+    assert {r.term for r in idx.idf.collect() if r.df >= least} == {"common", "often"}
+    want = idx.tf.join(idx.idf, "term").select("doc_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    key = lambda df: sorted((str(r.doc_id), r.term, r.tf, round(r.w, 9)) for r in df.collect())
+    assert key(idx.weighted) == key(want) and len(key(want)) == 240
+    assert key(idx.weights) == key(idx.postings) == [r for r in key(want) if r[0] != "None"]
+
+
+def test_searches_join_postings_of_their_terms_only(spark, corpus):
+    """One small table meets the term frequencies; weights and norms of all postings aren't joined for a score."""
+    idx = ix.build_index(corpus)
+    scores = srch.cosine_scores(idx, srch.query_table(spark, ["modern seasonal", "bar"]))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "Window" not in plan
+    plan = idx.weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "norm" not in plan
