@@ -202,26 +202,36 @@ def doc_vectors(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
 BLOCK_DOCS = 8
 
 
-def document_blocks(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, block): documents of similar largest weights together, in blocks
-    of BLOCK_DOCS; numbered without a global window."""
-    tops = postings.groupBy(id_col).agg(F.max("wn").alias("_m")).withColumn("_o", F.struct("_m", id_col))
-    return dense_ids(tops, "_o", "_r").select(id_col, F.expr(f"_r div {BLOCK_DOCS}").alias("block"))
+def document_blocks(tops: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, block) of (id, top), a document's largest ``wn``: documents of
+    similar largest weights together, in blocks of BLOCK_DOCS; numbered without
+    a global window."""
+    ordered = tops.withColumn("_o", F.struct("top", id_col))
+    return dense_ids(ordered, "_o", "_r").select(id_col, F.expr(f"_r div {BLOCK_DOCS}").alias("block"))
 
 
 def save_index(index: Index, path: str) -> None:
     """Everything that a search needs, as Parquet under ``path``:
-    postings (term, id, tf, w, wn, block) ranged and sorted by (term, id), so a
-    term is found by row-group statistics and a frequent one spans many files;
-    bounds, the largest weights by (term, block of documents); idf, vocabulary
-    (dense ids), norms, and one row of N and the options."""
+    postings (term, id, tf, w, wn, block) ranged by (term, block) and sorted, so
+    a term is found by row-group statistics and a frequent one spans many files;
+    with them the bounds, the largest weights by (term, block of documents), in
+    the first row of each block; idf, vocabulary (dense ids), norms, and one row
+    of N and the options.  Norms and blocks are found document by document, so
+    postings are shuffled twice: to their document's norm and block, and to
+    their place."""
     from tessera.sources.files import materialize
     i = index.id_col
-    blocks = materialize(document_blocks(index.postings, i), "blocks")
-    (index.postings.join(blocks, i).repartitionByRange("term", i).sortWithinPartitions("term", i).write.mode("overwrite").parquet(f"{path}/postings"))
+    tops = (index.weights.groupBy(i).agg(F.max("w").alias("w")).join(index.norms, i)
+            .select(i, F.try_divide(F.col("w"), F.col("norm")).alias("top")))
+    of_doc = materialize(document_blocks(tops, i).join(index.norms, i), "blocks")
+    rows = index.weights.join(of_doc, i).select("term", i, "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("wn"), "block")
+    in_block = Window.partitionBy("term", "block")
+    first = F.row_number().over(in_block.orderBy(i)) == 1
+    bounds = {"n": F.count(F.lit(1)), "top_w": F.max("w"), "top_wn": F.max("wn")}
+    (rows.repartitionByRange("term", "block").withColumn("_first", first)
+     .select("*", *[F.when(F.col("_first"), value.over(in_block)).alias(name) for name, value in bounds.items()]).drop("_first")
+     .sortWithinPartitions("term", "block", i).write.mode("overwrite").parquet(f"{path}/postings"))
     spark = index.tf.sparkSession
-    (spark.read.parquet(f"{path}/postings").groupBy("term", "block").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w"), F.max("wn").alias("wn"))
-     .repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/bounds"))
     (index.idf.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/idf"))
     dense_ids(index.doc_freq.select("term"), "term", "term_id").write.mode("overwrite").parquet(f"{path}/vocabulary")
     index.norms.write.mode("overwrite").parquet(f"{path}/norms")
@@ -232,9 +242,11 @@ def save_index(index: Index, path: str) -> None:
 def load_index(spark, path: str) -> Index:
     """A saved index; nothing of the corpus is read or analysed again."""
     options = spark.read.parquet(f"{path}/options").first()
-    postings, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf", "norms"))
+    rows, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf", "norms"))
+    bounds = rows.where("n IS NOT NULL").select("term", "block", "n", F.col("top_w").alias("w"), F.col("top_wn").alias("wn"))
+    postings = rows.drop("n", "top_w", "top_wn")
     return Index(tf=postings.select(options["id_col"], "term", "tf"), idf=idf, n=F.lit(options["n"]), stop=options["stop"], stem=options["stem"],
-                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms, bounds=spark.read.parquet(f"{path}/bounds"))
+                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms, bounds=bounds)
 
 
 def save_vocabulary(spark, path: str, target: str) -> None:

@@ -157,6 +157,13 @@ SEEDS = 8  # blocks of a query that are scored to begin with
 SLACK = 1e-9  # bounds and scores are sums in different orders
 
 
+def query_postings(index: Index, qv: DataFrame, value: str) -> DataFrame:
+    """(term, block, id, v) of a saved index, of the terms that a query holds;
+    the others' postings aren't shuffled."""
+    terms = qv.select("term").distinct()
+    return index.postings.select("term", "block", index.id_col, F.col(value).alias("v")).join(terms, "term", "left_semi")
+
+
 def candidates(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> tuple[DataFrame, DataFrame]:
     """The (qid, block, id) that can be among a query's k best, and every
     query's bounds by block, (qid, block, term, q, ub).
@@ -171,7 +178,7 @@ def candidates(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> tup
     has to reach it too.
     """
     from tessera.sources.files import materialize
-    i, postings = index.id_col, index.postings.select("term", "block", index.id_col, F.col(value).alias("v"))
+    i, postings = index.id_col, query_postings(index, qv, value)
     ub = materialize(qv.join(index.bounds.select("term", "block", F.col(value).alias("_top")), "term")
                      .select(qid, "block", "term", "q", (F.col("q") * F.col("_top")).alias("ub")), "block-bounds")
     blocks = ub.groupBy(qid, "block").agg(F.sum("ub").alias("reach"))
@@ -201,7 +208,7 @@ def bounded_scores(index: Index, qv: DataFrame, value: str, k: int, qid: str) ->
     found, ub = candidates(index, qv, value, k, qid)
     i = index.id_col
     return (found.join(ub.select(qid, "block", "term", "q"), [qid, "block"])
-            .join(index.postings.select("term", "block", i, F.col(value).alias("v")), ["term", "block", i])
+            .join(query_postings(index, qv, value), ["term", "block", i])
             .groupBy(qid, i).agg(F.sum(F.col("q") * F.col("v")).alias("sum")))
 
 

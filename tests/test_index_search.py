@@ -170,3 +170,13 @@ def test_searches_join_postings_of_their_terms_only(spark, corpus):
     assert plan.count("Join") == 2 and "Window" not in plan
     plan = idx.weights._jdf.queryExecution().optimizedPlan().toString()
     assert "norm" not in plan
+
+
+def test_saved_bounds_are_the_largest_weights_of_a_block(spark, tmp_path):
+    """Bounds lie in the first posting of each (term, block): no second shuffle and table of the postings."""
+    rows = [(i % 50 if i % 9 else None, " ".join(f"w{j}" for j in range(i % 13)) + " x" * (i % 4)) for i in range(60)]
+    _, loaded = _loaded(spark, spark.createDataFrame(rows, "doc_id long, text string"), tmp_path)
+    want = loaded.postings.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w"), F.max("wn").alias("wn"))
+    key = lambda df: sorted((r.term, r.block, r.n, r.w, r.wn) for r in df.collect())
+    assert key(loaded.bounds) == key(want) and len(key(want)) > 20
+    assert not (tmp_path / "ix" / "bounds").exists()
