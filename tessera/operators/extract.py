@@ -40,20 +40,28 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
 
 def decode_entities(x: Column) -> Column:
     """Named and numeric character references as their characters, each once;
-    unknown ones stay."""
+    unknown ones stay.  One transform a step, so that nothing is computed twice
+    (Spark shares no expressions inside lambdas)."""
     names = F.create_map(*[F.lit(v) for pair in NAMED.items() for v in pair])
 
-    def piece(p, i):
-        name = F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
+    def named(p, i):
+        name = F.when(i > 0, F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1))
+        return F.struct(p.alias("p"), name.alias("name"))
+
+    def numbered(x):
+        name = x["name"]
+        digits = F.when(name.startswith("#x") | name.startswith("#X"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
             name.startswith("#"), F.substr(name, F.lit(2)))
-        code = digits.cast("long")
+        return F.struct(x["p"].alias("p"), name.alias("name"), digits.cast("long").alias("code"))
+
+    def piece(x):
+        p, name, code = x["p"], x["name"], x["code"]
         known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
         char = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(code.isNotNull(), "\ufffd").otherwise(
             F.try_element_at(names, name))
-        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)))
+        return F.when(name.isNull(), p).otherwise(F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)))
 
-    return F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(F.split(x, "&"), piece), "")).otherwise(x)
+    return F.array_join(F.transform(F.transform(F.transform(F.split(x, "&"), named), numbered), piece), "")
 
 
 def node_text(x: Column, strip: bool = True) -> Column:
@@ -192,7 +200,8 @@ def og_url(html: Column) -> Column:
     any order and with either quotes, entities decoded."""
     metas = F.filter(F.regexp_extract_all(html, F.lit(f"(?i)<meta{GAP}[^>]*>"), F.lit(0)),
                      lambda m: m.rlike(f"(?i){GAP}property\\s*=\\s*[\"']og:url[\"']"))
-    return decode_entities(first(F.get(metas, F.lit(0)), f"(?i){GAP}content{VALUE}"))
+    content = F.transform(F.slice(metas, 1, 1), lambda m: F.regexp_extract(m, f"(?i){GAP}content{VALUE}", 1))
+    return decode_entities(F.get(F.filter(content, lambda c: c != ""), F.lit(0)))
 
 
 # ------------------------------------------------------- the listing record
@@ -204,34 +213,36 @@ def opened(tag: str, *tokens: str) -> str:
 
 
 def _at_tags(markup: Column, tag: str) -> Column:
-    """The markup cut before every opening and closing ``tag``."""
-    return F.split(markup, f"(?i)(?=</?{tag}(?:[\\s/>]))")
+    """The markup cut at the ``<`` of every opening and closing ``tag`` (joined by
+    ``<`` it is whole again); a blank is put before it, so that the first piece
+    is no tag and every other one is, without its ``<``."""
+    return F.split(F.concat(F.lit(" "), markup), f"(?i)<(?=/?{tag}[\\s/>])")
 
 
-def _turn(piece: Column, tag: str) -> Column:
-    """What a piece does to the depth: 1 (it opens), -1 (it closes), 0."""
-    return F.when(piece.rlike(f"(?i)^<{tag}[\\s/>]"), 1).when(piece.rlike(f"(?i)^</{tag}[\\s/>]"), -1).otherwise(0)
+def _turn(piece: Column, i: Column) -> Column:
+    """What a piece does to the depth: 1 (it opens), -1 (it closes), 0 (the first)."""
+    return F.when(i == 0, 0).when(piece.startswith("/"), -1).otherwise(1)
 
 
 def balanced(markup: Column, tag: str) -> Column:
     """``markup`` starts after an opening ``tag``: what it holds up to the end
     tag of its own, elements of the same name inside included (one pass over
     the tags with a running depth; to the end if it is never closed)."""
-    def step(acc, piece):
-        depth = acc["depth"] + _turn(piece, tag)
+    def step(acc, turn):
+        depth = acc["depth"] + turn
         return F.when(acc["depth"] == 0, acc).otherwise(
             F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n")))
 
     def kept(pieces):
-        n = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
-        return F.array_join(F.slice(pieces, F.lit(1), n), "")
+        n = F.aggregate(F.transform(pieces, _turn), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
+        return F.substr(F.array_join(F.slice(pieces, F.lit(1), n), "<"), F.lit(2))
 
     return F.transform(F.array(_at_tags(markup, tag)), kept)[0]
 
 
 def element(html: Column, start: str, tag: str) -> Column:
     """The content of the first element whose opening tag is like ``start``; NULL if absent."""
-    return F.when(html.rlike(f"(?s){start}"), balanced(F.regexp_extract(html, f"(?s){start}(.*)$", 1), tag))
+    return balanced(F.get(F.split(html, f"(?s){start}", 2), F.lit(1)), tag)
 
 
 def children(markup: Column, start: str, tag: str) -> Column:
@@ -239,19 +250,19 @@ def children(markup: Column, start: str, tag: str) -> Column:
     ``markup``, in no other element named ``tag``."""
     empty = F.array().cast("array<int>")
 
-    def step(acc, piece):
-        turn = _turn(piece, tag)
-        depth = F.greatest(acc["depth"] + turn, F.lit(0))
-        begins = (turn == 1) & (acc["depth"] == 0) & piece.rlike(f"(?s)^{start}")
-        ends = (turn == -1) & (depth == 0) & (F.size(acc["a"]) > F.size(acc["z"]))
+    def step(acc, x):
+        depth = F.greatest(acc["depth"] + x["turn"], F.lit(0))
+        begins = (x["turn"] == 1) & (acc["depth"] == 0) & F.concat(F.lit("<"), x["piece"]).rlike(f"(?s)^{start}")
+        ends = (x["turn"] == -1) & (depth == 0) & (F.size(acc["a"]) > F.size(acc["z"]))
         return F.struct(depth.alias("depth"), (acc["i"] + 1).alias("i"),
                         F.when(begins, F.array_append(acc["a"], acc["i"])).otherwise(acc["a"]).alias("a"),
                         F.when(ends, F.array_append(acc["z"], acc["i"])).otherwise(acc["z"]).alias("z"))
 
     def found(pieces):
-        spans = F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit(1).alias("i"), empty.alias("a"), empty.alias("z")), step,
+        turns = F.transform(pieces, lambda p, i: F.struct(_turn(p, i).alias("turn"), p.alias("piece")))
+        spans = F.aggregate(turns, F.struct(F.lit(0).alias("depth"), F.lit(1).alias("i"), empty.alias("a"), empty.alias("z")), step,
                             lambda acc: F.zip_with(acc["a"], acc["z"], lambda a, z: F.struct(a.alias("a"), F.coalesce(z, acc["i"]).alias("z"))))
-        return F.transform(spans, lambda x: F.regexp_replace(F.array_join(F.slice(pieces, x["a"], x["z"] - x["a"]), ""), "(?s)^<[^>]*>", ""))
+        return F.transform(spans, lambda x: F.regexp_replace(F.array_join(F.slice(pieces, x["a"], x["z"] - x["a"]), "<"), "^[^>]*>", ""))
 
     return F.transform(F.array(_at_tags(markup, tag)), found)[0]
 

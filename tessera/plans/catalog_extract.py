@@ -224,7 +224,9 @@ def extract_listing(spark, d):
         div("collapse__block-title", div("d-flex a", F.lit("<span> +39 "), rid, F.lit("</span><span>no</span>"))), F.lit("</section>")))
     head = F.concat(F.lit("<html><head><meta content='"), F.replace(F.concat(F.col("website"), F.lit("?a=1&b=2")), F.lit("&"), F.lit("&amp;")),
                     F.lit("' property='og:url'></head><body>"))
-    pages = rel.listing_parts(spark, d).select("restaurantId", F.concat(
+    # A page costs far more time than its listing row has bytes, by which Spark would put the rows into a few tasks.
+    listing = rel.listing_parts(spark, d).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pages = listing.select("restaurantId", F.concat(
         head, div("restaurant-details__components", sheet, F.coalesce(about, F.lit("")), F.coalesce(phone, F.lit(""))),
         div("restaurant-details__services", div("title"), F.lit("<ul>"), items, F.lit("</ul>")), F.lit("<ul><li>no</li></ul>"), div("list--card", cards),
         F.lit("</body></html>")).alias("html"))

@@ -119,3 +119,36 @@ def test_balanced_elements(spark):
     assert got == ["a<DIV>b</DIV>c<divider>d", None, "open<div>in</div>", None]
     kids = df.select(ex.children(F.col("h"), "<div[^>]*>", "div").alias("c")).collect()
     assert kids[0].c == ["<div class='k'>a<DIV>b</DIV>c<divider>d</div>e"] and kids[1].c == [] and kids[2].c == ["open<div>in</div>"]
+
+
+def test_listing_pages_are_dealt_over_all_tasks(spark, monkeypatch):
+    from tessera.plans import catalog_extract
+    listing = spark.range(0, 50, 1, 1).distinct().selectExpr(  # distinct: shuffled rows, which Spark would put into one task
+        "id AS restaurantId", "'n' AS restaurantName", "'c' AS city", "'a' AS address", "'r' AS region", "'€' AS priceRange", "'t' AS cuisineType",
+        "array('f') AS facilitiesServices", "array('Visa') AS creditCards", "'https://h/' AS website")
+    monkeypatch.setattr(rel, "listing_parts", lambda spark, d: listing)
+    out = catalog_extract.extract_listing(spark, "")
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = {r.restaurantId: r for r in out.collect()}
+    assert len(rows) == 50 and rows[1].restaurantName == "n & café ’x'" and rows[1].creditCards == "visa" and rows[35].n_errors == 2
+
+
+def test_references_and_depths_are_computed_once(spark):
+    def holds(c, what):
+        return spark.range(1).select(F.lit(None).cast("string").alias("x")).select(c.alias("y"))._jdf.queryExecution().analyzed().toString().count(what)
+
+    assert holds(ex.decode_entities(F.col("x")), "regexp_extract(") == 1
+    assert holds(ex.children(F.col("x"), ex.opened("div", "row"), "div"), "RLIKE") + holds(ex.children(F.col("x"), ex.opened("div", "row"), "div"), "rlike") <= 1
+
+
+def test_scopes_at_the_edges_of_the_markup(spark):
+    start = ex.opened("div", "row")
+    rows = spark.createDataFrame([
+        ("<div class='row'>a<DIV >b</div >c</div>d", "a<DIV >b</div >c", ["a<DIV >b</div >c"]),  # a tag comes first
+        ("<div class='row'></div>", "", [""]), ("x<div class='row'>never </b>", "never </b>", ["never </b>"]),
+        ("</div><div class='row'>y</div><div class='row'>z", "y", ["y", "z"]), ("<divx class='row'>n</divx>", None, []), ("", None, []), (None, None, None)],
+        "m string, e string, c array<string>")
+    for r in rows.select("*", ex.element(F.col("m"), start, "div").alias("element"), ex.children(F.col("m"), start, "div").alias("children")).collect():
+        assert (r.element, r.children) == (r.e, r.c), r.m
+    texts = spark.createDataFrame([("&amp;lt; &#x1F600;&#65 &nope; & a&euro;", "&lt; \U0001f600&#65 &nope; & a€"), ("&#0;&#xD800;&", "\ufffd\ufffd&"), ("plain", "plain"), ("", ""), (None, None)], "x string, y string")
+    assert all(r.d == r.y for r in texts.select("y", ex.decode_entities(F.col("x")).alias("d")).collect())
