@@ -305,6 +305,18 @@ def _python_suffix(w: str, table, allowed) -> str:
     return w
 
 
+def _allowed_2(w: str, left: str, suffix: str) -> bool:
+    return bool(_MEASURE[0](w[:-3] if suffix == "logi" else left))
+
+
+def _allowed_3(w: str, left: str, suffix: str) -> bool:
+    return bool(_MEASURE[0](left))
+
+
+def _allowed_4(w: str, left: str, suffix: str) -> bool:
+    return bool(_MEASURE[1](left)) and (suffix != "ion" or left[-1:] in ("s", "t"))
+
+
 def _python_mend(w: str) -> str:
     if w.endswith(("at", "bl", "iz")):
         return w + "e"
@@ -339,16 +351,17 @@ def stem_word(word: str) -> str:
     elif w.endswith("s") and not w.endswith("ss"):
         w = w[:-1]
     w = _python_past(w)
-    if _Y_AFTER_CONSONANT(w):
+    if w.endswith(("y", "Y")) and _Y_AFTER_CONSONANT(w):
         w = w[:-1] + "i"
     if w.endswith("alli") and _MEASURE[0](w[:-4]):
         w = w[:-2]
-    w = _python_suffix(w, _SUFFIXES_2, lambda w, left, s: _MEASURE[0](w[:-3] if s == "logi" else left))
-    w = _python_suffix(w, _SUFFIXES_3, lambda w, left, s: _MEASURE[0](left))
-    w = _python_suffix(w, _SUFFIXES_4, lambda w, left, s: _MEASURE[1](left) and (s != "ion" or left[-1:] in ("s", "t")))
-    left = w[:-1]
-    if w.endswith("e") and (_MEASURE[1](left) or _MEASURE[0](left) and not _CVC(left)):
-        w = left
+    w = _python_suffix(w, _SUFFIXES_2, _allowed_2)
+    w = _python_suffix(w, _SUFFIXES_3, _allowed_3)
+    w = _python_suffix(w, _SUFFIXES_4, _allowed_4)
+    if w.endswith("e"):
+        left = w[:-1]
+        if _MEASURE[1](left) or _MEASURE[0](left) and not _CVC(left):
+            w = left
     if w.endswith("ll") and _MEASURE[1](w):
         w = w[:-1]
     return w.replace("Y", "y")

@@ -128,8 +128,10 @@ def word_terms(word: str, stop: bool = True, stem: bool = True, do_fold: bool =
     w = word[:-2] if word.endswith(("'s", "’s")) else word
     if stem:
         w = porter.stem_word(w)
-    if do_fold:
+    if do_fold and not w.isascii():  # only letters beyond ASCII are folded
         w = w.translate(_FOLD)
+    if w.isalnum():  # most words
+        return [] if w.isdecimal() else [w]
     w = w.translate(_BLANKED)
     return [] if w.isdecimal() else [t for t in w.split(" ") if t]
 

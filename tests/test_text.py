@@ -129,3 +129,21 @@ def test_analysis_stems_no_arrays(spark):
     """No stemming inside array functions, which Spark interprets word by word."""
     plan = tx.analyze_tokens(spark.createDataFrame([(1, "a")], "i long, t string"), "i", "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "MapInArrow" in plan
+
+
+def test_plain_words_are_not_folded_or_cut():
+    class Word(str):
+        calls = 0
+
+        def translate(self, table):
+            Word.calls += 1
+            return str.translate(self, table)
+
+    assert tx.word_terms(Word("table"), stem=False) == ["table"] and tx.word_terms(Word("2024"), stem=False) == [] and Word.calls == 0
+    assert tx.word_terms(Word("über-cool"), stem=False) == ["uber", "cool"] and Word.calls > 0
+    words = ["", "12-14", "chef’s", "chef's", "o'neil", "straße", "١٢", "x²", "½", "-", "'", "y", "yyy", "sky", "employed", "happy", "ing", "ied", "eed"]
+    for w in words:
+        for fold in (True, False):
+            v = w[:-2] if w.endswith(("'s", "’s")) else w
+            v = (v.translate(tx._FOLD) if fold else v).translate(tx._BLANKED)
+            assert tx.word_terms(w, stop=False, stem=False, do_fold=fold) == ([] if v.isdecimal() else [t for t in v.split(" ") if t]), w
