@@ -24,7 +24,7 @@ large share of all documents.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,12 +56,13 @@ def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFr
     would re-sample the range bounds).  The offsets table has one row per
     partition, so broadcasting it is bounded by the partition count.
     """
-    from tessera.session import checkpoint_dir
+    from tessera.session import checkpoint_dir, freed_shuffles
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
-    ordered = (df.orderBy(order_col)
-               .withColumn("_pid", F.spark_partition_id())
-               .checkpoint(eager=True))
+    with freed_shuffles(spark):
+        ordered = (df.orderBy(order_col)
+                   .withColumn("_pid", F.spark_partition_id())
+                   .checkpoint(eager=True))
     w = Window.partitionBy("_pid").orderBy(order_col)
     numbered = ordered.withColumn("_rn", F.row_number().over(w))
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -73,6 +74,15 @@ def dense_ids(df: DataFrame, order_col: str, id_name: str, spark=None) -> DataFr
             .drop("_pid", "_rn", "_off"))
 
 
+def l2_norm() -> Column:
+    return F.sqrt(F.sum(F.col("w") * F.col("w")))
+
+
+def normed() -> Column:
+    """``wn``: NULL for a norm of 0."""
+    return F.try_divide(F.col("w"), F.col("norm"))
+
+
 FREQUENT = 100_000  # terms whose rows are joined by a broadcast
 
 
@@ -103,9 +113,9 @@ class Index:
     id_col: str
     by: tuple[str, ...] = ()
     docs: DataFrame | None = None  # None for a loaded index
-    saved_postings: DataFrame | None = None
-    saved_norms: DataFrame | None = None
-    bounds: DataFrame | None = None  # of a loaded index: (term, block, n, w, wn), the largest weights
+    saved: DataFrame | None = None  # of a loaded index: the rows of its postings, see save_index
+    blocks: DataFrame | None = None  # of a loaded index: (block, docs), the (id, norm) of a block's documents
+    saved_norms: DataFrame | None = None  # (by, id, norm, top)
     whole: Index | None = None  # of an index narrowed to some terms: what it was
 
     @property
@@ -126,26 +136,39 @@ class Index:
     def weights(self) -> DataFrame:
         """(by, term, id, tf, w): the postings but for ``wn``, so that no norm
         is computed or joined; like them, without rows that have no id."""
-        rows = self.weighted if self.saved_postings is None else self.saved_postings
+        rows = self.weighted if self.saved is None else self.saved
         return rows.where(F.col(self.id_col).isNotNull()).select(*self.by, "term", self.id_col, "tf", "w")
 
     @property
-    def norms(self) -> DataFrame:
-        """(by, id, norm); written when first asked for."""
+    def document_weights(self) -> DataFrame:
+        """(by, id, norm, top), top the largest weight; written when first asked for."""
         if self.whole is not None:
-            return self.whole.norms
+            return self.whole.document_weights
         if self.saved_norms is None:
             from tessera.sources.files import materialize
-            self.saved_norms = materialize(doc_norms(self.weighted, [*self.by, self.id_col]), "norms")
+            self.saved_norms = materialize(self.weighted.groupBy(*self.by, self.id_col).agg(l2_norm().alias("norm"), F.max("w").alias("top")), "norms")
         return self.saved_norms
 
+    @property
+    def norms(self) -> DataFrame:
+        """(by, id, norm)."""
+        return self.document_weights.select(*self.by, self.id_col, "norm")
+
     @property
     def postings(self) -> DataFrame:
-        """(by, term, id, tf, w, wn), wn = w / norm (NULL for a norm of 0)."""
-        if self.saved_postings is not None:
-            return self.saved_postings
+        """(by, term, id, tf, w, wn), wn = w / norm (NULL for a norm of 0); of
+        a loaded index with the document's ``block``."""
+        if self.saved is not None:
+            return with_norms(self.saved, self.blocks).select("term", self.id_col, "tf", "w", normed().alias("wn"), "block")
         return (self.weighted.join(self.norms, [*self.by, self.id_col])
-                .select(*self.by, "term", self.id_col, "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("wn")))
+                .select(*self.by, "term", self.id_col, "tf", "w", normed().alias("wn")))
+
+    @property
+    def bounds(self) -> DataFrame | None:
+        """Of a loaded index: (term, block, n, w, wn), the largest weights."""
+        if self.saved is None:
+            return None
+        return with_norms(self.saved.where("n IS NOT NULL"), self.blocks).select("term", "block", "n", F.col("top_w").alias("w"), normed().alias("wn"))
 
     def analyze(self, df: DataFrame, id_col: str | list[str], text_col: str) -> DataFrame:
         """Analyse other text (queries) exactly like the indexed column."""
@@ -189,7 +212,7 @@ def _index(docs, rows, by, id_col, text_col, n, stop, stem, fold, materialize) -
 def doc_norms(postings: DataFrame, id_col: str | list[str] = "doc_id") -> DataFrame:
     """I8: L2 norm of each document's TF-IDF vector."""
     keys = [id_col] if isinstance(id_col, str) else list(id_col)
-    return postings.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return postings.groupBy(*keys).agg(l2_norm().alias("norm"))
 
 
 def doc_vectors(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -203,50 +226,91 @@ BLOCK_DOCS = 8
 
 
 def document_blocks(tops: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, block) of (id, top), a document's largest ``wn``: documents of
-    similar largest weights together, in blocks of BLOCK_DOCS; numbered without
-    a global window."""
+    """(id, block, slot) of (id, top), a document's largest ``wn``: documents of
+    similar largest weights together, in blocks of BLOCK_DOCS, ``slot`` their
+    place in it; numbered without a global window."""
     ordered = tops.withColumn("_o", F.struct("top", id_col))
-    return dense_ids(ordered, "_o", "_r").select(id_col, F.expr(f"_r div {BLOCK_DOCS}").alias("block"))
+    return dense_ids(ordered, "_o", "_r").select(id_col, F.expr(f"_r div {BLOCK_DOCS}").alias("block"),
+                                                 F.expr(f"_r % {BLOCK_DOCS}").cast("byte").alias("slot"))
+
+
+def with_norms(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Saved rows with their document's ``norm``, by its place in the block."""
+    return rows.join(blocks, "block").withColumn("norm", F.col("docs")[F.col("slot")]["norm"]).drop("docs")
+
+
+SLICES = 8  # in which postings are placed at most, one after the other
+SLICE_ROWS = 2_000_000  # fewer aren't cut
+SLICE_RANGES = 64  # ranges of terms that slices are made of
+
+
+def term_slices(idf: DataFrame) -> list[Column]:
+    """Conditions on ``term`` that cut the index into at most SLICES ranges of
+    about as many postings.  Their shuffle files are on disk one slice at a
+    time, so placing needs a bounded part of the index, however large that is."""
+    n = min(SLICES, -(-(idf.agg(F.sum("df")).first()[0] or 0) // SLICE_ROWS))
+    if n <= 1:
+        return [F.lit(True)]
+    ranges = (idf.select("term", "df").repartitionByRange(SLICE_RANGES, "term").groupBy(F.spark_partition_id())
+              .agg(F.min("term").alias("least"), F.sum("df").alias("df")).orderBy("least").collect())
+    total, before, cuts = sum(r["df"] for r in ranges), 0, []
+    for r in ranges:
+        if before * n >= total * (len(cuts) + 1):
+            cuts.append(r["least"])
+        before += r["df"]
+    lows, highs = [None, *cuts], [*cuts, None]
+    term = F.col("term")
+    return [(F.lit(True) if a is None else term >= a) & (F.lit(True) if b is None else term < b) for a, b in zip(lows, highs)]
 
 
 def save_index(index: Index, path: str) -> None:
     """Everything that a search needs, as Parquet under ``path``:
-    postings (term, id, tf, w, wn, block) ranged by (term, block) and sorted, so
+    postings (term, block, slot, id, tf, w) ranged by (term, block) and sorted, so
     a term is found by row-group statistics and a frequent one spans many files;
-    with them the bounds, the largest weights by (term, block of documents), in
-    the first row of each block; idf, vocabulary (dense ids), norms, and one row
-    of N and the options.  Norms and blocks are found document by document, so
-    postings are shuffled twice: to their document's norm and block, and to
-    their place."""
-    from tessera.sources.files import materialize
-    i = index.id_col
-    tops = (index.weights.groupBy(i).agg(F.max("w").alias("w")).join(index.norms, i)
-            .select(i, F.try_divide(F.col("w"), F.col("norm")).alias("top")))
-    of_doc = materialize(document_blocks(tops, i).join(index.norms, i), "blocks")
-    rows = index.weights.join(of_doc, i).select("term", i, "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("wn"), "block")
-    in_block = Window.partitionBy("term", "block")
-    first = F.row_number().over(in_block.orderBy(i)) == 1
-    bounds = {"n": F.count(F.lit(1)), "top_w": F.max("w"), "top_wn": F.max("wn")}
-    (rows.repartitionByRange("term", "block").withColumn("_first", first)
-     .select("*", *[F.when(F.col("_first"), value.over(in_block)).alias(name) for name, value in bounds.items()]).drop("_first")
-     .sortWithinPartitions("term", "block", i).write.mode("overwrite").parquet(f"{path}/postings"))
-    spark = index.tf.sparkSession
-    (index.idf.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/idf"))
-    dense_ids(index.doc_freq.select("term"), "term", "term_id").write.mode("overwrite").parquet(f"{path}/vocabulary")
-    index.norms.write.mode("overwrite").parquet(f"{path}/norms")
-    (spark.range(1).select(index.n.cast("double").alias("n"), *[F.lit(getattr(index, o)).alias(o) for o in ("stop", "stem", "fold", "id_col")])
-     .write.mode("overwrite").parquet(f"{path}/options"))
+    with them the bounds, the largest weights by (term, block of documents): the
+    first row of each block is that of its largest ``wn`` and holds the largest
+    ``w`` and the number of rows; blocks (block, the id and norm of each
+    document), by which ``wn`` is w / norm, so that it isn't written; idf,
+    vocabulary (dense ids), norms, and one row of N and the options.  Norms and
+    blocks are found document by document, so postings are shuffled twice, to
+    their document's norm and block, and to their place, a slice of the terms
+    at a time."""
+    from tessera.session import freed_shuffles
+    from tessera.sources.files import COMPRESSION, materialize
+    i, spark = index.id_col, index.tf.sparkSession
+
+    def write(df: DataFrame, table: str, mode: str = "overwrite") -> None:
+        df.write.mode(mode).option("compression", COMPRESSION).parquet(f"{path}/{table}")
+
+    docs = index.document_weights.where(F.col(i).isNotNull())
+    tops = docs.select(i, F.try_divide(F.col("top"), F.col("norm")).alias("top"))
+    of_doc = materialize(document_blocks(tops, i).join(docs.select(i, "norm"), i), "blocks")
+    order = ["term", "block", F.desc("_wn"), i]
+    in_block = Window.partitionBy(*order[:2]).orderBy(*order[2:])
+    all_rows = in_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one order, so one pass for all
+    bounds = {"n": F.count(F.lit(1)), "top_w": F.max("w")}
+    with freed_shuffles(spark):
+        for k, held in enumerate(term_slices(index.idf)):
+            part = replace(index, tf=index.tf.where(held), idf=index.idf.where(held), saved=None if index.saved is None else index.saved.where(held))
+            rows = part.weights.join(of_doc, i).select("term", "block", "slot", i, "tf", "w", "norm")
+            placed = rows.repartitionByRange("term", "block").withColumn("_wn", normed())
+            first = F.row_number().over(in_block) == 1
+            write(placed.select("*", *[F.when(first, value.over(all_rows)).alias(name) for name, value in bounds.items()])
+                  .sortWithinPartitions(*order).drop("_wn", "norm"), "postings", "append" if k else "overwrite")
+        in_slots = F.array_sort(F.collect_list(F.struct("slot", F.col(i).alias("id"), "norm")))
+        write(of_doc.groupBy("block").agg(F.transform(in_slots, lambda d: F.struct(d["id"], d["norm"])).alias("docs")), "blocks")
+        write(index.idf.repartitionByRange("term").sortWithinPartitions("term"), "idf")
+        write(dense_ids(index.doc_freq.select("term"), "term", "term_id"), "vocabulary")
+        write(index.document_weights, "norms")
+        write(spark.range(1).select(index.n.cast("double").alias("n"), *[F.lit(getattr(index, o)).alias(o) for o in ("stop", "stem", "fold", "id_col")]), "options")
 
 
 def load_index(spark, path: str) -> Index:
     """A saved index; nothing of the corpus is read or analysed again."""
     options = spark.read.parquet(f"{path}/options").first()
-    rows, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "idf", "norms"))
-    bounds = rows.where("n IS NOT NULL").select("term", "block", "n", F.col("top_w").alias("w"), F.col("top_wn").alias("wn"))
-    postings = rows.drop("n", "top_w", "top_wn")
-    return Index(tf=postings.select(options["id_col"], "term", "tf"), idf=idf, n=F.lit(options["n"]), stop=options["stop"], stem=options["stem"],
-                 fold=options["fold"], id_col=options["id_col"], saved_postings=postings, saved_norms=norms, bounds=bounds)
+    rows, blocks, idf, norms = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "blocks", "idf", "norms"))
+    return Index(tf=rows.select(options["id_col"], "term", "tf"), idf=idf, n=F.lit(options["n"]), stop=options["stop"], stem=options["stem"],
+                 fold=options["fold"], id_col=options["id_col"], saved=rows, blocks=blocks, saved_norms=norms)
 
 
 def save_vocabulary(spark, path: str, target: str) -> None:

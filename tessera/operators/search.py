@@ -13,12 +13,14 @@ the shuffle, so no task ever sorts all candidates of one query.
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.index import Index
+from tessera.operators.index import FREQUENT, Index, normed, with_norms
 
 # Scores are compared to this many digits: sums of the same products in another
 # order differ in the 16th, and such scores are ties (broken by id).
@@ -37,9 +39,8 @@ def narrowed(index: Index, terms: list[str]) -> Index:
     scan of its tables.  A search for these terms is the same as over the whole
     index; norms are the whole documents'."""
     only = F.col("term").isin(terms) if terms else F.lit(False)
-    saved = index.saved_postings
     return replace(index, tf=index.tf.where(only), idf=index.idf.where(only), whole=index.whole or index,
-                   saved_postings=None if saved is None else saved.where(only), bounds=None if index.bounds is None else index.bounds.where(only))
+                   saved=None if index.saved is None else index.saved.where(only))
 
 
 def literal(index: Index, texts: list[str] | str) -> tuple[Index, DataFrame]:
@@ -158,58 +159,86 @@ SLACK = 1e-9  # bounds and scores are sums in different orders
 
 
 def query_postings(index: Index, qv: DataFrame, value: str) -> DataFrame:
-    """(term, block, id, v) of a saved index, of the terms that a query holds;
-    the others' postings aren't shuffled."""
+    """(block, id, term, v, top) of a saved index, of the terms that a query
+    holds, a block's rows together; ``top`` is the term's largest v in the
+    block, on one of its rows.  The others' postings aren't shuffled."""
     terms = qv.select("term").distinct()
-    return index.postings.select("term", "block", index.id_col, F.col(value).alias("v")).join(terms, "term", "left_semi")
+    held = index.saved.join(F.broadcast(terms), "term", "left_semi").repartition("block")
+    v, top = (F.col("w"), F.col("top_w")) if value == "w" else (normed(), normed())
+    return with_norms(held, index.blocks).select("block", index.id_col, "term", v.alias("v"), F.when(F.col("n").isNotNull(), top).alias("top"))
 
 
-def candidates(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> tuple[DataFrame, DataFrame]:
-    """The (qid, block, id) that can be among a query's k best, and every
-    query's bounds by block, (qid, block, term, q, ub).
+def block_queries(chosen: DataFrame, qid: str) -> DataFrame:
+    """(block, queries) of (qid, block, least): a block's queries with their threshold, as a map."""
+    return (chosen.where(F.col(qid).isNotNull()).groupBy("block")
+            .agg(F.map_from_entries(F.collect_list(F.struct(qid, "least"))).alias("queries")))
 
-    ``qv`` (qid, term, q), weights not negative.  ub = q x the largest
-    ``value`` of the term in the block.  The SEEDS blocks of a query with the
-    largest sums of ub are scored; the k-th best score there is at most the
-    k-th best of all, the threshold (0 where there are fewer than k).  A block
-    whose sum is below it is out.  In the others a document has to hold one of
-    the terms that the block's sum can't reach the threshold without (the
-    essential ones), and its score by these, plus the bounds of the others,
-    has to reach it too.
+
+def products_by_block(postings: DataFrame, qv: DataFrame, of_block: DataFrame, qid: str) -> DataFrame:
+    """``postings`` with the queries (qid, q) that hold their term and are among
+    their block's (:func:`block_queries`), with ``least``: only postings are
+    shuffled, never their products."""
+    return (postings.join(of_block, "block").join(F.broadcast(qv), "term")
+            .withColumn("least", F.col("queries")[F.col(qid)]).where(F.col("least").isNotNull()).drop("queries"))
+
+
+def candidates(index: Index, qv: DataFrame, value: str, k: int, qid: str, write: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The (qid, block, id) that can be among a query's k best with their whole
+    score ``sum``, and the bounds of every query's blocks, (qid, block, reach).
+
+    ``qv`` (qid, term, q), weights not negative, at most FREQUENT rows (it is
+    broadcast).  reach = sum of q x the largest ``value`` of the term in the
+    block.  The SEEDS blocks of a query of the largest reach are scored; the
+    k-th best score there is at most the k-th best of all, the threshold (0
+    where there are fewer than k).  A block whose reach is below it is out.  The
+    documents of the others are scored where their block lies; those below the
+    threshold are out.  ``write``: the queries' postings are written once for
+    these steps, otherwise each reads them from the index.
     """
     from tessera.sources.files import materialize
     i, postings = index.id_col, query_postings(index, qv, value)
-    ub = materialize(qv.join(index.bounds.select("term", "block", F.col(value).alias("_top")), "term")
-                     .select(qid, "block", "term", "q", (F.col("q") * F.col("_top")).alias("ub")), "block-bounds")
-    blocks = ub.groupBy(qid, "block").agg(F.sum("ub").alias("reach"))
+    if write:
+        postings = materialize(postings, "query-postings")
+    product = F.sum(F.col("q") * F.col("v"))
+    blocks = materialize(postings.where("top IS NOT NULL").join(F.broadcast(qv), "term")
+                         .groupBy(qid, "block").agg(F.sum(F.col("q") * F.col("top")).alias("reach")), "block-bounds")
     best_first = Window.partitionBy(qid).orderBy(F.desc("reach"), "block")
-    seeds = blocks.withColumn("_r", F.row_number().over(best_first)).where(F.col("_r") <= SEEDS).select(qid, "block")
-    seeded = (ub.join(seeds, [qid, "block"]).join(postings, ["term", "block"]).groupBy(qid, i).agg(F.sum(F.col("q") * F.col("v")).alias("s")))
+    seeds = blocks.withColumn("_r", F.row_number().over(best_first)).where(F.col("_r") <= SEEDS).select(qid, "block", F.lit(0.0).alias("least"))
+    seeded = products_by_block(postings, qv, F.broadcast(block_queries(seeds, qid)), qid).groupBy(qid, i).agg(product.alias("s"))
     by_score_ = Window.partitionBy(qid).orderBy(F.desc("s"))
     kth = seeded.withColumn("_r", F.row_number().over(by_score_)).where(F.col("_r") == k).select(qid, F.col("s").alias("least"))
     least = F.coalesce("least", F.lit(0.0)) - SLACK
-    alive = blocks.join(kth, qid, "left").where(F.col("reach") >= least).select(qid, "block", least.alias("least"))
-    # a block's terms, least bound first: those that together stay below the threshold aren't essential
-    upto = Window.partitionBy(qid, "block").orderBy("ub", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    terms = (ub.join(alive, [qid, "block"]).withColumn("_sum", F.sum("ub").over(upto))
-             .withColumn("essential", F.col("_sum") >= F.col("least")))
-    rest = F.sum(F.when(~F.col("essential"), F.col("ub")).otherwise(0.0)).over(Window.partitionBy(qid, "block"))
-    terms = terms.withColumn("rest", rest).where("essential")
-    found = (terms.join(postings, ["term", "block"]).groupBy(qid, "block", i)
-             .agg(F.sum(F.col("q") * F.col("v")).alias("s"), F.first("rest").alias("rest"), F.first("least").alias("least"))
-             .where(F.col("s") + F.col("rest") >= F.col("least")).select(qid, "block", i))
-    return found, ub
+    alive = blocks.join(F.broadcast(kth), qid, "left").where(F.col("reach") >= least).select(qid, "block", least.alias("least"))
+    found = (products_by_block(postings, qv, block_queries(alive, qid), qid).groupBy(qid, "block", i).agg(product.alias("sum"), F.first("least").alias("least"))
+             .where(F.col("sum") >= F.col("least")).select(qid, "block", i, "sum"))
+    return found, blocks
+
+
+BATCH_SHARE = 0.5  # of the index: the postings that the queries of a batch meet
+FEW = 1_000_000  # postings that aren't written for a search
 
 
 def bounded_scores(index: Index, qv: DataFrame, value: str, k: int, qid: str) -> DataFrame:
     """(qid, id, sum of q x ``value``) of at least each query's k best, whole
-    scores: the same as over all postings.  Every join is on (term, block) or
-    (qid, block), keys of at most BLOCK_DOCS documents."""
-    found, ub = candidates(index, qv, value, k, qid)
-    i = index.id_col
-    return (found.join(ub.select(qid, "block", "term", "q"), [qid, "block"])
-            .join(query_postings(index, qv, value), ["term", "block", i])
-            .groupBy(qid, i).agg(F.sum(F.col("q") * F.col("v")).alias("sum")))
+    scores: the same as over all postings.  Joins are on a block, a key of at
+    most BLOCK_DOCS documents.  Searches that meet many postings are done and
+    written in batches of queries, each of FREQUENT terms and BATCH_SHARE of
+    the index on average: what is on disk for a batch is a bounded part of the
+    index, however many queries there are."""
+    from tessera.session import scratch_scope
+    from tessera.sources.files import materialize, scratch_path
+    spark, size = index.idf.sparkSession, F.coalesce(F.sum("df"), F.lit(0))
+    whole = (index.whole or index).idf.select(size).scalar()
+    n, met, total = qv.join(index.idf.select("term", "df"), "term").agg(F.count(F.lit(1)), size).select("*", whole).first()
+    if met < FEW and n <= FREQUENT:
+        return candidates(index, qv, value, k, qid)[0].select(qid, index.id_col, "sum")
+    batches, found = max(-(-n // FREQUENT), math.ceil(met / (BATCH_SHARE * total))), []
+    for b in range(batches):
+        path = scratch_path(spark, "found")
+        with scratch_scope(spark):  # a batch's tables go with it
+            rows = candidates(index, qv.where(F.pmod(F.hash(qid), F.lit(batches)) == b), value, k, qid, write=True)[0]
+            found.append(materialize(rows.select(qid, index.id_col, "sum"), "found", path))
+    return reduce(DataFrame.unionByName, found)
 
 
 def sparse_dot(index: Index, queries: DataFrame, qid: str = "qid",

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import STRIP_RE
 from tessera.operators.index import dense_ids
-from tessera.session import checkpoint_dir, own_scratch
+from tessera.session import checkpoint_dir, freed_shuffles, own_scratch
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -23,12 +23,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return own_scratch(f"{base}/tessera-out/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+COMPRESSION = "zstd"  # of scratch tables and saved indexes: two thirds of Spark's default on token tables
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back:
     computed once, reused by several branches, lineage cut (a lost
-    executor re-reads files instead of recomputing the whole chain)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    executor re-reads files instead of recomputing the whole chain).  Its
+    shuffle files go with the end of the write.  ``path``: a scratch path made
+    before, outside of a scope that ends sooner than the table."""
+    path = path or scratch_path(df.sparkSession, name)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
