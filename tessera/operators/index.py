@@ -293,10 +293,10 @@ def save_index(index: Index, path: str) -> None:
         for k, held in enumerate(term_slices(index.idf)):
             part = replace(index, tf=index.tf.where(held), idf=index.idf.where(held), saved=None if index.saved is None else index.saved.where(held))
             rows = part.weights.join(of_doc, i).select("term", "block", "slot", i, "tf", "w", "norm")
-            placed = rows.repartitionByRange("term", "block").withColumn("_wn", normed())
-            first = F.row_number().over(in_block) == 1
-            write(placed.select("*", *[F.when(first, value.over(all_rows)).alias(name) for name, value in bounds.items()])
-                  .sortWithinPartitions(*order).drop("_wn", "norm"), "postings", "append" if k else "overwrite")
+            placed = (rows.repartitionByRange("term", "block").withColumn("_wn", normed())
+                      .select("*", F.row_number().over(in_block).alias("_nth"), *[value.over(all_rows).alias(name) for name, value in bounds.items()]))
+            write(placed.withColumns({name: F.when(F.col("_nth") == 1, F.col(name)) for name in bounds})
+                  .sortWithinPartitions(*order).drop("_wn", "_nth", "norm"), "postings", "append" if k else "overwrite")
         in_slots = F.array_sort(F.collect_list(F.struct("slot", F.col(i).alias("id"), "norm")))
         write(of_doc.groupBy("block").agg(F.transform(in_slots, lambda d: F.struct(d["id"], d["norm"])).alias("docs")), "blocks")
         write(index.idf.repartitionByRange("term").sortWithinPartitions("term"), "idf")
